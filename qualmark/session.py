@@ -21,6 +21,7 @@ def local_session(cpus: int | str = 8, app: str = "qualmark", shuffle_partitions
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -51,3 +52,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "qualmark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage like ``checkpoint()`` (and survives executor loss), but
+    computes the plan once: ``Dataset.checkpoint`` runs it a second time to
+    write the checkpoint files unless the data is also cached.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+# Largest table we broadcast after counting it (rows x estimated row bytes).
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_if_small(small, other, row_bytes: int, max_bytes: int = BROADCAST_MAX_BYTES):
+    """Size-checked broadcast: hint ``small`` for broadcast when its counted
+    size is under ``max_bytes``; otherwise force a sort-merge join so the
+    other (growing) side is never broadcast from a low static estimate.
+
+    ``small`` should be materialised (its count is then a cheap scan).
+    Returns ``(small, other)`` with the hints applied.
+    """
+    from pyspark.sql import functions as F
+    if small.count() * row_bytes <= max_bytes:
+        return F.broadcast(small), other
+    return small.hint("merge"), other.hint("merge")
