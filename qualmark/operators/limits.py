@@ -46,40 +46,50 @@ THRESHOLD_DAYS = (0, 1)   # threshold targets: [D, D+1)
 TRAILING_DAYS = 3         # frequency window [d-3, d]
 
 
-def _grid_offsets(radius: int, bucket_seconds: int, lags: Sequence[int], left_closed: bool) -> list[tuple[int, int, int]]:
-    """(offset_seconds, neighbour, self) emissions of one source bucket.
+def _grid_range(radius: int, bucket_seconds: int, left_closed: bool) -> tuple[int, int]:
+    """Grid offsets ``j`` of a neighbour: ``t = s + k*day + j*w``.
 
     A source ``s`` is a neighbour of target ``t`` at lag ``k`` when
     ``s - (t - k*day)`` lies in ``[-radius, radius]`` (or ``(-radius, radius]``
-    when ``left_closed`` is false). With ``t = s + k*day + j*w`` that is
-    ``-radius <= j*w <= radius`` (resp. ``-radius <= j*w < radius``).
+    when ``left_closed`` is false), i.e. ``-radius <= j*w <= radius``
+    (resp. ``-radius <= j*w < radius``).
     """
     if DAY_SECONDS % bucket_seconds:
         raise ValueError("bucket_seconds must divide one day")
     if 2 * radius >= DAY_SECONDS:
         raise ValueError("radius must be under half a day so lags do not overlap")
-    j_max = radius // bucket_seconds
-    js = [j for j in range(-j_max - 1, j_max + 2)
-          if -radius <= j * bucket_seconds and (j * bucket_seconds <= radius if left_closed else j * bucket_seconds < radius)]
-    emit: dict[int, list[int]] = {}
-    for k in lags:
-        for j in js:
-            emit.setdefault(k * DAY_SECONDS + j * bucket_seconds, [0, 0])[0] = 1
-    emit.setdefault(0, [0, 0])[1] = 1
-    return sorted((off, nb, me) for off, (nb, me) in emit.items())
+    j_min = -(radius // bucket_seconds)
+    j_max = radius // bucket_seconds if left_closed else (radius + bucket_seconds - 1) // bucket_seconds - 1
+    return j_min, j_max
 
 
 def _seasonal_emit(df: DataFrame, keys: list[str], bucket: str, cols: list[str], radius: int,
                    bucket_seconds: int, lags: Sequence[int], left_closed: bool,
                    target_lo: int, target_hi: int) -> DataFrame:
-    """Emit each bucket row to the target slots it belongs to (see module doc)."""
-    offsets = _grid_offsets(radius, bucket_seconds, lags, left_closed)
-    arr = F.array(*[F.struct(F.lit(off).cast("long").alias("__off"), F.lit(nb).alias("__nb"),
-                             F.lit(me).alias("__me")) for off, nb, me in offsets])
-    lo, hi = int(target_lo), int(target_hi)
+    """Emit each bucket row to the target slots it belongs to (see module doc).
+
+    Emissions are ``(offset, neighbour, self)``: one per (lag, grid offset),
+    built by ``transform`` over ``sequence`` so the expression stays small for
+    any radius, plus the self emission (merged into lag 0, offset 0 when
+    lag 0 is in ``lags``). Emissions outside the target days are dropped
+    before the shuffle.
+    """
+    j_min, j_max = _grid_range(radius, bucket_seconds, left_closed)
+    w = bucket_seconds
+
+    def emit(k, j):
+        return F.struct((k.cast("long") * F.lit(DAY_SECONDS) + j.cast("long") * F.lit(w)).alias("__off"),
+                        F.lit(1).alias("__nb"),
+                        F.when((k == 0) & (j == 0), 1).otherwise(0).alias("__me"))
+
+    arr = F.flatten(F.transform(F.array(*[F.lit(int(k)) for k in lags]),
+                                lambda k: F.transform(F.sequence(F.lit(j_min), F.lit(j_max)), lambda j: emit(k, j))))
+    if 0 not in set(lags):
+        arr = F.concat(arr, F.array(F.struct(F.lit(0).cast("long").alias("__off"), F.lit(0).alias("__nb"),
+                                             F.lit(1).alias("__me"))))
     out = (df.select(*keys, epoch_seconds(bucket).alias("__sec"), *cols, F.inline(arr))
            .withColumn("__t", F.col("__sec") + F.col("__off")))
-    return out.where((F.col("__t") >= F.lit(lo)) & (F.col("__t") < F.lit(hi)))
+    return out.where((F.col("__t") >= F.lit(int(target_lo))) & (F.col("__t") < F.lit(int(target_hi))))
 
 
 def _utc_seconds(dt) -> int:
