@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import ENC_SIZE, SEQ_LEN, position_codes
+from ..session import broadcast_if_small, materialize
 
 
 def encode_positions(df: DataFrame, value: str = "value", seq_len: int = SEQ_LEN, size: int = ENC_SIZE,
@@ -87,6 +88,10 @@ def score_strings(profile: DataFrame, values: DataFrame, keys: Iterable[str], va
     cells = F.filter(F.transform(codes, lambda c, i: F.when(c >= 0, i * size + c)), lambda c: c.isNotNull())
     hot = F.aggregate(cells, F.lit(0.0),
                       lambda acc, c: acc + F.coalesce(F.try_element_at(F.col("__odds"), c), F.col("__odds0")))
+    # one model row per series, each at most seq_len*size map entries: broadcast
+    # when the counted series fit, else a sort-merge join (AQE splits a hot series)
+    models = materialize(models, "string_models")
+    models, vals = broadcast_if_small(models, vals, row_bytes=64 + 24 * seq_len * size)
     scored = vals.join(models, on=keys, how="inner").select(
         *keys, value, (F.col("__const") + hot).alias("log_likelihood"))
     return scored.withColumn("score", -F.col("log_likelihood"))

@@ -44,3 +44,51 @@ def compute_freq_threshold(counts: DataFrame, as_of, keys: Iterable[str] = DEFAU
     """Counts of days ``[D-7, D]`` -> memo -> rates -> limits of day D."""
     src = read_dated(counts, as_of, 7, day="dt")
     return freq_threshold(freq_rates(freq_memo(src, as_of, keys), keys), as_of, keys, weight=weight)
+
+
+def null_check_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str] = ("gamecode",),
+                   weight: float = NULL_WEIGHT, radius: int = ADJACENT_WINDOW_SECONDS,
+                   lags: Sequence[int] = SEASONAL_LAGS, left_closed: bool = True) -> DataFrame:
+    """Day D's null thresholds straight from the raw logs.
+
+    The raw rows are cut to the source days ``[D-6, D]`` on the event-time
+    column itself, so the range reaches the scan (row-group skipping on
+    Parquet, partition pruning when the table is partitioned by day) before
+    the ten-minute aggregate; the memo then needs no further date filter.
+    """
+    keys = list(keys)
+    raw = read_dated(logs, as_of, 6, ts=ts)
+    counts = null_count(raw, ts, columns, keys)
+    series = [*keys, "column"]
+    memo = null_memo(counts, as_of, series, radius=radius, lags=lags, left_closed=left_closed)
+    return null_threshold(memo, as_of, series, weight=weight, radius=radius, lags=lags, left_closed=left_closed)
+
+
+def null_alert_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str] = ("gamecode",),
+                   weight: float = NULL_WEIGHT) -> DataFrame:
+    """Alerts of day D+1 against day D's thresholds, from the raw logs.
+
+    The day D+1 counts read only that day (a pushed-down range on ``ts``).
+    """
+    import datetime as _dt
+
+    from ..functions.time import as_date
+    from ..operators.limits import null_alerts
+    keys = list(keys)
+    nxt = as_date(as_of) + _dt.timedelta(days=1)
+    counts = null_count(read_dated(logs, nxt, 0, ts=ts), ts, columns, keys)
+    thresholds = null_check_day(logs, ts, columns, as_of, keys, weight=weight)
+    return null_alerts(counts, thresholds, [*keys, "column"])
+
+
+def freq_check_day(logs: DataFrame, day, columns, as_of, keys: Iterable[str] = ("gamecode",),
+                   weight: float = FREQ_WEIGHT, ts: str | None = None) -> DataFrame:
+    """Day D's class limits straight from the raw logs (source days ``[D-6, D]``).
+
+    ``ts`` (the event-time column) lets the day range reach the scan.
+    """
+    keys = list(keys)
+    raw = read_dated(logs, as_of, 6, ts=ts) if ts else logs
+    counts = freq_count(raw, day, columns, keys)
+    series = [*keys, "column"]
+    return freq_threshold(freq_rates(freq_memo(counts, as_of, series), series), as_of, series, weight=weight)

@@ -64,12 +64,19 @@ def null_counts(spark, sf_dir) -> DataFrame:
     return C.null_count(ev, "ts", null_columns(), keys=["gamecode"])
 
 
+def _events(spark, sf_dir) -> DataFrame:
+    return _t(spark, sf_dir, "events").withColumn("gamecode", F.lit("events"))
+
+
 def null_memo_df(spark, sf_dir) -> DataFrame:
-    return L.null_memo(null_counts(spark, sf_dir), AS_OF, KEYS)
+    # the memo reads source days [D-6, D]; cut the raw rows on ts so the range reaches the scan
+    raw = RD.read_dated(_events(spark, sf_dir), AS_OF, 6, ts="ts")
+    return L.null_memo(C.null_count(raw, "ts", null_columns(), keys=["gamecode"]), AS_OF, KEYS)
 
 
 def null_threshold_df(spark, sf_dir) -> DataFrame:
-    return L.null_threshold(null_memo_df(spark, sf_dir), AS_OF, KEYS)
+    from .checks import null_check_day
+    return null_check_day(_events(spark, sf_dir), "ts", null_columns(), AS_OF, ["gamecode"])
 
 
 def q_null_count(spark, sf_dir):
@@ -82,7 +89,9 @@ def q_null_memo(spark, sf_dir):
 
 def q_null_memo_effective(spark, sf_dir):
     """The reference's effective form: lags 1..3, left edge open."""
-    memo = L.null_memo(null_counts(spark, sf_dir), AS_OF, KEYS, lags=(1, 2, 3), left_closed=False)
+    raw = RD.read_dated(_events(spark, sf_dir), AS_OF, 6, ts="ts")
+    memo = L.null_memo(C.null_count(raw, "ts", null_columns(), keys=["gamecode"]), AS_OF, KEYS,
+                       lags=(1, 2, 3), left_closed=False)
     return _round(memo)
 
 
@@ -91,7 +100,8 @@ def q_null_threshold(spark, sf_dir):
 
 
 def q_null_alerts(spark, sf_dir):
-    return _round(L.null_alerts(null_counts(spark, sf_dir), null_threshold_df(spark, sf_dir), KEYS))
+    from .checks import null_alert_day
+    return _round(null_alert_day(_events(spark, sf_dir), "ts", null_columns(), AS_OF, ["gamecode"]))
 
 
 def q_compute_null_threshold(spark, sf_dir):
@@ -213,8 +223,10 @@ def q_freq_threshold(spark, sf_dir):
 
 
 def q_freq_threshold_day(spark, sf_dir):
-    from .checks import compute_freq_threshold
-    out = compute_freq_threshold(freq_counts(spark, sf_dir), AS_OF, KEYS)
+    from .checks import compute_freq_threshold, freq_check_day
+    ev = freq_check_day(_events(spark, sf_dir), "ts", ["event_type"], AS_OF, ["gamecode"], ts="ts")
+    od = compute_freq_threshold(freq_counts(spark, sf_dir).where(F.col("gamecode") == "orders"), AS_OF, KEYS)
+    out = ev.unionByName(od)
     return _round(out.select(*KEYS, "dt", "class", "lowerbound", "upperbound"))
 
 
@@ -477,6 +489,14 @@ def q_rank_anomalies(spark, sf_dir):
     return ST.rank_anomalies(scores, 5, KEYS).select(*KEYS, "value", "score", "rank")
 
 
+def q_latent_scores(spark, sf_dir):
+    """rows-only check (the eigen-decomposition has no SQL oracle)."""
+    from ..operators import latent as LT
+    vals = string_values(spark, sf_dir)
+    out = LT.latent_scores(LT.fit_latent(vals, KEYS), vals, KEYS)
+    return _round(out.select(*KEYS, "value", "score"))
+
+
 def q_score_metrics(spark, sf_dir):
     return _round(C.score_metrics(string_scores_df(spark, sf_dir), KEYS))
 
@@ -693,6 +713,7 @@ QUERIES = {
     "string_scores": q_string_scores,
     "profile_mode": q_profile_mode,
     "rank_anomalies": q_rank_anomalies,
+    "latent_scores": q_latent_scores,
     "score_metrics": q_score_metrics,
     "score_summary": q_score_summary,
     "kde_fit": q_kde_fit,

@@ -139,3 +139,39 @@ def test_score_summary(spark):
     assert out == {1: (3, "alp_|_bet"), -1: (2, "del_|_eps")}
     metrics = C.score_metrics(df, KEYS).first()
     assert metrics.distortion == pytest.approx(sum(r[3] for r in rows) / 5) and metrics.n == 5
+
+
+def brute_latent(train, test, k=2):
+    def vec(v):
+        x = np.zeros(16 * 128)
+        for i, c in enumerate(codes_py(v)):
+            x[i * 128 + c] = 1
+        return x
+    X = np.array([vec(v) for v in train])
+    mu = X.mean(axis=0)
+    cov = (X - mu).T @ (X - mu) / len(train)
+    vals, vecs = np.linalg.eigh(cov)
+    top = vecs[:, np.argsort(vals)[::-1][:k]]
+    out = {}
+    for v in test:
+        d = vec(v) - mu
+        z = d @ top
+        out[v] = (float(d @ d - z @ z), sorted(abs(z)))
+    return out
+
+
+def test_latent_scores_brute_force(spark):
+    from qualmark.operators import latent as LT
+    rnd = random.Random(3)
+    train = ["".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6))) + rnd.choice(["x", "yy", ""])
+             for _ in range(80)]
+    test = list(set(train[:15])) + ["zzz", "", "ñ"]
+    tr = spark.createDataFrame([("g", "c", v) for v in train], "gamecode string, column string, value string")
+    te = spark.createDataFrame([("g", "c", v) for v in test], "gamecode string, column string, value string")
+    model = LT.fit_latent(tr, KEYS)
+    got = {r.value: (r.score, sorted(abs(x) for x in r.z)) for r in LT.latent_scores(model, te, KEYS).collect()}
+    want = brute_latent(train, test)
+    assert set(got) == set(want)
+    for v, (err, z) in want.items():
+        assert got[v][0] == pytest.approx(err, rel=1e-8, abs=1e-9)
+        assert got[v][1] == pytest.approx(z, rel=1e-6, abs=1e-8)
