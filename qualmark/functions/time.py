@@ -1,7 +1,7 @@
 """Time expressions on TIMESTAMP_NTZ / DATE columns.
 
-All arithmetic is on epoch seconds taken with ``timestampdiff`` against the
-NTZ epoch, so nothing passes through the session time zone.
+All arithmetic is on epoch seconds built from the NTZ date and time-of-day
+fields, so nothing passes through the session time zone.
 """
 
 from __future__ import annotations
@@ -20,13 +20,31 @@ def _c(col) -> Column:
 
 
 def epoch_seconds(ts) -> Column:
-    """Whole seconds since 1970-01-01 00:00:00 of a TIMESTAMP_NTZ column."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), _c(ts))
+    """Whole seconds since 1970-01-01 00:00:00 of a TIMESTAMP_NTZ wall-clock value.
+
+    Built from the date and time-of-day fields, which are zone-free for NTZ
+    (``timestampdiff`` on NTZ goes through the session time zone and is off
+    by an hour inside a daylight-saving gap).
+    """
+    t = _c(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * F.lit(DAY_SECONDS)
+            + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since the epoch of a TIMESTAMP_NTZ wall-clock value (zone-free)."""
+    t = _c(ts)
+    whole = F.unix_date(F.to_date(t)).cast("long") * F.lit(DAY_SECONDS) + F.hour(t) * 3600 + F.minute(t) * 60
+    return whole * F.lit(1_000_000) + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
 
 
 def from_epoch_seconds(sec) -> Column:
-    """TIMESTAMP_NTZ for whole epoch seconds (inverse of ``epoch_seconds``)."""
-    return F.timestamp_add("SECOND", _c(sec), F.expr(_EPOCH))
+    """TIMESTAMP_NTZ for whole epoch seconds (inverse of ``epoch_seconds``, zone-free)."""
+    s = _c(sec).cast("long")
+    day = F.floor(s / F.lit(DAY_SECONDS))
+    of_day = s - day * F.lit(DAY_SECONDS)
+    return (F.date_from_unix_date(day.cast("int")).cast("timestamp_ntz")
+            + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), of_day.cast("decimal(18,6)")))
 
 
 def bucket_start(ts, seconds: int = 600) -> Column:

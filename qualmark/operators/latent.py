@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import ENC_SIZE, SEQ_LEN, position_codes
+from ..session import broadcast_if_small, materialize
 
 
 def _cells(value, seq_len: int, size: int, overflow: str, unit: str):
@@ -87,6 +88,8 @@ def latent_scores(model: DataFrame, values: DataFrame, keys: Iterable[str], valu
         *[F.sum(F.col("mu") * F.element_at("comp", j + 1)).alias(f"__mv{j}") for j in range(k)])
     vals = values.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     cells = _cells(value, seq_len, size, overflow, unit)
+    per = materialize(per, "latent_models")
+    per, vals = broadcast_if_small(per, vals, row_bytes=64 + (16 + 8 * k) * seq_len * size)
     j = vals.join(per, on=keys, how="inner").withColumn("__cells", cells)
 
     def hot_sum(fn):

@@ -44,6 +44,7 @@ MEMO_DAYS = (-3, 1)       # memo targets: [D-3, D+1)
 SOURCE_DAYS = (-6, 1)     # memo sources: [D-6, D+1)
 THRESHOLD_DAYS = (0, 1)   # threshold targets: [D, D+1)
 TRAILING_DAYS = 3         # frequency window [d-3, d]
+LITERAL_EMISSIONS = 256   # emission lists up to this size are a constant array
 
 
 def _grid_range(radius: int, bucket_seconds: int, left_closed: bool) -> tuple[int, int]:
@@ -68,9 +69,9 @@ def _seasonal_emit(df: DataFrame, keys: list[str], bucket: str, cols: list[str],
                    target_lo: int, target_hi: int) -> DataFrame:
     """Emit each bucket row to the target slots it belongs to (see module doc).
 
-    Emissions are ``(offset, neighbour, self)``: one per (lag, grid offset),
-    built by ``transform`` over ``sequence`` so the expression stays small for
-    any radius, plus the self emission (merged into lag 0, offset 0 when
+    Emissions are ``(offset, neighbour, self)``: one per (lag, grid offset) -
+    a constant array when short, else built by ``transform`` over ``sequence``
+    so the expression stays small for any radius - plus the self emission (merged into lag 0, offset 0 when
     lag 0 is in ``lags``). Emissions outside the target days are dropped
     before the shuffle.
     """
@@ -82,8 +83,15 @@ def _seasonal_emit(df: DataFrame, keys: list[str], bucket: str, cols: list[str],
                         F.lit(1).alias("__nb"),
                         F.when((k == 0) & (j == 0), 1).otherwise(0).alias("__me"))
 
-    arr = F.flatten(F.transform(F.array(*[F.lit(int(k)) for k in lags]),
-                                lambda k: F.transform(F.sequence(F.lit(j_min), F.lit(j_max)), lambda j: emit(k, j))))
+    if len(lags) * (j_max - j_min + 1) <= LITERAL_EMISSIONS:
+        # a constant array: folded once by the optimiser, no per-row lambda
+        arr = F.array(*[F.struct(F.lit(k * DAY_SECONDS + j * w).cast("long").alias("__off"), F.lit(1).alias("__nb"),
+                                 F.lit(1 if (k == 0 and j == 0) else 0).alias("__me"))
+                        for k in lags for j in range(j_min, j_max + 1)])
+    else:
+        arr = F.flatten(F.transform(F.array(*[F.lit(int(k)) for k in lags]),
+                                    lambda k: F.transform(F.sequence(F.lit(j_min), F.lit(j_max)),
+                                                          lambda j: emit(k, j))))
     if 0 not in set(lags):
         arr = F.concat(arr, F.array(F.struct(F.lit(0).cast("long").alias("__off"), F.lit(0).alias("__nb"),
                                              F.lit(1).alias("__me"))))

@@ -19,6 +19,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros, from_epoch_seconds
 from ..operators.counts import _named_columns
 from ..session import scratch_path
 
@@ -32,13 +33,12 @@ def null_count_stream(stream: DataFrame, ts: str, columns, keys: Iterable[str] =
     aggs += [F.count_if(expr.isNull()).alias(f"__n{i}") for i, (_, expr) in enumerate(named)]
     # watermarks need TIMESTAMP; go through epoch micros so the wall-clock
     # NTZ value maps to the same instant whatever the session time zone
-    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
     if dict(stream.dtypes).get(ts) == "timestamp_ntz":
-        stream = stream.withColumn(ts, F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(ts))))
+        stream = stream.withColumn(ts, F.timestamp_micros(epoch_micros(ts)))
     wide = stream.withWatermark(ts, watermark).groupBy(*keys, F.window(ts, bucket).alias("__w")).agg(*aggs)
     pairs = F.array(*[F.struct(F.lit(name).alias(column_name), F.col(f"__n{i}").alias("null_count"))
                       for i, (name, _) in enumerate(named)])
-    start = F.timestamp_add("MICROSECOND", F.unix_micros(F.col("__w.start")), epoch)
+    start = from_epoch_seconds(F.unix_seconds(F.col("__w.start")))
     return wide.select(*keys, start.alias("bucket_dt"), "total_count", F.inline(pairs)).select(
         *keys, column_name, "bucket_dt", "null_count", "total_count")
 

@@ -240,3 +240,22 @@ def test_null_count_totals(spark):
     errors = ev.where("event_type = 'error'").count()
     got = {r.column: (r.t, r.n) for r in tot}
     assert got == {"et": (n, errors), "v": (n, 0)}
+
+
+def test_buckets_ignore_session_time_zone(spark):
+    """Wall-clock buckets and seasonal slots do not move with a DST session zone."""
+    from qualmark.functions.time import bucket_start, epoch_seconds, from_epoch_seconds
+    rows = [(dt.datetime(2024, 3, 10, 2, 37, 5),), (dt.datetime(2024, 7, 1, 0, 7),), (dt.datetime(1969, 12, 31, 23, 59, 59),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(epoch_seconds("ts").alias("s"), bucket_start("ts").alias("b"),
+                        from_epoch_seconds(epoch_seconds("ts")).alias("back"), "ts").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    import calendar
+    for r in got:
+        assert r.s == calendar.timegm(r.ts.timetuple())
+        assert r.back == r.ts
+        assert r.b == r.ts.replace(minute=r.ts.minute - r.ts.minute % 10, second=0)
