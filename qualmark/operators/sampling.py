@@ -1,7 +1,7 @@
 """Sampling, distinct values, copies and pages.
 
 Samples are reproducible: rows are ordered by ``md5(seed || key)`` (a keyed
-uniform order) and the first ``n`` kept. A plain ``orderBy().limit(n)`` would
+uniform order; ``rand(seed)`` when no key is given) and the first ``n`` kept. A plain ``orderBy().limit(n)`` would
 make every map task send its own top ``n`` to one final task; for the
 reference's 100,000-row samples on a 1000-partition table that is 10^8 rows in
 one task. Instead a cut-off on the first 32 bits of the hash, sized from the
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import hash_order_key
+from ..session import materialize
 
 _PREFIX_SPACE = 1 << 32
 
@@ -27,24 +28,36 @@ def _hash_prefix(h):
 
 def sample_rows(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None, seed: str = "qualmark",
                 with_md5: bool = False) -> DataFrame:
-    """``n`` non-null rows of ``column`` in a uniform keyed random order.
-
-    ``key`` names the columns that identify a row (order key
-    ``md5(seed || key...)``); without it the value itself is the key, so
-    duplicates of one value stay together. ``with_md5`` adds ``md5(column)``.
+    """``n`` non-null rows of ``column`` in a uniform random order.
+
+    With ``key`` (the columns that identify a row) the order is
+    ``md5(seed || key...)``: the same rows on every run and engine. Without
+    it the order is ``rand(seed)`` over the rows (duplicates of a value are
+    sampled independently, as with the reference's ``ORDER BY rand()``); it is
+    fixed per input split, so a recomputed task draws the same numbers.
+    ``with_md5`` adds ``md5(column)``.
     """
-    key = list(key) if key else [column]
-    base = df.where(F.col(column).isNotNull()).select(
-        F.col(column), hash_order_key(seed, *key).alias("__h"))
+    base = df.where(F.col(column).isNotNull())
+    if key:
+        h = hash_order_key(seed, *key)
+        base = base.select(F.col(column), h.alias("__h"), (_hash_prefix(h) / F.lit(float(_PREFIX_SPACE))).alias("__u"))
+    else:
+        seed_int = int.from_bytes(str(seed).encode()[:8].ljust(8, b"\0"), "little") & 0x7FFFFFFF
+        base = base.select(F.col(column), F.rand(seed_int).alias("__u"))
+        base = base.withColumn("__h", F.col("__u"))
     total = base.count()
     if total > n:
-        cut = min(_PREFIX_SPACE, int(_PREFIX_SPACE * (n / total) * 1.2) + 4096)
+        cut = min(1.0, (n / total) * 1.2 + 4096 / _PREFIX_SPACE)
         while True:
-            cand = base.where(_hash_prefix(F.col("__h")) < F.lit(cut))
-            if cut >= _PREFIX_SPACE or cand.count() >= n:
+            cand = base.where(F.col("__u") < F.lit(cut))
+            if cut >= 1.0 or cand.count() >= n:
                 break
-            cut = min(_PREFIX_SPACE, cut * 2)
+            cut = min(1.0, cut * 2)
         base = cand
+    if not key:
+        # rand() is fixed per input split, but a shuffled input may present its
+        # rows in another order when recomputed: pin the (about 1.2 n) drawn rows
+        base = materialize(base, "sample_candidates")
     out = base.orderBy("__h", column).limit(n)
     cols = [F.col(column)] + ([F.md5(F.col(column).cast("string")).alias("md5")] if with_md5 else [])
     return out.select(*cols)

@@ -99,3 +99,12 @@ def test_copy_table(spark):
     got = [r.o_orderkey for r in S.copy_table(orders, 5, ["o_orderkey"]).collect()]
     assert got == sorted(r.o_orderkey for r in orders.select("o_orderkey").collect())[:5]
     assert S.copy_table(orders).count() == orders.count()
+
+
+def test_sample_rows_unkeyed_is_row_uniform(spark):
+    """Without a key, copies of one value are drawn independently (not all or none)."""
+    df = spark.createDataFrame([("a",)] * 900 + [("b",)] * 100, "v string")
+    got = [r.v for r in S.sample_rows(df, "v", 200, seed="x").collect()]
+    assert len(got) == 200 and 140 <= got.count("a") <= 199 and got.count("b") >= 1
+    again = [r.v for r in S.sample_rows(df, "v", 200, seed="x").collect()]
+    assert sorted(got) == sorted(again)
