@@ -23,7 +23,7 @@ def _c(col) -> Column:
 
 
 def position_codes(value, seq_len: int = SEQ_LEN, size: int = ENC_SIZE, overflow: str = "mod",
-                   unit: str = "byte") -> Column:
+                   unit: str = "byte", pad_md5: bool = False) -> Column:
     """Array of codes for the first ``seq_len`` units of ``value``.
 
     ``unit='byte'`` reads UTF-8 bytes (0-255); ``unit='char'`` reads code
@@ -33,10 +33,15 @@ def position_codes(value, seq_len: int = SEQ_LEN, size: int = ENC_SIZE, overflow
     * ``drop``  - ``-1`` (the position stays, but has no hot cell)
     * ``space`` - replaced by 32
     Position ``i`` of the array (0-based) is position ``i`` of the string.
+    ``pad_md5=True`` encodes ``value<TAB>md5(value)`` instead, as the
+    reference's model did with an md5 export (short values padded by a tab
+    and hash text).
     """
     if overflow not in OVERFLOW_MODES:
         raise ValueError(f"overflow must be one of {OVERFLOW_MODES}")
     v = _c(value)
+    if pad_md5:
+        v = F.concat(v, F.lit("\t"), F.md5(v.cast("string")))
     if unit == "byte":
         data = F.encode(v, "UTF-8")
         n = F.least(F.octet_length(data), F.lit(seq_len))

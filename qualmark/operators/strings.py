@@ -24,14 +24,14 @@ from ..session import broadcast_if_small, materialize
 
 
 def encode_positions(df: DataFrame, value: str = "value", seq_len: int = SEQ_LEN, size: int = ENC_SIZE,
-                     overflow: str = "mod", unit: str = "byte", out: str = "codes") -> DataFrame:
+                     overflow: str = "mod", unit: str = "byte", out: str = "codes", pad_md5: bool = False) -> DataFrame:
     """adds ``codes``: one code per position of the first ``seq_len`` units."""
-    return df.withColumn(out, position_codes(F.col(value), seq_len, size, overflow, unit))
+    return df.withColumn(out, position_codes(F.col(value), seq_len, size, overflow, unit, pad_md5))
 
 
 def fit_string_profile(train: DataFrame, keys: Iterable[str], value: str = "value", seq_len: int = SEQ_LEN,
                        size: int = ENC_SIZE, overflow: str = "mod", unit: str = "byte",
-                       alpha: float = 1.0) -> DataFrame:
+                       alpha: float = 1.0, pad_md5: bool = False) -> DataFrame:
     """per series, position and code: ``cnt`` strings with that code there,
     ``n_train`` training strings, ``prob = (cnt + alpha) / (n_train + 2 alpha)``.
 
@@ -40,7 +40,7 @@ def fit_string_profile(train: DataFrame, keys: Iterable[str], value: str = "valu
     """
     keys = list(keys)
     base = train.where(F.col(value).isNotNull()).select(*keys, position_codes(F.col(value), seq_len, size,
-                                                                              overflow, unit).alias("__codes"))
+                                                                              overflow, unit, pad_md5).alias("__codes"))
     n_train = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_train"))
     cells = (base.select(*keys, F.posexplode("__codes").alias("pos", "code"))
              .where(F.col("code") >= 0)
@@ -71,7 +71,7 @@ def _series_models(profile: DataFrame, keys: list[str], seq_len: int, size: int,
 
 def score_strings(profile: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
                   seq_len: int = SEQ_LEN, size: int = ENC_SIZE, overflow: str = "mod", unit: str = "byte",
-                  alpha: float = 1.0) -> DataFrame:
+                  alpha: float = 1.0, pad_md5: bool = False) -> DataFrame:
     """``score = -log L`` of each distinct value under its series' profile.
 
     ``log L = sum over all seq_len*size cells of y log p + (1-y) log(1-p)``,
@@ -84,7 +84,7 @@ def score_strings(profile: DataFrame, values: DataFrame, keys: Iterable[str], va
     keys = list(keys)
     models = _series_models(profile, keys, seq_len, size, alpha)
     vals = values.where(F.col(value).isNotNull()).select(*keys, value).distinct()
-    codes = position_codes(F.col(value), seq_len, size, overflow, unit)
+    codes = position_codes(F.col(value), seq_len, size, overflow, unit, pad_md5)
     cells = F.filter(F.transform(codes, lambda c, i: F.when(c >= 0, i * size + c)), lambda c: c.isNotNull())
     hot = F.aggregate(cells, F.lit(0.0),
                       lambda acc, c: acc + F.coalesce(F.try_element_at(F.col("__odds"), c), F.col("__odds0")))

@@ -175,3 +175,11 @@ def test_latent_scores_brute_force(spark):
     for v, (err, z) in want.items():
         assert got[v][0] == pytest.approx(err, rel=1e-8, abs=1e-9)
         assert got[v][1] == pytest.approx(z, rel=1e-6, abs=1e-8)
+
+
+def test_pad_md5_reproduces_reference_encoding(spark):
+    import hashlib
+    df = spark.createDataFrame([("ab",), ("abcdefghijklmnopq",)], "value string")
+    got = {r.value: r.codes for r in ST.encode_positions(df, pad_md5=True).collect()}
+    for v in ("ab", "abcdefghijklmnopq"):
+        assert got[v] == codes_py(v + "\t" + hashlib.md5(v.encode()).hexdigest())
