@@ -73,11 +73,12 @@ def _near_pass(pending: DataFrame, moments: DataFrame, keys: list[str], width: f
     """First pass: series expansion over the moment bins within ``width``."""
     lo = F.floor((F.col("__x") - F.lit(width)) / F.lit(b))
     hi = F.floor((F.col("__x") + F.lit(width)) / F.lit(b))
-    qb = pending.select(*keys, "__v", "__x", "__ntot", F.explode(F.sequence(lo, hi)).alias("__bin"))
+    qb = pending.select(*keys, "__v", "__x", "__ntot", F.explode_outer(F.sequence(lo, hi)).alias("__bin"))
     # the moment table is bounded by the model (one row per non-empty bin);
     # the exploded values grow with the data, so only the former may be broadcast
     moments, qb = broadcast_if_small(moments, qb, row_bytes=8 * (terms + 2) + 64)
-    j = qb.join(moments, on=[*keys, "__bin"], how="inner")
+    # left outer: a value whose bins are all empty still reaches the aggregate
+    j = qb.join(moments, on=[*keys, "__bin"], how="left")
     u = (F.col("__x") - (F.col("__bin") + F.lit(0.5)) * F.lit(b)) / F.lit(h)
     poly = F.col(f"__M{terms - 1}")
     for k in range(terms - 2, -1, -1):       # Horner, all in codegen'd arithmetic
@@ -86,12 +87,12 @@ def _near_pass(pending: DataFrame, moments: DataFrame, keys: list[str], width: f
     qk = [*keys, "__v", "__x", "__ntot"]
     agg = j.groupBy(*qk).agg(F.sum(contrib).alias("__s"), F.sum("__w").alias("__ncand"))
     log_s = F.when(F.col("__s") > 0, F.log(F.col("__s")))
-    return _finish(pending, agg, qk, keys, log_s, width, h, log_tol)
+    return _finish(agg, keys, log_s, width, h, log_tol)
 
 
-def _finish(pending: DataFrame, agg: DataFrame, qk: list[str], keys: list[str], log_s, width: float, h: float,
-            log_tol: float) -> DataFrame:
-    res = pending.join(agg, on=qk, how="left").withColumn("__logs", log_s)
+def _finish(agg: DataFrame, keys: list[str], log_s, width: float, h: float, log_tol: float) -> DataFrame:
+    """Density and the completeness test from one row per value."""
+    res = agg.withColumn("__logs", log_s)
     n_excl = F.col("__ntot") - F.coalesce(F.col("__ncand"), F.lit(0))
     excl_log_bound = F.log(n_excl.cast("double")) - F.lit(0.5 * (width / h) ** 2)
     # text that is not a finite number is final at once, with a NULL density
@@ -110,7 +111,7 @@ def _pass(pending: DataFrame, model: DataFrame, keys: list[str], width: float, h
     qb = pending.select(*keys, "__v", "__x", "__ntot", F.explode(
         F.sequence(F.floor(F.col("__x") / F.lit(width)) - 1, F.floor(F.col("__x") / F.lit(width)) + 1)
     ).alias("__bin"))
-    pairs = qb.join(cb, on=[*keys, "__bin"], how="inner").withColumn(
+    pairs = qb.join(cb, on=[*keys, "__bin"], how="left").withColumn(
         "__e", F.lit(-0.5) * F.pow((F.col("__x") - F.col("centre")) / F.lit(h), 2))
     qk = [*keys, "__v", "__x", "__ntot"]
     # anchor the sum at its largest term so far-away values do not underflow
@@ -119,7 +120,7 @@ def _pass(pending: DataFrame, model: DataFrame, keys: list[str], width: float, h
         F.max("__m").alias("__m"),
         F.sum(F.col("weight") * F.exp(F.col("__e") - F.col("__m"))).alias("__s"),
         F.sum("weight").alias("__ncand"))
-    return _finish(pending, agg, qk, keys, F.col("__m") + F.log(F.col("__s")), width, h, log_tol)
+    return _finish(agg, keys, F.col("__m") + F.log(F.col("__s")), width, h, log_tol)
 
 
 def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
