@@ -513,7 +513,7 @@ sv AS (
 ),
 ntr AS (SELECT g, c, COUNT(*) AS n_train FROM sv GROUP BY 1, 2),
 cells AS (
-  SELECT g, c, i - 1 AS pos, ascii(substr(value, i, 1)) % 128 AS code
+  SELECT g, c, CAST(i - 1 AS INTEGER) AS pos, ascii(substr(value, i, 1)) % 128 AS code
   FROM sv CROSS JOIN range(1, 17) r(i) WHERE i <= length(value)
 ),
 prof AS (
@@ -528,7 +528,7 @@ consts AS (
 ),
 dv AS (SELECT DISTINCT g, c, value FROM sv),
 hot AS (
-  SELECT g, c, value, i - 1 AS pos, ascii(substr(value, i, 1)) % 128 AS code
+  SELECT g, c, value, CAST(i - 1 AS INTEGER) AS pos, ascii(substr(value, i, 1)) % 128 AS code
   FROM dv CROSS JOIN range(1, 17) r(i) WHERE i <= length(value)
 ),
 hs AS (
@@ -544,7 +544,7 @@ ss AS (
   LEFT JOIN hs ON dv.g = hs.g AND dv.c = hs.c AND dv.value = hs.value
 )"""
 
-ORACLE["encode_positions"] = ("SELECT p_partkey, i - 1 AS pos, ascii(substr(p_type, i, 1)) % 128 AS code "
+ORACLE["encode_positions"] = ("SELECT p_partkey, CAST(i - 1 AS INTEGER) AS pos, ascii(substr(p_type, i, 1)) % 128 AS code "
                               "FROM part CROSS JOIN range(1, 17) r(i) WHERE i <= length(p_type)")
 ORACLE["string_profile"] = (f"WITH {_SV_SQL} SELECT g AS gamecode, c AS \"column\", pos, code, cnt, n_train, "
                             "ROUND(prob, 6) AS prob FROM prof")
@@ -559,7 +559,7 @@ FROM best WHERE rn = 1 AND code <> 0 GROUP BY 1, 2"""
 ORACLE["rank_anomalies"] = f"""WITH {_SV_SQL}
 SELECT gamecode, "column", value, score, rank FROM (
   SELECT gamecode, "column", value, ROUND(score, 6) AS score,
-         ROW_NUMBER() OVER (PARTITION BY gamecode, "column" ORDER BY ROUND(score, 6) DESC, value ASC) AS rank
+         CAST(ROW_NUMBER() OVER (PARTITION BY gamecode, "column" ORDER BY ROUND(score, 6) DESC, value ASC) AS INTEGER) AS rank
   FROM ss) x WHERE rank <= 5"""
 ORACLE["score_metrics"] = (f"WITH {_SV_SQL} SELECT gamecode, \"column\", ROUND(AVG(score), 6) AS distortion, "
                            "CAST(COUNT(*) AS BIGINT) AS n FROM ss GROUP BY 1, 2")

@@ -43,8 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    path = configured or tempfile.mkdtemp(prefix="qualmark-ckpt-")
-    sc.setCheckpointDir(path)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(a machine-local temporary folder does not survive executor loss)")
+        configured = tempfile.mkdtemp(prefix="qualmark-ckpt-")   # local sessions (tests) only
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
