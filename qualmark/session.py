@@ -38,7 +38,13 @@ def local_session(cpus: int | str = 8, app: str = "qualmark", shuffle_partitions
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context on the client, read the setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
