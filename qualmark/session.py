@@ -80,7 +80,7 @@ def materialize(df, name: str = "stage"):
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(small, other, row_bytes: int, max_bytes: int = BROADCAST_MAX_BYTES):
+def broadcast_if_small(small, other, row_bytes: int, max_bytes: int | None = None):
     """Size-checked broadcast: hint ``small`` for broadcast when its counted
     size is under ``max_bytes``; otherwise force a sort-merge join so the
     other (growing) side is never broadcast from a low static estimate.
@@ -89,6 +89,7 @@ def broadcast_if_small(small, other, row_bytes: int, max_bytes: int = BROADCAST_
     Returns ``(small, other)`` with the hints applied.
     """
     from pyspark.sql import functions as F
-    if small.count() * row_bytes <= max_bytes:
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    if small.count() * row_bytes <= limit:
         return F.broadcast(small), other
     return small.hint("merge"), other.hint("merge")

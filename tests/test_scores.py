@@ -183,3 +183,22 @@ def test_pad_md5_reproduces_reference_encoding(spark):
     got = {r.value: r.codes for r in ST.encode_positions(df, pad_md5=True).collect()}
     for v in ("ab", "abcdefghijklmnopq"):
         assert got[v] == codes_py(v + "\t" + hashlib.md5(v.encode()).hexdigest())
+
+
+def test_large_model_path_gives_same_scores(spark, monkeypatch):
+    """Above the broadcast limit the model joins by sort-merge; results must not change."""
+    import qualmark.session as SS
+    rnd = random.Random(4)
+    centres = [rnd.gauss(0, 3) for _ in range(120)]
+    tests = [rnd.gauss(0, 4) for _ in range(40)] + [60.0]
+    tr = spark.createDataFrame([("g", "v", str(c)) for c in centres], "gamecode string, column string, value string")
+    te = spark.createDataFrame([("g", "v", str(x)) for x in tests], "gamecode string, column string, value string")
+    monkeypatch.setattr(SS, "BROADCAST_MAX_BYTES", 0)
+    got = {r.value: r.log_density for r in KD.score_kde(KD.fit_kde(tr, KEYS), te, KEYS).collect()}
+    for x in tests:
+        assert got[str(x)] == pytest.approx(brute_kde(centres, x), rel=1e-11, abs=1e-9)
+    words = ["abc", "abd", "xyz", "abca"]
+    sv = spark.createDataFrame([("g", "c", w) for w in words], "gamecode string, column string, value string")
+    small = {r.value: r.score for r in ST.score_strings(ST.fit_string_profile(sv, KEYS), sv, KEYS).collect()}
+    want = brute_scores(words, words)
+    assert all(small[w] == pytest.approx(want[w], rel=1e-10) for w in words)
