@@ -66,8 +66,10 @@ def test_partitioned_rerun_replaces_day(spark):
     day1 = spark.createDataFrame([("2024-01-20", "x", 1)], "dt string, k string, v int")
     SK.write_partitioned(day1, path)
     SK.write_partitioned(day1, path)   # re-run of the same day
-    SK.write_partitioned(spark.createDataFrame([("2024-01-21", "y", 2)], "dt string, k string, v int"), path)
-    assert spark.read.parquet(path).count() == 2
+    SK.write_partitioned(spark.createDataFrame([("2024-01-21", "y", 2), ("2024-01-21", "a", 3)],
+                                               "dt string, k string, v int"), path, cluster_by=["k"])
+    assert spark.read.parquet(path).count() == 3
+    assert spark.read.parquet(path).where("dt = '2024-01-20'").count() == 1
 
 
 def test_export_sorted_scores(spark):
