@@ -92,3 +92,35 @@ def freq_check_day(logs: DataFrame, day, columns, as_of, keys: Iterable[str] = (
     counts = freq_count(raw, day, columns, keys)
     series = [*keys, "column"]
     return freq_threshold(freq_rates(freq_memo(counts, as_of, series), series), as_of, series, weight=weight)
+
+
+def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_of, out: str,
+                       keys: Iterable[str] = ("gamecode",)) -> dict[str, str]:
+    """The reference's four daily commands as one job family.
+
+    Writes day D's null counts, null thresholds, class counts and class limits
+    to ``out/<table>``, partitioned by ``dt`` and clustered by series, with
+    dynamic partition overwrite: re-running a day replaces that day (the
+    reference appended to MySQL, so re-runs duplicated rows).
+    Returns the table paths.
+    """
+    from pyspark.sql import functions as F
+
+    from ..functions.time import date_literal
+    from ..sources.sinks import write_partitioned
+    keys = list(keys)
+    series = [*keys, "column"]
+    day = date_literal(as_of)
+    tables = {
+        "null_count": compute_null_count(logs, ts, null_columns, as_of, keys),
+        "null_threshold": null_check_day(logs, ts, null_columns, as_of, keys),
+        "freq_count": compute_freq_count(logs, ts, freq_columns, as_of, keys),
+        "freq_threshold": freq_check_day(logs, ts, freq_columns, as_of, keys, ts=ts),
+    }
+    paths = {}
+    for name, df in tables.items():
+        if "dt" not in df.columns:
+            df = df.withColumn("dt", day)
+        paths[name] = f"{out}/{name}"
+        write_partitioned(df.where(F.col("dt") == day), paths[name], cluster_by=series)
+    return paths

@@ -106,3 +106,21 @@ def test_all_queries_match_oracle():
                          capture_output=True, text=True, timeout=1800)
     tail = out.stdout.strip().splitlines()[-1] if out.stdout.strip() else out.stderr[-2000:]
     assert "ALL MATCH" in tail, out.stdout[-4000:]
+
+
+def test_daily_checks_rerun_leaves_same_tables(spark):
+    from qualmark.plans.checks import write_daily_checks
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").withColumn("gamecode", F.lit("events"))
+    out = scratch_path(spark, "t_daily")
+    nulls = {"event_type": F.expr("nullif(event_type, 'error')")}
+    first = {}
+    for run in range(2):
+        for day in ("2024-01-19", "2024-01-20"):
+            paths = write_daily_checks(ev, "ts", nulls, ["event_type"], day, out)
+        snap = {k: sorted(tuple(r) for r in spark.read.parquet(p).collect()) for k, p in paths.items()}
+        if run == 0:
+            first = snap
+    assert snap == first
+    assert {str(r.dt) for r in spark.read.parquet(paths["null_threshold"]).select("dt").distinct().collect()} == \
+        {"2024-01-19", "2024-01-20"}
+    assert len(first["freq_count"]) == 10 and 200 < len(first["null_threshold"]) <= 2 * 144
