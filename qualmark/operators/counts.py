@@ -23,6 +23,12 @@ from pyspark.sql import functions as F
 
 from ..functions.time import bucket_start
 
+# Fixed values of the reference's score summary: values shown per rank, the
+# cut length of each value (-1: whole value) and the delimiter between them.
+SAMPLE_COUNT = 1
+SAMPLE_LENGTH = -1
+SAMPLE_DELIMITER = "_|_"
+
 
 def _named_columns(columns) -> list[tuple[str, Column]]:
     """Accept names, a mapping name -> Column, or (name, Column) pairs."""
@@ -101,7 +107,8 @@ def dedupe_by_max(df: DataFrame, keys: Iterable[str], values: Iterable[str]) ->
 
 
 def score_summary(preds: DataFrame, keys: Iterable[str] = (), value: str = "value", score: str = "score",
-                  sample_count: int = 1, sample_length: int = -1, delimiter: str = "_|_") -> DataFrame:
+                  sample_count: int = SAMPLE_COUNT, sample_length: int = SAMPLE_LENGTH,
+                  delimiter: str = SAMPLE_DELIMITER) -> DataFrame:
     """Scores grouped by ``rank = floor(score)``: row count and a text sample.
 
     ``sample`` joins the first ``sample_count`` values of the rank in value

@@ -38,6 +38,9 @@ from ..functions.stats import HALF_LOG_2PI
 from ..functions.strings import as_number
 from ..session import broadcast_if_small, materialize
 
+# Fixed value of the reference's density model: the kernel bandwidth.
+BANDWIDTH = 1.0
+
 NEAR_WIDTH = 9.0          # reach of the first pass, in bandwidths
 MOMENT_BIN = 0.5          # moment bin width, in bandwidths
 MOMENT_TERMS = 28         # series terms per bin
@@ -124,7 +127,7 @@ def _pass(pending: DataFrame, model: DataFrame, keys: list[str], width: float, h
 
 
 def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
-              bandwidth: float = 1.0, rel_tol: float = 1e-13, near_width: float = NEAR_WIDTH) -> DataFrame:
+              bandwidth: float = BANDWIDTH, rel_tol: float = 1e-13, near_width: float = NEAR_WIDTH) -> DataFrame:
     """``log_density`` and ``score = -log_density`` of each distinct value.
 
     Values whose series has no model are not scored (inner semantics); values
@@ -176,7 +179,7 @@ def latest_models(models: DataFrame, keys: Iterable[str], version: str = "versio
 
 def score_day(models: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
               day: str = "dt", model_day: str = "model_dt", lag_days: int = 1,
-              bandwidth: float = 1.0, version: str = "version") -> DataFrame:
+              bandwidth: float = BANDWIDTH, version: str = "version") -> DataFrame:
     """score each day's distinct values with the newest model of ``day - lag_days``.
 
     ``models`` is a ``fit_kde`` table with a ``model_day`` column (and an

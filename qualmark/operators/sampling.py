@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 from ..functions.strings import hash_order_key
 from ..session import materialize
 
+# Fixed value of the reference's extract: the default sample size.
+SAMPLE_SIZE = 100000
+
 _PREFIX_SPACE = 1 << 32
 
 
@@ -85,7 +88,7 @@ def distinct_values_md5(df: DataFrame, column: str, keys: Iterable[str] = ()) ->
 EXTRACT_KINDS = ("train", "eval", "test", "rule_null_count_raw", "rule_freq_count_raw")
 
 
-def extract(df: DataFrame, column: str, kind: str = "train", size: int = 100000, md5: bool = False,
+def extract(df: DataFrame, column: str, kind: str = "train", size: int = SAMPLE_SIZE, md5: bool = False,
             key: Sequence[str] | None = None, seed: str = "qualmark", ts: str | None = None) -> DataFrame:
     """The exporter's dispatch.
 

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.time import as_date
 from ..operators.counts import score_summary
-from ..operators.density import fit_kde, score_kde
+from ..operators.density import BANDWIDTH, fit_kde, score_kde
+from ..operators.sampling import SAMPLE_SIZE
 from ..operators.strings import fit_string_profile, score_strings
 from ..sources.readers import read_dated
 
@@ -42,8 +43,9 @@ def _train_sample(logs: DataFrame, ts: str, value: str, day, keys: list[str], sa
 
 
 def numeric_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iterable[str],
-                         sample_size: int = 100000, row_key: Iterable[str] | None = None, seed: str = "qualmark",
-                         bandwidth: float = 1.0, sample_count: int = 1, sample_length: int = -1) -> DataFrame:
+                         sample_size: int = SAMPLE_SIZE, row_key: Iterable[str] | None = None,
+                         seed: str = "qualmark", bandwidth: float = BANDWIDTH, sample_count: int = 1,
+                         sample_length: int = -1) -> DataFrame:
     """Kernel density of day D-1's sample scores day D's values; summary by ``floor(score)``."""
     keys = list(keys)
     d = as_date(as_of)
@@ -55,7 +57,7 @@ def numeric_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iter
 
 
 def string_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iterable[str],
-                        sample_size: int = 100000, row_key: Iterable[str] | None = None, seed: str = "qualmark",
+                        sample_size: int = SAMPLE_SIZE, row_key: Iterable[str] | None = None, seed: str = "qualmark",
                         sample_count: int = 1, sample_length: int = -1) -> DataFrame:
     """String profile of day D-1's sample scores day D's values; summary by ``floor(score)``."""
     keys = list(keys)
