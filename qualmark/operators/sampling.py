@@ -66,6 +66,41 @@ def sample_rows(df: DataFrame, column: str, n: int, key: Sequence[str] | None =
     return out.select(*cols)
 
 
+def sample_per_series(df: DataFrame, keys: Sequence[str], column: str, n: int, key: Sequence[str] | None = None,
+                      seed: str = "qualmark") -> DataFrame:
+    """Up to ``n`` non-null rows of ``column`` per series, in ``md5(seed || key)`` order.
+
+    ``row_number() <= n`` alone gets a map-side group limit, but the final
+    window of a hot series would still receive ``n`` rows from every map task.
+    So each series first keeps only rows under a hash cut-off sized from its
+    own row count (about ``2n + 64`` rows); a series that falls short (very
+    unlikely) keeps all its rows. The window then ranks a bounded set, and
+    the result is the exact top ``n`` by hash. Without ``key`` the order is
+    ``rand(seed)`` and the drawn candidates are materialised once.
+    """
+    keys = list(keys)
+    base = df.where(F.col(column).isNotNull())
+    if key:
+        h = hash_order_key(seed, *key)
+        base = base.select(*keys, column, h.alias("__h"), (_hash_prefix(h) / F.lit(float(_PREFIX_SPACE))).alias("__u"))
+    else:
+        seed_int = int.from_bytes(str(seed).encode()[:8].ljust(8, b"\0"), "little") & 0x7FFFFFFF
+        base = base.select(*keys, column, F.rand(seed_int).alias("__u")).withColumn("__h", F.col("__u"))
+    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))      # one row per series
+    cut = F.least(F.lit(1.0), (F.lit(2.0 * n + 64.0)) / F.col("__cnt"))
+    cand = base.join(counts, on=keys, how="inner").where(F.col("__u") < cut)
+    kept = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__kept"))
+    short = counts.join(kept, on=keys, how="left").where(
+        F.coalesce(F.col("__kept"), F.lit(0)) < F.least(F.col("__cnt"), F.lit(n))).select(*keys)
+    if not short.isEmpty():
+        cand = cand.unionByName(base.join(short, on=keys, how="left_semi").join(counts, on=keys, how="inner")
+                                .where(F.col("__u") >= cut))
+    if not key:
+        cand = materialize(cand, "sample_candidates")
+    w = Window.partitionBy(*keys).orderBy("__h", column)
+    return cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).select(*keys, column)
+
+
 def sample_rows_md5(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None,
                     seed: str = "qualmark") -> DataFrame:
     """``sample_rows`` plus ``md5(value)``."""

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.time import as_date
 from ..operators.counts import score_summary
 from ..operators.density import BANDWIDTH, fit_kde, score_kde
-from ..operators.sampling import SAMPLE_SIZE
+from ..operators.sampling import SAMPLE_SIZE, sample_per_series
 from ..operators.strings import fit_string_profile, score_strings
 from ..sources.readers import read_dated
 
@@ -29,17 +29,9 @@ def _day_values(logs: DataFrame, ts: str, value: str, day, keys: list[str]) -> D
 
 def _train_sample(logs: DataFrame, ts: str, value: str, day, keys: list[str], sample_size: int,
                   row_key: Iterable[str] | None, seed: str) -> DataFrame:
-    """Up to ``sample_size`` rows per series of ``day`` in ``md5(seed || row key)`` order.
-
-    Per series this is ``row_number() <= sample_size``, which Spark runs with a
-    map-side group limit, so a series holding most rows ships only the sample.
-    """
-    from pyspark.sql import Window
-    src = read_dated(logs, day, 0, ts=ts).where(F.col(value).isNotNull())
-    order = F.md5(F.concat(F.lit(seed), *[F.col(c).cast("string") for c in (row_key or [value])]))
-    w = Window.partitionBy(*keys).orderBy(order, F.col(value))
-    return (src.select(*keys, value, *(row_key or []), F.row_number().over(w).alias("__rn"))
-            .where(F.col("__rn") <= sample_size).select(*keys, value))
+    """Up to ``sample_size`` rows per series of ``day`` (``sample_per_series``)."""
+    src = read_dated(logs, day, 0, ts=ts)
+    return sample_per_series(src, keys, value, sample_size, key=list(row_key) if row_key else None, seed=seed)
 
 
 def numeric_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iterable[str],

@@ -108,3 +108,21 @@ def test_sample_rows_unkeyed_is_row_uniform(spark):
     assert len(got) == 200 and 140 <= got.count("a") <= 199 and got.count("b") >= 1
     again = [r.v for r in S.sample_rows(df, "v", 200, seed="x").collect()]
     assert sorted(got) == sorted(again)
+
+
+def test_sample_per_series_exact(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    rows = orders.select("o_orderpriority", "o_orderkey", "o_totalprice").collect()
+    got = S.sample_per_series(orders, ["o_orderpriority"], "o_totalprice", 25, key=["o_orderkey"], seed="z").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.o_orderpriority, []).append(r)
+    want = sorted((p, r.o_totalprice) for p, rs in by.items()
+                  for r in sorted(rs, key=lambda r: (_md5("z" + str(r.o_orderkey)), r.o_totalprice))[:25])
+    assert sorted((r.o_orderpriority, r.o_totalprice) for r in got) == want
+    # a series smaller than n gives all its rows; the unkeyed mode gives n rows per series
+    small = orders.where("o_orderkey < 40")
+    assert S.sample_per_series(small, ["o_orderpriority"], "o_totalprice", 1000, key=["o_orderkey"]).count() == \
+        small.count()
+    unk = S.sample_per_series(orders, ["o_orderpriority"], "o_totalprice", 7, seed="u")
+    assert sorted(r[0] for r in unk.groupBy("o_orderpriority").count().select("count").collect()) == [7] * 5
