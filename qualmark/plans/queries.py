@@ -405,6 +405,11 @@ def q_sample_rows(spark, sf_dir):
     return S.sample_rows(_t(spark, sf_dir, "orders"), "o_totalprice", 100, key=["o_orderkey"], seed=SEED)
 
 
+def q_sample_per_series(spark, sf_dir):
+    return S.sample_per_series(_t(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice", 40,
+                               key=["o_orderkey"], seed=SEED)
+
+
 def q_sample_rows_md5(spark, sf_dir):
     return S.sample_rows_md5(_t(spark, sf_dir, "part"), "p_name", 50, key=["p_partkey"], seed=SEED)
 
@@ -436,6 +441,10 @@ def q_page_by_row_number(spark, sf_dir):
 
 ORACLE["sample_rows"] = (f"SELECT o_totalprice FROM orders WHERE o_totalprice IS NOT NULL "
                          f"ORDER BY md5('{SEED}' || CAST(o_orderkey AS VARCHAR)), o_totalprice LIMIT 100")
+ORACLE["sample_per_series"] = (f"SELECT o_orderpriority, o_totalprice FROM (SELECT o_orderpriority, o_totalprice, "
+                               f"ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY md5('{SEED}' || "
+                               "CAST(o_orderkey AS VARCHAR)), o_totalprice) AS rn FROM orders "
+                               "WHERE o_totalprice IS NOT NULL) x WHERE rn <= 40")
 ORACLE["sample_rows_md5"] = (f"SELECT p_name, md5(p_name) AS md5 FROM (SELECT p_name FROM part WHERE p_name IS NOT NULL "
                              f"ORDER BY md5('{SEED}' || CAST(p_partkey AS VARCHAR)), p_name LIMIT 50) x")
 ORACLE["distinct_values"] = "SELECT p_type FROM part WHERE p_type IS NOT NULL GROUP BY p_type"
@@ -770,6 +779,7 @@ QUERIES = {
     "rule_min_max": q_rule_min_max,
     "rule_min_only": q_rule_min_only,
     "sample_rows": q_sample_rows,
+    "sample_per_series": q_sample_per_series,
     "sample_rows_md5": q_sample_rows_md5,
     "distinct_values": q_distinct_values,
     "distinct_values_md5": q_distinct_values_md5,
