@@ -15,6 +15,7 @@ from .. import DEFAULT_KEYS
 from ..operators.counts import freq_count, null_count
 from ..operators.limits import (ADJACENT_WINDOW_SECONDS, FREQ_WEIGHT, NULL_WEIGHT, SEASONAL_LAGS, freq_memo,
                                 freq_rates, freq_threshold, null_memo, null_threshold)
+from ..session import materialize
 from ..sources.readers import read_dated
 
 
@@ -43,7 +44,10 @@ def compute_freq_threshold(counts: DataFrame, as_of, keys: Iterable[str] = DEFAU
                            weight: float = FREQ_WEIGHT) -> DataFrame:
     """Counts of days ``[D-7, D]`` -> memo -> rates -> limits of day D."""
     src = read_dated(counts, as_of, 7, day="dt")
-    return freq_threshold(freq_rates(freq_memo(src, as_of, keys), keys), as_of, keys, weight=weight)
+    # the memo feeds both the class rows and the day totals of the rates:
+    # written once, so its window (and the counts under it) runs once
+    memo = materialize(freq_memo(src, as_of, keys), "freq_memo")
+    return freq_threshold(freq_rates(memo, keys), as_of, keys, weight=weight)
 
 
 def null_check_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str] = ("gamecode",),
@@ -91,7 +95,8 @@ def freq_check_day(logs: DataFrame, day, columns, as_of, keys: Iterable[str] = (
     raw = read_dated(logs, as_of, 6, ts=ts) if ts else logs
     counts = freq_count(raw, day, columns, keys)
     series = [*keys, "column"]
-    return freq_threshold(freq_rates(freq_memo(counts, as_of, series), series), as_of, series, weight=weight)
+    memo = materialize(freq_memo(counts, as_of, series), "freq_memo")   # read twice by the rates
+    return freq_threshold(freq_rates(memo, series), as_of, series, weight=weight)
 
 
 def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_of, out: str,

@@ -33,7 +33,7 @@ from ..operators import sampling as S
 from ..operators import strings as ST
 from ..sources import readers as RD
 from ..sources import sinks as SK
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 # Fixed parameters of the registered queries.
 AS_OF = _dt.date(2024, 1, 20)          # target day D of the daily checks
@@ -191,11 +191,15 @@ ORACLE["compute_null_count"] = (f"WITH {_NC_SQL} SELECT * FROM nc WHERE bucket_d
 
 # ---------------------------------------------------------- frequency checks
 def freq_counts(spark, sf_dir) -> DataFrame:
+    """Daily class counts of both series, written once (the stand-in for the
+    stored daily count table): the limits and alert views read them several
+    times, and a re-read of the written table is a cheap scan where a repeat
+    of the raw-log aggregate would not be."""
     ev = C.freq_count(_t(spark, sf_dir, "events").withColumn("gamecode", F.lit("events")), "ts",
                       ["event_type"], keys=["gamecode"])
     od = C.freq_count(_t(spark, sf_dir, "orders").withColumn("gamecode", F.lit("orders")), "o_orderdate",
                       ["o_orderpriority"], keys=["gamecode"])
-    return ev.unionByName(od)
+    return materialize(ev.unionByName(od), "freq_counts")
 
 
 def freq_thresholds_all(spark, sf_dir) -> DataFrame:
