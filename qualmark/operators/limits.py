@@ -83,7 +83,13 @@ def _seasonal_emit(df: DataFrame, keys: list[str], bucket: str, cols: list[str],
                         F.lit(1).alias("__nb"),
                         F.when((k == 0) & (j == 0), 1).otherwise(0).alias("__me"))
 
-    if len(lags) * (j_max - j_min + 1) <= LITERAL_EMISSIONS:
+    self_row = F.struct(F.lit(0).cast("long").alias("__off"), F.lit(0).alias("__nb"), F.lit(1).alias("__me"))
+    n_emit = len(lags) * max(0, j_max - j_min + 1)
+    if n_emit == 0:
+        # no neighbour offsets (e.g. radius 0 with an open left edge): only the
+        # self row, so targets exist but none has a neighbour (inner semantics)
+        arr = F.array(self_row)
+    elif n_emit <= LITERAL_EMISSIONS:
         # a constant array: folded once by the optimiser, no per-row lambda
         arr = F.array(*[F.struct(F.lit(k * DAY_SECONDS + j * w).cast("long").alias("__off"), F.lit(1).alias("__nb"),
                                  F.lit(1 if (k == 0 and j == 0) else 0).alias("__me"))
@@ -92,9 +98,9 @@ def _seasonal_emit(df: DataFrame, keys: list[str], bucket: str, cols: list[str],
         arr = F.flatten(F.transform(F.array(*[F.lit(int(k)) for k in lags]),
                                     lambda k: F.transform(F.sequence(F.lit(j_min), F.lit(j_max)),
                                                           lambda j: emit(k, j))))
-    if 0 not in set(lags):
-        arr = F.concat(arr, F.array(F.struct(F.lit(0).cast("long").alias("__off"), F.lit(0).alias("__nb"),
-                                             F.lit(1).alias("__me"))))
+    # the self row rides on (lag 0, offset 0) when that emission exists
+    if n_emit > 0 and not (0 in set(lags) and j_min <= 0 <= j_max):
+        arr = F.concat(arr, F.array(self_row))
     out = (df.select(*keys, epoch_seconds(bucket).alias("__sec"), *cols, F.inline(arr))
            .withColumn("__t", F.col("__sec") + F.col("__off")))
     return out.where((F.col("__t") >= F.lit(int(target_lo))) & (F.col("__t") < F.lit(int(target_hi))))

@@ -259,3 +259,27 @@ def test_buckets_ignore_session_time_zone(spark):
         assert r.s == calendar.timegm(r.ts.timetuple())
         assert r.back == r.ts
         assert r.b == r.ts.replace(minute=r.ts.minute - r.ts.minute % 10, second=0)
+
+
+def test_null_memo_property_random_grids(spark):
+    """E1 equals the OR join for random radius, bucket width, lags and edge rule."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(bucket=st.sampled_from([300, 600, 900]), mult=st.integers(0, 3), extra=st.integers(0, 1),
+           lags=st.lists(st.integers(0, 3), min_size=1, max_size=4, unique=True), closed=st.booleans(),
+           seed=st.integers(0, 1000))
+    def check(bucket, mult, extra, lags, closed, seed):
+        radius = bucket * mult + (bucket // 3) * extra          # on or off the grid
+        rows = _grid_rows(seed, step=bucket, dropout=0.5)
+        df = spark.createDataFrame(rows, NC_SCHEMA)
+        got = {(r.gamecode, r.column, r.bucket_dt): r.p for r in
+               L.null_memo(df, D, radius=radius, lags=tuple(lags), left_closed=closed,
+                           bucket_seconds=bucket).collect()}
+        want = brute_memo(rows, D, lags=tuple(lags), radius=radius, left_closed=closed)
+        assert set(got) == set(want)
+        for k, (p, _) in want.items():
+            assert got[k] == pytest.approx(p, rel=1e-12)
+
+    check()
