@@ -5,7 +5,7 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 {"metric": "total_query_seconds", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query is executed fully with the ``noop`` sink (no collect to the
-driver); the time is the best of ``$BENCH_REPEATS`` runs (default 2) after
+driver); the time is the best of ``$BENCH_REPEATS`` runs (default 3) after
 one warm-up query that starts the JVM and reads the Parquet footers.
 """
 
@@ -32,7 +32,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cpus, app="qualmark-bench")
     spark.read.parquet(f"{sf_dir}/events.parquet").write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
