@@ -9,14 +9,15 @@ only its first batch of 100; here every sample row counts, equally weighted).
 Scoring never forms all (value, centre) pairs, and its first pass does not
 even form the pairs inside the kernel's reach. It is a binned Gaussian series
 expansion (the Fast Gauss Transform idea, Greengard & Strain 1991): centres
-are grouped in bins of width ``h/2`` around the bin middle ``m``; with
-``u = (x-m)/h`` and ``v = (c-m)/h`` (``|v| <= 1/4``)
+are grouped in bins of width ``h`` around the bin middle ``m``; with
+``u = (x-m)/h`` and ``v = (c-m)/h`` (``|v| <= 1/2``)
 
     exp(-(u-v)^2/2) = exp(-u^2/2) * sum_k u^k * v^k exp(-v^2/2) / k!
 
 so one bin contributes ``exp(-u^2/2) * P(u)`` with ``P``'s coefficients the
-bin's weighted moments (28 terms: truncation below 1e-14 of the bin's
-share). Every value joins the bins within ``W = 9h`` of it: about 37 rows per
+bin's weighted moments (40 terms: with ``|u v| <= 4.75`` the truncation is
+below 1e-19 of the bin's share). Every value joins the bins within ``W = 9h``
+of it: 19 rows per
 value whatever the number of centres. Centres further than ``W`` each add
 less than ``exp(-(W/h)^2/2)``; a value is final when those together stay
 under ``rel_tol`` of its sum. The few values that are not final (far from
@@ -42,8 +43,8 @@ from ..session import broadcast_if_small, materialize
 BANDWIDTH = 1.0
 
 NEAR_WIDTH = 9.0          # reach of the first pass, in bandwidths
-MOMENT_BIN = 0.5          # moment bin width, in bandwidths
-MOMENT_TERMS = 28         # series terms per bin
+MOMENT_BIN = 1.0          # moment bin width, in bandwidths
+MOMENT_TERMS = 40         # series terms per bin
 MAX_PASSES = 64
 
 
