@@ -1,7 +1,6 @@
 """Readers/writers round trips, the driver entry, and every registered query
 against its DuckDB oracle on the sf0.01 tables."""
 
-import math
 import os
 import subprocess
 import sys

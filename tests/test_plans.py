@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from qualmark.operators import counts as C
 from qualmark.operators import density as KD
