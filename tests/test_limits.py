@@ -283,3 +283,31 @@ def test_null_memo_property_random_grids(spark):
             assert got[k] == pytest.approx(p, rel=1e-12)
 
     check()
+
+
+def test_freq_threshold_property_random_counts(spark):
+    """E3-E5 equal the self-join formulation on random counts with missing days and classes."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(seed=st.integers(0, 10_000), classes=st.integers(1, 5), gap=st.floats(0.0, 0.5))
+    def check(seed, classes, gap):
+        rnd = random.Random(seed)
+        rows = [("g", "c", D - dt.timedelta(days=k), f"k{j}", rnd.randint(1, 50))
+                for k in range(8) for j in range(classes) if rnd.random() >= gap]
+        if not rows:
+            return
+        df = spark.createDataFrame(rows, FC_SCHEMA)
+        got = {r["class"]: (r.lowerbound, r.upperbound)
+               for r in L.freq_threshold(L.freq_rates(L.freq_memo(df, D)), D).collect()}
+        want = brute_freq(rows, D)
+        assert set(got) == set(want)
+        for k, v in want.items():
+            if v is None:
+                assert got[k] == (None, None)
+            else:
+                assert got[k][0] == pytest.approx(v[0], rel=1e-9, abs=1e-12)
+                assert got[k][1] == pytest.approx(v[1], rel=1e-9, abs=1e-12)
+
+    check()
