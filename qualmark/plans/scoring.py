@@ -20,6 +20,7 @@ from ..operators.counts import score_summary
 from ..operators.density import BANDWIDTH, fit_kde, score_kde
 from ..operators.sampling import SAMPLE_SIZE, sample_per_series
 from ..operators.strings import fit_string_profile, score_strings
+from ..session import materialize
 from ..sources.readers import read_dated
 
 
@@ -44,8 +45,10 @@ def numeric_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iter
     train = _train_sample(logs, ts, value, d - _dt.timedelta(days=1), keys, sample_size, row_key, seed)
     scores = score_kde(fit_kde(train, keys, value), _day_values(logs, ts, value, d, keys), keys, value,
                        bandwidth=bandwidth)
-    return score_summary(scores.where(F.col("score").isNotNull()), keys, value, "score",
-                         sample_count=sample_count, sample_length=sample_length)
+    # the summary reads the scores twice (counts, bounded samples): write them
+    # once, as the reference wrote its prediction files before summarising
+    scores = materialize(scores.where(F.col("score").isNotNull()), "numeric_scores")
+    return score_summary(scores, keys, value, "score", sample_count=sample_count, sample_length=sample_length)
 
 
 def string_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Iterable[str],
@@ -56,4 +59,5 @@ def string_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Itera
     d = as_date(as_of)
     train = _train_sample(logs, ts, value, d - _dt.timedelta(days=1), keys, sample_size, row_key, seed)
     scores = score_strings(fit_string_profile(train, keys, value), _day_values(logs, ts, value, d, keys), keys, value)
+    scores = materialize(scores, "string_scores")   # read twice by the summary
     return score_summary(scores, keys, value, "score", sample_count=sample_count, sample_length=sample_length)
