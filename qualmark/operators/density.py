@@ -22,7 +22,7 @@ value whatever the number of centres. Centres further than ``W`` each add
 less than ``exp(-(W/h)^2/2)``; a value is final when those together stay
 under ``rel_tol`` of its sum. The few values that are not final (far from
 every centre: the anomalies) go through exact equi-join passes on bins of
-width ``4W, 16W, ...`` - each pass joins a value only to centres in its three
+width ``8W, 64W, ...`` - each pass joins a value only to centres in its three
 nearest bins - until every value is final. The loop is driven by the count of
 values still open, which is a number, not data.
 """
@@ -159,7 +159,7 @@ def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: s
         pending = res.where(~F.col("__final")).select(*keys, "__v", "__x", "__ntot")
         if pending.isEmpty():
             break
-        width *= 4.0
+        width *= 8.0
     else:  # pragma: no cover - needs values ~2^64 bandwidths apart
         raise RuntimeError("kernel density did not converge")
     out = done[0]
