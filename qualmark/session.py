@@ -93,3 +93,29 @@ def broadcast_if_small(small, other, row_bytes: int, max_bytes: int | None = Non
     if small.count() * row_bytes <= limit:
         return F.broadcast(small), other
     return small.hint("merge"), other.hint("merge")
+
+
+def cluster_settings(input_bytes: int | None = None) -> dict[str, str]:
+    """Session settings for large runs (apply with ``SparkSession.builder.config``).
+
+    The heavy stages are the first aggregates over the raw logs; they combine
+    map-side, so their shuffles are small next to the scan. Splits of 256 MB
+    keep scan tasks large; AQE coalesces small shuffle partitions and splits
+    skewed ones (a series or key holding a third of the rows) in joins. The
+    shuffle partition count is sized from the input volume and then left to
+    AQE. The broadcast threshold equals the limit of ``broadcast_if_small``.
+    """
+    parts = 2000 if input_bytes is None else max(200, min(50000, int(input_bytes // (8 * 1024 ** 3))))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_MAX_BYTES),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    }
