@@ -31,6 +31,10 @@ def local_session(cpus: int | str = 8, app: str = "qualmark", shuffle_partitions
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+    # the same skew handling as on a cluster; partition sizes stay local-sized
+    for key, val in cluster_settings().items():
+        if key.startswith("spark.sql.adaptive.skewJoin") or key == "spark.sql.optimizer.windowGroupLimitThreshold":
+            spark.conf.set(key, val)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
