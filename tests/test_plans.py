@@ -72,3 +72,13 @@ def test_page_numbers_without_global_window(spark):
     assert "rangepartitioning" in p
     # the only window runs over per-partition counts (an aggregate), never over the rows
     assert p.count("Window [") == 1 and "HashAggregate" in p.split("Window [")[1]
+
+
+def test_cluster_settings_scale_with_input(spark):
+    from qualmark.session import BROADCAST_MAX_BYTES, cluster_settings
+    small, big, huge = (cluster_settings(n)["spark.sql.shuffle.partitions"] for n in (10 ** 9, 100 * 1024 ** 4,
+                                                                                      10 ** 18))
+    assert (int(small), int(big), int(huge)) == (200, 12800, 50000)
+    conf = cluster_settings()
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == str(BROADCAST_MAX_BYTES)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "4"
