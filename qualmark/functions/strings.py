@@ -1,7 +1,8 @@
 """String expressions: per-position byte codes, sample keys, value checks.
 
 All are built from Spark SQL built-ins (higher-order ``transform`` over a
-``sequence``), so they run inside whole-stage codegen with no Python.
+``sequence``), so they run as JVM expressions with no Python (higher-order
+functions are evaluated outside whole-stage codegen, over at most 16 codes).
 """
 
 from __future__ import annotations
