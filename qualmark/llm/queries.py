@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import fm_decon, host_reputation, langid, line_dedup, mixing, vafile, warc_zst
+from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, suffix_dedup, vafile, warc_zst
 
 RULES = [
     host_reputation.Rule("org", "/", "allow"),
@@ -226,3 +226,43 @@ select w.doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from w left join hit on hit.doc_id = w.doc_id left join it on it.doc_id = w.doc_id
 """
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled good and not toxic; background: all documents."""
+    good = _t(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    out = lm_score.cross_entropy_difference(_t(spark, sf_dir, "documents"), good)
+    return out.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("loss_target", "loss_background", "score")])
+
+
+QUERIES["op2_lm_score"] = op2_lm_score
+
+ORACLE["op2_lm_score"] = """
+with w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as ws from documents),
+tok as (
+  select doc_id, coalesce(good, false) as good, ws[i] as w, case when i = 1 then '' else ws[i - 1] end as v
+  from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from w)
+  left join (select distinct doc_id as g_id, true as good from labels where quality = 1 and toxic = 0) on g_id = doc_id),
+big as (select v, w, count(*) as b, count(*) filter (good) as t from tok group by v, w),
+ctx as (select v, sum(b) as b, sum(t) as t from big group by v),
+tot as (select count(distinct w) as vocab, sum(b) as nb, sum(t) as nt from big),
+loss as (
+  select big.v, big.w, ln(ctx.t + 0.01 * nt / nb * vocab) - ln(big.t + 0.01 * nt / nb) as lt,
+         ln(ctx.b + 0.01 * vocab) - ln(big.b + 0.01) as lb
+  from big join ctx on ctx.v = big.v, tot),
+s as (
+  select doc_id, count(*) as n, avg(lt) as lt, avg(lb) as lb from tok join loss on loss.v = tok.v and loss.w = tok.w group by doc_id)
+select w.doc_id, len(ws)::bigint as n_tokens, round(lt, 6) as loss_target, round(lb, 6) as loss_background,
+       round(lt - lb, 6) as score
+from w left join s on s.doc_id = w.doc_id
+"""
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(_t(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES["op8_suffix_dedup"] = op8_suffix_dedup
