@@ -37,7 +37,7 @@ from .packing import batch_text, expand, pack_documents, squeeze
 from .textops import U64, Words, mix
 
 ALPHA = 0.01
-RANGE_GRAMS = 3_000_000         # gram entries per hash range, about
+RANGE_GRAMS = 750_000           # gram entries per hash range, about
 START = U64(0x5851F42D4C957F2D)  # history of a document's first word
 KEY_BITS = 56                   # grams are told apart by 56 bits of hash
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .textops import column_bytes, slices
 
-BATCH_BYTES = 6 << 20            # text per batch; a longer document is a batch of its own
+BATCH_BYTES = 1 << 20            # text per batch; a longer document is a batch of its own
 
 PACKED = "batch string, n_bytes long, n_docs long, doc_ids array<long>, hashes array<long>, lens binary, text binary"
 

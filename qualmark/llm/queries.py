@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, suffix_dedup, vafile, warc_zst
+from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, suffix_dedup, vafile, warc_zst
 
 RULES = [
     host_reputation.Rule("org", "/", "allow"),
@@ -266,3 +266,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op8_suffix_dedup"] = op8_suffix_dedup
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_join(_t(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_ngram_join"] = op1_ngram_join

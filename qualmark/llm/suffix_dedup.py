@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .packing import batch_text, expand, expand_bytes, pack_documents, squeeze, squeeze_bytes
+from .packing import BATCH_BYTES, batch_text, expand, expand_bytes, pack_documents, squeeze, squeeze_bytes
 from .textops import U64, merge_spans, mix, powers
 
 LENGTH = 100
@@ -48,13 +48,13 @@ SPAN = LENGTH - LEAD + 1         # suffixes a window chooses from (a power of tw
 LEFT = SPAN - 1                  # bytes before the suffix that its windows can reach
 CONTEXT = LEFT + LENGTH
 PAD = 0xFF                       # no UTF-8 text holds this byte
-PIECE = 1 << 20                  # windows examined at once
-ROWS = 1 << 15                   # contexts built or compared at once
+PIECE = 1 << 18                  # windows examined at once
+ROWS = 1 << 14                   # contexts built or compared at once
 SPLIT_BYTES = 16                 # of the leading bytes, compared with splitters
-RANGE_SUFFIXES = 150_000         # suffixes per range, about
-SAMPLE_BATCHES, SAMPLE_SUFFIXES = 8, 1024
-FAN_IN = 512                     # batches whose suffixes meet in one task
-ANCHOR_RANGE = 2_000_000         # leading-byte hashes counted per task, about
+RANGE_SUFFIXES = 60_000          # suffixes per range, about
+SAMPLE_BATCHES, SAMPLE_SUFFIXES = 32, 256
+FAN_IN = 4096                    # batches whose suffixes meet in one task
+ANCHOR_RANGE = 500_000           # leading-byte hashes counted per task, about
 
 
 # ------------------------------------------------------------ choose suffixes
@@ -367,7 +367,7 @@ def _lead(ctx: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(ctx[:, LEFT:LEFT + SPLIT_BYTES]).view(f"S{SPLIT_BYTES}").reshape(-1)
 
 
-def _combine_all(parts: Iterator[Suffixes], most: int = 8 * ROWS) -> Iterator[tuple[Suffixes | None, list[str], tuple]]:
+def _combine_all(parts: Iterator[Suffixes], most: int = 4 * ROWS) -> Iterator[tuple[Suffixes | None, list[str], tuple]]:
     """Combine a stream of suffixes in bounded memory: yields the repeats found on
     the way, and the suffixes that are left (at the end, or whenever ``most`` are)."""
     held: Suffixes | None = None
@@ -475,7 +475,7 @@ def removed_spans(idx: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.n
 
 
 def suffix_dedup(docs: DataFrame, fan_in: int = FAN_IN, range_suffixes: int = RANGE_SUFFIXES,
-                 batch_bytes: int = 6 << 20) -> DataFrame:
+                 batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, spans, kept`` (the remaining bytes) per row of ``docs``."""
     packed = pack_documents(docs, "sd_docs", batch_bytes)
     w = repeated_windows(packed, fan_in, range_suffixes).groupBy("batch") \
