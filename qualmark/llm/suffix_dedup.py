@@ -208,12 +208,10 @@ def combine(s: Suffixes) -> tuple[Suffixes, tuple[np.ndarray, ...]]:
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
     rank = earliest(s.doc, s.th, s.pos)
-    by = np.lexsort((rank, group))
-    first = np.ones(len(by), bool)
-    first[1:] = group[by][1:] != group[by][:-1]
-    least = rank[by][first][group]                    # earliest place of the own group
-    later = np.flatnonzero(rank > least)
-    keep = np.sort(by[first])                         # rows of one place share it: any of them stands for all
+    least = np.full(int(group.max(initial=-1)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, rank)
+    later = np.flatnonzero(rank > least[group])
+    keep = np.flatnonzero(rank == least[group])       # more than one only for rows equal in id and text
     return s.take(keep), s.windows(later, s.lo[later], s.hi[later])
 
 
@@ -287,14 +285,15 @@ def _suffix_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*cols, *(pa.nulls(1, t) for t in _WINDOW_TYPES)], names=_BOTH_NAMES)
 
 
-def _window_rows(names: list[str], found: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+def _window_rows(names: list[str], found: tuple[np.ndarray, ...], r: int = 0) -> Iterator[pa.RecordBatch]:
+    """Found windows by batch; they take the way of range ``r`` and pass it untouched."""
     src, idx, lo, hi = found
     by = np.argsort(src, kind="stable")
     src, idx, lo, hi = src[by], idx[by], lo[by], hi[by]
     edge = np.flatnonzero(np.diff(src, prepend=-1))
     for a, b in zip(edge, np.append(edge[1:], len(src))):
         row = (names[src[a]], int(b - a), squeeze(idx[a:b]), squeeze(lo[a:b]), squeeze(hi[a:b]))
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, t) for t in _SUFFIX_TYPES),
+        yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *(pa.nulls(1, t) for t in _SUFFIX_TYPES[1:]),
                                           *(pa.array([v], t) for v, t in zip(row, _WINDOW_TYPES))], names=_BOTH_NAMES)
 
 
@@ -415,52 +414,49 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
             for row in zip(*(c.to_pylist() for c in b.columns)):
                 for left, names_, found in _combine_all(_repeated_suffixes(*row)):
                     if left is None:
-                        yield from _window_rows(names_, found)
+                        yield from _window_rows(names_, found, int(names_[0][:8], 16) % (len(shipped.value) + 1))
                         continue
                     to = np.searchsorted(shipped.value, _lead(left.ctx), side="right")
                     for r in np.unique(to):
                         yield from _suffix_rows([(int(r), *left.take(np.flatnonzero(to == r)).encode())])
 
-    def by_range(batches_: Iterator[pa.RecordBatch]) -> Iterator[list[Suffixes]]:
-        held, last = [], None
+    def meet(batches_: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
+        """Combine (and at last compare) the suffixes of one (range, salt) after the other."""
+        held: list[Suffixes] = []
+        where = None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            left, found = combine(Suffixes.join(held))
+            yield from _window_rows(left.names, found, where[0])
+            if last:
+                yield from _window_rows(left.names, compare(left), where[0])
+            else:
+                yield from _suffix_rows([(where[0], *left.encode())])
+
         for b in batches_:
             for row in zip(*(c.to_pylist() for c in b.columns)):
-                if held and row[0] != last:
-                    yield last, held
-                    held = []
-                last = row[0]
-                held.append(Suffixes.decode(row[1:]))
+                if row[1] is None:                     # windows found earlier
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SUFFIX_TYPES + _WINDOW_TYPES)],
+                                                     names=_BOTH_NAMES)
+                    continue
+                if held and (row[0], row[-1]) != where:
+                    yield from done()
+                    held.clear()
+                where = row[0], row[-1]
+                held.append(Suffixes.decode(row[1:len(_SUFFIX_TYPES)]))
         if held:
-            yield last, held
-
-    def reduce(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r, parts in by_range(batches_):
-            left, found = combine(Suffixes.join(parts))
-            yield from _window_rows(left.names, found)
-            yield from _suffix_rows([(int(r), *left.encode())])
-
-    def finish(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, parts in by_range(batches_):
-            s, found = combine(Suffixes.join(parts))
-            yield from _window_rows(s.names, found)
-            yield from _window_rows(s.names, compare(s))
-
-    names = [x.split()[0] for x in SUFFIX_ROW.split(", ")]
-    n_ranges = len(splitters) + 1
-    rows = materialize(src.mapInArrow(cut, BOTH), "sd_cut")
-    found = rows.where(F.col("batch").isNotNull())
-    groups = -(-batches // fan_in)
-    while groups > 1:                                  # groups of batches first, then groups of groups
-        salt = F.pmod(F.xxhash64(F.col("names")[0]), F.lit(groups)).cast("int")
-        rows = materialize(rows.where(F.col("range").isNotNull()).select(*names).withColumn("salt", salt)
-                           .repartition(n_ranges * groups, "range", "salt").sortWithinPartitions("range", "salt")
-                           .select(*names).mapInArrow(reduce, BOTH), "sd_reduce")
-        found = found.unionByName(rows.where(F.col("batch").isNotNull()))
+            yield from done()
+
+    rows = src.mapInArrow(cut, BOTH)
+    n_ranges, groups = len(splitters) + 1, max(1, -(-batches // fan_in))
+    while True:                                        # groups of batches first, then groups of groups
+        salt = F.pmod(F.xxhash64(F.coalesce(F.col("names")[0], "batch")), F.lit(groups)).cast("int")
+        rows = rows.withColumn("salt", salt).repartition(n_ranges * groups, "range", "salt") \
+            .sortWithinPartitions("range", "salt").mapInArrow(lambda b, last=groups == 1: meet(b, last), BOTH)
+        if groups == 1:
+            break
         groups = -(-groups // fan_in) if groups > fan_in else 1
-    last = rows.where(F.col("range").isNotNull()).select(*names).repartition(n_ranges, "range") \
-        .sortWithinPartitions("range").mapInArrow(finish, BOTH)
-    return found.unionByName(last.where(F.col("batch").isNotNull())) \
-        .select("batch", "n", F.col("w_idx").alias("idx"), F.col("w_lo").alias("lo"), F.col("w_hi").alias("hi"))
+    return rows.select("batch", "n", F.col("w_idx").alias("idx"), F.col("w_lo").alias("lo"), F.col("w_hi").alias("hi"))
 
 
 def removed_spans(idx: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
