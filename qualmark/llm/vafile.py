@@ -72,7 +72,7 @@ def cell_borders(cls: DataFrame) -> dict[int, np.ndarray]:
     rows = cls.select("key", "dim", "ints").orderBy("key").limit(SAMPLE).collect()
     out = {}
     for dim in {r.dim for r in rows}:
-        m = np.array([r.ints for r in rows if r.dim == dim], dtype=np.int64).reshape(-1, dim)
+        m = np.array([r.ints for r in rows if r.dim == dim], dtype=np.int64)
         q = np.quantile(m, np.arange(1, CELLS) / CELLS, axis=0, method="lower") if dim else np.zeros((CELLS - 1, 0))
         out[dim] = q.astype(np.int64)
     return out
@@ -156,10 +156,10 @@ def top_k(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, fi
     def scan(rows: pd.DataFrame, i: int):
         r = rows.iloc[i]
         d = int(r["dim"])
-        qm = np.array([x["ints"] for x in r["q"]], dtype=np.int64).reshape(-1, d)
+        qm = np.array([x["ints"] for x in r["q"]], dtype=np.int64).reshape(len(r["q"]), d)
         keys = [x["key"] for x in r["q"]]
         cell = np.frombuffer(r["cells"], np.uint8).reshape(int(r["n"]), d)
-        lo, hi = (np.frombuffer(r[c], np.int64).reshape(-1, d) for c in ("lo", "hi"))
+        lo, hi = (np.frombuffer(r[c], np.int64).reshape(CELLS, d) for c in ("lo", "hi"))
         return keys, r, score_bounds(qm, cell, lo, hi)
 
     def thresholds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
