@@ -74,7 +74,7 @@ def _correlation(rows: DataFrame, prior: Column) -> float:
     v = prior * (1 - prior)
     s = rows.where("n > 0").agg(F.sum(F.pow(F.col("k") / F.col("n") - prior, 2) * F.col("n")).alias("s"),
                                 F.sum(v).alias("v"), F.sum(v * (F.col("n") - 1)).alias("w")).first()
-    rho = (s.s - s.v) / s.w if s.w else 0.0
+    rho = (s.s - s.v) / s.w if s.w else PRIOR_CORR[1]      # nothing to fit it on: the weakest prior
     return min(max(rho, PRIOR_CORR[0]), PRIOR_CORR[1])
 
 

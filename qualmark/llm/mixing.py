@@ -79,7 +79,7 @@ def find_exponent(totals: DataFrame, budget: float | None, entropy: float | None
         return [(math.log(r[f"z{i}"]) - s / STEPS * r[f"l{i}"] / r[f"z{i}"],
                  r[f"e{i}"] * (r[f"b{i}"] if budget is None else budget / r[f"z{i}"])) for i, s in enumerate(steps)]
 
-    best = STEPS
+    best = STEPS if max_epochs is None else 0          # without targets: natural shares
     if entropy is not None:                  # entropy falls as the exponent grows: last step that reaches it
         goal = entropy * math.log(n) - 1e-9
         best = max(0, _search(lambda steps: [h < goal for h, _ in stats(steps)]) - 1)

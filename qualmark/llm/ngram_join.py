@@ -22,7 +22,7 @@ over tiles; exact copies count by weight.
 Cases: a text of 1 to 4 words is one shingle of all its words; null or
 wordless text links to nothing and is its own class; repeated rows are copies;
 a null id can be linked but gives a class its name only if all its ids are
-null; other columns are not read; an empty table gives no rows.
+null; null texts share a hash, so of null texts under one id one is kept; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .components import components
 from .packing import batch_text, expand_bytes, pack_documents, squeeze_bytes
-from .textops import U64, Words, mix, repeat_ranges
+from .textops import U64, Words, mix, pack, repeat_ranges, unpack
 
 WORDS = 5                        # words per shingle
 THRESHOLD = Fraction(4, 5)
@@ -101,25 +101,25 @@ def chosen(h: np.ndarray, edge: np.ndarray, choices: int) -> np.ndarray:
 
 
 def sketches(packed: DataFrame, runs: int) -> DataFrame:
-    """Per document: ``doc_id, batch, idx, key, size``, the path choices and the signature."""
+    """Per document: ``doc_id, hash, batch, idx, key, size``, the path choices and the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lens, text, name, ids in zip(*(c.to_pylist() for c in b.columns)):
+            for lens, text, name, ids, hashes in zip(*(c.to_pylist() for c in b.columns)):
                 h, edge = shingle_sets(Words(*batch_text(lens, text)))
                 pick = chosen(h, edge, max(SIGNATURE, runs * DEPTH))
                 path = np.ascontiguousarray(pick[:, :runs * DEPTH]).view(np.int64)
                 sig = (mix(pick[:, :SIGNATURE], 41) >> U64(56)).astype(np.uint8)
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array([name] * n), pa.array(np.arange(n, dtype=np.int32)),
+                    [pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array([name] * n), pa.array(np.arange(n, dtype=np.int32)),
                      pa.array(set_keys(h, edge), pa.binary()), pa.array(np.diff(edge).astype(np.int64)),
                      pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * path.shape[1]), pa.array(path.reshape(-1))),
                      pa.array([r.tobytes() for r in sig], pa.binary())],
-                    names=["doc_id", "batch", "idx", "key", "size", "path", "sig"])
+                    names=["doc_id", "hash", "batch", "idx", "key", "size", "path", "sig"])
 
-    return packed.select("lens", "text", "batch", "doc_ids").mapInArrow(
-        run, "doc_id long, batch string, idx int, key binary, size long, path array<long>, sig binary")
+    return packed.select("lens", "text", "batch", "doc_ids", "hashes").mapInArrow(
+        run, "doc_id long, hash long, batch string, idx int, key binary, size long, path array<long>, sig binary")
 
 
 # ----------------------------------------------------------------------- paths
@@ -324,19 +324,15 @@ def verified_links(members: DataFrame, threshold: Fraction = THRESHOLD, block: i
 _MEMBER = ["cid", "root", "n", "weight", "size", "base", "minus", "plus"]
 
 
-def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float = RECALL,
-                 bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, class_id, n_links``.
-
-    ``class_id`` is the least doc_id among the documents that are linked to it,
-    directly or over others; ``n_links`` the number of other documents whose
-    shingle sets have Jaccard similarity of at least ``threshold``.
-    """
+def classes_of(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float = RECALL,
+               bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, hash`` (of the text), ``first`` (the class's
+    first document: ``none`` if it has no id, ``doc_id, hash``) and ``n_links``."""
     runs = runs_for(recall, threshold)
     packed = pack_documents(docs, "nj_docs")
     sk = materialize(sketches(packed, runs), "nj_sketches")
     classes = materialize(sk.where(F.col("key").isNotNull()).groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("weight"), F.min(F.struct("batch", "idx")).alias("at"),
+        F.min(_place()).alias("rep"), F.count("*").alias("weight"), F.min(F.struct("batch", "idx")).alias("at"),
         F.first("path").alias("path"), F.first("sig").alias("sig"))
         .withColumn("cid", F.monotonically_increasing_id()), "nj_classes")
     leaves = chosen_paths(classes, runs, bucket)
@@ -353,8 +349,34 @@ def jaccard_join(docs: DataFrame, threshold: Fraction = THRESHOLD, recall: float
     linked = materialize(linked.select("key", "rep", "root", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")),
                          "nj_linked")
     names = linked.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("rep").alias("name"))
-    per_key = linked.join(names, "root", "left").select("key", F.when(F.col("root").isNull(), F.col("rep"))
-                                                        .otherwise(F.col("name")).alias("class_id"), "n_links")
-    return sk.select("doc_id", "key").join(per_key, "key", "left").select(
-        "doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    per_key = linked.join(names, "root", "left").select("key", F.coalesce("name", "rep").alias("first"), "n_links")
+    return sk.select("doc_id", "hash", "key").join(per_key, "key", "left").select(
+        "doc_id", "hash", F.coalesce("first", _place()).alias("first"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def _place() -> "F.Column":
+    """Order of documents: those with an id first, by id, then by text hash."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")
+
+
+def jaccard_join(docs: DataFrame, **params) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, class_id, n_links``.
+
+    ``class_id`` is the least doc_id among the documents that are linked to it,
+    directly or over others; ``n_links`` the number of other documents whose
+    shingle sets have Jaccard similarity of at least ``threshold``.
+    """
+    return classes_of(docs, **params).select("doc_id", F.col("first.doc_id").alias("class_id"), "n_links")
+
+
+def keep_first(docs: DataFrame, **params) -> DataFrame:
+    """``docs`` with the first document of every class; of rows equal in id and
+    text one stays."""
+    first = classes_of(docs, **params).select("first").distinct() \
+        .select(F.col("first.doc_id").alias("__first_id"), F.col("first.hash").alias("__first_hash"))
+    key = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash"), "text",
+                      pack(docs).alias("row"))
+    kept = key.join(first, F.col("__id").eqNullSafe(F.col("__first_id")) & (F.col("__hash") == F.col("__first_hash")),
+                    "left_semi").dropDuplicates(["__id", "__hash"])
+    return kept.select(*unpack(docs))

@@ -138,19 +138,19 @@ hh as (
 base as (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) as m from hh),
 s0 as (select suffix, sum(n) as n, sum(k) as k, any_value(m) as m from hh, base group by suffix),
 sc as (
-  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0),
+  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.5),
          0.001), 0.5) as rho from s0 where n > 0),
 s as (select suffix, (k + m * (1 / rho - 1)) / (n + (1 / rho - 1)) as rate from s0, sc),
 d0 as (
   select hh.suffix, domain, sum(n) as n, sum(k) as k, any_value(s.rate) as m from hh join s on s.suffix = hh.suffix
   group by hh.suffix, domain),
 dc as (
-  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0),
+  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.5),
          0.001), 0.5) as rho from d0 where n > 0),
 d as (select domain, (k + m * (1 / rho - 1)) / (n + (1 / rho - 1)) as rate from d0, dc),
 r0 as (select hh.host, n, k, d.rate as m from hh join d on d.domain = hh.domain),
 rc as (
-  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0),
+  select least(greatest(coalesce((sum(pow(k / n - m, 2) * n) - sum(m * (1 - m))) / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.5),
          0.001), 0.5) as rho from r0 where n > 0),
 r1 as (
   select host, k + m * (1 / rho - 1) as a, n - k + (1 - m) * (1 / rho - 1) as b from r0, rc),
