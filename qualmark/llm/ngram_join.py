@@ -168,25 +168,26 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def draw_in(cid: np.ndarray, sig: np.ndarray) -> tuple[list[int], list[int]]:
-    """Candidate links of a bucket: pivots and what they draw in.
+def draw_in(sig: np.ndarray) -> np.ndarray:
+    """Candidate groups of a bucket: for each set the first set of its group.
+    A pivot joins the groups of all that it draws in.
 
     A set within NEAR of a pivot needs no pivot of its own: whatever is similar
     to it is, by the triangle inequality of the Jaccard distance, close enough
     to that pivot to be drawn in too (with room for the estimate's error).
     """
-    left = np.ones(len(cid), bool)
-    a, b = [], []
-    for i in range(len(cid)):
+    left = np.ones(len(sig), bool)
+    group = np.arange(len(sig))
+    for i in range(len(sig)):
         if not left[i]:
             continue
         est = (sig == sig[i]).mean(axis=1)
         left[est >= NEAR] = False
         left[i] = False
-        drawn = np.flatnonzero(est >= DRAWN)
-        a += [int(cid[i])] * len(drawn)
-        b += cid[drawn].tolist()
-    return a, b
+        met = np.unique(group[est >= DRAWN])
+        if len(met) > 1:
+            group[np.isin(group, met)] = met[0]
+    return group
 
 
 def candidate_links(leaves: DataFrame, classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -197,8 +198,8 @@ def candidate_links(leaves: DataFrame, classes: DataFrame, bucket: int = BUCKET)
             cid = np.array([r[1] for r in tile], np.int64)
             sig = np.frombuffer(b"".join(r[2] for r in tile), np.uint8).reshape(len(tile), SIGNATURE)
             by = np.argsort(cid, kind="stable")
-            a, b = draw_in(cid[by], sig[by])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            cid, group = cid[by], draw_in(sig[by])
+            yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(cid[group])], names=["a", "b"])
 
     return _blocked(rows, "leaf", "n", bucket, ["cid", "sig"]).select("tile", "cid", "sig") \
         .repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long") \
@@ -219,7 +220,8 @@ def group_sets(packed: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array([squeeze_bytes(h[edge[x["idx"]]:edge[x["idx"] + 1]], 1) for x in want], pa.binary())],
                     names=["cid", "set"])
 
-    return packed.select("lens", "text", "batch").join(by_batch, "batch").select("lens", "text", "want") \
+    # merge join at any size: the wanted sets grow with the corpus, so they are not to be broadcast
+    return packed.select("lens", "text", "batch").join(by_batch.hint("merge"), "batch").select("lens", "text", "want") \
         .mapInArrow(run, "cid long, set binary")
 
 
