@@ -43,9 +43,11 @@ KEY_BITS = 56                   # grams are told apart by 56 bits of hash
 
 
 class Grams:
-    """Distinct grams of a batch in key order: histories (with words' own keys) and pairs.
+    """Distinct histories and pairs of a batch in key order; ``hist`` and ``pair``
+    give, per token, the place of its history and of its gram.
 
-    ``pair`` and ``hist`` give, per token, the place of its gram and of its history.
+    A document's last word is listed as a history that follows nothing, so that
+    the histories, less the start mark, are the vocabulary.
     """
 
     def __init__(self, lens: bytes, text: bytes):
@@ -54,22 +56,25 @@ class Grams:
         hist = np.empty_like(w.hash)
         hist[1:] = w.hash[:-1]
         hist[w.first[:-1][w.count > 0]] = START
-        # words count as vocabulary, histories as contexts: a word's key is odd, the others' even
-        low = U64(64 - KEY_BITS)
-        word, ctx, pair = mix(w.hash, 1) >> low, mix(hist, 2) >> low, mix(hist * U64(0x9E3779B97F4A7C15) + w.hash, 3) >> low
-        kind = U64(3)
-        every = np.concatenate([(word & ~kind), (ctx & ~kind) | U64(1), (pair & ~kind) | U64(2)])
+        last = w.hash[w.first[1:][w.count > 0] - 1]
+        pair = mix(hist * U64(0x9E3779B97F4A7C15) + w.hash, 3) >> U64(64 - KEY_BITS)
+        every = np.concatenate([_history_key(hist), pair & ~U64(1), _history_key(last)])
         self.keys, at = np.unique(every, return_inverse=True)
         t = len(w.hash)
-        self.word, self.hist, self.pair = at[:t], at[t:2 * t], at[2 * t:]
+        self.hist, self.pair = at[:t], at[t:2 * t]
 
     def counts(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Background and target counts of every key; ``target`` marks documents."""
         n = len(self.keys)
-        at = np.concatenate([self.word, self.hist, self.pair])
+        at = np.concatenate([self.hist, self.pair])
         bg = np.bincount(at, minlength=n)
         mark = target[self.rows]
-        return bg, np.bincount(at[np.tile(mark, 3)], minlength=n)
+        return bg, np.bincount(at[np.tile(mark, 2)], minlength=n)
+
+
+def _history_key(h: np.ndarray) -> np.ndarray:
+    """Key of a history: odd (a pair's is even)."""
+    return (mix(h, 2) >> U64(64 - KEY_BITS)) | U64(1)
 
 
 def _ranges(keys: np.ndarray, n: int) -> np.ndarray:
@@ -120,13 +125,14 @@ def _answers(questions: DataFrame, ranges: int) -> DataFrame:
         bg = np.bincount(at, weights=np.concatenate([expand(r[4], np.uint32) for r in rows]), minlength=len(own))
         tg = np.bincount(at, weights=np.concatenate([expand(r[5], np.uint32) for r in rows]), minlength=len(own))
         bg, tg = bg.astype(np.int64), tg.astype(np.int64)
-        word = (own & U64(3)) == 0
+        hist = (own & U64(1)) == 1
+        words = int(hist.sum()) - int((own == _history_key(np.array([START]))).sum())
         start = 0
         for r in rows:
             mine = at[start:start + r[2]]
             start += r[2]
             yield _answer_batch([(r[0], r[1], squeeze(bg[mine]), squeeze(tg[mine]), None, None, None)])
-        yield _answer_batch([(rows[0][0], None, None, None, int(word.sum()), int(bg[word].sum()), int(tg[word].sum()))])
+        yield _answer_batch([(rows[0][0], None, None, None, words, int(bg[hist].sum()), int(tg[hist].sum()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []                      # rows arrive sorted by range: one range is held at a time

@@ -60,7 +60,7 @@ def pack_documents(docs: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([uuid.uuid4().hex]), pa.array([len(buf)]), pa.array([part.num_rows]),
                      pa.ListArray.from_arrays(one, part.column(0)), pa.ListArray.from_arrays(one, part.column(1)),
-                     pa.array([squeeze(np.diff(off))], pa.binary()), pa.array([squeeze_bytes(buf)], pa.binary())],
+                     pa.array([squeeze(np.diff(off))], pa.binary()), pa.array([squeeze_bytes(buf, 6)], pa.binary())],
                     names=[x.split()[0] for x in PACKED.split(", ")])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
