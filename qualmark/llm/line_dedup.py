@@ -30,7 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from .textops import U64, column_bytes, merge_spans, mix, pack, segment_hashes, slices, unpack
 
 WIDTH = 3
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def line_bounds(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
