@@ -62,7 +62,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _t(spark, sf_dir, "pages").select(
         "page_id", F.col("url").alias("uri"), F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     path = scratch_path(spark, "warc")
-    warc_zst.write_archives(warc_zst.with_revisits(pages), path, warc_zst.train_dictionary(pages), warc_zst.file_count(pages))
+    warc_zst.write_archives(warc_zst.with_revisits(pages), path, warc_zst.train_dictionary(pages), warc_zst.records_per_file(pages))
     return warc_zst.read_archives(spark, path).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
 

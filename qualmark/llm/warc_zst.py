@@ -215,28 +215,31 @@ def with_revisits(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
     return joined.select("page_id", "uri", "payload", F.when(revisit, F.col("response_id")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, files: int) -> None:
-    """Write ``page_id, uri, payload, refers_to`` as ``files`` archives below ``path``."""
+def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, records: int) -> None:
+    """Write ``page_id, uri, payload, refers_to`` as archives below ``path``, of at
+    most ``records`` frames each; every task writes what it holds."""
     shipped = pages.sparkSession.sparkContext.broadcast(dictionary)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = shipped.value
         packer = zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(d) if d else None,
                                      write_content_size=True)
-        first = True
+        rows = 0
         for batch in batches:
             for part in slices(batch, "payload", 4 << 20):
                 out = []
                 for pid, uri, payload, ref in zip(*(c.to_pylist() for c in part.columns)):
-                    if first and d:
+                    if d and rows % records == 0:             # Spark starts a file after every `records` rows
                         out.append(struct.pack("<II", DICT_MAGIC, len(d)) + d)
-                    first = False
+                        rows += 1
+                    rows += 1
                     out.append(packer.compress(build_record(pid, uri, payload or b"", ref)))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
-    pages.select("page_id", "uri", "payload", "refers_to").repartition(files) \
-        .mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")) \
-        .write.option("lineSep", EMPTY_FRAME).option("compression", "none").mode("overwrite").text(path)
+    records = max(2, records)                              # the dictionary and a record
+    pages.select("page_id", "uri", "payload", "refers_to").mapInArrow(frames, "frame binary") \
+        .select(F.col("frame").cast("string").alias("value")) \
+        .write.option("maxRecordsPerFile", records).option("lineSep", EMPTY_FRAME).option("compression", "none").mode("overwrite").text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -273,7 +276,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), type=t) for c, t in zip(cols, _ARROW)], names=names)
 
 
-def file_count(pages: DataFrame, file_bytes: int = FILE_BYTES) -> int:
-    """Archives needed for the table's payload bytes at ``file_bytes`` each."""
-    total = pages.agg(F.sum(F.octet_length("payload"))).first()[0] or 0
-    return max(1, -(-total // file_bytes))
+def records_per_file(pages: DataFrame, file_bytes: int = FILE_BYTES) -> int:
+    """Records of the table's mean payload that fill ``file_bytes``."""
+    mean = pages.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
+    return max(2, int(file_bytes / (mean + 512)))

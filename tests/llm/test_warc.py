@@ -56,7 +56,7 @@ def test_threshold_and_empty(spark):
     path = scratch_path(spark, "t_warc")
     wz.write_archives(wz.with_revisits(df.limit(0)), path, None, 2)
     assert wz.read_archives(spark, path).count() == 0
-    assert wz.train_dictionary(df) is None and wz.file_count(df.limit(0)) == 1
+    assert wz.train_dictionary(df) is None and wz.records_per_file(df) > 1000
 
 
 def archive(records, d=None, packed=False):
