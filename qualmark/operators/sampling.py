@@ -1,104 +1,94 @@
 """Sampling, distinct values, copies and pages.
 
-Samples are reproducible: rows are ordered by ``md5(seed || key)`` (a keyed
-uniform order; ``rand(seed)`` when no key is given) and the first ``n`` kept. A plain ``orderBy().limit(n)`` would
-make every map task send its own top ``n`` to one final task; for the
-reference's 100,000-row samples on a 1000-partition table that is 10^8 rows in
-one task. Instead a cut-off on the first 32 bits of the hash, sized from the
-row count, keeps about ``1.2 n`` rows before the final ordered limit. The
-result is the exact top ``n`` (the cut-off is widened until it holds ``n``).
+Samples are reproducible: rows are ordered by a hash of the seed and the row's
+key (``rand(seed)`` when no key is given) and the first ``n`` kept. A plain
+``orderBy().limit(n)`` would make every map task send its own top ``n`` to one
+final task. Instead one pass counts rows per series and hash prefix (4096 per
+series, combined map-side); the running sum over that small table gives the
+prefix at which a series reaches ``n``, and a second pass ranks only the rows
+up to it. The result is the exact top ``n``.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import hash_order_key
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 # Fixed value of the reference's extract: the default sample size.
 SAMPLE_SIZE = 100000
 
-_PREFIX_SPACE = 1 << 32
+PREFIXES = 4096                  # the first three hex digits of the order hash
 
 
-def _hash_prefix(h):
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+def seed_number(seed: str) -> int:
+    """31-bit number from the whole seed text (its digest)."""
+    return int.from_bytes(hashlib.sha256(str(seed).encode()).digest()[:4], "big") & 0x7FFFFFFF
+
+
+def _same(a: str, b: str):
+    return F.col(a).eqNullSafe(F.col(b))
+
+
+def _ordered(df: DataFrame, keep: list[str], key: Sequence[str] | None, seed: str) -> DataFrame:
+    """``keep`` plus the order column ``__h`` and its prefix number ``__p``."""
+    if key:
+        base = df.select(*keep, hash_order_key(seed, *key).alias("__h"))
+        return base.withColumn("__p", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
+    # rand() is fixed per input split, but a shuffled input may present its rows
+    # in another order when it is read again: the draw is written once
+    base = materialize(df.select(*keep, F.rand(seed_number(seed)).alias("__h")), "sample_draw")
+    return base.withColumn("__p", F.floor(F.col("__h") * PREFIXES).cast("int"))
 
 
 def sample_rows(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None, seed: str = "qualmark",
                 with_md5: bool = False) -> DataFrame:
     """``n`` non-null rows of ``column`` in a uniform random order.
 
-    With ``key`` (the columns that identify a row) the order is
-    ``md5(seed || key...)``: the same rows on every run and engine. Without
-    it the order is ``rand(seed)`` over the rows (duplicates of a value are
-    sampled independently, as with the reference's ``ORDER BY rand()``); it is
-    fixed per input split, so a recomputed task draws the same numbers.
-    ``with_md5`` adds ``md5(column)``.
+    With ``key`` (the columns that identify a row, NULLs included) the order is
+    a hash of seed and key: the same rows on every run and engine. Without it
+    the order is ``rand(seed)`` over the rows (duplicates of a value are sampled
+    independently, as with the reference's ``ORDER BY rand()``). Returns
+    ``min(n, rows)`` rows. ``with_md5`` adds ``md5(column)``.
     """
-    base = df.where(F.col(column).isNotNull())
-    if key:
-        h = hash_order_key(seed, *key)
-        base = base.select(F.col(column), h.alias("__h"), (_hash_prefix(h) / F.lit(float(_PREFIX_SPACE))).alias("__u"))
-    else:
-        seed_int = int.from_bytes(str(seed).encode()[:8].ljust(8, b"\0"), "little") & 0x7FFFFFFF
-        base = base.select(F.col(column), F.rand(seed_int).alias("__u"))
-        base = base.withColumn("__h", F.col("__u"))
-    total = base.count()
-    if total > n:
-        cut = min(1.0, (n / total) * 1.2 + 4096 / _PREFIX_SPACE)
-        while True:
-            cand = base.where(F.col("__u") < F.lit(cut))
-            if cut >= 1.0 or cand.count() >= n:
-                break
-            cut = min(1.0, cut * 2)
-        base = cand
-    if not key:
-        # rand() is fixed per input split, but a shuffled input may present its
-        # rows in another order when recomputed: pin the (about 1.2 n) drawn rows
-        base = materialize(base, "sample_candidates")
-    out = base.orderBy("__h", column).limit(n)
+    base = _ordered(df.where(F.col(column).isNotNull()), [column], key, seed)
+    counts = base.groupBy("__p").agg(F.count(F.lit(1)).alias("c")).orderBy("__p").collect()   # at most PREFIXES rows
+    seen, cut = 0, PREFIXES
+    for r in counts:
+        seen += r["c"]
+        if seen >= n:
+            cut = r["__p"]
+            break
+    out = base.where(F.col("__p") <= cut).orderBy("__h", column).limit(n)
     cols = [F.col(column)] + ([F.md5(F.col(column).cast("string")).alias("md5")] if with_md5 else [])
     return out.select(*cols)
 
 
 def sample_per_series(df: DataFrame, keys: Sequence[str], column: str, n: int, key: Sequence[str] | None = None,
                       seed: str = "qualmark") -> DataFrame:
-    """Up to ``n`` non-null rows of ``column`` per series, in ``md5(seed || key)`` order.
-
-    ``row_number() <= n`` alone gets a map-side group limit, but the final
-    window of a hot series would still receive ``n`` rows from every map task.
-    So each series first keeps only rows under a hash cut-off sized from its
-    own row count (about ``2n + 64`` rows); a series that falls short (very
-    unlikely) keeps all its rows. The window then ranks a bounded set, and
-    the result is the exact top ``n`` by hash. Without ``key`` the order is
-    ``rand(seed)`` and the drawn candidates are materialised once.
+    """Up to ``n`` non-null rows of ``column`` per series, in the order of ``sample_rows``.
+
+    A series whose key is NULL is a series like any other. The final window
+    ranks at most ``n`` rows of a series plus one hash prefix of it.
     """
     keys = list(keys)
-    base = df.where(F.col(column).isNotNull())
-    if key:
-        h = hash_order_key(seed, *key)
-        base = base.select(*keys, column, h.alias("__h"), (_hash_prefix(h) / F.lit(float(_PREFIX_SPACE))).alias("__u"))
-    else:
-        seed_int = int.from_bytes(str(seed).encode()[:8].ljust(8, b"\0"), "little") & 0x7FFFFFFF
-        base = base.select(*keys, column, F.rand(seed_int).alias("__u")).withColumn("__h", F.col("__u"))
-    counts = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__cnt"))      # one row per series
-    cut = F.least(F.lit(1.0), (F.lit(2.0 * n + 64.0)) / F.col("__cnt"))
-    cand = base.join(counts, on=keys, how="inner").where(F.col("__u") < cut)
-    kept = cand.groupBy(*keys).agg(F.count(F.lit(1)).alias("__kept"))
-    short = counts.join(kept, on=keys, how="left").where(
-        F.coalesce(F.col("__kept"), F.lit(0)) < F.least(F.col("__cnt"), F.lit(n))).select(*keys)
-    if not short.isEmpty():
-        cand = cand.unionByName(base.join(short, on=keys, how="left_semi").join(counts, on=keys, how="inner")
-                                .where(F.col("__u") >= cut))
-    if not key:
-        cand = materialize(cand, "sample_candidates")
+    base = _ordered(df.where(F.col(column).isNotNull()), [*keys, column], key, seed)
+    counts = base.groupBy(*keys, "__p").agg(F.count(F.lit(1)).alias("c"))
+    before = F.sum("c").over(Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    cut = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < n) \
+        .groupBy(*keys).agg(F.max("__p").alias("__cut"))
+    cut = materialize(cut.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__cut"), "sample_cut")
+    small, big = broadcast_if_small(cut, base, 32 + 32 * len(keys))
+    on = F.col("__p") <= F.col("__cut")
+    for i, k in enumerate(keys):
+        on = on & _same(k, f"__k{i}")
     w = Window.partitionBy(*keys).orderBy("__h", column)
-    return cand.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).select(*keys, column)
+    return big.join(small, on).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).select(*keys, column)
 
 
 def sample_rows_md5(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None,
@@ -121,22 +111,38 @@ def distinct_values_md5(df: DataFrame, column: str, keys: Iterable[str] = ()) ->
 
 
 EXTRACT_KINDS = ("train", "eval", "test", "rule_null_count_raw", "rule_freq_count_raw")
+# Share of the rows that each kind may draw from when the samples are disjoint.
+SPLIT = {"train": (0, 80), "eval": (80, 90), "test": (90, 100)}
+
+
+def split_rows(df: DataFrame, kind: str, key: Sequence[str], seed: str = "qualmark") -> DataFrame:
+    """The rows of one of the disjoint splits, by a hash of seed and key."""
+    lo, hi = SPLIT[kind]
+    u = F.conv(F.substring(hash_order_key(f"{seed}/split", *key), 1, 8), 16, 10).cast("long") % 100
+    return df.where((u >= lo) & (u < hi))
 
 
 def extract(df: DataFrame, column: str, kind: str = "train", size: int = SAMPLE_SIZE, md5: bool = False,
-            key: Sequence[str] | None = None, seed: str = "qualmark", ts: str | None = None) -> DataFrame:
+            key: Sequence[str] | None = None, seed: str = "qualmark", ts: str | None = None,
+            disjoint: bool = False) -> DataFrame:
     """The exporter's dispatch.
 
     ``train``/``eval``/``test``: a sample of ``size`` rows, or all distinct
-    values when ``size == -1``; ``rule_null_count_raw``: ten-minute null counts
-    of ``column`` over ``ts``; ``rule_freq_count_raw``: class counts per day of
-    ``ts``. Unknown kinds raise (the reference silently exported nothing).
+    values when ``size == -1``. Each kind draws with a seed of its own, so the
+    samples are independent; with ``disjoint`` (needs ``key``) they come from
+    rows divided 80/10/10 and share none. ``rule_null_count_raw``: ten-minute
+    null counts of ``column`` over ``ts``; ``rule_freq_count_raw``: class counts
+    per day of ``ts``. Unknown kinds raise (the reference silently exported nothing).
     """
     from .counts import freq_count, null_count
-    if kind in ("train", "eval", "test"):
+    if kind in SPLIT:
+        if disjoint:
+            if not key:
+                raise ValueError("disjoint samples need the key of a row")
+            df = split_rows(df, kind, key, seed)
         if size == -1:
             return distinct_values(df, column, with_md5=md5)
-        return sample_rows(df, column, size, key=key, seed=seed, with_md5=md5)
+        return sample_rows(df, column, size, key=key, seed=f"{seed}/{kind}", with_md5=md5)
     if kind == "rule_null_count_raw":
         return null_count(df, ts, [column]).drop("column")
     if kind == "rule_freq_count_raw":
@@ -155,29 +161,43 @@ def copy_table(df: DataFrame, limit: int | None = None, order_by: Sequence[str]
     return out
 
 
-def page_by_row_number(df: DataFrame, order_by: Sequence[str], lo: int, hi: int,
-                       out: str = "rnum") -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str], out: str = "rnum") -> DataFrame:
+    """Rows numbered 1.. in ``order_by`` order, without a one-task window.
+
+    The rows are range partitioned and sorted, and written once with their
+    partition and position. The offsets come from that same table: one row per
+    partition, so the window over them and their broadcast are bounded by the
+    partition count. Rows that tie on ``order_by`` are numbered in any order.
+    """
+    order = list(order_by)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mid = F.monotonically_increasing_id()          # (partition << 33) + position in the partition
+    ranged = materialize(
+        df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__mid", mid), "row_numbers")
+    pid = F.shiftright("__mid", 33)
+    sizes = ranged.groupBy(pid.alias("__pid")).agg(F.count(F.lit(1)).alias("__cnt"))
+    before = F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("__pid", F.coalesce(before, F.lit(0)).alias("__off"))
+    numbered = ranged.withColumn("__pid", pid).join(F.broadcast(offsets), "__pid")
+    position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
+    return numbered.withColumn(out, F.col("__off") + position + 1).drop("__pid", "__mid", "__off")
+
+
+def page_by_row_number(df: DataFrame, order_by: Sequence[str], lo: int, hi: int, out: str = "rnum",
+                       unique: bool = True) -> DataFrame:
     """Rows numbered 1.. in ``order_by`` order, keeping ``lo+1 <= rnum <= hi+1``.
 
-    A global ``row_number()`` window runs in one task. Here the rows are range
-    partitioned and sorted within partitions; each partition's row count (a
-    table of at most ``#partitions`` rows, so its broadcast size is bounded by
-    the partition count, not the data) gives its offset; the row number is the
-    offset plus the position inside the partition. ``order_by`` should be a
-    unique key so the numbering is stable.
+    With a ``unique`` key only the key columns are sorted and numbered, and the
+    page's keys are joined back to the wide rows. Otherwise whole rows are
+    numbered. See ``number_rows``.
     """
     order = list(order_by)
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    # monotonically_increasing_id = (partition id << 33) + position in partition
-    ranged = ranged.withColumn("__pos", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33))
-    sizes = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    offsets = sizes.select("__pid", (F.sum("__cnt").over(Window.orderBy("__pid").rowsBetween(
-        Window.unboundedPreceding, -1))).alias("__off"))
-    numbered = ranged.join(F.broadcast(offsets), on="__pid", how="inner").withColumn(
-        out, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos") + 1)
-    return numbered.where((F.col(out) >= lo + 1) & (F.col(out) <= hi + 1)).drop(
-        "__pid", "__mid", "__pos", "__off")
+    page = (F.col(out) >= lo + 1) & (F.col(out) <= hi + 1)
+    if not unique:
+        return number_rows(df, order, out).where(page)
+    keys = number_rows(df.select(*order), order, out).where(page)
+    keys = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order)], out)
+    on = F.lit(True)
+    for i, c in enumerate(order):
+        on = on & _same(c, f"__k{i}")
+    return df.join(keys, on).select(*df.columns, out)
