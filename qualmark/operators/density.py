@@ -6,25 +6,26 @@ over the weighted centres ``c_i`` of a series (``fit_kde``: the distinct
 numeric values of a training sample with their counts - the reference kept
 only its first batch of 100; here every sample row counts, equally weighted).
 
-Scoring never forms all (value, centre) pairs, and its first pass does not
-even form the pairs inside the kernel's reach. It is a binned Gaussian series
-expansion (the Fast Gauss Transform idea, Greengard & Strain 1991): centres
-are grouped in bins of width ``h`` around the bin middle ``m``; with
-``u = (x-m)/h`` and ``v = (c-m)/h`` (``|v| <= 1/2``)
-
-    exp(-(u-v)^2/2) = exp(-u^2/2) * sum_k u^k * v^k exp(-v^2/2) / k!
-
-so one bin contributes ``exp(-u^2/2) * P(u)`` with ``P``'s coefficients the
-bin's weighted moments (40 terms: with ``|u v| <= 4.75`` the truncation is
-below 1e-19 of the bin's share). Every value joins the bins within ``W = 9h``
-of it: 19 rows per
-value whatever the number of centres. Centres further than ``W`` each add
-less than ``exp(-(W/h)^2/2)``; a value is final when those together stay
-under ``rel_tol`` of its sum. The few values that are not final (far from
-every centre: the anomalies) go through exact equi-join passes on bins of
-width ``8W, 64W, ...`` - each pass joins a value only to centres in its three
-nearest bins - until every value is final. The loop is driven by the count of
-values still open, which is a number, not data.
+No (value, centre) pairs are formed. Centres are grouped in bins, and a bin
+answers for all its centres by a series (the Fast Gauss Transform idea,
+Greengard & Strain 1991). Numbers are scaled by the power of two below ``h``,
+which loses no digit; with ``u`` and ``v`` the distances of value and centre
+from the bin's middle in bandwidths, and ``w`` the bin's width,
+
+    exp(-(u-v)^2/2) = exp(-u^2/2) * sum_k (u w)^k * (v/w)^k exp(-v^2/2) / k!
+
+and the sums over a bin's centres are its moments (40 terms are exact to
+1e-19 while ``|u v| <= 4.75``).
+
+* Near: a value meets the bins of width 1 within 9 of it. It is final when all
+  other centres together stay under ``rel_tol`` of its sum.
+* Far: the nearest non-empty bin on either side is found by sorting values and
+  bins together. A value at distance ``D`` needs only centres up to
+  ``sqrt(D^2 + 2 L)`` away, a band that narrows as ``D`` grows; it is read from
+  bins of width ``4 / 2^s``, ``2^s <= D``, at most about twenty a side, summed
+  in log space. So a shifted unit costs a value as much as a near one does.
+
+Bin numbers are doubles. Beyond 2^53 widths a centre is a bin of its own.
 """
 
 from __future__ import annotations
@@ -32,150 +33,208 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import HALF_LOG_2PI
-from ..functions.strings import as_number
+from ..functions.strings import number_column
 from ..session import broadcast_if_small, materialize
+from .keys import join_on
 
 # Fixed value of the reference's density model: the kernel bandwidth.
 BANDWIDTH = 1.0
 
-NEAR_WIDTH = 9.0          # reach of the first pass, in bandwidths
-MOMENT_BIN = 1.0          # moment bin width, in bandwidths
-MOMENT_TERMS = 40         # series terms per bin
-MAX_PASSES = 64
+NEAR = 9.0                # reach of the near pass, in bandwidths
+TERMS = 40                # series terms per bin
+EXACT = float(1 << 53)    # bin numbers from here on stand for one centre each
 
 
 def fit_kde(train: DataFrame, keys: Iterable[str], value: str = "value") -> DataFrame:
     """kernel centres of a numeric sample: ``keys..., centre, weight``.
 
-    Text is read with ``try_cast``; non-numeric and non-finite values are not
-    centres. Equal values are one weighted centre (a ``groupBy``).
+    Text that is no decimal number, and non-finite values, are not centres.
+    Equal values are one weighted centre (a ``groupBy``).
     """
     keys = list(keys)
-    x = as_number(F.col(value))
-    return (train.select(*keys, x.alias("centre"))
-            .where(F.col("centre").isNotNull() & ~F.isnan("centre")
-                   & (F.abs(F.col("centre")) < F.lit(float("inf"))))
+    return (train.select(*keys, number_column(train, value).alias("centre")).where(F.col("centre").isNotNull())
             .groupBy(*keys, "centre").agg(F.count(F.lit(1)).alias("weight")))
 
 
-def _moment_bins(model: DataFrame, keys: list[str], h: float, b: float, terms: int) -> DataFrame:
-    """Per (series, bin): ``M_k = sum w v^k exp(-v^2/2) / k!`` and the weight sum."""
-    binned = model.select(*keys, "weight", F.floor(F.col("centre") / F.lit(b)).alias("__bin"), "centre")
-    binned = binned.withColumn("__vv", (F.col("centre") - (F.col("__bin") + F.lit(0.5)) * F.lit(b)) / F.lit(h))
-    g = F.col("weight") * F.exp(F.lit(-0.5) * F.col("__vv") * F.col("__vv"))
-    aggs = [F.sum(g * F.pow(F.col("__vv"), F.lit(float(k))) / F.lit(float(math.factorial(k)))).alias(f"__M{k}")
-            for k in range(terms)]
-    return binned.groupBy(*keys, "__bin").agg(*aggs, F.sum("weight").alias("__w"))
-
-
-def _near_pass(pending: DataFrame, moments: DataFrame, keys: list[str], width: float, h: float, b: float,
-               terms: int, log_tol: float) -> DataFrame:
-    """First pass: series expansion over the moment bins within ``width``."""
-    lo = F.floor((F.col("__x") - F.lit(width)) / F.lit(b))
-    hi = F.floor((F.col("__x") + F.lit(width)) / F.lit(b))
-    qb = pending.select(*keys, "__v", "__x", "__ntot", F.explode_outer(F.sequence(lo, hi)).alias("__bin"))
-    # the moment table is bounded by the model (one row per non-empty bin);
-    # the exploded values grow with the data, so only the former may be broadcast
-    moments, qb = broadcast_if_small(moments, qb, row_bytes=8 * (terms + 2) + 64)
-    # left outer: a value whose bins are all empty still reaches the aggregate
-    j = qb.join(moments, on=[*keys, "__bin"], how="left")
-    u = (F.col("__x") - (F.col("__bin") + F.lit(0.5)) * F.lit(b)) / F.lit(h)
-    poly = F.col(f"__M{terms - 1}")
-    for k in range(terms - 2, -1, -1):       # Horner, all in codegen'd arithmetic
+def _bin(z: Column) -> Column:
+    """Number of the bin of width 1 that holds ``z``."""
+    return F.when(F.abs(z) < EXACT, F.floor(z).cast("double")).otherwise(z)
+
+
+def _middle(b: Column) -> Column:
+    return F.when(F.abs(b) < EXACT, b + 0.5).otherwise(b)
+
+
+def _unit(h: float) -> tuple[float, float]:
+    """The power of two not above ``h``, and ``h`` in it (from 1 to 2)."""
+    g = 2.0 ** math.floor(math.log2(h))
+    return g, h / g
+
+
+def _moments(v: Column, w: Column) -> list[Column]:
+    g = F.col("weight") * F.exp(F.lit(-0.5) * v * v)
+    return [F.sum(g * F.pow(v / w, F.lit(float(k))) / F.lit(float(math.factorial(k)))).alias(f"__M{k}") for k in range(TERMS)]
+
+
+def _series(u: Column) -> Column:
+    """``sum_k M_k u^k`` (Horner; plain arithmetic inside generated code)."""
+    poly = F.col(f"__M{TERMS - 1}")
+    for k in range(TERMS - 2, -1, -1):
         poly = poly * u + F.col(f"__M{k}")
-    contrib = F.exp(F.lit(-0.5) * u * u) * poly
-    qk = [*keys, "__v", "__x", "__ntot"]
-    agg = j.groupBy(*qk).agg(F.sum(contrib).alias("__s"), F.sum("__w").alias("__ncand"))
-    log_s = F.when(F.col("__s") > 0, F.log(F.col("__s")))
-    return _finish(agg, keys, log_s, width, h, log_tol)
-
-
-def _finish(agg: DataFrame, keys: list[str], log_s, width: float, h: float, log_tol: float) -> DataFrame:
-    """Density and the completeness test from one row per value."""
-    res = agg.withColumn("__logs", log_s)
-    n_excl = F.col("__ntot") - F.coalesce(F.col("__ncand"), F.lit(0))
-    excl_log_bound = F.log(n_excl.cast("double")) - F.lit(0.5 * (width / h) ** 2)
-    # text that is not a finite number is final at once, with a NULL density
-    finite = F.col("__x").isNotNull() & ~F.isnan("__x") & (F.abs(F.col("__x")) < F.lit(float("inf")))
-    final = ~finite | (F.col("__logs").isNotNull()
-                       & ((n_excl <= 0) | (excl_log_bound - F.col("__logs") < F.lit(log_tol))))
-    dens = F.when(finite, F.col("__logs") - F.log(F.col("__ntot").cast("double"))
-                  - F.lit(math.log(h) + HALF_LOG_2PI))
-    return res.select(*keys, "__v", "__x", "__ntot", final.alias("__final"), dens.alias("log_density"))
-
-
-def _pass(pending: DataFrame, model: DataFrame, keys: list[str], width: float, h: float,
-          log_tol: float) -> DataFrame:
-    """Far pass: exact sum over the centres of the three bins of ``width`` around x."""
-    cb = model.select(*keys, "centre", "weight", F.floor(F.col("centre") / F.lit(width)).alias("__bin"))
-    qb = pending.select(*keys, "__v", "__x", "__ntot", F.explode(
-        F.sequence(F.floor(F.col("__x") / F.lit(width)) - 1, F.floor(F.col("__x") / F.lit(width)) + 1)
-    ).alias("__bin"))
-    pairs = qb.join(cb, on=[*keys, "__bin"], how="left").withColumn(
-        "__e", F.lit(-0.5) * F.pow((F.col("__x") - F.col("centre")) / F.lit(h), 2))
-    qk = [*keys, "__v", "__x", "__ntot"]
-    # anchor the sum at its largest term so far-away values do not underflow
-    pairs = pairs.withColumn("__m", F.max("__e").over(Window.partitionBy(*qk)))
-    agg = pairs.groupBy(*qk).agg(
-        F.max("__m").alias("__m"),
-        F.sum(F.col("weight") * F.exp(F.col("__e") - F.col("__m"))).alias("__s"),
-        F.sum("weight").alias("__ncand"))
-    return _finish(agg, keys, F.col("__m") + F.log(F.col("__s")), width, h, log_tol)
+    return poly
+
+
+def _on(left: list[str], right: list[str]) -> Column:
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
+
+
+def _near_pass(pending: DataFrame, bins: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
+    """``__s`` (the near sum) and ``__final`` of every value."""
+    most = math.ceil(NEAR * r)
+    step = F.sequence(F.lit(-most), F.lit(most))
+    around = F.when(F.abs("__z") < EXACT, F.transform(step, lambda k: F.floor("__z").cast("double") + k)) \
+        .otherwise(F.array_distinct(F.transform(step, lambda k: F.col("__z") + k)))
+    asked = pending.select("__id", "__z", "__ntot", *keys, F.explode(around).alias("__b"))
+    # one row per non-empty bin of the model; the asked bins grow with the values, so only the former may be broadcast
+    bins, asked = broadcast_if_small(bins, asked, row_bytes=8 * (TERMS + 5) + 64)
+    met = asked.join(bins.withColumnsRenamed({k: f"__key{i}" for i, k in enumerate(keys)}),
+                     _on([*keys, "__b"], [*(f"__key{i}" for i in range(len(keys))), "__bin"]))
+    u = (F.col("__z") - _middle(F.col("__bin"))) / F.lit(r)
+    s = met.groupBy("__id").agg(F.sum(F.exp(F.lit(-0.5) * u * u) * _series(u)).alias("__s"), F.sum("__w").alias("__near"))
+    rest = (F.col("__ntot") - F.coalesce("__near", F.lit(0))).cast("double")
+    final = F.coalesce((F.col("__s") > 0) & ((rest <= 0) | (F.log(rest) - 0.5 * NEAR ** 2 - F.log("__s") < log_tol)), F.lit(False))
+    return pending.join(s, "__id", "left").withColumn("__final", final)
+
+
+def _nearest(far: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds ``__lo`` and ``__hi``: the nearest non-empty bins (number, least and
+    greatest centre) not above and above each value's own bin.
+
+    Values and bins are range partitioned together and carried inside their
+    partition; what a partition lacks comes from a table of each partition's
+    first and last bin per series.
+    """
+    parts = int(far.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bin_ = F.struct(F.col("__bin").alias("b"), F.col("__min").alias("least"), F.col("__max").alias("most"))
+    rows = bins.select(*keys, F.col("__bin").alias("__b"), F.lit(0).alias("__kind"), F.lit(None).cast("long").alias("__id"),
+                       bin_.alias("__at")) \
+        .unionByName(far.select(*keys, _bin(F.col("__z")).alias("__b"), F.lit(1).alias("__kind"), "__id"), allowMissingColumns=True)
+    rows = materialize(rows.repartitionByRange(parts, *keys, "__b").withColumn("__pid", F.spark_partition_id()), "kde_sorted")
+    here = Window.partitionBy("__pid", *keys).orderBy("__b", "__kind")
+    carried = rows.withColumn("__lo", F.last("__at", True).over(here.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("__hi", F.first("__at", True).over(here.rowsBetween(1, Window.unboundedFollowing))) \
+        .where("__kind = 1")
+    along = Window.partitionBy(*keys).orderBy("__pid")
+    edges = rows.where("__kind = 0").groupBy("__pid", *keys).agg(F.min_by("__at", "__b").alias("f"), F.max_by("__at", "__b").alias("l"))
+    # a partition that holds values but no bin of a series needs an edge row too
+    edges = edges.unionByName(join_on(carried.select("__pid", *keys).distinct(), edges.select("__pid", *keys), ["__pid", *keys],
+                                      "left_anti"), allowMissingColumns=True)
+    edges = edges.select(F.col("__pid").alias("__p"), *[F.col(k).alias(f"__key{i}") for i, k in enumerate(keys)],
+                         F.last("l", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+                         F.first("f", True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+    found = carried.join(edges, _on(["__pid", *keys], ["__p", *(f"__key{i}" for i in range(len(keys)))])).select(
+        "__id", F.coalesce("__lo", "__before").alias("__lo"), F.coalesce("__hi", "__after").alias("__hi"))
+    return far.join(found, "__id")
+
+
+def _far_pass(far: DataFrame, bins: DataFrame, model: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
+    """``__id, __log`` (log of the full sum) of values that are not final."""
+    z = F.col("__z")
+    near = _nearest(far, bins, keys)
+    own = F.coalesce(F.col("__lo.b") == _bin(z), F.lit(False))
+    below = F.when(own, z).otherwise(F.col("__lo.most"))            # nearest centre, or the value if its bin has one
+    above = F.when(own, z).otherwise(F.col("__hi.least"))
+    d = F.least(F.abs(z - below), F.abs(above - z))
+    scale = F.floor(F.log2(F.greatest(d, F.lit(1.0))) + 1e-9).cast("int")
+    near = near.withColumns({"__below": below, "__above": above, "__d": d, "__s": F.least(F.greatest(scale, F.lit(0)), F.lit(1000))})
+    w = F.lit(4.0) * F.pow(F.lit(2.0), -F.col("__s"))
+    room = (F.log(F.col("__ntot").cast("double")) - log_tol) * (r * r)
+    # sqrt(d^2 + 2 room), in the form that stays finite for any d
+    reach = F.when(F.col("__d") < 1e6, F.sqrt(F.col("__d") * F.col("__d") + 2 * room)).otherwise(F.col("__d") + room / F.col("__d"))
+
+    def bins_from(start: Column, end: Column, step: int) -> Column:
+        """Bins of the value's scale from its nearest centre to the end of its reach."""
+        q, e = start / w, end / w
+        n = F.greatest((F.floor(e) - F.floor(q)) * step, F.lit(0)).cast("int")
+        some = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
+            F.lit(False).alias("x"), (F.floor(q).cast("double") + step * i).alias("b")))
+        one = F.array(F.struct(F.lit(True).alias("x"), start.alias("b")))
+        away = F.abs(start - z)
+        out_of_reach = start.isNull() | ((away > reach) & (away > F.col("__d")))
+        return F.when(out_of_reach, F.expr("cast(array() as array<struct<x:boolean,b:double>>)")) \
+            .when((F.abs(q) < EXACT) & (F.abs(e) < EXACT), some).otherwise(one)
+
+    asked = near.select("__id", "__z", "__s", *keys, F.explode(F.array_distinct(F.concat(
+        bins_from(F.col("__below"), z - reach, -1), bins_from(F.col("__above"), z + reach, 1)))).alias("__q"))
+    asked = materialize(asked.select("__id", "__z", "__s", *keys, F.col("__q.x").alias("__x"), F.col("__q.b").alias("__b")), "kde_asked")
+    names = [f"__key{i}" for i in range(len(keys))]
+    mine = model.withColumnsRenamed(dict(zip(keys, names)))
+    scales = asked.select(*keys, "__s").distinct()
+    c = mine.join(scales, _on(keys, names)).select(*keys, "__s", "__c", "weight")
+    exact = F.abs(F.col("__c") / w) >= EXACT
+    c = c.withColumn("__x", exact).withColumn("__b", F.when(exact, F.col("__c")).otherwise(F.floor(F.col("__c") / w).cast("double")))
+    wanted = asked.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__s").alias("__ws"), F.col("__x").alias("__wx"),
+                          F.col("__b").alias("__wb")).distinct()
+    side, other = [*keys, "__s", "__x", "__b"], [*names, "__ws", "__wx", "__wb"]
+    c = c.join(wanted, _on(side, other), "left_semi")
+    mid = F.when(F.col("__x"), F.col("__b")).otherwise((F.col("__b") + 0.5) * w)
+    table = c.groupBy(*side).agg(*_moments((F.col("__c") - mid) / F.lit(r), w)).withColumnsRenamed(dict(zip(side, other)))
+    met = asked.join(table, _on(side, other))
+    u = (z - mid) / F.lit(r)
+    part = F.lit(-0.5) * u * u + F.log(_series(u * w))
+    sums = met.groupBy("__id").agg(F.collect_list(part).alias("__e")).withColumn("__top", F.array_max("__e"))
+    total = F.aggregate("__e", F.lit(0.0), lambda acc, e: acc + F.exp(e - F.col("__top")))
+    return sums.select("__id", F.when(F.col("__top") == float("-inf"), F.col("__top"))
+                       .otherwise(F.col("__top") + F.log(total)).alias("__log"))
 
 
 def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
-              bandwidth: float = BANDWIDTH, rel_tol: float = 1e-13, near_width: float = NEAR_WIDTH) -> DataFrame:
+              bandwidth: float = BANDWIDTH, rel_tol: float = 1e-9) -> DataFrame:
     """``log_density`` and ``score = -log_density`` of each distinct value.
 
     Values whose series has no model are not scored (inner semantics); values
-    that are not numbers get NULL scores. See the module doc for the method;
-    the result equals the full sum over all centres to a relative ``rel_tol``.
+    that are not finite numbers get NULL scores. The result equals the full
+    sum over all centres to a relative ``rel_tol``; a value too far away for
+    a double (beyond about 1e154 bandwidths) has density 0, ``score`` infinity.
     """
     keys = list(keys)
-    h = float(bandwidth)
-    # the model is read by the moment table, the totals and every far pass
-    model = materialize(model.select(*keys, "centre", "weight"), "kde_model")
-    totals = model.groupBy(*keys).agg(F.sum("weight").alias("__ntot"))
-    vals = values.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v")).distinct()
-    pending = vals.join(totals, on=keys, how="inner").withColumn("__x", as_number(F.col("__v")))
-    width = near_width * h
-    done = []
-    log_tol = math.log(rel_tol)
-    b = MOMENT_BIN * h
-    for i in range(MAX_PASSES):
-        if i == 0:
-            moments = materialize(_moment_bins(model, keys, h, b, MOMENT_TERMS), "kde_moments")
-            res = _near_pass(pending, moments, keys, width, h, b, MOMENT_TERMS, log_tol)
-        else:
-            res = _pass(pending, model, keys, width, h, log_tol)
-        # each pass is materialised once in the shared checkpoint folder: its
-        # final rows and its open rows both read it, and lineage stays short
-        res = materialize(res, "kde_pass")
-        done.append(res.where("__final").select(*keys, "__v", "log_density"))
-        pending = res.where(~F.col("__final")).select(*keys, "__v", "__x", "__ntot")
-        if pending.isEmpty():
-            break
-        width *= 8.0
-    else:  # pragma: no cover - needs values ~2^64 bandwidths apart
-        raise RuntimeError("kernel density did not converge")
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    out = out.select(*keys, F.col("__v").alias(value), "log_density")
+    h, log_tol = float(bandwidth), math.log(rel_tol)
+    g, r = _unit(h)
+    model = materialize(model.select(*keys, (F.col("centre") / F.lit(g)).alias("__c"), "weight"), "kde_model")
+    b = _bin(F.col("__c"))
+    bins = materialize(model.withColumn("__bin", b).groupBy(*keys, "__bin").agg(
+        *_moments((F.col("__c") - _middle(F.col("__bin"))) / F.lit(r), F.lit(1.0)), F.sum("weight").alias("__w"),
+        F.min("__c").alias("__min"), F.max("__c").alias("__max")), "kde_bins")
+    names = [f"__key{i}" for i in range(len(keys))]
+    totals = bins.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.sum("__w").alias("__ntot"))
+    vals = values.where(F.col(value).isNotNull()).select(*keys, value).distinct().join(totals, _on(keys, names)).drop(*names)
+    vals = materialize(vals.withColumn("__z", number_column(values, value) / F.lit(g))
+                       .withColumn("__id", F.monotonically_increasing_id()), "kde_values")
+    num = vals.where(F.col("__z").isNotNull()).drop(value)
+    near = materialize(_near_pass(num, bins, keys, r, log_tol).select("__id", "__z", "__ntot", *keys, "__s", "__final"), "kde_near")
+    logs = near.where("__final").select("__id", F.log("__s").alias("__log"))
+    far = near.where(~F.col("__final")).select("__id", "__z", "__ntot", *keys)
+    if not far.isEmpty():
+        logs = logs.unionByName(_far_pass(far, bins, model, keys, r, log_tol))
+    dens = F.col("__log") - F.log(F.col("__ntot").cast("double")) - F.lit(math.log(h) + HALF_LOG_2PI)
+    out = vals.join(logs, "__id", "left").select(*keys, value, dens.alias("log_density"))
     return out.withColumn("score", -F.col("log_density"))
 
 
 def latest_models(models: DataFrame, keys: Iterable[str], version: str = "version") -> DataFrame:
-    """The newest ``version`` of each series' model (semi-join to the max)."""
+    """The rows of the newest ``version`` of each series' model."""
     keys = list(keys)
     if version not in models.columns:
         return models
     newest = models.groupBy(*keys).agg(F.max(version).alias(version))
-    return models.join(newest, on=[*keys, version], how="left_semi")
+    return join_on(models, newest.withColumn("__newest", F.lit(True)), [*keys, version]).drop("__newest")
 
 
 def score_day(models: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
