@@ -4,13 +4,15 @@ over the data, and typed columns from the first stage on."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.time import as_date
+from ..session import materialize
 
 # The typed schemas of the reference's count and prediction files.
 NULL_COUNT_SCHEMA = "bucket_dt TIMESTAMP_NTZ, null_count BIGINT, total_count BIGINT"
@@ -19,12 +21,54 @@ RULE_VALUES_SCHEMA = "value STRING"
 PREDICTION_SCHEMA = "value STRING, score DOUBLE, _corrupt_record STRING"
 
 
-def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: str | StructType,
-                   sep: str = "\t") -> DataFrame:
-    """A1: headerless delimited files (list of paths or globs) with a schema."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return (spark.read.schema(schema).option("sep", sep).option("header", "false")
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "PERMISSIVE").csv(paths))
+def _cells(line: Column, sep: str) -> Column:
+    return F.split(line, re.escape(sep), -1)
+
+
+def _unescape(cell: Column) -> Column:
+    """Cell text of ``write_delimited``: ``\\N`` alone is NULL; backslash, tab,
+    newline and carriage return are written with a backslash."""
+    out = F.regexp_replace(cell, r"\\\\", "\u0001b")             # a pair first, so that it starts no other escape
+    for mark, char in (("t", "\t"), ("n", "\n"), ("r", "\r"), ("1", "\u0001")):
+        out = F.regexp_replace(out, r"\\" + mark, "\u0001" + mark)
+    for mark, char in (("b", "\\"), ("t", "\t"), ("n", "\n"), ("r", "\r"), ("1", "\u0001")):
+        out = F.replace(out, F.lit("\u0001" + mark), F.lit(char))
+    return F.when(cell != "\\N", out)
+
+
+def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: str | StructType, sep: str = "\t",
+                   escaped: bool = True, on_error: str = "raise") -> DataFrame:
+    """A1: headerless delimited files (list of paths or globs) with a schema.
+
+    Text cells come back exactly as ``write_delimited`` got them; with
+    ``escaped=False`` (files of other writers) they are taken as they stand, and
+    an empty cell of a column that is not text is NULL. A line with another
+    number of cells, or a cell that is no value of its column's type, ends the
+    job; with ``on_error="report"`` its readable cells are kept and the line
+    is put into ``_corrupt_record`` (NULL for good lines).
+    """
+    if on_error not in ("raise", "report"):
+        raise ValueError("on_error must be 'raise' or 'report'")
+    fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    lines = spark.read.option("lineSep", "\n").text([paths] if isinstance(paths, str) else list(paths))
+    rows = lines.select("value", _cells(F.col("value"), sep).alias("cells"))
+    bad = F.size("cells") != len(fields)
+    out = []
+    for i, f in enumerate(fields.fields):
+        cell = F.get("cells", F.lit(i))
+        text = _unescape(cell) if escaped else cell
+        if isinstance(f.dataType, StringType):
+            out.append(text.alias(f.name))
+            continue
+        text = F.when(F.length(F.trim(text)) > 0, F.trim(text))
+        typed = text.try_cast(f.dataType)
+        bad = bad | F.coalesce(text.isNotNull() & typed.isNull(), F.lit(False))
+        out.append(typed.alias(f.name))
+    corrupt = F.when(bad, F.col("value"))
+    if on_error == "report":
+        return rows.select(*out, corrupt.alias("_corrupt_record"))
+    check = F.when(bad, F.raise_error(F.concat(F.lit("malformed line: "), F.col("value"))))
+    return rows.select(*out, check.cast("string").alias("__check")).where(F.col("__check").isNull()).drop("__check")
 
 
 def read_predictions(spark: SparkSession, paths: str | Sequence[str],
@@ -57,17 +101,40 @@ def read_dated(df: DataFrame, as_of, past_days: int, day: str = "dt", ts: str |
 
 
 def read_dated_paths(spark: SparkSession, root: str, as_of, past_days: int, kind: str,
-                     schema: str | StructType, sep: str = "\t") -> DataFrame:
-    """A3 over the reference folder layout ``root/YYYYMMDD/kind/*``; adds ``dt``."""
+                     schema: str | StructType, sep: str = "\t", escaped: bool = True) -> DataFrame:
+    """A3 over the reference folder layout ``root/YYYYMMDD/kind/*``; adds ``dt``.
+
+    A day without a folder has no rows; so does a range without any.
+    """
     d = as_date(as_of)
-    paths = [f"{root}/{(d - _dt.timedelta(days=i)):%Y%m%d}/{kind}/*" for i in range(past_days, -1, -1)]
-    df = read_delimited(spark, paths, schema, sep)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+
+    def exists(path: str) -> bool:
+        found = hadoop.Path(path).getFileSystem(conf).globStatus(hadoop.Path(path))
+        return found is not None and len(found) > 0
+
+    days = [f"{root}/{(d - _dt.timedelta(days=i)):%Y%m%d}/{kind}/*" for i in range(past_days, -1, -1)]
+    paths = [p for p in days if exists(p)]
+    if not paths:
+        fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        return spark.createDataFrame([], fields).withColumn("dt", F.lit(None).cast("date"))
+    df = read_delimited(spark, paths, schema, sep, escaped)
     return df.withColumn("dt", F.to_date(F.regexp_extract(F.input_file_name(), r"/(\d{8})/", 1), "yyyyMMdd"))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_header: bool = False) -> DataFrame:
-    """A4: text lines as ``value``; ``skip_header`` drops each file's first line."""
+    """A4: text lines as ``value``, unchanged; ``skip_header`` drops each file's first line.
+
+    Files are split at line ends, so only the split at offset 0 of a file holds
+    its first line; it is told by its position there.
+    """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if skip_header:
-        return spark.read.schema("value STRING").option("header", "true").option("sep", "\u0001").csv(paths)
-    return spark.read.text(paths)
+    lines = spark.read.text(paths)
+    if not skip_header:
+        return lines
+    numbered = lines.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
+                            F.monotonically_increasing_id().alias("i"))
+    numbered = materialize(numbered, "lines")
+    first = numbered.where("s = 0").groupBy("f").agg(F.min("i").alias("i"))
+    return numbered.join(first.select("i"), "i", "left_anti").select("value")
