@@ -89,3 +89,12 @@ def ts_literal(value: _dt.datetime) -> Column:
 
 def date_literal(value) -> Column:
     return F.expr(f"DATE'{as_date(value).isoformat()}'")
+
+
+def registered(regdatetime) -> Column:
+    """Registration time stamped on result rows: the given one, or now."""
+    if regdatetime is None:
+        return F.localtimestamp()
+    if isinstance(regdatetime, str):
+        regdatetime = _dt.datetime.fromisoformat(regdatetime)
+    return ts_literal(regdatetime)

@@ -21,7 +21,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.time import bucket_start
+from ..functions.time import date_literal, epoch_seconds, from_epoch_seconds, registered
+from .keys import join_on
 
 # Fixed values of the reference's score summary: values shown per rank, the
 # cut length of each value (-1: whole value) and the delimiter between them.
@@ -59,7 +60,10 @@ def null_count(df: DataFrame, ts: str, columns, keys: Iterable[str] = (), bucket
     named = _named_columns(columns)
     aggs = [F.count(F.lit(1)).alias("total_count")]
     aggs += [F.count_if(expr.isNull()).alias(f"__n{i}") for i, (_, expr) in enumerate(named)]
-    wide = df.groupBy(*keys, bucket_start(ts, bucket_seconds).alias("bucket_dt")).agg(*aggs)
+    # raw rows are grouped by an integer slot, which becomes a timestamp after the aggregate
+    slot = F.floor(epoch_seconds(ts) / F.lit(bucket_seconds)).cast("long")
+    wide = df.groupBy(*keys, slot.alias("__slot")).agg(*aggs) \
+        .withColumn("bucket_dt", from_epoch_seconds(F.col("__slot") * F.lit(bucket_seconds)))
     pairs = F.array(*[
         F.struct(F.lit(name).alias(column_name), F.col(f"__n{i}").alias("null_count"))
         for i, (name, _) in enumerate(named)
@@ -97,7 +101,7 @@ def day_totals(counts: DataFrame, keys: Iterable[str], day: str = "dt", count: s
     """
     keys = list(keys)
     totals = counts.groupBy(*keys, day).agg(F.sum(count).alias(total))
-    return (counts.join(totals, on=[*keys, day], how="inner")
+    return (join_on(counts, totals, [*keys, day])
             .withColumn("share", F.try_divide(F.col(count).cast("double"), F.col(total))))
 
 
@@ -108,7 +112,7 @@ def dedupe_by_max(df: DataFrame, keys: Iterable[str], values: Iterable[str]) ->
 
 def score_summary(preds: DataFrame, keys: Iterable[str] = (), value: str = "value", score: str = "score",
                   sample_count: int = SAMPLE_COUNT, sample_length: int = SAMPLE_LENGTH,
-                  delimiter: str = SAMPLE_DELIMITER) -> DataFrame:
+                  delimiter: str = SAMPLE_DELIMITER, dt=None, regdatetime=None) -> DataFrame:
     """Scores grouped by ``rank = floor(score)``: row count and a text sample.
 
     ``sample`` joins the first ``sample_count`` values of the rank in value
@@ -116,7 +120,9 @@ def score_summary(preds: DataFrame, keys: Iterable[str] = (), value: str = "valu
     ``delimiter``. The sample is bounded before it is collected:
     ``row_number() <= sample_count`` lets Spark apply a map-side group limit,
     so a rank holding a third of all rows still ships only ``sample_count``
-    rows per map task, and no unbounded list is ever built.
+    rows per map task, and no unbounded list is ever built. Values without a
+    score form a rank of their own (NULL). With ``dt`` (the scored day) the rows
+    also carry ``dt`` and ``regdatetime``, as the stored summary does.
     """
     keys = list(keys)
     v = F.col(value).cast("string")
@@ -130,8 +136,9 @@ def score_summary(preds: DataFrame, keys: Iterable[str] = (), value: str = "valu
               .groupBy(*keys, "rank")
               .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("__rn", "__s"))),
                                             lambda e: e["__s"]), delimiter).alias("sample")))
-    return (counts.join(firsts, on=[*keys, "rank"], how="left")
-            .select(*keys, "rank", "count", F.coalesce(F.col("sample"), F.lit("")).alias("sample"))
+    tags = [] if dt is None else [date_literal(dt).alias("dt"), registered(regdatetime).alias("regdatetime")]
+    return (join_on(counts, firsts, [*keys, "rank"], how="left")
+            .select(*keys, "rank", "count", F.coalesce(F.col("sample"), F.lit("")).alias("sample"), *tags)
             .orderBy(*keys, "rank"))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import ENC_SIZE, SEQ_LEN, position_codes
 from ..session import broadcast_if_small, materialize
+from .keys import join_on
 
 
 def _cells(value, seq_len: int, size: int, overflow: str, unit: str):
@@ -39,15 +40,17 @@ def fit_latent(train: DataFrame, keys: Iterable[str], value: str = "value", k: i
     """Per series and seen cell: ``mu`` (share of strings hot there) and ``comp``
     (the cell's entries in the top ``k`` components)."""
     keys = list(keys)
+    # equal strings are one weighted row, so their cell pairs are emitted once
     base = train.where(F.col(value).isNotNull()).select(*keys, _cells(value, seq_len, size, overflow, unit)
-                                                        .alias("__cells"))
-    n = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__g")).select(
+                                                        .alias("__cells")) \
+        .groupBy(*keys, "__cells").agg(F.count(F.lit(1)).alias("__n"))
+    n = base.groupBy(*keys).agg(F.sum("__n").alias("__g")).select(
         *keys, F.lit(-2).alias("__a"), F.lit(-2).alias("__b"), "__g")
-    single = base.select(*keys, F.explode("__cells").alias("__a"))
-    means = single.groupBy(*keys, "__a").agg(F.count(F.lit(1)).alias("__g")).withColumn("__b", F.lit(-1))
-    pairs = (base.select(*keys, F.explode("__cells").alias("__a"), "__cells")
-             .select(*keys, "__a", F.explode("__cells").alias("__b"))
-             .groupBy(*keys, "__a", "__b").agg(F.count(F.lit(1)).alias("__g")))
+    single = base.select(*keys, "__n", F.explode("__cells").alias("__a"))
+    means = single.groupBy(*keys, "__a").agg(F.sum("__n").alias("__g")).withColumn("__b", F.lit(-1))
+    pairs = (base.select(*keys, "__n", F.explode("__cells").alias("__a"), "__cells")
+             .select(*keys, "__n", "__a", F.explode("__cells").alias("__b"))
+             .groupBy(*keys, "__a", "__b").agg(F.sum("__n").alias("__g")))
     stats = pairs.unionByName(means.select(*keys, "__a", "__b", "__g")).unionByName(n)
     key_types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in train.schema.fields if f.name in keys)
     schema = f"{key_types}, cell int, mu double, comp array<double>"
@@ -90,7 +93,7 @@ def latent_scores(model: DataFrame, values: DataFrame, keys: Iterable[str], valu
     cells = _cells(value, seq_len, size, overflow, unit)
     per = materialize(per, "latent_models")
     per, vals = broadcast_if_small(per, vals, row_bytes=64 + (16 + 8 * k) * seq_len * size)
-    j = vals.join(per, on=keys, how="inner").withColumn("__cells", cells)
+    j = join_on(vals, per, keys).withColumn("__cells", cells)
 
     def hot_sum(fn):
         return F.aggregate("__cells", F.lit(0.0), lambda acc, c: acc + F.coalesce(fn(F.try_element_at("__m", c)),

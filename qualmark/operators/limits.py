@@ -32,6 +32,7 @@ from ..functions.stats import binomial_sigma, safe_div, z_score
 from ..functions.time import (DAY_SECONDS, as_date, date_literal, day_bounds, day_number, epoch_seconds,
                               from_epoch_seconds, ts_literal)
 from .counts import dedupe_by_max
+from .keys import join_on
 
 # Fixed values of the reference checks: neighbourhood radius in seconds, the
 # confidence weights of the null and frequency limits, the seasonal lags in
@@ -194,7 +195,7 @@ def null_alerts(counts: DataFrame, thresholds: DataFrame, keys: Iterable[str] =
           .groupBy(*keys, bucket).agg(F.max("score").alias("score")))
     t = thr.select(*keys, F.col(bucket).alias("__tb"), "threshold")
     s = sc.withColumn("__tb", F.col(bucket) - F.expr("INTERVAL 1 DAY"))
-    joined = s.join(t, on=[*keys, "__tb"], how="inner")
+    joined = join_on(s, t, [*keys, "__tb"])
     thr_col = F.coalesce(F.col("threshold"), F.lit(0.0))
     return joined.select(*keys, bucket, thr_col.alias("threshold"), "score",
                          F.when(thr_col < F.col("score"), -F.col("score")).alias("alert"))
@@ -232,7 +233,7 @@ def freq_rates(memo: DataFrame, keys: Iterable[str] = DEFAULT_KEYS, day: str = "
     """
     keys = list(keys)
     totals = memo.groupBy(*keys, day).agg(F.sum("xi").alias("ni"), F.sum("x").alias("n"))
-    out = memo.join(totals, on=[*keys, day], how="inner")
+    out = join_on(memo, totals, [*keys, day])
     out = out.withColumn("pi", safe_div(F.col("xi").cast("double"), F.col("ni")))
     out = out.withColumn("p", safe_div(F.col("x").cast("double"), F.col("n")))
     out = out.withColumn("sigma_pi", binomial_sigma(F.col("p"), F.col("ni")))
@@ -278,9 +279,9 @@ def freq_alerts(counts: DataFrame, thresholds: DataFrame, as_of=None, keys: Iter
         c = c.where(F.col(day) > F.date_sub(d, count_days))
         t = t.where(F.col(day) > F.date_sub(d, threshold_days))
     totals = c.groupBy(*keys, day).agg(F.sum(count).alias("ni"))
-    shares = c.join(totals, on=[*keys, day], how="inner").withColumn("__td", F.date_sub(F.col(day), 1))
+    shares = join_on(c, totals, [*keys, day]).withColumn("__td", F.date_sub(F.col(day), 1))
     t = t.withColumnRenamed(day, "__td")
-    j = shares.join(t, on=[*keys, "__td", cls], how="inner")
+    j = join_on(shares, t, [*keys, "__td", cls])
     pi = F.round(safe_div(F.col(count).cast("double"), F.col("ni")), share_digits)
     out = j.select(*keys, day, cls, F.col(count).alias("xi"), "ni", pi.alias("pi"), "lowerbound", "upperbound")
     alert = F.when((F.col("upperbound") < F.col("pi")) | (F.col("lowerbound") > F.col("pi")), 1).otherwise(0)

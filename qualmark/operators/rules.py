@@ -7,14 +7,13 @@ the rule parameters and a registration time. ``regdatetime`` is a parameter
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.strings import as_number
-from ..functions.time import day_bounds, ts_literal
+from ..functions.strings import number_column
+from ..functions.time import date_literal, day_bounds, registered, ts_literal
 
 # Fixed values of the reference rule checks: the base rule list, the length
 # limit and the min/max bounds.
@@ -23,12 +22,9 @@ LENGTH_LIMIT = 2
 MIN_MAX_BOUNDS = (10, 100)
 
 
-def _reg(regdatetime) -> Column:
-    if regdatetime is None:
-        return F.localtimestamp()
-    if isinstance(regdatetime, str):
-        regdatetime = _dt.datetime.fromisoformat(regdatetime)
-    return ts_literal(regdatetime)
+def _tags(dt, regdatetime) -> list[Column]:
+    """Day and registration time of a violation row (the day only if it is given)."""
+    return ([] if dt is None else [date_literal(dt).alias("dt")]) + [registered(regdatetime).alias("regdatetime")]
 
 
 def tag_series(df: DataFrame, tags: Mapping[str, object]) -> DataFrame:
@@ -42,33 +38,33 @@ def name_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def rule_passthrough(values: DataFrame, value: str = "value", keys: Iterable[str] = (),
-                     rules: Sequence[str] = BASE_RULES, regdatetime=None) -> DataFrame:
+                     rules: Sequence[str] = BASE_RULES, regdatetime=None, dt=None) -> DataFrame:
     """Every value row annotated with the rule list (base rule ``['0']``)."""
     keys = list(keys)
     return values.select(*keys, F.col(value).alias("data"),
                          F.array(*[F.lit(str(r)) for r in rules]).alias("rules"),
-                         _reg(regdatetime).alias("regdatetime"))
+                         *_tags(dt, regdatetime))
 
 
 def rule_length(values: DataFrame, value: str = "value", keys: Iterable[str] = (), max_len: int = LENGTH_LIMIT,
-                regdatetime=None) -> DataFrame:
+                regdatetime=None, dt=None) -> DataFrame:
     """Rows with ``length(value) <= max_len`` (characters)."""
     keys = list(keys)
     return (values.where(F.length(F.col(value).cast("string")) <= max_len)
             .select(*keys, F.col(value).alias("data"), F.lit(int(max_len)).alias("range"),
-                    _reg(regdatetime).alias("regdatetime")))
+                    *_tags(dt, regdatetime)))
 
 
 def rule_min_max(values: DataFrame, value: str = "value", keys: Iterable[str] = (), min_value=MIN_MAX_BOUNDS[0],
-                 max_value=MIN_MAX_BOUNDS[1], regdatetime=None) -> DataFrame:
+                 max_value=MIN_MAX_BOUNDS[1], regdatetime=None, dt=None) -> DataFrame:
     """Rows whose numeric value is ``< min_value`` or ``> max_value``.
 
-    Values are read with ``try_cast`` to double; non-numeric text is not a
-    violation. A ``None`` bound makes the rule one-sided; both ``None`` gives
+    Only finite decimal numbers are compared: other text (``NaN``, ``inf``, ``250d``)
+    and non-finite numbers are not a violation. A ``None`` bound makes the rule one-sided; both ``None`` gives
     an empty result with the same schema.
     """
     keys = list(keys)
-    x = as_number(F.col(value))
+    x = number_column(values, value)
     lo = None if min_value in (None, "") else float(min_value)
     hi = None if max_value in (None, "") else float(max_value)
     if lo is None and hi is None:
@@ -81,7 +77,7 @@ def rule_min_max(values: DataFrame, value: str = "value", keys: Iterable[str] =
         cond = (x < lo) | (x > hi)
     return values.where(cond).select(
         *keys, F.col(value).alias("data"), F.lit(lo).cast("double").alias("min"),
-        F.lit(hi).cast("double").alias("max"), _reg(regdatetime).alias("regdatetime"))
+        F.lit(hi).cast("double").alias("max"), *_tags(dt, regdatetime))
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
