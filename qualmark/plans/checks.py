@@ -10,13 +10,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import DEFAULT_KEYS
+from ..functions.time import date_literal
 from ..operators.counts import freq_count, null_count
 from ..operators.limits import (ADJACENT_WINDOW_SECONDS, FREQ_WEIGHT, NULL_WEIGHT, SEASONAL_LAGS, freq_memo,
                                 freq_rates, freq_threshold, null_memo, null_threshold)
+from ..operators.rules import LENGTH_LIMIT, MIN_MAX_BOUNDS, rule_length, rule_min_max
 from ..session import materialize
 from ..sources.readers import read_dated
+from ..sources.sinks import write_partitioned
 
 
 def compute_null_count(logs: DataFrame, ts: str, columns, as_of=None, keys: Iterable[str] = ("gamecode",)) -> DataFrame:
@@ -85,47 +89,93 @@ def null_alert_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str]
     return null_alerts(counts, thresholds, [*keys, "column"])
 
 
-def freq_check_day(logs: DataFrame, day, columns, as_of, keys: Iterable[str] = ("gamecode",),
-                   weight: float = FREQ_WEIGHT, ts: str | None = None) -> DataFrame:
-    """Day D's class limits straight from the raw logs (source days ``[D-6, D]``).
-
-    ``ts`` (the event-time column) lets the day range reach the scan.
-    """
+def freq_check_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str] = ("gamecode",),
+                   weight: float = FREQ_WEIGHT) -> DataFrame:
+    """Day D's class limits straight from the raw logs (source days ``[D-6, D]``;
+    the day range on the event time reaches the scan)."""
     keys = list(keys)
-    raw = read_dated(logs, as_of, 6, ts=ts) if ts else logs
-    counts = freq_count(raw, day, columns, keys)
+    counts = freq_count(read_dated(logs, as_of, 6, ts=ts), ts, columns, keys)
     series = [*keys, "column"]
     memo = materialize(freq_memo(counts, as_of, series), "freq_memo")   # read twice by the rates
     return freq_threshold(freq_rates(memo, series), as_of, series, weight=weight)
 
 
+def day_counts(logs: DataFrame, ts: str, null_columns, freq_columns, as_of,
+               keys: Iterable[str] = ("gamecode",)) -> tuple[DataFrame, DataFrame]:
+    """Day D's null counts and class counts from one scan of that day's raw rows.
+
+    Every row gives one entry per checked column; the entries are counted in a
+    single aggregate, combined map-side, and written once.
+    """
+    from ..functions.time import epoch_seconds, from_epoch_seconds
+    from ..operators.counts import _named_columns
+    keys = list(keys)
+    slot = F.floor(epoch_seconds(ts) / F.lit(600)).cast("long")
+    none = F.lit(None).cast("string")
+    entries = [F.struct(F.lit(0).alias("kind"), F.lit(n).alias("column"), slot.alias("slot"), none.alias("class"),
+                        e.isNull().cast("long").alias("nulls")) for n, e in _named_columns(null_columns)]
+    entries += [F.struct(F.lit(1).alias("kind"), F.lit(n).alias("column"), F.lit(0).cast("long").alias("slot"),
+                         e.cast("string").alias("class"), F.lit(0).cast("long").alias("nulls"))
+                for n, e in _named_columns(freq_columns)]
+    rows = read_dated(logs, as_of, 0, ts=ts).select(*keys, F.inline(F.array(*entries)))
+    rows = rows.where((F.col("kind") == 0) | F.col("class").isNotNull())
+    both = materialize(rows.groupBy(*keys, "kind", "column", "slot", "class").agg(
+        F.sum("nulls").alias("null_count"), F.count(F.lit(1)).alias("cnt")), "day_counts")
+    nulls = both.where("kind = 0").select(*keys, "column", from_epoch_seconds(F.col("slot") * 600).alias("bucket_dt"),
+                                          "null_count", F.col("cnt").alias("total_count"))
+    classes = both.where("kind = 1").select(*keys, "column", date_literal(as_of).alias("dt"), "class", "cnt")
+    return nulls, classes
+
+
 def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_of, out: str,
                        keys: Iterable[str] = ("gamecode",)) -> dict[str, str]:
     """The reference's four daily commands as one job family.
 
-    Writes day D's null counts, null thresholds, class counts and class limits
-    to ``out/<table>``, partitioned by ``dt`` and clustered by series, with
-    dynamic partition overwrite: re-running a day replaces that day (the
-    reference appended to MySQL, so re-runs duplicated rows).
-    Returns the table paths.
+    Counts day D from its raw rows alone and stores the counts; the limits of
+    day D come from the stored counts of the past days. A day that was never
+    counted is simply not there. Tables lie in ``out/<table>``, partitioned by
+    ``dt`` and clustered by series, with dynamic partition overwrite: re-running
+    a day replaces that day (the reference appended to MySQL, so re-runs
+    duplicated rows). Returns the table paths.
     """
-    from pyspark.sql import functions as F
-
-    from ..functions.time import date_literal
-    from ..sources.sinks import write_partitioned
     keys = list(keys)
     series = [*keys, "column"]
     day = date_literal(as_of)
-    tables = {
-        "null_count": compute_null_count(logs, ts, null_columns, as_of, keys),
-        "null_threshold": null_check_day(logs, ts, null_columns, as_of, keys),
-        "freq_count": compute_freq_count(logs, ts, freq_columns, as_of, keys),
-        "freq_threshold": freq_check_day(logs, ts, freq_columns, as_of, keys, ts=ts),
-    }
-    paths = {}
-    for name, df in tables.items():
-        if "dt" not in df.columns:
-            df = df.withColumn("dt", day)
-        paths[name] = f"{out}/{name}"
-        write_partitioned(df.where(F.col("dt") == day), paths[name], cluster_by=series)
+    spark = logs.sparkSession
+    paths = {name: f"{out}/{name}" for name in ("null_count", "freq_count", "null_threshold", "freq_threshold")}
+
+    def write(df: DataFrame, name: str) -> None:
+        write_partitioned(df if "dt" in df.columns else df.withColumn("dt", day), paths[name], cluster_by=series)
+
+    nulls, classes = day_counts(logs, ts, null_columns, freq_columns, as_of, keys)
+    write(nulls, "null_count")
+    write(classes, "freq_count")
+    write(stored_null_threshold(spark, paths["null_count"], as_of, series), "null_threshold")
+    write(stored_freq_threshold(spark, paths["freq_count"], as_of, series), "freq_threshold")
     return paths
+
+
+def stored_null_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
+    """Day D's null thresholds from the stored counts of the past days (``dt`` partitions)."""
+    counts = read_dated(spark.read.parquet(path), as_of, 7)
+    return compute_null_threshold(counts.drop("dt"), as_of, series)
+
+
+def stored_freq_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
+    """Day D's class limits from the stored counts of the past days."""
+    return compute_freq_threshold(spark.read.parquet(path), as_of, series)
+
+
+def write_daily_rules(values: DataFrame, as_of, out: str, value: str = "value", keys: Iterable[str] = DEFAULT_KEYS,
+                      max_len: int = LENGTH_LIMIT, bounds: tuple = MIN_MAX_BOUNDS, regdatetime=None) -> dict[str, str]:
+    """The daily rule job: day D's values against the length and the range rule.
+
+    Violations carry ``dt`` and ``regdatetime`` and replace the day's partition
+    of ``out/rule_length`` and ``out/rule_min_max``.
+    """
+    keys = list(keys)
+    found = {"rule_length": rule_length(values, value, keys, max_len, regdatetime, as_of),
+             "rule_min_max": rule_min_max(values, value, keys, *bounds, regdatetime, as_of)}
+    for name, df in found.items():
+        write_partitioned(df, f"{out}/{name}", cluster_by=keys)
+    return {name: f"{out}/{name}" for name in found}

@@ -37,6 +37,7 @@ from ..session import materialize, scratch_path
 
 # Fixed parameters of the registered queries.
 AS_OF = _dt.date(2024, 1, 20)          # target day D of the daily checks
+ORDER_DAY = _dt.date(1999, 6, 14)      # target day of the order checks (orders end in 2001)
 ALERT_DAY = _dt.date(2024, 1, 24)      # "today" of the frequency alert view
 REGDATETIME = "2024-01-21 00:00:00"    # registration time stamped on rule rows
 SEED = "qualmark"
@@ -106,7 +107,9 @@ def q_null_alerts(spark, sf_dir):
 
 def q_compute_null_threshold(spark, sf_dir):
     from .checks import compute_null_threshold
-    return _round(compute_null_threshold(null_counts(spark, sf_dir), AS_OF, KEYS).select(
+    raw = RD.read_dated(_events(spark, sf_dir), AS_OF, 7, ts="ts")       # the plan's source days, cut before the count
+    counts = C.null_count(raw, "ts", null_columns(), keys=["gamecode"])
+    return _round(compute_null_threshold(counts, AS_OF, KEYS).select(
         *KEYS, "bucket_dt", "threshold"))
 
 
@@ -129,42 +132,40 @@ nc AS (
 )"""
 
 
-def _or_ranges(t: str, s: str, lags=(0, 1, 2, 3), left_closed=True) -> str:
-    conds = []
-    for k in lags:
-        centre = f"{t}.bucket_dt - INTERVAL {k} DAY"
-        lo = f"{centre} - INTERVAL 600 SECOND {'<=' if left_closed else '<'} {s}.bucket_dt"
-        hi = f"{s}.bucket_dt <= {centre} + INTERVAL 600 SECOND"
-        conds.append(f"({lo} AND {hi})")
-    return " OR ".join(conds)
-
-
+# Oracle of the seasonal statistics: each series becomes one map from slot
+# number (600 s) to its row, and a statistic of bucket t is a list function over
+# the map's values at the neighbour slots t - 144 k + j.
 def _memo_sql(lags=(0, 1, 2, 3), left_closed=True) -> str:
+    back = [144 * k + j for k in lags for j in ((-1, 0, 1) if left_closed else (-1, 0))]
     return f"""
-memo_raw AS (
-  SELECT t.gamecode, t."column", t.bucket_dt, MIN(t.null_count) AS xi, MIN(t.total_count) AS ni,
-         SUM(s.null_count) AS sum_x, SUM(s.total_count) AS sum_n
-  FROM (SELECT * FROM nc WHERE bucket_dt >= TIMESTAMP '2024-01-17' AND bucket_dt < TIMESTAMP '2024-01-21') t
-  JOIN (SELECT * FROM nc WHERE bucket_dt >= TIMESTAMP '2024-01-14' AND bucket_dt < TIMESTAMP '2024-01-21') s
-    ON t.gamecode = s.gamecode AND t."column" = s."column" AND ({_or_ranges('t', 's', lags, left_closed)})
-  GROUP BY 1, 2, 3
+slots AS (
+  SELECT gamecode, "column", CAST(epoch(bucket_dt) // 600 AS BIGINT) AS slot, bucket_dt, null_count AS x, total_count AS n
+  FROM nc WHERE bucket_dt >= TIMESTAMP '2024-01-14' AND bucket_dt < TIMESTAMP '2024-01-21'
 ),
-memo_p AS (
-  SELECT gamecode, "column", bucket_dt, xi, ni, xi / NULLIF(ni, 0) AS pi, sum_x / NULLIF(sum_n, 0) AS p
-  FROM memo_raw
+by_slot AS (
+  SELECT gamecode, "column", map_from_entries(list(row(slot, x))) AS xs, map_from_entries(list(row(slot, n))) AS ns
+  FROM slots GROUP BY ALL
 ),
-memo_s AS (SELECT *, sqrt(p * (1 - p) / NULLIF(ni, 0)) AS sigma_pi FROM memo_p),
-memo AS (SELECT *, (pi - p) / NULLIF(sigma_pi, 0) AS zi FROM memo_s)"""
+pooled AS (
+  SELECT gamecode, "column", slot, bucket_dt, x AS xi, n AS ni,
+         list_sum(list_transform({back}, lambda d: xs[slot - d])) AS all_x,
+         list_sum(list_transform({back}, lambda d: ns[slot - d])) AS all_n
+  FROM slots NATURAL JOIN by_slot WHERE bucket_dt >= TIMESTAMP '2024-01-17'
+),
+memo AS (
+  SELECT gamecode, "column", slot, bucket_dt, xi, ni, xi / NULLIF(ni, 0) AS pi, all_x / NULLIF(all_n, 0) AS p,
+         sqrt(p * (1 - p) / NULLIF(ni, 0)) AS sigma_pi, (pi - p) / NULLIF(sigma_pi, 0) AS zi
+  FROM pooled WHERE all_n IS NOT NULL
+)"""
 
 
 _THRESHOLD_SQL = f"""
 thr AS (
-  SELECT gamecode, "column", bucket_dt, p + 3 * sigma_pi * sigma_zi AS threshold FROM (
-    SELECT t.gamecode, t."column", t.bucket_dt, MIN(t.p) AS p, MIN(t.sigma_pi) AS sigma_pi, STDDEV_POP(s.zi) AS sigma_zi
-    FROM (SELECT * FROM memo WHERE bucket_dt >= TIMESTAMP '2024-01-20' AND bucket_dt < TIMESTAMP '2024-01-21') t
-    JOIN (SELECT * FROM memo WHERE bucket_dt >= TIMESTAMP '2024-01-17' AND bucket_dt < TIMESTAMP '2024-01-21') s
-      ON t.gamecode = s.gamecode AND t."column" = s."column" AND ({_or_ranges('t', 's')})
-    GROUP BY 1, 2, 3) x
+  SELECT gamecode, "column", slot, bucket_dt,
+         p + 3 * sigma_pi * list_stddev_pop(list_transform({[144 * k + j for k in range(4) for j in (-1, 0, 1)]},
+                                                           lambda d: zs[slot - d])) AS threshold
+  FROM memo NATURAL JOIN (SELECT gamecode, "column", map_from_entries(list(row(slot, zi))) AS zs FROM memo GROUP BY ALL)
+  WHERE bucket_dt >= TIMESTAMP '2024-01-20'
 )"""
 
 _MEMO_COLS = ("gamecode, \"column\", bucket_dt, xi, ni, ROUND(pi, 6) AS pi, ROUND(p, 6) AS p, "
@@ -177,33 +178,37 @@ ORACLE["null_memo_effective"] = f"WITH {_NC_SQL}, {_memo_sql((1, 2, 3), False)}
 ORACLE["null_threshold"] = (f"WITH {_NC_SQL}, {_memo_sql()}, {_THRESHOLD_SQL} "
                             "SELECT gamecode, \"column\", bucket_dt, ROUND(threshold, 6) AS threshold FROM thr")
 ORACLE["compute_null_threshold"] = ORACLE["null_threshold"]
-ORACLE["null_alerts"] = f"""WITH {_NC_SQL}, {_memo_sql()}, {_THRESHOLD_SQL}
-SELECT T2.gamecode, T2."column", T2.bucket_dt, ROUND(COALESCE(T1.threshold, 0), 6) AS threshold,
-       ROUND(T2.score, 6) AS score,
-       ROUND(CASE WHEN COALESCE(T1.threshold, 0) < T2.score THEN -T2.score END, 6) AS alert
-FROM (SELECT gamecode, "column", bucket_dt, MAX(threshold) AS threshold FROM thr GROUP BY 1, 2, 3) T1
-JOIN (SELECT gamecode, "column", bucket_dt, MAX(ROUND(null_count / NULLIF(total_count, 0), 9)) AS score
-      FROM nc GROUP BY 1, 2, 3) T2
-  ON T1.gamecode = T2.gamecode AND T1."column" = T2."column" AND T1.bucket_dt = T2.bucket_dt - INTERVAL 1 DAY"""
+ORACLE["null_alerts"] = f"""WITH {_NC_SQL}, {_memo_sql()}, {_THRESHOLD_SQL},
+limits AS (SELECT gamecode, "column", map_from_entries(list(row(slot + 144, threshold))) AS due FROM thr GROUP BY ALL),
+rates AS (
+  SELECT gamecode, "column", bucket_dt, CAST(epoch(bucket_dt) // 600 AS BIGINT) AS slot,
+         ROUND(null_count / NULLIF(total_count, 0), 9) AS score FROM nc
+)
+SELECT gamecode, "column", bucket_dt, ROUND(COALESCE(due[slot], 0), 6) AS threshold, ROUND(score, 6) AS score,
+       ROUND(IF(score > COALESCE(due[slot], 0), -score, NULL), 6) AS alert
+FROM rates NATURAL JOIN limits WHERE map_contains(due, slot)"""
 ORACLE["compute_null_count"] = (f"WITH {_NC_SQL} SELECT * FROM nc WHERE bucket_dt >= TIMESTAMP '2024-01-20' "
                                 "AND bucket_dt < TIMESTAMP '2024-01-21'")
 
 
 # ---------------------------------------------------------- frequency checks
 def freq_counts(spark, sf_dir) -> DataFrame:
-    """Daily class counts of both series, written once (the stand-in for the
-    stored daily count table): the limits and alert views read them several
-    times, and a re-read of the written table is a cheap scan where a repeat
-    of the raw-log aggregate would not be."""
-    ev = C.freq_count(_t(spark, sf_dir, "events").withColumn("gamecode", F.lit("events")), "ts",
-                      ["event_type"], keys=["gamecode"])
-    od = C.freq_count(_t(spark, sf_dir, "orders").withColumn("gamecode", F.lit("orders")), "o_orderdate",
-                      ["o_orderpriority"], keys=["gamecode"])
-    return materialize(ev.unionByName(od), "freq_counts")
+    """Daily class counts of both series."""
+    return _event_counts(spark, sf_dir).unionByName(_order_counts(spark, sf_dir))
+
+
+def _event_counts(spark, sf_dir) -> DataFrame:
+    return C.freq_count(_events(spark, sf_dir), "ts", ["event_type"], keys=["gamecode"])
+
+
+def _order_counts(spark, sf_dir) -> DataFrame:
+    return C.freq_count(_t(spark, sf_dir, "orders").withColumn("gamecode", F.lit("orders")), "o_orderdate",
+                        ["o_orderpriority"], keys=["gamecode"])
 
 
 def freq_thresholds_all(spark, sf_dir) -> DataFrame:
-    return L.freq_threshold(L.freq_rates(L.freq_memo(freq_counts(spark, sf_dir), None, KEYS), KEYS), None, KEYS)
+    memo = materialize(L.freq_memo(freq_counts(spark, sf_dir), None, KEYS), "freq_memo")     # read twice by the rates
+    return L.freq_threshold(L.freq_rates(memo, KEYS), None, KEYS)
 
 
 def q_freq_count(spark, sf_dir):
@@ -227,21 +232,27 @@ def q_freq_threshold(spark, sf_dir):
 
 
 def q_freq_threshold_day(spark, sf_dir):
+    """``events`` from the raw logs of its days, ``orders`` from its day counts."""
     from .checks import compute_freq_threshold, freq_check_day
-    ev = freq_check_day(_events(spark, sf_dir), "ts", ["event_type"], AS_OF, ["gamecode"], ts="ts")
-    od = compute_freq_threshold(freq_counts(spark, sf_dir).where(F.col("gamecode") == "orders"), AS_OF, KEYS)
+    ev = freq_check_day(_events(spark, sf_dir), "ts", ["event_type"], AS_OF, ["gamecode"])
+    od = compute_freq_threshold(_order_counts(spark, sf_dir), ORDER_DAY, KEYS)
     out = ev.unionByName(od)
     return _round(out.select(*KEYS, "dt", "class", "lowerbound", "upperbound"))
 
 
 def q_freq_alerts(spark, sf_dir):
-    # limits are needed for days > A-5; each reads rates of [d-3, d], each rate
-    # counts of [d-3, d]: counts from A-10 on give exactly those limits (a day
-    # filter cannot pass through the windows' ordering column by itself)
-    counts = freq_counts(spark, sf_dir)
-    recent = counts.where(F.col("dt") >= F.date_sub(F.lit(ALERT_DAY), 10))
-    thresholds = L.freq_threshold(L.freq_rates(L.freq_memo(recent, None, KEYS), KEYS), None, KEYS)
-    out = L.freq_alerts(counts, thresholds, ALERT_DAY, KEYS)
+    """The alert view of either series on its own "today"."""
+    out = None
+    ev = _event_counts(spark, sf_dir)
+    for counts, today in ((ev, ALERT_DAY), (_order_counts(spark, sf_dir), ORDER_DAY + _dt.timedelta(days=1))):
+        # limits are needed for days > A-5; each reads rates of [d-3, d], each rate
+        # counts of [d-3, d]: counts from A-10 on give exactly those limits (a day
+        # filter cannot pass through the windows' ordering column by itself)
+        counts = materialize(counts.where(F.col("dt").between(F.date_sub(F.lit(today), 10), F.lit(today))), "recent_counts")
+        memo = materialize(L.freq_memo(counts, None, KEYS), "freq_memo")
+        thresholds = L.freq_threshold(L.freq_rates(memo, KEYS), None, KEYS)
+        part = L.freq_alerts(counts, thresholds, today, KEYS)
+        out = part if out is None else out.unionByName(part)
     return _round(out.select(*KEYS, "dt", "class", "pi", "lowerbound", "upperbound", "alert"))
 
 
@@ -262,68 +273,51 @@ fc AS (
 )"""
 
 
-def _fmemo_sql(lo: str | None = None, hi: str | None = None, src_lo: str | None = None) -> str:
-    tw = f"WHERE dt >= DATE '{lo}' AND dt <= DATE '{hi}'" if lo else ""
-    sw = f"WHERE dt >= DATE '{src_lo}' AND dt <= DATE '{hi}'" if src_lo else ""
-    return f"""
+# Oracle of the class limits: each class becomes one map from day to count (or
+# z), and trailing statistics are list functions over the last four days' values.
+_FREQ_SQL = """
+days AS (SELECT gamecode, "column", class, map_from_entries(list(row(dt, cnt))) AS by_day FROM fc GROUP BY ALL),
 fmemo AS (
-  SELECT t1.gamecode, t1."column", t1.dt, t1.class, MAX(t1.cnt) AS xi, CAST(SUM(t2.cnt) AS BIGINT) AS x
-  FROM (SELECT * FROM fc {tw}) t1
-  JOIN (SELECT * FROM fc {sw}) t2
-    ON t1.gamecode = t2.gamecode AND t1."column" = t2."column" AND t1.class = t2.class
-   AND t2.dt >= t1.dt - INTERVAL 3 DAY AND t2.dt <= t1.dt
-  GROUP BY 1, 2, 3, 4
+  SELECT gamecode, "column", dt, class, cnt AS xi,
+         CAST(list_sum(list_transform([0, 1, 2, 3], lambda k: by_day[dt - CAST(k AS INTEGER)])) AS BIGINT) AS x
+  FROM fc NATURAL JOIN days
 ),
-ftot AS (SELECT gamecode, "column", dt, CAST(SUM(xi) AS BIGINT) AS ni, CAST(SUM(x) AS BIGINT) AS n FROM fmemo GROUP BY 1, 2, 3),
-frates0 AS (
-  SELECT m.*, t.ni, t.n, m.xi / NULLIF(t.ni, 0) AS pi, m.x / NULLIF(t.n, 0) AS p
-  FROM fmemo m JOIN ftot t ON m.gamecode = t.gamecode AND m."column" = t."column" AND m.dt = t.dt
+frates AS (
+  SELECT *, CAST(SUM(xi) OVER d AS BIGINT) AS ni, CAST(SUM(x) OVER d AS BIGINT) AS n, xi / NULLIF(ni, 0) AS pi, x / NULLIF(n, 0) AS p,
+         sqrt(p * (1 - p) / NULLIF(ni, 0)) AS sigma_pi, (pi - p) / NULLIF(sigma_pi, 0) AS zi
+  FROM fmemo WINDOW d AS (PARTITION BY gamecode, "column", dt)
 ),
-frates1 AS (SELECT *, sqrt(p * (1 - p) / NULLIF(ni, 0)) AS sigma_pi FROM frates0),
-frates AS (SELECT *, (pi - p) / NULLIF(sigma_pi, 0) AS zi FROM frates1)"""
-
-
-def _fthr_sql(day: str | None = None) -> str:
-    tw = f"WHERE dt = DATE '{day}'" if day else ""
-    return f"""
+zs AS (SELECT gamecode, "column", class, map_from_entries(list(row(dt, zi))) AS by_day FROM frates GROUP BY ALL),
 fthr AS (
-  SELECT gamecode, "column", dt, class, p - 6 * sigma_pi * sigma_zi AS lowerbound, p + 6 * sigma_pi * sigma_zi AS upperbound
-  FROM (
-    SELECT t1.gamecode, t1."column", t1.dt, t1.class, MAX(t1.p) AS p, MAX(t1.sigma_pi) AS sigma_pi,
-           STDDEV_POP(t2.zi) AS sigma_zi
-    FROM (SELECT * FROM frates {tw}) t1
-    JOIN frates t2
-      ON t1.gamecode = t2.gamecode AND t1."column" = t2."column" AND t1.class = t2.class
-     AND t2.dt >= t1.dt - INTERVAL 3 DAY AND t2.dt <= t1.dt
-    GROUP BY 1, 2, 3, 4) x
+  SELECT gamecode, "column", dt, class, 6 * sigma_pi * list_stddev_pop(list_transform([0, 1, 2, 3],
+           lambda k: by_day[dt - CAST(k AS INTEGER)])) AS band, p - band AS lowerbound, p + band AS upperbound
+  FROM frates NATURAL JOIN zs
 )"""
 
 
+_FREQ_DAYS = "(gamecode = 'events' AND dt = DATE '2024-01-20') OR (gamecode = 'orders' AND dt = DATE '1999-06-14')"
 _FTHR_COLS = "gamecode, \"column\", dt, class, ROUND(lowerbound, 6) AS lowerbound, ROUND(upperbound, 6) AS upperbound"
 ORACLE["freq_count"] = f"WITH {_FC_SQL} SELECT * FROM fc"
 ORACLE["day_totals"] = f"""WITH {_FC_SQL}
 SELECT fc.gamecode, fc."column", fc.dt, fc.class, fc.cnt, t.day_total, ROUND(fc.cnt / NULLIF(t.day_total, 0), 6) AS share
 FROM fc JOIN (SELECT gamecode, "column", dt, CAST(SUM(cnt) AS BIGINT) AS day_total FROM fc GROUP BY 1, 2, 3) t
   ON fc.gamecode = t.gamecode AND fc."column" = t."column" AND fc.dt = t.dt"""
-ORACLE["freq_memo"] = f"WITH {_FC_SQL}, {_fmemo_sql()} SELECT * FROM fmemo"
-ORACLE["freq_rates"] = f"""WITH {_FC_SQL}, {_fmemo_sql()}
+ORACLE["freq_memo"] = f"WITH {_FC_SQL}, {_FREQ_SQL} SELECT * FROM fmemo"
+ORACLE["freq_rates"] = f"""WITH {_FC_SQL}, {_FREQ_SQL}
 SELECT gamecode, "column", dt, class, xi, x, ni, n, ROUND(pi, 6) AS pi, ROUND(p, 6) AS p,
        ROUND(sigma_pi, 6) AS sigma_pi, ROUND(zi, 6) AS zi FROM frates"""
-ORACLE["freq_threshold"] = f"WITH {_FC_SQL}, {_fmemo_sql()}, {_fthr_sql()} SELECT {_FTHR_COLS} FROM fthr"
-ORACLE["freq_threshold_day"] = (f"WITH {_FC_SQL}, {_fmemo_sql('2024-01-17', '2024-01-20', '2024-01-14')}, "
-                                f"{_fthr_sql('2024-01-20')} SELECT {_FTHR_COLS} FROM fthr")
-ORACLE["freq_alerts"] = f"""WITH {_FC_SQL}, {_fmemo_sql()}, {_fthr_sql()}
-SELECT gamecode, "column", dt, class, ROUND(pi, 6) AS pi, ROUND(lowerbound, 6) AS lowerbound,
-       ROUND(upperbound, 6) AS upperbound, CASE WHEN upperbound < pi OR lowerbound > pi THEN 1 ELSE 0 END AS alert
-FROM (
-  SELECT t1.gamecode, t1."column", t1.dt, t1.class, ROUND(t1.xi / NULLIF(t2.ni, 0), 9) AS pi, t3.lowerbound, t3.upperbound
-  FROM (SELECT gamecode, "column", dt, class, cnt AS xi FROM fc WHERE dt > DATE '2024-01-24' - INTERVAL 4 DAY) t1
-  JOIN (SELECT gamecode, "column", dt, SUM(cnt) AS ni FROM fc WHERE dt > DATE '2024-01-24' - INTERVAL 4 DAY GROUP BY 1, 2, 3) t2
-    ON t1.gamecode = t2.gamecode AND t1."column" = t2."column" AND t1.dt = t2.dt
-  JOIN (SELECT * FROM fthr WHERE dt > DATE '2024-01-24' - INTERVAL 5 DAY) t3
-    ON t1.gamecode = t3.gamecode AND t1."column" = t3."column" AND t1.class = t3.class
-   AND t1.dt - INTERVAL 1 DAY = t3.dt
-) x"""
+ORACLE["freq_threshold"] = f"WITH {_FC_SQL}, {_FREQ_SQL} SELECT {_FTHR_COLS} FROM fthr"
+ORACLE["freq_threshold_day"] = f"WITH {_FC_SQL}, {_FREQ_SQL} SELECT {_FTHR_COLS} FROM fthr WHERE {_FREQ_DAYS}"
+ORACLE["freq_alerts"] = f"""WITH {_FC_SQL}, {_FREQ_SQL},
+yesterday AS (SELECT gamecode, "column", dt + 1 AS dt, class, lowerbound, upperbound FROM fthr),
+shares AS (
+  SELECT gamecode, "column", dt, class, ROUND(cnt / NULLIF(SUM(cnt) OVER (PARTITION BY gamecode, "column", dt), 0), 9) AS pi FROM fc
+)
+SELECT gamecode, "column", dt, class, ROUND(pi, 6) AS pi, ROUND(lowerbound, 6) AS lowerbound, ROUND(upperbound, 6) AS upperbound,
+       CAST(COALESCE(NOT pi BETWEEN lowerbound AND upperbound, FALSE) AS INTEGER) AS alert
+FROM shares NATURAL JOIN yesterday
+WHERE (gamecode = 'events' AND dt BETWEEN DATE '2024-01-21' AND DATE '2024-01-24')
+   OR (gamecode = 'orders' AND dt BETWEEN DATE '1999-06-12' AND DATE '1999-06-15')"""
 ORACLE["compute_freq_count"] = (f"WITH {_FC_SQL} SELECT * FROM fc WHERE gamecode = 'events' "
                                 "AND dt = DATE '2024-01-20'")
 
@@ -358,12 +352,17 @@ ORACLE["tag_series"] = "SELECT DISTINCT 'part' AS gamecode, 'p_type' AS \"column
 
 # ------------------------------------------------------------------- rules
 def rule_values(spark, sf_dir) -> DataFrame:
-    """Distinct values of several part columns as text, one series per column."""
+    """Distinct values of several part columns as text, one series per column, and
+    a derived series of texts that only look like numbers (or do not, but are)."""
     part = _t(spark, sf_dir, "part")
     parts = []
-    for c in ("p_size", "p_retailprice", "p_brand", "p_type"):
-        parts.append(part.select(F.lit("part").alias("gamecode"), F.lit(c).alias("column"),
-                                 F.col(c).cast("string").alias("value")))
+    size = F.col("p_size").cast("string")
+    odd = (F.when(F.col("p_partkey") % 5 == 0, F.lit("NaN")).when(F.col("p_partkey") % 5 == 1, F.lit("-inf"))
+           .when(F.col("p_partkey") % 5 == 2, F.concat(size, F.lit("50d"))).when(F.col("p_partkey") % 5 == 3, F.concat(size, F.lit("e3")))
+           .otherwise(F.concat(F.lit("-."), size)))
+    for c, v in (("p_size", size), ("p_retailprice", F.col("p_retailprice").cast("string")), ("p_brand", F.col("p_brand")),
+                 ("p_type", F.col("p_type")), ("odd_numbers", odd)):
+        parts.append(part.select(F.lit("part").alias("gamecode"), F.lit(c).alias("column"), v.alias("value")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -371,43 +370,48 @@ def rule_values(spark, sf_dir) -> DataFrame:
 
 
 _RV_SQL = """
-rv AS (
+rv0 AS (
   SELECT DISTINCT 'part' AS gamecode, 'p_size' AS "column", CAST(p_size AS VARCHAR) AS value FROM part WHERE p_size IS NOT NULL
   UNION SELECT DISTINCT 'part', 'p_retailprice', CAST(p_retailprice AS VARCHAR) FROM part WHERE p_retailprice IS NOT NULL
   UNION SELECT DISTINCT 'part', 'p_brand', p_brand FROM part WHERE p_brand IS NOT NULL
   UNION SELECT DISTINCT 'part', 'p_type', p_type FROM part WHERE p_type IS NOT NULL
+  UNION SELECT DISTINCT 'part', 'odd_numbers', CASE p_partkey % 5 WHEN 0 THEN 'NaN' WHEN 1 THEN '-inf' WHEN 2 THEN p_size || '50d'
+    WHEN 3 THEN p_size || 'e3' ELSE '-.' || p_size END FROM part
+),
+rv AS (
+  SELECT *, CASE WHEN regexp_full_match(value, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN TRY_CAST(value AS DOUBLE) END AS x
+  FROM rv0
 )"""
 
 
 def q_rule_passthrough(spark, sf_dir):
-    out = R.rule_passthrough(rule_values(spark, sf_dir).where(F.col("column") == "p_type"), "value", KEYS,
-                             regdatetime=REGDATETIME)
+    out = R.rule_passthrough(rule_values(spark, sf_dir), "value", KEYS, regdatetime=REGDATETIME, dt=AS_OF)
     return out.withColumn("rules", F.array_join("rules", ","))
 
 
 def q_rule_length(spark, sf_dir):
-    return R.rule_length(rule_values(spark, sf_dir), "value", KEYS, max_len=1, regdatetime=REGDATETIME)
+    return R.rule_length(rule_values(spark, sf_dir), "value", KEYS, max_len=1, regdatetime=REGDATETIME, dt=AS_OF)
 
 
 def q_rule_min_max(spark, sf_dir):
-    return R.rule_min_max(rule_values(spark, sf_dir), "value", KEYS, regdatetime=REGDATETIME)
+    return R.rule_min_max(rule_values(spark, sf_dir), "value", KEYS, regdatetime=REGDATETIME, dt=AS_OF)
 
 
 def q_rule_min_only(spark, sf_dir):
     return R.rule_min_max(rule_values(spark, sf_dir), "value", KEYS, min_value=10, max_value=None,
-                          regdatetime=REGDATETIME)
+                          regdatetime=REGDATETIME, dt=AS_OF)
 
 
 ORACLE["rule_passthrough"] = (f"WITH {_RV_SQL} SELECT gamecode, \"column\", value AS data, '0' AS rules, "
-                              f"TIMESTAMP '{REGDATETIME}' AS regdatetime FROM rv WHERE \"column\" = 'p_type'")
+                              f"TIMESTAMP '{REGDATETIME}' AS regdatetime, DATE '{AS_OF}' AS dt FROM rv")
 ORACLE["rule_length"] = (f"WITH {_RV_SQL} SELECT gamecode, \"column\", value AS data, 1 AS \"range\", "
-                         f"TIMESTAMP '{REGDATETIME}' AS regdatetime FROM rv WHERE length(value) <= 1")
+                         f"TIMESTAMP '{REGDATETIME}' AS regdatetime, DATE '{AS_OF}' AS dt FROM rv WHERE length(value) <= 1")
 ORACLE["rule_min_max"] = (f"WITH {_RV_SQL} SELECT gamecode, \"column\", value AS data, CAST(10 AS DOUBLE) AS min, CAST(100 AS DOUBLE) AS max, "
-                          f"TIMESTAMP '{REGDATETIME}' AS regdatetime FROM rv "
-                          "WHERE TRY_CAST(value AS DOUBLE) < 10 OR TRY_CAST(value AS DOUBLE) > 100")
+                          f"TIMESTAMP '{REGDATETIME}' AS regdatetime, DATE '{AS_OF}' AS dt FROM rv "
+                          "WHERE x < 10 OR x > 100")
 ORACLE["rule_min_only"] = (f"WITH {_RV_SQL} SELECT gamecode, \"column\", value AS data, CAST(10 AS DOUBLE) AS min, "
-                           f"CAST(NULL AS DOUBLE) AS max, TIMESTAMP '{REGDATETIME}' AS regdatetime FROM rv "
-                           "WHERE TRY_CAST(value AS DOUBLE) < 10")
+                           f"CAST(NULL AS DOUBLE) AS max, TIMESTAMP '{REGDATETIME}' AS regdatetime, DATE '{AS_OF}' AS dt FROM rv "
+                           "WHERE x < 10")
 
 
 # --------------------------------------------------------- sampling, copies
@@ -450,17 +454,16 @@ def q_page_by_row_number(spark, sf_dir):
 
 
 ORACLE["sample_rows"] = (f"SELECT o_totalprice FROM orders WHERE o_totalprice IS NOT NULL "
-                         f"ORDER BY md5('{SEED}' || CAST(o_orderkey AS VARCHAR)), o_totalprice LIMIT 100")
+                         f"ORDER BY md5('{SEED}' || '|' || length(CAST(o_orderkey AS VARCHAR)) || ':' || CAST(o_orderkey AS VARCHAR)), o_totalprice LIMIT 100")
 ORACLE["sample_per_series"] = (f"SELECT o_orderpriority, o_totalprice FROM (SELECT o_orderpriority, o_totalprice, "
-                               f"ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY md5('{SEED}' || "
-                               "CAST(o_orderkey AS VARCHAR)), o_totalprice) AS rn FROM orders "
+                               f"ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY md5('{SEED}' || '|' || length(CAST(o_orderkey AS VARCHAR)) || ':' || CAST(o_orderkey AS VARCHAR)), o_totalprice) AS rn FROM orders "
                                "WHERE o_totalprice IS NOT NULL) x WHERE rn <= 40")
 ORACLE["sample_rows_md5"] = (f"SELECT p_name, md5(p_name) AS md5 FROM (SELECT p_name FROM part WHERE p_name IS NOT NULL "
-                             f"ORDER BY md5('{SEED}' || CAST(p_partkey AS VARCHAR)), p_name LIMIT 50) x")
+                             f"ORDER BY md5('{SEED}' || '|' || length(CAST(p_partkey AS VARCHAR)) || ':' || CAST(p_partkey AS VARCHAR)), p_name LIMIT 50) x")
 ORACLE["distinct_values"] = "SELECT p_type FROM part WHERE p_type IS NOT NULL GROUP BY p_type"
 ORACLE["distinct_values_md5"] = "SELECT p_brand, md5(p_brand) AS md5 FROM part WHERE p_brand IS NOT NULL GROUP BY p_brand"
 ORACLE["extract"] = (f"SELECT c_mktsegment, md5(c_mktsegment) AS md5 FROM (SELECT c_mktsegment FROM customer "
-                     f"WHERE c_mktsegment IS NOT NULL ORDER BY md5('{SEED}' || CAST(c_custkey AS VARCHAR)), "
+                     f"WHERE c_mktsegment IS NOT NULL ORDER BY md5('{SEED}/train' || '|' || length(CAST(c_custkey AS VARCHAR)) || ':' || CAST(c_custkey AS VARCHAR)), "
                      "c_mktsegment LIMIT 20) x")
 ORACLE["extract_all"] = ("SELECT c_mktsegment, md5(c_mktsegment) AS md5 FROM customer WHERE c_mktsegment IS NOT NULL "
                          "GROUP BY c_mktsegment")
@@ -478,12 +481,13 @@ def string_values(spark, sf_dir) -> DataFrame:
 
 
 def string_profile_df(spark, sf_dir) -> DataFrame:
-    return ST.fit_string_profile(string_values(spark, sf_dir), KEYS)
+    """Profiles in the reference's encoding: the first 16 bytes."""
+    return ST.fit_string_profile(string_values(spark, sf_dir), KEYS, seq_len=ST.SEQ_LEN)
 
 
 def string_scores_df(spark, sf_dir) -> DataFrame:
     vals = string_values(spark, sf_dir)
-    return ST.score_strings(ST.fit_string_profile(vals, KEYS), vals, KEYS)
+    return ST.score_strings(ST.fit_string_profile(vals, KEYS, seq_len=ST.SEQ_LEN), vals, KEYS, seq_len=ST.SEQ_LEN)
 
 
 def q_encode_positions(spark, sf_dir):
@@ -521,8 +525,9 @@ def q_score_metrics(spark, sf_dir):
 
 
 def q_score_summary(spark, sf_dir):
-    return _round(C.score_summary(string_scores_df(spark, sf_dir), KEYS, "value", "score",
-                                  sample_count=3, sample_length=6))
+    scores = materialize(string_scores_df(spark, sf_dir), "scores")        # read twice by the summary
+    return _round(C.score_summary(scores, KEYS, "value", "score", sample_count=3, sample_length=6, dt=AS_OF,
+                                  regdatetime=REGDATETIME))
 
 
 _SV_SQL = """
@@ -589,7 +594,8 @@ ranked AS (
   FROM ss
 )
 SELECT gamecode, "column", rank, CAST(COUNT(*) AS BIGINT) AS count,
-       string_agg(CASE WHEN rn <= 3 THEN s END, '_|_' ORDER BY rn) AS sample
+       string_agg(CASE WHEN rn <= 3 THEN s END, '_|_' ORDER BY rn) AS sample, DATE '2024-01-20' AS dt,
+       TIMESTAMP '2024-01-21 00:00:00' AS regdatetime
 FROM ranked GROUP BY 1, 2, 3"""
 
 
@@ -619,7 +625,7 @@ def q_score_day(spark, sf_dir):
 
 
 def q_sorted_scores(spark, sf_dir):
-    scores = _round(string_scores_df(spark, sf_dir)).where(F.col("column") == "p_name")
+    scores = _round(string_scores_df(spark, sf_dir))
     path = scratch_path(spark, "sorted_scores")
     SK.export_sorted_scores(scores, path)
     return RD.read_delimited(spark, path, "score DOUBLE, value STRING")
@@ -653,32 +659,27 @@ ld AS (
 )
 SELECT 'events' AS gamecode, 'value' AS "column", CAST(dt AS DATE) AS dt, value, ROUND(log_density, 6) AS log_density,
        ROUND(-log_density, 6) AS score FROM ld"""
-ORACLE["sorted_scores"] = (f"WITH {_SV_SQL} SELECT ROUND(score, 6) AS score, value FROM ss WHERE \"column\" = 'p_name'")
+ORACLE["sorted_scores"] = (f"WITH {_SV_SQL} SELECT ROUND(score, 6) AS score, value FROM ss")
 
 
 # ------------------------------------------------- train -> score -> report
 def q_value_report(spark, sf_dir):
     from .scoring import numeric_score_report
     ev = _events(spark, sf_dir).withColumn("column", F.lit("value"))
-    return _round(numeric_score_report(ev, "ts", "value", AS_OF, KEYS, sample_size=200, row_key=["event_id"],
-                                       seed=SEED, sample_count=3))
+    return _round(numeric_score_report(ev, "ts", "value", AS_OF, KEYS, sample_count=3, regdatetime=REGDATETIME))
 
 
 def q_string_report(spark, sf_dir):
     from .scoring import string_score_report
     ev = _events(spark, sf_dir).withColumn("column", F.lit("props"))
-    return _round(string_score_report(ev, "ts", "props", AS_OF, KEYS, sample_size=200, row_key=["event_id"],
-                                      seed=SEED, sample_count=3, sample_length=8).withColumnRenamed("props", "value"))
+    return _round(string_score_report(ev, "ts", "props", AS_OF, KEYS, sample_count=3, sample_length=8,
+                                      regdatetime=REGDATETIME))
 
 
 def _train_sql(col: str) -> str:
     return f"""
-tr AS (
-  SELECT {col} AS value FROM (
-    SELECT {col}, ROW_NUMBER() OVER (ORDER BY md5('{SEED}' || CAST(event_id AS VARCHAR)), {col}) AS rn
-    FROM events WHERE ts >= TIMESTAMP '2024-01-19' AND ts < TIMESTAMP '2024-01-20' AND {col} IS NOT NULL) x
-  WHERE rn <= 200
-),
+tr AS (SELECT {col} AS value FROM events
+       WHERE ts >= TIMESTAMP '2024-01-19' AND ts < TIMESTAMP '2024-01-20' AND {col} IS NOT NULL),
 te AS (SELECT DISTINCT {col} AS value FROM events
        WHERE ts >= TIMESTAMP '2024-01-20' AND ts < TIMESTAMP '2024-01-21' AND {col} IS NOT NULL)"""
 
@@ -692,7 +693,8 @@ ranked AS (
   FROM sc
 )
 SELECT 'events' AS gamecode, COL AS "column", rank, CAST(COUNT(*) AS BIGINT) AS count,
-       string_agg(CASE WHEN rn <= 3 THEN s END, '_|_' ORDER BY rn) AS sample
+       string_agg(CASE WHEN rn <= 3 THEN s END, '_|_' ORDER BY rn) AS sample, DATE '2024-01-20' AS dt,
+       TIMESTAMP '2024-01-21 00:00:00' AS regdatetime
 FROM ranked GROUP BY rank"""
 
 
@@ -706,22 +708,37 @@ sc AS (
 ),
 {_report_sql(None).replace("COL", "'value'")}"""
 
+def _whole_string_sql(train: str, test: str, by: str) -> str:
+    """Scores of ``test`` under the whole-value profile of ``train`` (relations with
+    ``by`` columns, as in ``g, c``, and ``value``), in ASCII text."""
+    on = lambda a, b: " AND ".join(f"{a}.{x.strip()} = {b}.{x.strip()}" for x in by.split(","))
+    pick = lambda a: ", ".join(f"{a}.{x.strip()}" for x in by.split(","))
+    return f"""
+w_n AS (SELECT {by}, COUNT(*) AS n_train, MAX(length(value)) AS len FROM {train} GROUP BY ALL),
+w_cell AS (SELECT {by}, i - 1 AS pos, ascii(substr(value, CAST(i AS BIGINT), 1)) % 128 AS code
+           FROM (SELECT *, unnest(range(1, length(value) + 1)) AS i FROM {train})),
+w_prof AS (SELECT {pick('w_cell')}, pos, code, (COUNT(*) + 1) / (any_value(n_train) + 2) AS prob
+           FROM w_cell JOIN w_n ON {on('w_cell', 'w_n')} GROUP BY ALL),
+w_const AS (
+  SELECT {pick('w_n')}, any_value(1 / (n_train + 2)) AS p0,
+         SUM(ln(1 - prob)) + (any_value(len) * 128 - COUNT(*)) * ln(1 - any_value(1 / (n_train + 2))) AS const
+  FROM w_n JOIN w_prof ON {on('w_n', 'w_prof')} GROUP BY ALL),
+w_val AS (SELECT DISTINCT {by}, value FROM {test} WHERE value IS NOT NULL),
+w_hot AS (SELECT {by}, value, i - 1 AS pos, ascii(substr(value, CAST(i AS BIGINT), 1)) % 128 AS code
+          FROM (SELECT *, unnest(range(1, length(value) + 1)) AS i FROM w_val)),
+w_sum AS (
+  SELECT {pick('w_hot')}, w_hot.value, SUM(ln(COALESCE(prob, p0)) - ln(1 - COALESCE(prob, p0))) AS hot
+  FROM w_hot JOIN w_const ON {on('w_hot', 'w_const')}
+  LEFT JOIN w_prof ON {on('w_hot', 'w_prof')} AND w_hot.pos = w_prof.pos AND w_hot.code = w_prof.code GROUP BY ALL),
+w_score AS (
+  SELECT {pick('w_val')}, w_val.value, const + COALESCE(hot, 0) AS log_likelihood, -(const + COALESCE(hot, 0)) AS score
+  FROM w_val JOIN w_const ON {on('w_val', 'w_const')}
+  LEFT JOIN w_sum ON {on('w_val', 'w_sum')} AND w_val.value = w_sum.value)"""
+
+
 ORACLE["string_report"] = f"""WITH {_train_sql("props")},
-ntr AS (SELECT COUNT(*) AS n_train FROM tr),
-cells AS (SELECT CAST(i - 1 AS INTEGER) AS pos, ascii(substr(value, i, 1)) % 128 AS code
-          FROM tr CROSS JOIN range(1, 17) r(i) WHERE i <= length(value)),
-prof AS (SELECT pos, code, CAST(COUNT(*) + 1 AS DOUBLE) / (MAX(ntr.n_train) + 2) AS prob
-         FROM cells CROSS JOIN ntr GROUP BY pos, code),
-consts AS (
-  SELECT SUM(ln(1 - prob)) + (2048 - COUNT(*)) * ln(1 - 1 / CAST((SELECT n_train FROM ntr) + 2 AS DOUBLE)) AS const,
-         ln(1 / CAST((SELECT n_train FROM ntr) + 2 AS DOUBLE)) - ln(1 - 1 / CAST((SELECT n_train FROM ntr) + 2 AS DOUBLE)) AS odds0
-  FROM prof),
-hot AS (SELECT value, CAST(i - 1 AS INTEGER) AS pos, ascii(substr(value, i, 1)) % 128 AS code
-        FROM te CROSS JOIN range(1, 17) r(i) WHERE i <= length(value)),
-hs AS (SELECT hot.value, SUM(COALESCE(ln(prof.prob) - ln(1 - prof.prob), consts.odds0)) AS h
-       FROM hot CROSS JOIN consts LEFT JOIN prof ON hot.pos = prof.pos AND hot.code = prof.code GROUP BY hot.value),
-sc AS (SELECT te.value, -(consts.const + COALESCE(hs.h, 0)) AS score
-       FROM te CROSS JOIN consts LEFT JOIN hs ON te.value = hs.value),
+tr1 AS (SELECT 1 AS g, value FROM tr), te1 AS (SELECT 1 AS g, value FROM te),
+{_whole_string_sql("tr1", "te1", "g")}, sc AS (SELECT value, score FROM w_score),
 {_report_sql(8).replace("COL", "'props'")}"""
 
 
@@ -816,3 +833,175 @@ QUERIES = {
     "lines_roundtrip": q_lines_roundtrip,
     "name_columns": q_name_columns,
 }
+
+
+# ------------------------------------------- further queries of round 2
+def q_sample_null_keys(spark, sf_dir):
+    """The row key holds NULLs and fewer rows are asked for than there are."""
+    od = _t(spark, sf_dir, "orders").withColumn("k", F.expr("if(o_orderkey % 2 = 0, null, o_orderkey)"))
+    return S.sample_rows(od, "o_orderkey", 5000, key=["k", "o_custkey", "o_totalprice"], seed=SEED)
+
+
+def q_extract_eval(spark, sf_dir):
+    """An eval sample that shares no row with the train sample."""
+    return S.extract(_t(spark, sf_dir, "orders"), "o_orderkey", kind="eval", size=300, key=["o_orderkey"], seed=SEED, disjoint=True)
+
+
+def q_number_rows(spark, sf_dir):
+    """Every row numbered, all columns kept."""
+    return S.page_by_row_number(_t(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 0, 1 << 60)
+
+
+def q_page_across_partitions(spark, sf_dir):
+    return S.page_by_row_number(_t(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey"], 3000, 11999)
+
+
+def _long_values(spark, sf_dir) -> DataFrame:
+    """Texts that agree in their first 16 bytes and differ behind them."""
+    return _t(spark, sf_dir, "part").select(F.lit("part").alias("gamecode"), F.lit("long").alias("column"),
+                                            F.concat(F.lit("the same start: "), "p_type", F.lit("/"), F.col("p_brand"),
+                                                     F.repeat(F.lit("%"), F.col("p_size") % 7)).alias("value"))
+
+
+def q_string_scores_long(spark, sf_dir):
+    """Whole values, half of them in training: bytes behind the training lengths cost too."""
+    vals = _long_values(spark, sf_dir)
+    profile = ST.fit_string_profile(vals.where(F.length("value") < 45), KEYS)
+    return _round(ST.score_strings(profile, vals, KEYS))
+
+
+def _day_strings(spark, sf_dir) -> DataFrame:
+    return _events(spark, sf_dir).select("gamecode", F.lit("props").alias("column"), F.to_date("ts").alias("dt"),
+                                         F.col("props").alias("value"))
+
+
+def q_score_day_strings(spark, sf_dir):
+    vals = _day_strings(spark, sf_dir)
+    models = ST.fit_string_profile(vals.withColumnRenamed("dt", "model_dt"), [*KEYS, "model_dt"])
+    return _round(ST.score_day_strings(models, vals, KEYS))
+
+
+def q_score_day_versions(spark, sf_dir):
+    """Each day's model is stored in two versions; the newest (on all rows) wins."""
+    vals = kde_values(spark, sf_dir)
+    train = vals.withColumnRenamed("dt", "model_dt")
+    old = KD.fit_kde(train.where("value < 50"), [*KEYS, "model_dt"]).withColumn("version", F.lit(1))
+    new = KD.fit_kde(train, [*KEYS, "model_dt"]).withColumn("version", F.lit(2))
+    stored = materialize(old.unionByName(new), "model_versions")
+    return _round(KD.score_day(stored, vals, KEYS))
+
+
+def q_kde_shifted(spark, sf_dir):
+    """Every value of day D comes in another unit: far from the whole model."""
+    vals = kde_values(spark, sf_dir)
+    model = KD.fit_kde(vals.where(F.col("dt") == F.lit(AS_OF - _dt.timedelta(days=1))), KEYS)
+    day = vals.where(F.col("dt") == F.lit(AS_OF)).withColumn("value", F.col("value") * 60 + 1000)
+    return _round(KD.score_kde(model, day, KEYS))
+
+
+def q_eval_metrics(spark, sf_dir):
+    from .scoring import evaluate_strings
+    rows = _events(spark, sf_dir).select("gamecode", F.lit("props").alias("column"), "event_id", F.col("props").alias("value"))
+    return _round(evaluate_strings(rows, "value", KEYS, ["event_id"], SEED))
+
+
+def _daily_store(spark, sf_dir) -> dict:
+    """Days D-7..D counted one after the other into the stored tables."""
+    from .checks import write_daily_checks
+    out, paths = scratch_path(spark, "daily"), {}
+    for back in range(7, -1, -1):
+        paths = write_daily_checks(_events(spark, sf_dir), "ts", null_columns(), ["event_type"], AS_OF - _dt.timedelta(days=back), out)
+    return paths
+
+
+def q_stored_null_threshold(spark, sf_dir):
+    t = spark.read.parquet(_daily_store(spark, sf_dir)["null_threshold"]).where(F.col("dt") == F.lit(AS_OF))
+    return _round(t.select(*KEYS, "bucket_dt", "threshold"))
+
+
+def q_stored_freq_threshold(spark, sf_dir):
+    t = spark.read.parquet(_daily_store(spark, sf_dir)["freq_threshold"]).where(F.col("dt") == F.lit(AS_OF))
+    return _round(t.select(*KEYS, "dt", "class", "lowerbound", "upperbound"))
+
+
+def q_daily_rules(spark, sf_dir):
+    from .checks import write_daily_rules
+    paths = write_daily_rules(rule_values(spark, sf_dir), AS_OF, scratch_path(spark, "rules"), keys=KEYS, regdatetime=REGDATETIME)
+    parts = [spark.read.parquet(p).select(*KEYS, "data", F.lit(n).alias("rule"), "dt", "regdatetime") for n, p in paths.items()]
+    return parts[0].unionByName(parts[1])
+
+
+_ODD_TEXT = ("concat(' ', p_type)", "concat(p_type, ' ')", "concat('a', char(9), 'b', p_type)", "concat(p_brand, char(10), p_type)",
+             "concat(char(34), p_brand, char(34), char(13))", "concat(p_type, char(92))", "''", "cast(null as string)",
+             "concat(char(92), 'N')")
+
+
+def q_text_roundtrip(spark, sf_dir):
+    """Texts with edge spaces, tabs, line ends, quotes, backslashes, empty and NULL."""
+    cases = " ".join(f"when {i} then {e}" for i, e in enumerate(_ODD_TEXT))
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.expr(f"case p_partkey % {len(_ODD_TEXT)} {cases} end").alias("value"))
+    path = scratch_path(spark, "odd_text")
+    SK.write_delimited(part, path)
+    return RD.read_delimited(spark, path, "p_partkey BIGINT, value STRING").withColumn("value", F.hex(F.encode("value", "UTF-8")))
+
+
+def q_read_dated_paths(spark, sf_dir):
+    """Day folders of class counts, one of them missing."""
+    root = scratch_path(spark, "dated")
+    counts = materialize(_event_counts(spark, sf_dir), "dated_counts")
+    for back in range(7, -1, -1):
+        day = AS_OF - _dt.timedelta(days=back)
+        if back != 2:
+            SK.write_delimited(counts.where(F.col("dt") == F.lit(day)).select("class", "cnt"), f"{root}/{day:%Y%m%d}/freq_count")
+    return RD.read_dated_paths(spark, root, AS_OF, 7, "freq_count", "class STRING, cnt BIGINT")
+
+
+def _key(col: str) -> str:
+    return f"coalesce('|' || length(CAST({col} AS VARCHAR)) || ':' || CAST({col} AS VARCHAR), '|NULL')"
+
+
+ORACLE["sample_null_keys"] = f"""
+SELECT o_orderkey FROM orders
+ORDER BY md5('{SEED}' || coalesce('|' || length(CAST(CASE WHEN o_orderkey % 2 <> 0 THEN o_orderkey END AS VARCHAR)) || ':'
+             || CAST(CASE WHEN o_orderkey % 2 <> 0 THEN o_orderkey END AS VARCHAR), '|NULL') || {_key("o_custkey")} || {_key("o_totalprice")}),
+         o_orderkey LIMIT 5000"""
+ORACLE["extract_eval"] = f"""
+SELECT o_orderkey FROM orders
+WHERE CAST('0x' || substr(md5('{SEED}/split' || {_key("o_orderkey")}), 1, 8) AS BIGINT) % 100 BETWEEN 80 AND 89
+ORDER BY md5('{SEED}/eval' || {_key("o_orderkey")}), o_orderkey LIMIT 300"""
+ORACLE["number_rows"] = "SELECT *, ROW_NUMBER() OVER (ORDER BY o_totalprice, o_orderkey) AS rnum FROM orders"
+ORACLE["page_across_partitions"] = ("SELECT *, ROW_NUMBER() OVER (ORDER BY o_custkey, o_orderkey) AS rnum FROM orders "
+                                    "QUALIFY rnum BETWEEN 3001 AND 12000")
+ORACLE["string_scores_long"] = f"""WITH lv AS (
+  SELECT 'part' AS g, 'long' AS c, 'the same start: ' || p_type || '/' || p_brand || repeat('%', p_size % 7) AS value FROM part),
+lt AS (SELECT * FROM lv WHERE length(value) < 45),
+{_whole_string_sql("lt", "lv", "g, c")}
+SELECT g AS gamecode, c AS "column", value, ROUND(log_likelihood, 6) AS log_likelihood, ROUND(score, 6) AS score FROM w_score"""
+ORACLE["score_day_strings"] = f"""WITH tr AS (SELECT CAST(ts AS DATE) + 1 AS dt, props AS value FROM events WHERE props IS NOT NULL),
+te AS (SELECT CAST(ts AS DATE) AS dt, props AS value FROM events),
+{_whole_string_sql("tr", "te", "dt")}
+SELECT 'events' AS gamecode, 'props' AS "column", dt, value, ROUND(log_likelihood, 6) AS log_likelihood, ROUND(score, 6) AS score FROM w_score"""
+ORACLE["score_day_versions"] = ORACLE["score_day"]
+ORACLE["kde_shifted"] = ORACLE["kde_scores"].replace("SELECT DISTINCT value FROM events", "SELECT DISTINCT value * 60 + 1000 AS value FROM events")
+ORACLE["eval_metrics"] = f"""WITH ev AS (
+  SELECT 'events' AS g, 'props' AS c, props AS value, CAST('0x' || substr(md5('{SEED}/split' || {_key("event_id")}), 1, 8) AS BIGINT) % 100 AS u
+  FROM events WHERE props IS NOT NULL),
+tr AS (SELECT g, c, value FROM ev WHERE u < 80), te AS (SELECT g, c, value FROM ev WHERE u BETWEEN 80 AND 89),
+{_whole_string_sql("tr", "te", "g, c")}
+SELECT te.g AS gamecode, te.c AS "column", ROUND(AVG(score), 6) AS distortion, COUNT(*) AS n
+FROM te JOIN w_score ON te.value = w_score.value GROUP BY ALL"""
+ORACLE["stored_null_threshold"] = ORACLE["null_threshold"]
+ORACLE["stored_freq_threshold"] = (f"WITH {_FC_SQL}, {_FREQ_SQL} SELECT {_FTHR_COLS} FROM fthr "
+                                   "WHERE gamecode = 'events' AND dt = DATE '2024-01-20'")
+ORACLE["daily_rules"] = f"""WITH {_RV_SQL}
+SELECT gamecode, "column", value AS data, rule, DATE '{AS_OF}' AS dt, TIMESTAMP '{REGDATETIME}' AS regdatetime
+FROM rv, (VALUES ('rule_length'), ('rule_min_max')) AS r(rule)
+WHERE (rule = 'rule_length' AND length(value) <= 2) OR (rule = 'rule_min_max' AND (x < 10 OR x > 100))"""
+ORACLE["text_roundtrip"] = """SELECT p_partkey, hex(encode(CASE p_partkey % 9 WHEN 0 THEN ' ' || p_type WHEN 1 THEN p_type || ' '
+  WHEN 2 THEN 'a' || chr(9) || 'b' || p_type WHEN 3 THEN p_brand || chr(10) || p_type WHEN 4 THEN '"' || p_brand || '"' || chr(13)
+  WHEN 5 THEN p_type || chr(92) WHEN 6 THEN '' WHEN 8 THEN chr(92) || 'N' END)) AS value FROM part"""
+ORACLE["read_dated_paths"] = f"""WITH {_FC_SQL} SELECT class, cnt, dt FROM fc
+WHERE gamecode = 'events' AND dt BETWEEN DATE '2024-01-13' AND DATE '2024-01-20' AND dt <> DATE '2024-01-18'"""
+
+QUERIES |= {name.removeprefix("q_"): fn for name, fn in list(globals().items())
+            if name.startswith("q_") and name.removeprefix("q_") not in QUERIES}
