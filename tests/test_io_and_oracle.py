@@ -123,3 +123,29 @@ def test_daily_checks_rerun_leaves_same_tables(spark):
     assert {str(r.dt) for r in spark.read.parquet(paths["null_threshold"]).select("dt").distinct().collect()} == \
         {"2024-01-19", "2024-01-20"}
     assert len(first["freq_count"]) == 10 and 200 < len(first["null_threshold"]) <= 2 * 144
+
+
+def test_delimited_keeps_every_text(spark):
+    from qualmark.sources.readers import read_delimited, read_lines
+    from qualmark.sources.sinks import write_delimited
+    odd = [" a", "a ", "a", "x\ny", "t\tu", 'q"r', '"q"', "b\\", "\\N", "\\\\t", "\r", "\u0001", "", None, "\u0001t", "\\n"]
+    df = spark.createDataFrame([(i, v, None if i % 3 else i / 7) for i, v in enumerate(odd)], "i int, v string, d double")
+    path = scratch_path(spark, "t_text")
+    write_delimited(df, path)
+    back = read_delimited(spark, path, "i int, v string, d double")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    bad = scratch_path(spark, "t_bad")
+    spark.createDataFrame([("1\tx",), ("one\ty",), ("2",), ("3\tz\tw",)], "value string").write.text(bad)
+    rows = read_delimited(spark, bad, "n int, v string", on_error="report").collect()
+    assert sorted((r.n or 0, r._corrupt_record is not None) for r in rows) == [(0, True), (1, False), (2, True), (3, True)]
+    with pytest.raises(Exception, match="malformed line"):
+        read_delimited(spark, bad, "n int, v string").collect()
+    lines = scratch_path(spark, "t_lines")
+    spark.createDataFrame([("header",), ("",), ('"q"',), ("a\u0001b",)], "value string").coalesce(1).write.text(lines)
+    assert sorted(r.value for r in read_lines(spark, lines, skip_header=True).collect()) == sorted(["", '"q"', "a\u0001b"])
+
+
+def test_null_keys_are_series(spark):
+    from qualmark.operators.counts import day_totals
+    df = spark.createDataFrame([("g", "2024-01-01", 2), (None, "2024-01-01", 3)], "gamecode string, dt string, cnt int")
+    assert day_totals(df, ["gamecode"]).count() == 2

@@ -61,10 +61,14 @@ def _md5(s):
     return hashlib.md5(s.encode()).hexdigest()
 
 
+def _key(v):
+    return "|NULL" if v is None else f"|{len(str(v))}:{v}"
+
+
 def test_sample_rows_exact_top_n(spark):
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     rows = orders.select("o_orderkey", "o_totalprice").collect()
-    want = sorted(rows, key=lambda r: (_md5("s1" + str(r.o_orderkey)), r.o_totalprice))[:37]
+    want = sorted(rows, key=lambda r: (_md5("s1" + _key(r.o_orderkey)), r.o_totalprice))[:37]
     got = S.sample_rows(orders, "o_totalprice", 37, key=["o_orderkey"], seed="s1").collect()
     assert sorted(r.o_totalprice for r in got) == sorted(r.o_totalprice for r in want)
     # more rows asked than exist: every non-null row
@@ -94,6 +98,52 @@ def test_page_by_row_number(spark):
         assert sorted((r.o_orderkey, r.rnum) for r in got) == want
 
 
+@pytest.mark.parametrize("parts", ["1", "3", "8"])
+def test_numbers_are_right_across_partitions(spark, parts):
+    """All columns kept, a shuffled input of many files, several partition counts."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").repartition(7)
+        keys = sorted((r.o_totalprice, r.o_orderkey) for r in orders.select("o_totalprice", "o_orderkey").collect())
+        want = {k: i + 1 for i, (_, k) in enumerate(keys)}
+        for df in (S.number_rows(orders, ["o_totalprice", "o_orderkey"]),
+                   S.page_by_row_number(orders, ["o_totalprice", "o_orderkey"], 3000, 11_000)):
+            assert df.columns == [*orders.columns, "rnum"]
+            got = {r.o_orderkey: r.rnum for r in df.select("o_orderkey", "rnum").collect()}
+            assert all(want[k] == n for k, n in got.items())
+            assert len(got) in (len(want), 8001)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_samples_keep_null_keys_whole_seeds_and_kinds_apart(spark):
+    df = spark.range(1000).select(F.expr("if(id % 2 = 0, null, id)").alias("k"), F.col("id").alias("v"),
+                                  F.expr("if(id < 500, null, 's')").alias("series"))
+    assert S.sample_rows(df, "v", 900, key=["k", "v"]).count() == 900
+    assert S.sample_rows(df, "v", 2000, key=["k"]).count() == 1000
+    per = S.sample_per_series(df, ["series"], "v", 400, key=["v"]).groupBy("series").count().collect()
+    assert sorted((r["series"] or "", r["count"]) for r in per) == [("", 400), ("s", 400)]
+    draw = lambda seed: {r.v for r in S.sample_rows(df, "v", 200, key=["v"], seed=seed).collect()}
+    assert 10 < len(draw("train1") & draw("train2")) < 80
+    unkeyed = [{r.v for r in S.sample_rows(df, "v", 200, seed=s).collect()} for s in ("train1", "train2")]
+    assert unkeyed[0] != unkeyed[1]
+    kind = lambda k, **kw: {r.v for r in S.extract(df, "v", k, size=100, key=["v"], **kw).collect()}
+    assert 0 < len(kind("train") & kind("eval")) < 40
+    assert not kind("train", disjoint=True) & kind("eval", disjoint=True)
+    assert S.hash_order_key("s", "a") is not None
+
+
+def test_min_max_takes_only_numbers(spark):
+    vals = spark.createDataFrame([(v,) for v in ("9.9", "10", "100.5", "abc", "", None, "NaN", "inf", "-Infinity", "250d", "1e3", ".5", "+7", "5.")],
+                                 "value string")
+    got = sorted(r.data for r in R.rule_min_max(vals, dt="2024-01-20").collect())
+    assert got == sorted(["9.9", "100.5", "1e3", ".5", "+7", "5."])
+    assert "dt" in R.rule_length(vals, dt="2024-01-20").columns
+    doubles = spark.createDataFrame([(5.0,), (float("nan"),), (float("inf"),), (50.0,)], "value double")
+    assert [r.data for r in R.rule_min_max(doubles).collect()] == [5.0]
+
+
 def test_copy_table(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     got = [r.o_orderkey for r in S.copy_table(orders, 5, ["o_orderkey"]).collect()]
@@ -118,7 +168,7 @@ def test_sample_per_series_exact(spark):
     for r in rows:
         by.setdefault(r.o_orderpriority, []).append(r)
     want = sorted((p, r.o_totalprice) for p, rs in by.items()
-                  for r in sorted(rs, key=lambda r: (_md5("z" + str(r.o_orderkey)), r.o_totalprice))[:25])
+                  for r in sorted(rs, key=lambda r: (_md5("z" + _key(r.o_orderkey)), r.o_totalprice))[:25])
     assert sorted((r.o_orderpriority, r.o_totalprice) for r in got) == want
     # a series smaller than n gives all its rows; the unkeyed mode gives n rows per series
     small = orders.where("o_orderkey < 40")

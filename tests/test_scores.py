@@ -40,12 +40,12 @@ def brute_scores(train, test, alpha=1.0, seq_len=16, size=128):
     n = len(train)
     cnt = {}
     for v in train:
-        for i, c in enumerate(codes_py(v)):
+        for i, c in enumerate(codes_py(v, seq_len)):
             cnt[(i, c)] = cnt.get((i, c), 0) + 1
     p0 = alpha / (n + 2 * alpha)
     out = {}
     for v in test:
-        hot = {(i, c) for i, c in enumerate(codes_py(v))}
+        hot = {(i, c) for i, c in enumerate(codes_py(v, seq_len))}
         ll = 0.0
         for i in range(seq_len):
             for c in range(size):
@@ -61,8 +61,8 @@ def test_string_scores_brute_force(spark):
     test = list(set(train[:10])) + ["zzzz", "abca", "", "a'b\tc", "ñ"]
     tr = spark.createDataFrame([("g", "c", v) for v in train], "gamecode string, column string, value string")
     te = spark.createDataFrame([("g", "c", v) for v in test], "gamecode string, column string, value string")
-    prof = ST.fit_string_profile(tr, KEYS)
-    got = {r.value: r.score for r in ST.score_strings(prof, te, KEYS).collect()}
+    prof = ST.fit_string_profile(tr, KEYS, seq_len=16)
+    got = {r.value: r.score for r in ST.score_strings(prof, te, KEYS, seq_len=16).collect()}
     want = brute_scores(train, test)
     assert set(got) == set(want)
     for v in want:
@@ -199,6 +199,34 @@ def test_large_model_path_gives_same_scores(spark, monkeypatch):
         assert got[str(x)] == pytest.approx(brute_kde(centres, x), rel=1e-11, abs=1e-9)
     words = ["abc", "abd", "xyz", "abca"]
     sv = spark.createDataFrame([("g", "c", w) for w in words], "gamecode string, column string, value string")
-    small = {r.value: r.score for r in ST.score_strings(ST.fit_string_profile(sv, KEYS), sv, KEYS).collect()}
+    small = {r.value: r.score for r in ST.score_strings(ST.fit_string_profile(sv, KEYS, seq_len=16), sv, KEYS, seq_len=16).collect()}
     want = brute_scores(words, words)
     assert all(small[w] == pytest.approx(want[w], rel=1e-10) for w in words)
+
+
+def test_string_scores_see_whole_values(spark):
+    train = ["aaaaaaaaaaaaaaaaXX", "aaaaaaaaaaaaaaaaXY", "bb"]
+    test = ["aaaaaaaaaaaaaaaaXX", "aaaaaaaaaaaaaaaa<script>%%%", "aaaaaaaaaaaaaaaaXX%", ""]
+    frame = lambda vs: spark.createDataFrame([("g", None, v) for v in vs], "gamecode string, column string, value string")
+    got = {r.value: r.score for r in ST.score_strings(ST.fit_string_profile(frame(train), KEYS), frame(test), KEYS).collect()}
+    assert len(got) == 4                                              # a NULL in the series key is a series like any other
+    assert got[test[1]] > got[test[2]] > got[test[0]]
+    want = brute_scores(train, test[:1], seq_len=18)
+    assert got[test[0]] == pytest.approx(want[test[0]], rel=1e-10)
+
+
+@pytest.mark.parametrize("h", [1.0, 0.3, 7.0])
+def test_kde_far_and_huge_values(spark, h):
+    rnd = random.Random(9)
+    centres = [rnd.gauss(0, 30) for _ in range(150)] + [1000.0, 1000.01, 1e5, 1e19, 1e19 + 1e4, -1e15, 1e300, -3e16, -3e16 + 4]
+    tests = [rnd.gauss(0, 60) for _ in range(60)] + [rnd.uniform(900, 1e5) for _ in range(20)] + [
+        1e19, 1e21, -1e21, 2.0 ** 53, -3e16 + 2, 1e150, -1e15 + 30, -1e15 - 11]
+    m = spark.createDataFrame([("g", None, c, 1) for c in centres], "gamecode string, column string, centre double, weight bigint")
+    t = spark.createDataFrame([("g", None, x) for x in tests] + [("g", None, 1e300), ("g", None, float("nan")), ("z", None, 1.0)],
+                              "gamecode string, column string, value double")
+    got = {repr(r.value): r.log_density for r in KD.score_kde(m, t, KEYS, bandwidth=h).collect()}
+    assert len(got) == len(tests) + 2 and got["nan"] is None
+    for x in tests:
+        e = [-0.5 * ((x - c) / h) ** 2 for c in centres if abs(x - c) / h < 1e153]
+        want = max(e) + math.log(math.fsum(math.exp(v - max(e)) for v in e)) - math.log(len(centres) * h) - 0.5 * math.log(2 * math.pi)
+        assert got[repr(x)] == pytest.approx(want, rel=1e-9), x
