@@ -62,10 +62,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's own folder below the shared checkpoint folder."""
+    app = spark.conf.get("spark.app.id", "app")
+    return os.path.join(ensure_checkpoint_dir(spark), "qualmark-scratch", app)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "qualmark-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder name below the application's scratch folder."""
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def clear_scratch(spark: SparkSession, name: str = "") -> None:
+    """Delete the intermediate tables this application wrote (those of ``name`` only,
+    if given). Call it when no DataFrame that reads them is needed any more: a
+    finished job's results are written, its intermediate tables are not."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    found = jvm.org.apache.hadoop.fs.Path(os.path.join(_scratch_root(spark), f"{name}-*" if name else "*"))
+    fs = found.getFileSystem(conf)
+    for status in fs.globStatus(found) or []:
+        fs.delete(status.getPath(), True)
 
 
 def materialize(df, name: str = "stage"):
@@ -121,5 +137,5 @@ def cluster_settings(input_bytes: int | None = None) -> dict[str, str]:
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.autoBroadcastJoinThreshold": str(BROADCAST_MAX_BYTES),
         "spark.sql.parquet.filterPushdown": "true",
-        "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     }

@@ -1,14 +1,10 @@
 """Ten-minute null counts on a stream (the D1 count, incremental).
 
-The reference recounted whole days in batch; late rows were only picked up by
-re-running a day. Here the same count runs under Structured Streaming:
-``withWatermark`` bounds the state (buckets older than the watermark are
-final and dropped from state), ``window(ts, '10 minutes')`` is the same
-epoch-aligned tumbling bucket as the batch operator, and each micro-batch's
-updated buckets are appended with their epoch id to a Parquet log, so the
-current count of a bucket is its row from the newest epoch. The log is
-idempotent per epoch (a replayed epoch overwrites its own folder), which makes
-the sink exactly-once across executor or driver restarts.
+Counts add up, so no state is kept between micro-batches and no row is ever too
+late: each micro-batch is counted by the batch operator and appended to a
+Parquet log under its epoch, and the count of a bucket is the sum over the
+epochs. The log is idempotent per epoch (a replayed epoch overwrites its own
+folder), which makes the sink exactly-once across executor or driver restarts.
 """
 
 from __future__ import annotations
@@ -16,49 +12,27 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import epoch_micros, from_epoch_seconds
-from ..operators.counts import _named_columns
+from ..operators.counts import null_count
 from ..session import scratch_path
 
 
-def null_count_stream(stream: DataFrame, ts: str, columns, keys: Iterable[str] = (), bucket: str = "10 minutes",
-                      watermark: str = "1 day", column_name: str = "column") -> DataFrame:
-    """Streaming ``null_count``: ``keys..., column, bucket_dt, null_count, total_count``."""
-    keys = list(keys)
-    named = _named_columns(columns)
-    aggs = [F.count(F.lit(1)).alias("total_count")]
-    aggs += [F.count_if(expr.isNull()).alias(f"__n{i}") for i, (_, expr) in enumerate(named)]
-    # watermarks need TIMESTAMP; go through epoch micros so the wall-clock
-    # NTZ value maps to the same instant whatever the session time zone
-    if dict(stream.dtypes).get(ts) == "timestamp_ntz":
-        stream = stream.withColumn(ts, F.timestamp_micros(epoch_micros(ts)))
-    wide = stream.withWatermark(ts, watermark).groupBy(*keys, F.window(ts, bucket).alias("__w")).agg(*aggs)
-    pairs = F.array(*[F.struct(F.lit(name).alias(column_name), F.col(f"__n{i}").alias("null_count"))
-                      for i, (name, _) in enumerate(named)])
-    start = from_epoch_seconds(F.unix_seconds(F.col("__w.start")))
-    return wide.select(*keys, start.alias("bucket_dt"), "total_count", F.inline(pairs)).select(
-        *keys, column_name, "bucket_dt", "null_count", "total_count")
-
-
-def append_epochs(updates: DataFrame, log_path: str, checkpoint: str, trigger: dict | None = None):
-    """Start the query: every micro-batch's updated rows go to ``log_path/epoch=N``."""
+def append_counts(stream: DataFrame, ts: str, columns, log_path: str, checkpoint: str, keys: Iterable[str] = (),
+                  trigger: dict | None = None):
+    """Start the query: the counts of every micro-batch go to ``log_path/epoch=N``."""
     def write(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
+        null_count(batch, ts, columns, keys).write.mode("overwrite").parquet(f"{log_path}/epoch={epoch}")
 
-    writer = updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(**(trigger or {"availableNow": True}))
-    return writer.start()
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def current_counts(spark: SparkSession, log_path: str, keys: Iterable[str] = (), column_name: str = "column") -> DataFrame:
-    """Compact the epoch log: the newest row of each (series, bucket)."""
-    keys = [*keys, column_name, "bucket_dt"]
-    log = spark.read.parquet(log_path)
-    w = Window.partitionBy(*keys).orderBy(F.desc("epoch"))
-    return log.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "epoch")
+    """The counts of all epochs so far, added up per series and bucket."""
+    return spark.read.parquet(log_path).groupBy(*keys, column_name, "bucket_dt").agg(
+        F.sum("null_count").alias("null_count"), F.sum("total_count").alias("total_count"))
 
 
 def run_available(spark: SparkSession, path: str, columns, out: str | None = None, keys: Iterable[str] = (),
@@ -66,12 +40,10 @@ def run_available(spark: SparkSession, path: str, columns, out: str | None = Non
     """Process all files now under ``path`` (``availableNow``) and return the counts."""
     out = out or scratch_path(spark, "null_count_stream")
     schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000)
     local = path[len("file:"):] if path.startswith("file:") else path
     if os.path.isfile(local):     # a stream source watches a folder: filter it to this file
         reader = reader.option("pathGlobFilter", os.path.basename(local))
         path = os.path.dirname(path)
-    stream = reader.parquet(path)
-    query = append_epochs(null_count_stream(stream, ts, columns, keys), f"{out}/log", f"{out}/checkpoint")
-    query.awaitTermination()
+    append_counts(reader.parquet(path), ts, columns, f"{out}/log", f"{out}/checkpoint", keys).awaitTermination()
     return current_counts(spark, f"{out}/log", keys)

@@ -149,3 +149,26 @@ def test_null_keys_are_series(spark):
     from qualmark.operators.counts import day_totals
     df = spark.createDataFrame([("g", "2024-01-01", 2), (None, "2024-01-01", 3)], "gamecode string, dt string, cnt int")
     assert day_totals(df, ["gamecode"]).count() == 2
+
+
+def test_stream_counts_late_rows(spark):
+    """Rows months behind the newest ones, arriving in a later batch, still count."""
+    from qualmark.streaming.null_count_stream import run_available
+    src, out = scratch_path(spark, "t_late_in"), scratch_path(spark, "t_late_out")
+    rows = lambda day, v: spark.createDataFrame([(v,)], "v string").withColumn("ts", F.expr(f"TIMESTAMP_NTZ'{day} 10:05:00'"))
+    rows("2024-06-01", "a").write.mode("append").parquet(src)
+    assert run_available(spark, src, ["v"], out).count() == 1
+    rows("2024-01-01", None).unionByName(rows("2024-06-01", "b")).write.mode("append").parquet(src)
+    got = sorted((str(r.bucket_dt), r.null_count, r.total_count) for r in run_available(spark, src, ["v"], out).collect())
+    assert got == [("2024-01-01 10:00:00", 1, 1), ("2024-06-01 10:00:00", 0, 2)]
+
+
+def test_scratch_is_cleared(spark):
+    from qualmark.session import clear_scratch, materialize
+    other = spark.newSession()
+    df = materialize(other.range(5).toDF("x"), "t_clear")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
+    clear_scratch(spark, "t_clear")
+    assert not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
