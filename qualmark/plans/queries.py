@@ -513,7 +513,7 @@ def q_rank_anomalies(spark, sf_dir):
 
 
 def q_latent_scores(spark, sf_dir):
-    """rows-only check (the eigen-decomposition has no SQL oracle)."""
+    """reconstruction error of the two leading components."""
     from ..operators import latent as LT
     vals = string_values(spark, sf_dir)
     out = LT.latent_scores(LT.fit_latent(vals, KEYS), vals, KEYS)
@@ -1003,5 +1003,44 @@ ORACLE["text_roundtrip"] = """SELECT p_partkey, hex(encode(CASE p_partkey % 9 WH
 ORACLE["read_dated_paths"] = f"""WITH {_FC_SQL} SELECT class, cnt, dt FROM fc
 WHERE gamecode = 'events' AND dt BETWEEN DATE '2024-01-13' AND DATE '2024-01-20' AND dt <> DATE '2024-01-18'"""
 
+# The latent score as the formulas have it: covariance of the seen cells as a matrix,
+# its first two eigenvectors by power iteration with deflation, the reconstruction error.
+ORACLE["latent_scores"] = f"""WITH {_SV_SQL},
+lcell AS (SELECT g, c, pos, code, row_number() OVER (PARTITION BY g, c ORDER BY pos, code) AS i, cnt / n_train AS mu FROM prof),
+lval AS (  -- each training string as its set of cells, equal strings weighted
+  SELECT cells.g, cells.c, cells.value, any_value(w) AS w, list(i ORDER BY i) AS idx
+  FROM (SELECT DISTINCT g, c, value, CAST(p - 1 AS INTEGER) AS pos, ascii(substr(value, p, 1)) % 128 AS code
+        FROM sv CROSS JOIN range(1, 17) r(p) WHERE p <= length(value)) cells
+  JOIN (SELECT g, c, value, count(*) AS w FROM sv GROUP BY ALL) ws ON ws.g = cells.g AND ws.c = cells.c AND ws.value = cells.value
+  JOIN lcell ON lcell.g = cells.g AND lcell.c = cells.c AND lcell.pos = cells.pos AND lcell.code = cells.code GROUP BY cells.g, cells.c, cells.value),
+lgram AS (
+  SELECT g, c, a, b, sum(w) AS n FROM (SELECT g, c, w, a, unnest(idx) AS b FROM (SELECT *, unnest(idx) AS a FROM lval)) GROUP BY ALL),
+lcov AS (
+  SELECT x.g, x.c, x.i AS a, list(coalesce(n / n_train, 0) - x.mu * y.mu ORDER BY y.i) AS cov
+  FROM lcell x JOIN lcell y ON x.g = y.g AND x.c = y.c JOIN ntr ON ntr.g = x.g AND ntr.c = x.c
+  LEFT JOIN lgram ON lgram.g = x.g AND lgram.c = x.c AND lgram.a = x.i AND lgram.b = y.i GROUP BY ALL),
+lmat AS (SELECT g, c, list(cov ORDER BY a) AS m FROM lcov GROUP BY ALL),
+lone AS (
+  SELECT g, c, m, list_reduce(list_transform(range(0, 400), lambda k: list_transform(m, lambda r: CAST(IF(k = 0, 1 + r[1], k % 10) AS DOUBLE))),
+    lambda v, k: CASE WHEN k[1] <> 0 THEN list_transform(m, lambda r: list_inner_product(r, v))
+                      ELSE list_transform(v, lambda e: e / sqrt(list_inner_product(v, v))) END) AS v
+  FROM lmat),
+lunit AS (SELECT g, c, m, list_transform(v, lambda e: e / sqrt(list_inner_product(v, v))) AS v1 FROM lone),
+ldef AS (
+  SELECT g, c, m, v1, list_transform(m, lambda r, a: list_transform(r, lambda e, b: e - lam * v1[a] * v1[b])) AS m2
+  FROM (SELECT *, list_inner_product(v1, list_transform(m, lambda r: list_inner_product(r, v1))) AS lam FROM lunit)),
+ltwo AS (
+  SELECT g, c, v1, m2, list_reduce(list_transform(range(0, 400), lambda k: list_transform(m2, lambda r: CAST(IF(k = 0, 1 + r[1], k % 10) AS DOUBLE))),
+    lambda v, k: CASE WHEN k[1] <> 0 THEN list_transform(m2, lambda r: list_inner_product(r, v))
+                      ELSE list_transform(v, lambda e: e / sqrt(list_inner_product(v, v))) END) AS v
+  FROM ldef),
+lvec AS (SELECT g, c, v1, list_transform(v, lambda e: e / sqrt(list_inner_product(v, v))) AS v2 FROM ltwo),
+lmu AS (SELECT g, c, list(mu ORDER BY i) AS mu FROM lcell GROUP BY ALL)
+SELECT lval.g AS gamecode, lval.c AS "column", value,
+  ROUND(len(idx) - 2 * list_sum(list_transform(idx, lambda i: mu[i])) + list_inner_product(mu, mu)
+        - pow(list_sum(list_transform(idx, lambda i: v1[i])) - list_inner_product(mu, v1), 2)
+        - pow(list_sum(list_transform(idx, lambda i: v2[i])) - list_inner_product(mu, v2), 2), 6) AS score
+FROM lval JOIN lvec ON lvec.g = lval.g AND lvec.c = lval.c JOIN lmu ON lmu.g = lval.g AND lmu.c = lval.c"""
+
 QUERIES |= {name.removeprefix("q_"): fn for name, fn in list(globals().items())
             if name.startswith("q_") and name.removeprefix("q_") not in QUERIES}
