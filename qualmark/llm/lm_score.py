@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .packing import batch_text, expand, pack_documents, squeeze
+from .packing import batch_text, expand, pack_documents, rows_of, squeeze
 from .textops import U64, Words, mix
 
 ALPHA = 0.01
@@ -137,7 +137,7 @@ def _answers(questions: DataFrame, ranges: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []                      # rows arrive sorted by range: one range is held at a time
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in rows_of(batch):
                 if held and held[0][0] != row[0]:
                     yield from answer(held)
                     held = []

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .components import components
-from .packing import batch_text, expand_bytes, pack_documents, squeeze_bytes
+from .packing import batch_text, expand_bytes, pack_documents, rows_of, squeeze_bytes
 from .textops import U64, Words, mix, pack, repeat_ranges, unpack
 
 WORDS = 5                        # words per shingle
@@ -105,7 +105,7 @@ def sketches(packed: DataFrame, runs: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lens, text, name, ids, hashes in zip(*(c.to_pylist() for c in b.columns)):
+            for lens, text, name, ids, hashes in rows_of(b):
                 h, edge = shingle_sets(Words(*batch_text(lens, text)))
                 pick = chosen(h, edge, max(SIGNATURE, runs * DEPTH))
                 path = np.ascontiguousarray(pick[:, :runs * DEPTH]).view(np.int64)
@@ -213,7 +213,7 @@ def group_sets(packed: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lens, text, want in zip(*(c.to_pylist() for c in b.columns)):
+            for lens, text, want in rows_of(b):
                 h, edge = shingle_sets(Words(*batch_text(lens, text)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([x["cid"] for x in want], pa.int64()),

@@ -43,6 +43,12 @@ def expand_bytes(b: bytes) -> np.ndarray:
     return np.frombuffer(zstd.ZstdDecompressor().decompress(b), np.uint8)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of an Arrow batch, one at a time: a batch of packed texts is not copied whole."""
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in batch.columns)
+
+
 def batch_text(lens: bytes, text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a packed batch."""
     return expand_bytes(text), np.concatenate([[0], np.cumsum(expand(lens, np.int64))])

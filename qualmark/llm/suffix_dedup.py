@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .packing import BATCH_BYTES, batch_text, expand, expand_bytes, pack_documents, squeeze, squeeze_bytes
+from .packing import BATCH_BYTES, batch_text, expand, expand_bytes, pack_documents, rows_of, squeeze, squeeze_bytes
 from .textops import U64, merge_spans, mix, powers
 
 LENGTH = 100
@@ -303,7 +303,7 @@ def _repeated_leads(packed: DataFrame, ranges: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lens, text, name in zip(*(c.to_pylist() for c in batch.columns)):
+            for lens, text, name in rows_of(batch):
                 keys, count = np.unique(choose_suffixes(*batch_text(lens, text))[4], return_counts=True)
                 edge = np.searchsorted(keys, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64))
                 for r, (a, b) in enumerate(zip(edge, np.append(edge[1:], len(keys)))):
@@ -331,7 +331,7 @@ def _repeated_leads(packed: DataFrame, ranges: int) -> DataFrame:
                     names=["range", "batch", "n", "bits", "hits"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in rows_of(batch):
                 if held and held[0][0] != row[0]:
                     yield from flush()
                     held = []
@@ -395,7 +395,7 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
 
     def sample(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
+            for row in rows_of(b):
                 lead = np.concatenate([_lead(s.ctx) for s in _repeated_suffixes(*row)])
                 pick = np.unique(np.linspace(0, len(lead) - 1, min(len(lead), SAMPLE_SUFFIXES)).astype(int))
                 yield pa.RecordBatch.from_arrays([pa.array([x.ljust(SPLIT_BYTES, b"\0") for x in lead[pick].tolist()], pa.binary())],
@@ -411,7 +411,7 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
 
     def cut(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
+            for row in rows_of(b):
                 for left, names_, found in _combine_all(_repeated_suffixes(*row)):
                     if left is None:
                         yield from _window_rows(names_, found, int(names_[0][:8], 16) % (len(shipped.value) + 1))
@@ -434,7 +434,7 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
                 yield from _suffix_rows([(where[0], *left.encode())])
 
         for b in batches_:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
+            for row in rows_of(b):
                 if row[1] is None:                     # windows found earlier
                     yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _SUFFIX_TYPES + _WINDOW_TYPES)],
                                                      names=_BOTH_NAMES)
@@ -479,7 +479,7 @@ def suffix_dedup(docs: DataFrame, fan_in: int = FAN_IN, range_suffixes: int = RA
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lens, text, ids, found in zip(*(c.to_pylist() for c in b.columns)):
+            for lens, text, ids, found in rows_of(b):
                 buf, off = batch_text(lens, text)
                 idx, lo, hi = (np.concatenate([expand(f[c], np.int64) for f in found or []] + [np.zeros(0, np.int64)])
                                for c in ("idx", "lo", "hi"))
