@@ -8,9 +8,9 @@ splitting only loses pairs). Runs are repeated until a pair at the threshold
 has met in some bucket with the target recall.
 
 Buckets are brute-forced in two steps, so that a pair that meets in many runs
-is not verified, shuffled or counted many times. First, signatures: a bucket's
-pivots draw in everything that could be similar to what they stand for, which
-joins sets into candidate groups. Then every candidate group is verified
+is not verified, shuffled or counted many times. First, every pair of a bucket
+is compared by short signatures, which joins sets into candidate groups. Then
+every candidate group is verified
 once and exactly, in tiles of blocks of members, with each set written as its
 difference from one set of its group.
 
@@ -45,10 +45,10 @@ WORDS = 5                        # words per shingle
 THRESHOLD = Fraction(4, 5)
 DEPTH = 2                        # choices along a path
 RECALL = 0.9999                  # for a pair at the threshold whose paths split DEPTH times
-SIGNATURE = 64                   # chosen shingles compared by pivots, a byte of each
+SIGNATURE = 64                   # chosen shingles of a signature, a byte of each
 BUCKET = 1024                    # sets brute-forced together
 DENSE = 0.5                      # a bucket with more than this in one part is not split
-NEAR, DRAWN = 0.75, 0.4          # estimated similarity to a pivot: needs no pivot of its own; candidate of the pivot
+ALIKE = 0.5                      # signature agreement of candidates: six deviations below what the threshold gives
 BLOCK = 512                      # members of a tile's side
 
 
@@ -168,23 +168,12 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield held
 
 
-def draw_in(sig: np.ndarray) -> np.ndarray:
-    """Candidate groups of a bucket: for each set the first set of its group.
-    A pivot joins the groups of all that it draws in.
-
-    A set within NEAR of a pivot needs no pivot of its own: whatever is similar
-    to it is, by the triangle inequality of the Jaccard distance, close enough
-    to that pivot to be drawn in too (with room for the estimate's error).
-    """
-    left = np.ones(len(sig), bool)
+def candidate_groups(sig: np.ndarray) -> np.ndarray:
+    """For each set of a bucket the first set of its group: sets whose signatures
+    agree in a share of at least ALIKE are in one group, directly or over others."""
     group = np.arange(len(sig))
     for i in range(len(sig)):
-        if not left[i]:
-            continue
-        est = (sig == sig[i]).mean(axis=1)
-        left[est >= NEAR] = False
-        left[i] = False
-        met = np.unique(group[est >= DRAWN])
+        met = np.unique(group[(sig == sig[i]).mean(axis=1) >= ALIKE])
         if len(met) > 1:
             group[np.isin(group, met)] = met[0]
     return group
@@ -198,7 +187,7 @@ def candidate_links(leaves: DataFrame, classes: DataFrame, bucket: int = BUCKET)
             cid = np.array([r[1] for r in tile], np.int64)
             sig = np.frombuffer(b"".join(r[2] for r in tile), np.uint8).reshape(len(tile), SIGNATURE)
             by = np.argsort(cid, kind="stable")
-            cid, group = cid[by], draw_in(sig[by])
+            cid, group = cid[by], candidate_groups(sig[by])
             yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(cid[group])], names=["a", "b"])
 
     return _blocked(rows, "leaf", "n", bucket, ["cid", "sig"]).select("tile", "cid", "sig") \
