@@ -60,9 +60,9 @@ def test_kde_joins_make_a_bounded_number_of_rows(spark):
     """Neither a near nor a shifted value meets more than a few dozen bins, however many centres there are."""
     keys = ["gamecode", "column"]
     model = spark.createDataFrame([("g", "c", i / 40.0, 1) for i in range(4000)], "gamecode string, column string, __c double, weight bigint")
-    bins = model.withColumn("__bin", KD._bin(F.col("__c"))).groupBy(*keys, "__bin").agg(
-        *KD._moments(F.col("__c") - KD._middle(F.col("__bin")), F.lit(1.0)), F.sum("weight").alias("__w"),
-        F.min("__c").alias("__min"), F.max("__c").alias("__max"))
+    bins = KD._moment_table(model.withColumn("__bin", KD._bin(F.col("__c"))), [*keys, "__bin"],
+                            F.col("__c") - KD._middle(F.col("__bin")), F.lit(1.0), F.sum("weight").alias("__w"),
+                            F.min("__c").alias("__min"), F.max("__c").alias("__max"))
     near = spark.createDataFrame([(i, i / 7.0, 4000, "g", "c") for i in range(600)],
                                  "__id bigint, __z double, __ntot bigint, gamecode string, column string")
     p = plan(KD._near_pass(near, bins, keys, 1.0, -20.0))
