@@ -163,3 +163,11 @@ def pack(docs: DataFrame) -> Column:
 def unpack(docs: DataFrame, row: str = "row") -> list[Column]:
     """The columns of ``docs`` again: ``text`` as it now is, the others from the struct."""
     return [F.col("text") if c == "text" else F.col(f"{row}.`{c}`").alias(c) for c in docs.columns]
+
+
+def few_rows(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
+    """``n`` rows (all, if fewer) of smallest key hash. Only about ``4 n`` rows of the
+    ``total`` pass the first filter, so the tasks' candidates do not add up with their number."""
+    h = F.pmod(F.xxhash64(key), F.lit(1 << 31))
+    cut = (1 << 31) if total <= 4 * n else (4 * n << 31) // total
+    return df.where(h < cut).orderBy(h, key).limit(n)

@@ -32,7 +32,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textops import slices
+from .textops import few_rows, slices
 
 # Fixed values of the format.
 DICT_MAGIC = 0x184D2A5D
@@ -188,9 +188,9 @@ def read_archive(data: bytes) -> Iterator[Record]:
 def train_dictionary(pages: DataFrame, payload: str = "payload", page_id: str = "page_id") -> bytes | None:
     """A dictionary from a bounded sample: the ``DICT_SAMPLE`` pages of smallest
     id hash, the leading ``DICT_SAMPLE_BYTES`` of each. None if they are too few or too alike."""
-    rows = pages.select(F.substring(F.col(payload), 1, DICT_SAMPLE_BYTES).alias("p"), F.xxhash64(page_id).alias("h"),
-                        F.col(page_id).alias("id")).orderBy("h", "id", "p").limit(DICT_SAMPLE).collect()
-    samples = [bytes(r.p) for r in rows if r.p]
+    some = pages.select(F.substring(F.col(payload), 1, DICT_SAMPLE_BYTES).alias("p"), F.col(page_id).alias("id"))
+    rows = few_rows(some, "id", DICT_SAMPLE, pages.count()).collect()
+    samples = sorted(bytes(r.p) for r in rows if r.p)
     if len(samples) < 16:
         return None
     try:
