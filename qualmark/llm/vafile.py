@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .textops import few_rows
 
 BITS = 6
 CELLS = 1 << BITS
@@ -68,8 +69,8 @@ def classes(vectors: DataFrame, k: int) -> DataFrame:
 
 def cell_borders(cls: DataFrame) -> dict[int, np.ndarray]:
     """Per vector length, the inner cell borders of each component: quantiles of
-    a sample of ``SAMPLE`` distinct vectors, smallest key first."""
-    rows = cls.select("key", "dim", "ints").orderBy("key").limit(SAMPLE).collect()
+    a sample of ``SAMPLE`` distinct vectors, smallest hash first."""
+    rows = few_rows(cls.select("key", "dim", "ints"), "key", SAMPLE, cls.count()).collect()
     out = {}
     for dim in {r.dim for r in rows}:
         m = np.array([r.ints for r in rows if r.dim == dim], dtype=np.int64)
