@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .packing import BATCH_BYTES, batch_text, expand, expand_bytes, pack_documents, rows_of, squeeze, squeeze_bytes
-from .textops import U64, merge_spans, mix, powers
+from .textops import U64, few_rows, merge_spans, mix, powers
 
 LENGTH = 100
 LEAD = 37                        # bytes hashed to choose a suffix, and compared by splitters
@@ -403,7 +403,7 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
 
     splitters = np.zeros(0, f"S{SPLIT_BYTES}")
     if ranges > 1:
-        names = [r.batch for r in leads.where("hits > 0").select("batch").orderBy("batch").limit(SAMPLE_BATCHES).collect()]
+        names = [r.batch for r in few_rows(leads.where("hits > 0").select("batch"), "batch", SAMPLE_BATCHES, batches).collect()]
         got = sorted(bytes(r.lead) for r in src.where(F.col("batch").isin(names)).mapInArrow(sample, "lead binary").collect())
         pick = np.linspace(0, len(got), ranges, endpoint=False).astype(int)[1:]
         splitters = np.unique(np.array([got[i] for i in pick], f"S{SPLIT_BYTES}"))
