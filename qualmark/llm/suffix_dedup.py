@@ -403,9 +403,10 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
 
     splitters = np.zeros(0, f"S{SPLIT_BYTES}")
     if ranges > 1:
-        names = [r.batch for r in few_rows(leads.where("hits > 0").select("batch"), "batch", SAMPLE_BATCHES, batches).collect()]
+        some = leads.where("hits > 0").select("batch")
+        names = [r.batch for r in few_rows(some, "batch", SAMPLE_BATCHES, some.count()).collect()]
         got = sorted(bytes(r.lead) for r in src.where(F.col("batch").isin(names)).mapInArrow(sample, "lead binary").collect())
-        pick = np.linspace(0, len(got), ranges, endpoint=False).astype(int)[1:]
+        pick = np.linspace(0, len(got), ranges, endpoint=False).astype(int)[1:] if got else []
         splitters = np.unique(np.array([got[i] for i in pick], f"S{SPLIT_BYTES}"))
     shipped = packed.sparkSession.sparkContext.broadcast(splitters)
 
