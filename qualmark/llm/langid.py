@@ -180,10 +180,12 @@ def has_letter() -> "F.Column":
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 
 
-def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` plus ``lang_pred`` and ``score``; only
-    ``text`` reaches the network."""
-    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+def predict(docs: DataFrame, model: Model | None, keep: list[str],
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of ``docs`` plus the predicted language and its score under
+    ``names`` (they replace kept columns so named); only ``text`` reaches the network."""
+    keep = [c for c in keep if c not in names]
+    row = F.struct(F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in keep]).alias("row")
     src = docs.select(row, F.when(has_letter(), F.col("text")).alias("text"))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([src.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
@@ -204,7 +206,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                     [part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     names=["row", "lang_pred", "score"])
 
-    return src.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "lang_pred", "score")
+    return src.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in keep],
+                                              F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 
 def held_out(doc_id: str = "doc_id") -> "F.Column":

@@ -101,7 +101,8 @@ def drop_lines(text: str, starts: list[int], width: int = WIDTH) -> tuple[str |
 def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with the repeated lines cut out of ``text`` (null if none is left)
     and a struct ``line_dedup`` of ``n_lines``, ``n_removed`` (lines) and
-    ``n_spans`` (merged runs of removed lines)."""
+    ``n_spans`` (merged runs of removed lines); it replaces a column so named."""
+    docs = docs.drop("line_dedup")
     hits = repeated_windows(docs, width).select(F.col("doc").alias("d"), F.col("th").alias("t"), "starts")
     src = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text",
                       pack(docs).alias("row"))

@@ -155,6 +155,7 @@ def mix(docs: DataFrame, budget: float | None = -1.0, entropy: float | None = EN
     ``budget``: tokens to draw; -1 for as many as there are; None for the
     least that draws every source once.
     """
+    docs = docs.drop("mix")                  # the result replaces a column so named
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.col("doc_id").cast("long").alias("doc_id"), "source",
                         F.coalesce("n_tokens", F.lit(0)).cast("long").alias("tokens"),

@@ -70,6 +70,19 @@ def test_stages_take_nulls_and_no_rows(spark, tmp_path):
             stage(spark, df, src).collect()
 
 
+def test_stages_take_clashing_columns(spark, tmp_path):
+    src, *_ = small_world(spark, tmp_path)
+    docs = spark.read.parquet(f"{src}/documents.parquet")
+    for name in ("score", "lang_pred", "row", "key", "batch", "hash", "first", "spans", "items", "starts", "tokens", "s", "end"):
+        docs = docs.withColumn(name, F.lit(name))
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, src)
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select("score", "row", "batch", "end").distinct().collect()} == {("score", "row", "batch", "end")}
+    assert set(docs.columns) <= set(cp.STAGES[-1][1](spark, docs, src).columns)
+    assert cp.STAGES[-1][1](spark, docs.withColumn("mix", F.lit(1)).withColumn("n_tokens", F.lit("x")), src).count() > 0
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert [s[0] for s in cp.STAGES] == ["language id", "line dedup", "n-gram join", "decontamination", "source mixing"]
