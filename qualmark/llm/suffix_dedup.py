@@ -396,7 +396,8 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
     def sample(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_:
             for row in rows_of(b):
-                lead = np.concatenate([_lead(s.ctx) for s in _repeated_suffixes(*row)])
+                # a batch's equal suffixes travel once, so they count once
+                lead = np.unique(np.concatenate([_lead(s.ctx) for s in _repeated_suffixes(*row)]))
                 pick = np.unique(np.linspace(0, len(lead) - 1, min(len(lead), SAMPLE_SUFFIXES)).astype(int))
                 yield pa.RecordBatch.from_arrays([pa.array([x.ljust(SPLIT_BYTES, b"\0") for x in lead[pick].tolist()], pa.binary())],
                                                  names=["lead"])
