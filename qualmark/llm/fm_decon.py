@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textops import Words, column_bytes, merge_spans, repeat_ranges, slices
+from .textops import Words, column_bytes, merge_spans, repeat_ranges, slices, small_batches
 
 WINDOW = 10
 SHARD_BYTES = 3 << 20            # text per shard
@@ -293,6 +293,7 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     The benchmark streams through the driver one block at a time. A benchmark
     of several blocks takes one pass each, written to the shared folder between.
     """
+    small_batches(docs.sparkSession)
     row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(0)
     no_span = F.expr("cast(array() as array<struct<lo:int,hi:int>>)")
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
@@ -335,7 +336,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
             new = [cut_spans(t, s) if s else t for t, s in zip(text, b.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()), b.column(2)], names=["text", "row"])
 
-    found = contamination_spans(docs, benchmark, window, carry=docs.columns).select("text", "byte_spans", "row")
+    found = contamination_spans(docs, benchmark, window, carry=[c for c in docs.columns if c != "text"] or ["text"]).select("text", "byte_spans", "row")
     schema = found.drop("byte_spans").schema
     return found.mapInArrow(cut, schema).select(
         *[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

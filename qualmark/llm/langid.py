@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .textops import column_bytes, slices
+from .textops import column_bytes, slices, small_batches
 
 UND = "und"
 WIDTHS = (2, 3, 4)
@@ -153,6 +153,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WIN
     The ids are ranked without their texts (two narrow columns are scanned);
     only the chosen rows' windows come to the driver.
     """
+    small_batches(labelled.sparkSession)
     usable = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = [r.doc_id for r in usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(by))
@@ -184,18 +185,21 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str],
             names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Columns ``keep`` of ``docs`` plus the predicted language and its score under
     ``names`` (they replace kept columns so named); only ``text`` reaches the network."""
+    small_batches(docs.sparkSession)
     keep = [c for c in keep if c not in names]
-    row = F.struct(F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in keep]).alias("row")
-    src = docs.select(row, F.when(has_letter(), F.col("text")).alias("text"))
+    row = F.struct(F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in keep if c != "text"]).alias("row")
+    src = docs.select(row, "text", has_letter().alias("known"))
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([src.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    back = "text" in keep
+    schema = StructType([src.schema["row"]] + [src.schema["text"]] * back
+                        + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
         tables = m.tables() if m else None
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
-                n, known = part.num_rows, np.asarray(part.column(1).is_valid())
+            for part in slices(batch, "text", 1 << 20):
+                n, known = part.num_rows, np.asarray(part.column(2).to_numpy(zero_copy_only=False), bool)
                 lang, score = [UND] * n, np.zeros(n)
                 if m is not None:
                     p = m.predict(*column_bytes(part.column(1)), tables)
@@ -203,10 +207,10 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str],
                     score = np.where(known, np.minimum(p[np.arange(n), top], 1.0), 0.0)
                     lang = [m.langs[t] if k else UND for t, k in zip(top, known)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    names=["row", "lang_pred", "score"])
+                    [part.column(0), *[part.column(1)] * back, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
+                    names=schema.names)
 
-    return src.mapInArrow(run, schema).select(*[F.col(f"row.`{c}`").alias(c) for c in keep],
+    return src.mapInArrow(run, schema).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep],
                                               F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 

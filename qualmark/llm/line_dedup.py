@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .textops import U64, column_bytes, merge_spans, mix, pack, segment_hashes, slices, unpack
+from .textops import U64, column_bytes, merge_spans, mix, pack, segment_hashes, slices, small_batches, unpack
 
 WIDTH = 3
 BATCH_BYTES = 1 << 20
@@ -103,6 +103,7 @@ def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     and a struct ``line_dedup`` of ``n_lines``, ``n_removed`` (lines) and
     ``n_spans`` (merged runs of removed lines); it replaces a column so named."""
     docs = docs.drop("line_dedup")
+    small_batches(docs.sparkSession)
     hits = repeated_windows(docs, width).select(F.col("doc").alias("d"), F.col("th").alias("t"), "starts")
     src = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text",
                       pack(docs).alias("row"))

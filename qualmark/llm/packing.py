@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textops import column_bytes, slices
+from .textops import column_bytes, slices, small_batches
 
 BATCH_BYTES = 1 << 20            # text per batch; a longer document is a batch of its own
 
@@ -69,5 +69,6 @@ def pack_documents(docs: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -
                      pa.array([squeeze(np.diff(off))], pa.binary()), pa.array([squeeze_bytes(buf, 6)], pa.binary())],
                     names=[x.split()[0] for x in PACKED.split(", ")])
 
+    small_batches(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     return materialize(src.mapInArrow(run, PACKED), name)

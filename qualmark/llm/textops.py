@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -171,3 +171,17 @@ def few_rows(df: DataFrame, key: str, n: int, total: int) -> DataFrame:
     h = F.pmod(F.xxhash64(key), F.lit(1 << 31))
     cut = (1 << 31) if total <= 4 * n else (4 * n << 31) // total
     return df.where(h < cut).orderBy(h, key).limit(n)
+
+
+ARROW_ROWS, ARROW_BYTES = 1000, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``ARROW_ROWS`` rows and about ``ARROW_BYTES`` for the
+    session's later plans: ten thousand whole texts at once, on both sides of a
+    Python worker, are too much for small executors. Smaller settings stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS),
+                      ("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)):
+        now = str(spark.conf.get(key)).lower().rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))

@@ -32,7 +32,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textops import few_rows, slices
+from .textops import few_rows, slices, small_batches
 
 # Fixed values of the format.
 DICT_MAGIC = 0x184D2A5D
@@ -218,6 +218,7 @@ def with_revisits(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, records: int) -> None:
     """Write ``page_id, uri, payload, refers_to`` as archives below ``path``, of at
     most ``records`` frames each; every task writes what it holds."""
+    small_batches(pages.sparkSession)
     shipped = pages.sparkSession.sparkContext.broadcast(dictionary)
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
