@@ -62,8 +62,6 @@ def test_keep_first(spark):
 def test_nulls_and_empty_table(spark):
     t = "one two three four five six seven"
     got = nj.jaccard_join(docs_frame(spark, [(None, t), (4, t), (3, t.upper()), (7, None), (None, "else")])).collect()
-    assert sorted(map(str, got)) == sorted(map(str, [
-        (r) for r in got]))
     assert sorted((r.doc_id or 0, r.class_id or 0, r.n_links) for r in got) == [(0, 0, 0), (0, 3, 2), (3, 3, 2), (4, 3, 2), (7, 7, 0)]
     assert nj.jaccard_join(docs_frame(spark, [(1, t)]).limit(0)).count() == 0
 
