@@ -11,15 +11,22 @@ stands for the run of windows that chose it.
 
 1. Every batch of documents asks whether the leading bytes of its suffixes occur
    elsewhere; only repeated suffixes go on.
-2. Splitters are sampled from the suffixes' leading bytes. Each batch cuts its
-   repeated suffixes into ranges; equal suffixes of a batch travel once.
+2. Splitters are sampled from the suffixes' leading bytes, more for more ranges.
+   Each batch cuts its repeated suffixes into ranges; equal suffixes of a batch
+   travel once.
 3. A range sorts its suffixes by multikey quicksort, eight bytes a step. In the
    sorted order, common prefixes of neighbours give the classes of equal
-   windows; all but the earliest are repeats. Splitters compare at most
-   ``LEAD`` bytes, so no class of equal windows lies on both sides of a
-   boundary. Ranges of many batches are first combined in groups of batches,
-   so a passage found in a third of all documents never meets in one task.
-4. The repeated windows return to their batch, which merges and cuts them.
+   windows; all but the earliest are repeats. Splitters compare the ``LEAD``
+   bytes that all equal windows share, so no class of equal windows lies on
+   both sides of a boundary. Ranges of many batches are first combined in groups
+   of batches, so equal suffixes found in a third of all documents never meet
+   in one task.
+4. Leading bytes with more different contexts than a range holds (near either end
+   of a passage found in very many documents, every document has another context)
+   cannot be cut by splitters and do not shrink. Their windows are dealt to
+   tasks by a 128-bit hash of their bytes instead, once a piece of a batch, with the
+   earliest place there; the answer tells the batch which of them come later.
+5. The repeated windows return to their batch, which merges and cuts them.
 
 Cases: null text is empty; documents shorter than ``LENGTH`` bytes keep all;
 matches never cross documents; documents are ordered by ``doc_id`` (null
@@ -50,11 +57,13 @@ CONTEXT = LEFT + LENGTH
 PAD = 0xFF                       # no UTF-8 text holds this byte
 PIECE = 1 << 18                  # windows examined at once
 ROWS = 1 << 14                   # contexts built or compared at once
-SPLIT_BYTES = 16                 # of the leading bytes, compared with splitters
-RANGE_SUFFIXES = 60_000          # suffixes per range, about
+RANGE_SUFFIXES = 60_000          # suffixes per range, about; leading bytes with more contexts are dealt
 SAMPLE_BATCHES, SAMPLE_SUFFIXES = 32, 256
+RANGE_SAMPLE = 16                # sampled suffixes per range, at least
 FAN_IN = 4096                    # batches whose suffixes meet in one task
 ANCHOR_RANGE = 500_000           # leading-byte hashes counted per task, about
+DEALT_WINDOWS = 500_000          # dealt windows compared per task, about
+_BYTE_KEYS = mix(np.arange(256, dtype=np.uint64), 11)    # byte values of the second window hash
 
 
 # ------------------------------------------------------------ choose suffixes
@@ -297,38 +306,62 @@ def _window_rows(names: list[str], found: tuple[np.ndarray, ...], r: int = 0) ->
                                           *(pa.array([v], t) for v, t in zip(row, _WINDOW_TYPES))], names=_BOTH_NAMES)
 
 
-def _repeated_leads(packed: DataFrame, ranges: int) -> DataFrame:
-    """``batch, got``: per hash range, a bit for each distinct leading-byte hash of
-    the batch (in hash order) that occurs more than once in the corpus."""
+def _lead_counts(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The batch's leading-byte hashes in order, with the number of different
+    suffixes (context and windows) of each, and whether it has more than one suffix."""
+    at, first, last, doc, key = choose_suffixes(buf, off)
+    keys, group, count = np.unique(key, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(count[group] > 1)
+    h = np.zeros(len(rows), np.uint64)
+    for a in range(0, len(rows), ROWS):
+        r = rows[a:a + ROWS]
+        words = sort_words(contexts(buf, off, at[r], doc[r]))
+        reach = ((at[r] - last[r]) << 8 | (at[r] - first[r])).astype(np.uint64)
+        h[a:a + ROWS] = mix((words * powers(words.shape[1] + 1)[1:]).sum(axis=1, dtype=np.uint64) + mix(reach, 3))
+    by = np.lexsort((h, group[rows]))
+    g, h = group[rows][by], h[by]
+    again = np.bincount(g[1:][(g[1:] == g[:-1]) & (h[1:] != h[:-1])], minlength=len(keys))
+    return keys, 1 + again, count > 1
+
+
+def _repeated_leads(packed: DataFrame, ranges: int, most: int) -> DataFrame:
+    """``batch, got, hits, dealt``: per hash range, a bit for each distinct leading-byte
+    hash of the batch (in hash order) that occurs more than once in the corpus, and
+    one if batches send more than ``most`` suffixes with it; numbers of suffixes
+    with only the first bit, and with both."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lens, text, name in rows_of(batch):
-                keys, count = np.unique(choose_suffixes(*batch_text(lens, text))[4], return_counts=True)
+                keys, count, many = _lead_counts(*batch_text(lens, text))
                 edge = np.searchsorted(keys, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64))
                 for r, (a, b) in enumerate(zip(edge, np.append(edge[1:], len(keys)))):
                     if b > a:
                         row = (r, name, int(b - a), squeeze(np.diff(keys[a:b], prepend=U64(0))),
-                               np.packbits(count[a:b] > 1).tobytes())
+                               squeeze(count[a:b] << 1 | many[a:b]))
                         yield pa.RecordBatch.from_arrays(
                             [pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary()))],
-                            names=["range", "batch", "n", "steps", "multi"])
+                            names=["range", "batch", "n", "steps", "counts"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def flush():
             keys = np.concatenate([np.cumsum(expand(r[3], np.uint64), dtype=np.uint64) for r in held])
-            many = np.concatenate([np.unpackbits(np.frombuffer(r[4], np.uint8), count=r[2]) for r in held])
+            count = np.concatenate([expand(r[4], np.int64) for r in held])
             own, at = np.unique(keys, return_inverse=True)
-            bit = (np.bincount(at, weights=1 + many, minlength=len(own)) > 1)[at]
+            hit = (np.bincount(at, weights=1 + (count & 1), minlength=len(own)) > 1)[at]
+            count >>= 1
+            over = (np.bincount(at, weights=count, minlength=len(own)) > most)[at] & hit
             start = 0
             for r in held:
-                mine, start = bit[start:start + r[2]], start + r[2]
+                mine = slice(start, start + r[2])
+                start += r[2]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0]], pa.int32()), pa.array([r[1]]), pa.array([r[2]], pa.int32()),
-                     pa.array([np.packbits(mine).tobytes()], pa.binary()), pa.array([int(mine.sum())])],
-                    names=["range", "batch", "n", "bits", "hits"])
+                     pa.array([np.packbits(hit[mine]).tobytes()], pa.binary()), pa.array([np.packbits(over[mine]).tobytes()], pa.binary()),
+                     pa.array([int(count[mine][hit[mine] & ~over[mine]].sum())]), pa.array([int(count[mine][over[mine]].sum())])],
+                    names=["range", "batch", "n", "bits", "over", "hits", "dealt"])
 
         for batch in batches:
             for row in rows_of(batch):
@@ -339,19 +372,126 @@ def _repeated_leads(packed: DataFrame, ranges: int) -> DataFrame:
         if held:
             yield from flush()
 
-    asked = packed.select("lens", "text", "batch").mapInArrow(ask, "range int, batch string, n int, steps binary, multi binary")
+    asked = packed.select("lens", "text", "batch").mapInArrow(ask, "range int, batch string, n int, steps binary, counts binary")
     return asked.repartition(ranges, "range").sortWithinPartitions("range") \
-        .mapInArrow(answer, "range int, batch string, n int, bits binary, hits long") \
-        .groupBy("batch").agg(F.collect_list(F.struct("range", "n", "bits")).alias("got"), F.sum("hits").alias("hits"))
+        .mapInArrow(answer, "range int, batch string, n int, bits binary, over binary, hits long, dealt long") \
+        .groupBy("batch").agg(F.collect_list(F.struct("range", "n", "bits", "over")).alias("got"),
+                              F.sum("hits").alias("hits"), F.sum("dealt").alias("dealt"))
+
+
+def _answered(got: list, bits: str) -> np.ndarray:
+    """The bits of all ranges' answers to one question, in the order they were asked."""
+    parts = [np.unpackbits(np.frombuffer(g[bits], np.uint8), count=g["n"]) for g in sorted(got, key=lambda g: g["range"])]
+    return np.concatenate(parts).astype(bool)
+
+
+# ----------------------------------------------------------- dealt windows
+def _dealt_pieces(lens: bytes, text: bytes, got: list, ids: list, hashes: list) -> Iterator[tuple]:
+    """Windows of a batch's suffixes whose leading bytes are dealt, ``PIECE`` starts at
+    a time: piece, batch row, start in the row, class in the piece, whether it starts
+    later than the earliest of its class, and of each class (in hash order) both
+    hashes and the earliest place."""
+    buf, off = batch_text(lens, text)
+    _, first, last, doc, key = choose_suffixes(buf, off)
+    over = np.flatnonzero(_answered(got, "over")[np.searchsorted(np.unique(key), key)])
+    first, last, doc = first[over], last[over], doc[over]
+    none = np.iinfo(np.int64).min
+    ids = np.array([none if i is None else i for i in ids], np.int64)
+    hashes = np.array(hashes, np.int64)
+    for piece, a in enumerate(range(0, max(len(buf) - LENGTH + 1, 0), PIECE)):
+        here = slice(*np.searchsorted(first // PIECE, [piece, piece + 1]))      # a run of windows lies in one piece
+        if here.start == here.stop:
+            continue
+        size = last[here] - first[here] + 1
+        at = np.repeat(first[here] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        d = np.repeat(doc[here], size)
+        part = buf[a:a + PIECE + LENGTH - 1]
+        one, two = rolling_hash(part, LENGTH)[at - a], rolling_hash(_BYTE_KEYS[part], LENGTH)[at - a]
+        pos = at - off[d]
+        rank = earliest(ids[d], hashes[d], pos)
+        by = np.lexsort((rank, two, one))
+        new = np.ones(len(by), bool)
+        new[1:] = (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])
+        group = np.empty(len(by), np.int64)
+        group[by] = np.cumsum(new) - 1
+        e = by[new]
+        yield piece, d, pos, group, rank > rank[e][group], one[e], two[e], ids[d[e]], hashes[d[e]], pos[e]
+
+
+def _dealt_windows(src: DataFrame, ranges: int) -> DataFrame:
+    """Repeated windows (``WINDOW_ROW``) among those whose leading bytes are dealt."""
+    question = "range int, batch string, piece int, n int, " + ", ".join(f"{c} binary" for c in ("one", "two", "doc", "th", "pos"))
+    asks = [pa.int32(), pa.string(), pa.int32(), pa.int32()] + [pa.binary()] * 5
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lens, text, got, name, ids, hashes in rows_of(b):
+                for piece, *_, one, two, doc, th, pos in _dealt_pieces(lens, text, got, ids, hashes):
+                    edge = np.searchsorted(one, np.array([(i << 64) // ranges for i in range(ranges)], np.uint64))
+                    for r, (x, y) in enumerate(zip(edge, np.append(edge[1:], len(one)))):
+                        if y > x:
+                            row = (r, name, piece, int(y - x), squeeze(np.diff(one[x:y], prepend=U64(0))),
+                                   *(squeeze(c[x:y]) for c in (two, doc, th, pos)))
+                            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, asks)],
+                                                             names=[c.split()[0] for c in question.split(", ")])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def flush():
+            one = np.concatenate([np.cumsum(expand(r[4], np.uint64), dtype=np.uint64) for r in held])
+            two = np.concatenate([expand(r[5], np.uint64) for r in held])
+            rank = earliest(*(np.concatenate([expand(r[c], np.int64) for r in held]) for c in (6, 7, 8)))
+            by = np.lexsort((rank, two, one))
+            new = np.ones(len(by), bool)
+            new[1:] = (one[by][1:] != one[by][:-1]) | (two[by][1:] != two[by][:-1])
+            later = np.empty(len(by), bool)
+            later[by] = rank[by] > rank[by][new][np.cumsum(new) - 1]
+            start = 0
+            for r in held:
+                mine, start = later[start:start + r[3]], start + r[3]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0]], pa.int32()), pa.array([r[1]]), pa.array([r[2]], pa.int32()), pa.array([r[3]], pa.int32()),
+                     pa.array([np.packbits(mine).tobytes()], pa.binary())], names=["range", "batch", "piece", "n", "later"])
+
+        for b in batches:
+            for row in rows_of(b):
+                if held and held[0][0] != row[0]:
+                    yield from flush()
+                    held = []
+                held.append(row)
+        if held:
+            yield from flush()
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lens, text, got, name, ids, hashes, answers in rows_of(b):
+                by_piece: dict[int, list] = {}
+                for g in answers:
+                    by_piece.setdefault(g["piece"], []).append(g)
+                for piece, row, start, group, later, *_ in _dealt_pieces(lens, text, got, ids, hashes):
+                    at = np.flatnonzero(later | _answered(by_piece[piece], "later")[group])
+                    row, start = row[at], start[at]
+                    new = np.ones(len(at), bool)
+                    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+                    lo = np.flatnonzero(new)
+                    hi = np.append(lo[1:], len(at))[:len(lo)] - 1
+                    out = (name, len(lo), squeeze(row[lo]), squeeze(start[lo]), squeeze(start[hi]))
+                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(out, _WINDOW_TYPES)],
+                                                     names=[c.split()[0] for c in WINDOW_ROW.split(", ")])
+
+    answers = src.mapInArrow(ask, question).repartition(ranges, "range").sortWithinPartitions("range") \
+        .mapInArrow(answer, "range int, batch string, piece int, n int, later binary") \
+        .groupBy("batch").agg(F.collect_list(F.struct("range", "piece", "n", "later")).alias("answers"))
+    return src.join(answers, "batch").select("lens", "text", "got", "batch", "doc_ids", "hashes", "answers").mapInArrow(apply, WINDOW_ROW)
 
 
 def _repeated_suffixes(lens: bytes, text: bytes, got: list, name: str, ids: list, hashes: list) -> Iterator[Suffixes]:
-    """A batch's suffixes whose leading bytes are repeated, ROWS at a time."""
+    """A batch's suffixes whose leading bytes are repeated and not dealt, ROWS at a time."""
     buf, off = batch_text(lens, text)
     at, first, last, doc, key = choose_suffixes(buf, off)
-    bits = [np.unpackbits(np.frombuffer(g["bits"], np.uint8), count=g["n"]) for g in sorted(got, key=lambda g: g["range"])]
-    hit = np.concatenate(bits).astype(bool)[np.searchsorted(np.unique(key), key)]
-    rows = np.flatnonzero(hit)
+    hit = _answered(got, "bits") & ~_answered(got, "over")
+    rows = np.flatnonzero(hit[np.searchsorted(np.unique(key), key)])
     none = np.iinfo(np.int64).min
     ids = np.array([none if i is None else i for i in ids], np.int64)
     hashes = np.array(hashes, np.int64)
@@ -363,7 +503,7 @@ def _repeated_suffixes(lens: bytes, text: bytes, got: list, name: str, ids: list
 
 
 def _lead(ctx: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(ctx[:, LEFT:LEFT + SPLIT_BYTES]).view(f"S{SPLIT_BYTES}").reshape(-1)
+    return np.ascontiguousarray(ctx[:, LEFT:LEFT + LEAD]).view(f"S{LEAD}").reshape(-1)
 
 
 def _combine_all(parts: Iterator[Suffixes], most: int = 4 * ROWS) -> Iterator[tuple[Suffixes | None, list[str], tuple]]:
@@ -381,15 +521,9 @@ def _combine_all(parts: Iterator[Suffixes], most: int = 4 * ROWS) -> Iterator[tu
         yield held, held.names, None
 
 
-def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: int = RANGE_SUFFIXES) -> DataFrame:
-    """``batch, n, idx, lo, hi``: starts lo..hi of repeated windows of a batch's rows."""
-    size = packed.agg(F.sum("n_bytes"), F.count("*")).first()
-    total, batches = size[0] or 0, size[1]
-    leads = materialize(_repeated_leads(packed, max(1, -(-total // (32 * ANCHOR_RANGE)))), "sd_leads")
-    hits = leads.agg(F.sum("hits")).first()[0] or 0
-    src = packed.join(leads.where("hits > 0").select("batch", "got"), "batch") \
-        .select("lens", "text", "got", "batch", "doc_ids", "hashes")
-
+def cut_suffixes(src: DataFrame, hits: int, batches: int, range_suffixes: int) -> tuple[DataFrame, int]:
+    """``BOTH`` rows of the batches' repeated suffixes, cut into ranges, and the number of ranges.
+    ``hits``: suffixes in all ``batches`` of ``src``."""
     # splitters: quantiles of the leading bytes of some batches' suffixes
     ranges = max(1, -(-hits // range_suffixes))
 
@@ -397,19 +531,20 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
         for b in batches_:
             for row in rows_of(b):
                 # a batch's equal suffixes travel once, so they count once
-                lead = np.unique(np.concatenate([_lead(s.ctx) for s in _repeated_suffixes(*row)]))
+                lead = np.sort(np.concatenate([_lead(left.ctx) for left, _, found in _combine_all(_repeated_suffixes(*row))
+                                               if found is None]))
                 pick = np.unique(np.linspace(0, len(lead) - 1, min(len(lead), SAMPLE_SUFFIXES)).astype(int))
-                yield pa.RecordBatch.from_arrays([pa.array([x.ljust(SPLIT_BYTES, b"\0") for x in lead[pick].tolist()], pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array([x.ljust(LEAD, b"\0") for x in lead[pick].tolist()], pa.binary())],
                                                  names=["lead"])
 
-    splitters = np.zeros(0, f"S{SPLIT_BYTES}")
+    splitters = np.zeros(0, f"S{LEAD}")
     if ranges > 1:
-        some = leads.where("hits > 0").select("batch")
-        names = [r.batch for r in few_rows(some, "batch", SAMPLE_BATCHES, some.count()).collect()]
+        some = max(SAMPLE_BATCHES, -(-ranges * RANGE_SAMPLE // SAMPLE_SUFFIXES))
+        names = [r.batch for r in few_rows(src.select("batch"), "batch", some, batches).collect()]
         got = sorted(bytes(r.lead) for r in src.where(F.col("batch").isin(names)).mapInArrow(sample, "lead binary").collect())
         pick = np.linspace(0, len(got), ranges, endpoint=False).astype(int)[1:] if got else []
-        splitters = np.unique(np.array([got[i] for i in pick], f"S{SPLIT_BYTES}"))
-    shipped = packed.sparkSession.sparkContext.broadcast(splitters)
+        splitters = np.unique(np.array([got[i] for i in pick], f"S{LEAD}"))
+    shipped = src.sparkSession.sparkContext.broadcast(splitters)
 
     def cut(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches_:
@@ -422,6 +557,24 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
                     for r in np.unique(to):
                         yield from _suffix_rows([(int(r), *left.take(np.flatnonzero(to == r)).encode())])
 
+    return src.mapInArrow(cut, BOTH), len(splitters) + 1
+
+
+def repeated_suffixes(packed: DataFrame, range_suffixes: int = RANGE_SUFFIXES) -> tuple[DataFrame, DataFrame]:
+    """Batches with repeated suffixes (and the answers to their questions), and per batch its numbers of them."""
+    total = packed.agg(F.sum("n_bytes")).first()[0] or 0
+    leads = materialize(_repeated_leads(packed, max(1, -(-total // (32 * ANCHOR_RANGE))), range_suffixes), "sd_leads")
+    src = packed.join(leads, "batch").select("lens", "text", "got", "batch", "doc_ids", "hashes", "hits", "dealt")
+    return src, leads
+
+
+def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: int = RANGE_SUFFIXES) -> DataFrame:
+    """``batch, n, idx, lo, hi``: starts lo..hi of repeated windows of a batch's rows."""
+    batches = packed.count()
+    src, leads = repeated_suffixes(packed, range_suffixes)
+    hits, dealt, asking = leads.agg(F.sum("hits"), F.sum("dealt"), F.count_if(F.col("hits") > 0)).first()
+    rows, n_ranges = cut_suffixes(src.where("hits > 0").drop("hits", "dealt"), hits or 0, asking, range_suffixes)
+
     def meet(batches_: Iterator[pa.RecordBatch], last: bool) -> Iterator[pa.RecordBatch]:
         """Combine (and at last compare) the suffixes of one (range, salt) after the other."""
         held: list[Suffixes] = []
@@ -449,8 +602,7 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
         if held:
             yield from done()
 
-    rows = src.mapInArrow(cut, BOTH)
-    n_ranges, groups = len(splitters) + 1, max(1, -(-batches // fan_in))
+    groups = max(1, -(-batches // fan_in))
     while True:                                        # groups of batches first, then groups of groups
         salt = F.pmod(F.xxhash64(F.coalesce(F.col("names")[0], "batch")), F.lit(groups)).cast("int")
         rows = rows.withColumn("salt", salt).repartition(n_ranges * groups, "range", "salt") \
@@ -458,7 +610,10 @@ def repeated_windows(packed: DataFrame, fan_in: int = FAN_IN, range_suffixes: in
         if groups == 1:
             break
         groups = -(-groups // fan_in) if groups > fan_in else 1
-    return rows.select("batch", "n", F.col("w_idx").alias("idx"), F.col("w_lo").alias("lo"), F.col("w_hi").alias("hi"))
+    rows = rows.select("batch", "n", F.col("w_idx").alias("idx"), F.col("w_lo").alias("lo"), F.col("w_hi").alias("hi"))
+    if dealt:
+        rows = rows.unionByName(_dealt_windows(src.where("dealt > 0").drop("hits", "dealt"), -(-dealt * SPAN // DEALT_WINDOWS)))
+    return rows
 
 
 def removed_spans(idx: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -47,6 +47,44 @@ def test_equals_brute_force_over_ranges_and_groups(spark):
     assert any(r[2] for r in got)
 
 
+def edges_of_a_passage(seed):
+    """Every document holds parts of one passage between other texts, so suffixes near
+    its ends have another context in every document."""
+    r = rng(seed)
+    rand = lambda n: "".join(r.choice("abcdefgh é\n") for _ in range(n))
+    passage = rand(260)
+    docs = [(i, rand(r.randint(60, 90)) + passage[r.choice([0, 0, 30]):r.choice([260, 260, 190])] + rand(r.randint(60, 90))) for i in range(150)]
+    return docs + [(i, docs[3][1]) for i in (7, 900)] + [(901, "a" * 600), (902, "b" + "a" * 400), (903, None)]
+
+
+def test_edges_of_a_passage_in_many_documents(spark):
+    docs = edges_of_a_passage(8)
+    df = docs_frame(spark, docs)
+    got = results(sd.suffix_dedup(df, fan_in=2, range_suffixes=40, batch_bytes=4000))
+    texts = sorted(docs, key=lambda d: (d[0], d[1] or ""))
+    whole = [x for x in brute(texts) if x[0] != 7]
+    assert [x for x in got if x[0] != 7] == sorted(whole)        # id 7 has two texts, ordered by their hash
+    assert sum(x[2] > 150 for x in got) > 130
+
+
+def test_no_range_holds_all_edges_of_a_passage(spark):
+    packed = sd.pack_documents(docs_frame(spark, edges_of_a_passage(9)), "test_sd", 4000)
+
+    def largest(most, range_suffixes):
+        src, leads = sd.repeated_suffixes(packed, most)
+        hits = sum(r.hits for r in leads.collect())
+        rows, _ = sd.cut_suffixes(src.where("hits > 0").drop("hits", "dealt"), hits, packed.count(), range_suffixes)
+        n = {}
+        for x in rows.where("names is not null").collect():
+            n[x.range] = n.get(x.range, 0) + len(sd.Suffixes.decode(x[1:]).pos)
+        return max(n.values(), default=0), sum(r.dealt for r in leads.collect())
+
+    size, dealt = largest(10**9, 40)                              # nothing dealt: a boundary cannot part them
+    assert size > 100 and dealt == 0
+    size, dealt = largest(40, 40)
+    assert size <= 120 and dealt > 100
+
+
 def test_edges(spark):
     r = rng(5)
     long = "".join(r.choice("abcde ") for _ in range(700_000))
