@@ -34,6 +34,9 @@ WINDOW_BYTES = 128
 DOCS_PER_LANG = 300              # training sample: this many rows per language, smallest hash first
 WINDOWS_PER_DOC = 8              # evenly spaced windows of each sampled text
 CHUNK = 1 << 16                  # bytes scored at once
+LENGTH_CLASSES = (1, 2, 4, 8)    # windows of a text, at least: score limits are set by class
+LIMIT_SHARE = 0.005              # labelled rows below a class's score limit, about
+LIMIT_ROWS = 30                  # labelled rows a class needs for a limit of its own
 
 
 @dataclass
@@ -145,10 +148,10 @@ def text_windows(text: str, most: int = WINDOWS_PER_DOC, size: int = WINDOW_BYTE
     return out
 
 
-def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WINDOW_BYTES) -> Model | None:
-    """Train on a sample of ``(doc_id, text, lang)``: at most ``docs_per_lang``
+def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list:
+    """``doc_id, lang, windows`` of a sample of ``(doc_id, text, lang)``: at most ``docs_per_lang``
     rows per language, chosen by the smallest hash of doc_id, so the same at
-    any size of the cluster. None if no row has a language and a letter.
+    any size of the cluster.
 
     The ids are ranked without their texts (two narrow columns are scanned);
     only the chosen rows' windows come to the driver.
@@ -168,15 +171,60 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WIN
     rows = usable.where(F.col("doc_id").isin(ids) & has_letter()).select("doc_id", "text", "lang") \
         .mapInArrow(cut, StructType([usable.schema["doc_id"], usable.schema["lang"]])
                     .add("windows", "binary")).collect() if ids else []
+    return sorted(rows, key=lambda r: (r.doc_id, r.lang, r.windows))
+
+
+def fit_rows(rows: list, size: int = WINDOW_BYTES) -> Model | None:
     if not rows:
         return None
-    rows.sort(key=lambda r: (r.doc_id, r.lang, r.windows))
     langs = sorted({r.lang for r in rows})
     wins = [np.frombuffer(r.windows, np.uint8).reshape(-1, size) for r in rows]
     y = np.repeat([langs.index(r.lang) for r in rows], [len(w) for w in wins])
     return train(np.concatenate(wins), y, langs)
 
 
+def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WINDOW_BYTES) -> Model | None:
+    """Train on ``sample_rows``. None if no row has a language and a letter."""
+    return fit_rows(sample_rows(labelled, docs_per_lang), size)
+
+
+def score_limits(rows: list, share: float = LIMIT_SHARE, size: int = WINDOW_BYTES) -> list[float]:
+    """Per length class the score that all but about ``share`` of the labelled rows
+    reach when a network judges them that has not seen them (two halves, each
+    judged by the network of the other). A class of few rows takes the limit of the
+    next shorter one with enough (0 if there is none); one language alone scores 1, so its limit is 0."""
+    half, count = [], {}
+    for r in rows:
+        half.append(count.get(r.lang, 0) % 2)
+        count[r.lang] = count.get(r.lang, 0) + 1
+    limits = [0.0] * len(LENGTH_CLASSES)
+    if len(count) < 2 or min(count.values()) < 2:
+        rows, half = [r for r in rows if count[r.lang] > 1], [h for r, h in zip(rows, half) if count[r.lang] > 1]
+        if len({r.lang for r in rows}) < 2:
+            return limits
+    kind, score = [], []
+    for side in (0, 1):
+        model = fit_rows([r for r, h in zip(rows, half) if h != side], size)
+        tables = model.tables()
+        for r in (r for r, h in zip(rows, half) if h == side):
+            win = np.frombuffer(r.windows, np.uint8).reshape(-1, size)
+            score.append(float(np.average(model.window_probs(win, tables), axis=0, weights=(win > 0).sum(axis=1)).max()))
+            kind.append(int(np.searchsorted(LENGTH_CLASSES, len(win), side="right")) - 1)
+    kind, score = np.array(kind), np.array(score)
+    for c in range(len(limits)):
+        own = score[kind == c]
+        limits[c] = float(np.quantile(own, share, method="lower")) if len(own) >= LIMIT_ROWS else limits[c - 1] if c else 0.0
+    return limits
+
+
+def score_limit(limits: list[float], text: str = "text", size: int = WINDOW_BYTES) -> "F.Column":
+    """The limit of a text's length class."""
+    out = F.lit(limits[0])
+    for least, limit in list(zip(LENGTH_CLASSES, limits))[1:]:
+        out = F.when(F.octet_length(text) > (least - 1) * size, limit).otherwise(out)
+    return out
+
+
 def has_letter() -> "F.Column":
     return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
 

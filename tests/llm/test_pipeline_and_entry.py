@@ -83,6 +83,21 @@ def test_stages_take_clashing_columns(spark, tmp_path):
     assert cp.STAGES[-1][1](spark, docs.withColumn("mix", F.lit(1)).withColumn("n_tokens", F.lit("x")), src).count() > 0
 
 
+def test_language_score_decides(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select(*cp.COLUMNS)
+    known = docs.where("lang in ('de', 'fr', 'es')")
+    other = docs.where("lang = 'en'").withColumn("lang", F.lit(None).cast("string"))     # a language not learned
+    kept = {r.doc_id: r.lang for r in cp.identify_language(spark, known.unionByName(other), "").collect()}
+    n, m = known.count(), other.count()
+    assert sum(r.doc_id in kept for r in known.select("doc_id").collect()) > 0.97 * n
+    assert sum(r.doc_id in kept for r in other.select("doc_id").collect()) < 0.3 * m
+
+
+def test_documents_stay_without_a_language_model(spark):
+    docs = docs_frame(spark, [(1, "some text"), (2, "12"), (3, None)]).withColumn("lang", F.lit(None).cast("string"))
+    assert [(r.doc_id, r.lang) for r in cp.identify_language(spark, docs, "").collect()] == [(1, None)]
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert [s[0] for s in cp.STAGES] == ["language id", "line dedup", "n-gram join", "decontamination", "source mixing"]
