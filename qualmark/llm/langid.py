@@ -149,28 +149,35 @@ def text_windows(text: str, most: int = WINDOWS_PER_DOC, size: int = WINDOW_BYTE
 
 
 def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list:
-    """``doc_id, lang, windows`` of a sample of ``(doc_id, text, lang)``: at most ``docs_per_lang``
-    rows per language, chosen by the smallest hash of doc_id, so the same at
-    any size of the cluster.
+    """``doc_id, lang, windows`` of at most ``docs_per_lang`` different rows per language
+    of ``(doc_id, text, lang)`` that have a letter, chosen by the smallest hash of
+    doc_id (then of text), so the same at any size of the cluster.
 
-    The ids are ranked without their texts (two narrow columns are scanned);
-    only the chosen rows' windows come to the driver.
+    Rows are ranked without their texts (narrow columns are shuffled), equal ones
+    once; only the chosen rows' windows come to the driver.
     """
     small_batches(labelled.sparkSession)
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = [r.doc_id for r in usable.select("doc_id", "lang").withColumn("rank", F.row_number().over(by))
-           .where(F.col("rank") <= docs_per_lang).select("doc_id").distinct().collect()]
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter()) \
+        .select("doc_id", "lang", F.xxhash64("text").alias("th"), "text")
+    by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
+    narrow = usable.drop("text").distinct()
+    chosen = narrow.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= docs_per_lang).drop("rank").collect()
+    if not chosen:
+        return []
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()                         # of the chosen rows: a task sends each once
         for b in batches:
-            win = [text_windows(t).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(win, pa.binary())],
-                                             names=["doc_id", "lang", "windows"])
-
-    rows = usable.where(F.col("doc_id").isin(ids) & has_letter()).select("doc_id", "text", "lang") \
-        .mapInArrow(cut, StructType([usable.schema["doc_id"], usable.schema["lang"]])
-                    .add("windows", "binary")).collect() if ids else []
+            keys = list(zip(*(b.column(c).to_pylist() for c in range(3))))
+            at = [i for i, k in enumerate(keys) if k not in seen and not seen.add(k)]
+            part = b.take(pa.array(at, pa.int64()))
+            win = [text_windows(t).tobytes() for t in part.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(win, pa.binary())],
+                                             names=["doc_id", "lang", "th", "windows"])
+
+    few = F.broadcast(labelled.sparkSession.createDataFrame(chosen, narrow.schema))
+    rows = usable.join(few, ["doc_id", "lang", "th"], "left_semi").mapInArrow(
+        cut, StructType(list(narrow.schema)).add("windows", "binary")).dropDuplicates(["doc_id", "lang", "th"]).collect()
     return sorted(rows, key=lambda r: (r.doc_id, r.lang, r.windows))
 
 

@@ -49,3 +49,16 @@ def test_tables_equal_direct_convolution():
     z = np.maximum(np.concatenate(h, axis=1) + m.bias, 0) @ m.out + m.out_bias
     p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
     assert np.allclose(m.window_probs(win, m.tables()), p, atol=1e-5)
+
+
+def test_sample_takes_different_rows_with_letters(spark):
+    r = np.random.default_rng(4)
+    text = lambda v: " ".join(r.choice(v, 30))
+    en, de = ["the", "and", "of"], ["der", "und", "von"]
+    rows = [(i, text(en), "en") for i in range(40)] + [(i, f"{i} 12 !?", "de") for i in range(100, 160)] + [(i, text(de), "de") for i in (500, 501)]
+    rows += [(1, text(en), "en")] * 200 + [(2, text(en), "en") for _ in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.sample_rows(df, 20)
+    assert [x.lang for x in got].count("en") == 20 and sorted(x.doc_id for x in got if x.lang == "de") == [500, 501]
+    assert len({(x.doc_id, x.windows) for x in got}) == 22
+    assert langid.fit(df, 20).langs == ["de", "en"]
