@@ -96,10 +96,12 @@ def source_budgets(totals: DataFrame, exponent: float, budget: float | None) ->
     total = live.agg(F.sum("tokens")).first()[0] or 1
     raw = F.pow(F.col("tokens") / F.lit(float(total)), F.lit(exponent))
     z, most = live.agg(F.sum(raw), F.max(F.col("tokens") / raw)).first()
-    budget = (most or 0.0) * (z or 1.0) if budget is None else budget
+    least, budget = budget is None, (most or 0.0) * (z or 1.0) if budget is None else budget
     weight = raw / F.lit(z or 1.0)
     # the small addend keeps a budget of whole epochs from falling just below them
     due = F.floor(weight * F.lit(float(budget)) + F.lit(1e-6)).cast("long")
+    if least:                                # rounding of large counts must not cost a source its last document
+        due = F.greatest(due, F.col("tokens").cast("long"))
     epochs = F.floor(due / F.col("tokens")).cast("long")
     return live.select("source", "tokens", weight.alias("weight"), epochs.alias("epochs"),
                        (due - epochs * F.col("tokens")).alias("rest"))

@@ -1,6 +1,7 @@
 import hashlib
 import math
 
+import numpy as np
 import pytest
 from helpers import docs_frame, rng
 from pyspark.sql import functions as F
@@ -74,3 +75,14 @@ def test_every_source_once_and_schedule(spark):
     assert rows.columns == [*df.columns, "mix_epoch", "mix_order"]
     assert rows.count() == mixed.agg(F.sum("mix.repeats")).first()[0]
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_least_budget_draws_all_of_large_sources(spark):
+    r = np.random.default_rng(2)
+    rows = [(f"{i}", int(n)) for i, n in enumerate(r.integers(1, 10**11, 60))]
+    bad = []
+    for a in range(0, 60, 6):
+        totals = spark.createDataFrame(rows[a:a + 6], "source string, tokens long")
+        for exponent in (0.3, 0.7, 1.0):
+            bad += [x for x in mixing.source_budgets(totals, exponent, None).collect() if x.epochs < 1]
+    assert not bad
