@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and their DuckDB SQL.
+"""Registered queries of the operators, and their DuckDB SQL.
 
 Each query runs its operator with production parameters over whole tables.
 ``ORACLE`` states a result in SQL of its own where SQL can express it.
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, suffix_dedup, vafile, warc_zst
+from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, source_audit, suffix_dedup, vafile, warc_zst
 
 RULES = [
     host_reputation.Rule("org", "/", "allow"),
@@ -273,3 +273,43 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_ngram_join"] = op1_ngram_join
+
+
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence_report(_t(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_source_audit"] = op11_source_audit
+
+ORACLE["op11_source_audit"] = """
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text from documents),
+t as (
+  select row_number() over () as id, lang, source, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as ts from d),
+o as (select id, lang, source, unnest(ts) as term from t),
+kept as (select lang, term, count(*) as total from o group by lang, term having count(distinct id) >= 10),
+g as (select distinct lang, source from d),
+c as (
+  select g.lang, g.source, kept.term, count(o.id) as n, any_value(total) as total
+  from g join kept on kept.lang = g.lang left join o on o.lang = g.lang and o.source = g.source and o.term = kept.term
+  group by g.lang, g.source, kept.term),
+v as (select lang, count(*) as v, sum(total) as n from kept group by lang),
+s as (select lang, source, sum(n) as n from c group by lang, source),
+p as (
+  select c.lang, c.source, c.term, c.n, 1 + (1000000000::hugeint * (c.n + 2)) // (s.n + 2 * v.v) as p,
+         1 + (1000000000::hugeint * (c.total + 2)) // (v.n + 2 * v.v) as q
+  from c join s on s.lang = c.lang and s.source = c.source join v on v.lang = c.lang),
+pair as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from p a join p b on b.lang = a.lang and b.term = a.term and b.source <> a.source group by 1, 2, 3),
+r as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from g a join g b on b.lang = a.lang and b.source <> a.source
+  left join pair on pair.lang = a.lang and pair.source = a.source and pair.item = b.source
+  union all
+  select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from p where n > 0 and p > q)
+select * from (
+  select lang, source, part, item, value,
+         row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from r)
+where part = 'pair' or rank <= 10
+"""

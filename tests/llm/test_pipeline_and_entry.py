@@ -99,7 +99,7 @@ def test_documents_stay_without_a_language_model(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [s[0] for s in cp.STAGES] == ["language id", "line dedup", "n-gram join", "decontamination", "source mixing"]
 
 
