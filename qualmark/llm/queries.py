@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, source_audit, suffix_dedup, vafile, warc_zst
+from . import collocations, fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, source_audit, suffix_dedup, vafile, warc_zst
 
 RULES = [
     host_reputation.Rule("org", "/", "allow"),
@@ -313,3 +313,41 @@ select * from (
          row_number() over (partition by lang, source, part order by value desc, encode(item))::int as rank from r)
 where part = 'pair' or rank <= 10
 """
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_t(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+
+ORACLE["op13_collocations"] = """
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as ws from p),
+tot as (select lang, sum(len(ws))::hugeint as n from w group by lang),
+g as (
+  select lang, m, ws[s + 1:s + m] as gram
+  from (select lang, m, ws, unnest(range(0, len(ws) - m + 1)) as s from w, (select unnest(range(1, 6)) as m) where len(ws) >= m)),
+f as (select lang, m, gram, count(*)::hugeint as a from g group by lang, m, gram having count(*) >= 100),
+inner_part as (
+  select lang, gram[s + 1:s + k] as gram, max(a) as longer
+  from (select lang, m, a, gram, k, unnest(range(0, m - k + 1)) as s
+        from (select lang, m, a, gram, unnest(range(2, m)) as k from f where m > 2)) group by 1, 2),
+cut as (select lang, m, gram, a, unnest(range(1, m)) as k from f where m > 1),
+scored as (
+  select cut.lang, cut.gram, cut.a, x.a as l, y.a as r, n, k, (1000 * cut.a * n) // (x.a * y.a) as score
+  from cut join f x on x.lang = cut.lang and x.gram = cut.gram[1:k] join f y on y.lang = cut.lang and y.gram = cut.gram[k + 1:]
+  join tot on tot.lang = cut.lang),
+best as (
+  select * from (select *, row_number() over (partition by lang, gram order by score, k) as nth from scored) where nth = 1),
+kept as (
+  select best.* from best left join inner_part i on i.lang = best.lang and i.gram = best.gram
+  where longer is null or 100 * longer < 100 * a)
+select * from (
+  select lang, row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(gram, ' ')))::bigint as rank,
+         array_to_string(gram, ' ') as phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+  from kept) where rank <= 2000
+"""
