@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import collocations, fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, source_audit, suffix_dedup, vafile, warc_zst
+from . import bottom_k, collocations, fm_decon, host_reputation, langid, line_dedup, lm_score, mixing, ngram_join, source_audit, suffix_dedup, vafile, warc_zst
 
 RULES = [
     host_reputation.Rule("org", "/", "allow"),
@@ -351,3 +351,21 @@ select * from (
          array_to_string(gram, ' ') as phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
   from kept) where rank <= 2000
 """
+
+
+def op12_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every text, of its edited text, and their likeness to each other and to
+    the next document's. No SQL: DuckDB has no xxHash64."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    pairs = bottom_k.with_next(docs, {"sketch": bottom_k.sketch(bottom_k.shingles(F.col("text")))})
+    n, half = F.col("n_chars"), F.floor(F.col("n_chars") / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n.cast("int") - half), F.substring("next.text", F.lit(1), half))
+    made = pairs.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", edited) \
+        .withColumn("edited_sketch", bottom_k.sketch(bottom_k.shingles(F.col("edited"))))
+    return made.select(F.col("row.doc_id").alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                       bottom_k.to_text(F.col("sketch")).alias("fingerprint"), bottom_k.to_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+                       bottom_k.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+                       bottom_k.resemblance(F.col("sketch"), F.col("next.sketch")).alias("near_next"))
+
+
+QUERIES["op12_fingerprint"] = op12_fingerprint
