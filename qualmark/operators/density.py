@@ -6,26 +6,29 @@ over the weighted centres ``c_i`` of a series (``fit_kde``: the distinct
 numeric values of a training sample with their counts - the reference kept
 only its first batch of 100; here every sample row counts, equally weighted).
 
-No (value, centre) pairs are formed. Centres are grouped in bins, and a bin
-answers for all its centres by a series (the Fast Gauss Transform idea,
-Greengard & Strain 1991). Numbers are scaled by the power of two below ``h``,
-which loses no digit; with ``u`` and ``v`` the distances of value and centre
-from the bin's middle in bandwidths, and ``w`` the bin's width,
-
-    exp(-(u-v)^2/2) = exp(-u^2/2) * sum_k (u w)^k * (v/w)^k exp(-v^2/2) / k!
-
-and the sums over a bin's centres are its moments (30 terms are exact to
-1e-12 while ``|u v| <= 4.75``).
-
-* Near: a value meets the bins of width 1 within 9 of it. It is final when all
-  other centres together stay under ``rel_tol`` of its sum.
-* Far: the nearest non-empty bin on either side is found by sorting values and
-  bins together. A value at distance ``D`` needs only centres up to
-  ``sqrt(D^2 + 2 L)`` away, a band that narrows as ``D`` grows; it is read from
-  bins of width ``4 / 2^s``, ``2^s <= D``, at most about twenty a side, summed
-  in log space. So a shifted unit costs a value as much as a near one does.
-
-Bin numbers are doubles. Beyond 2^53 widths a centre is a bin of its own.
+No (value, centre) pairs are formed; a series answers for many centres at once
+(the Fast Gauss Transform idea, Greengard & Strain 1991). Numbers are scaled by
+the power of two below ``h``, which loses no digit.
+
+* Near: around the middle of a bin of width 1, with ``u`` and ``v`` the distances of
+  value and centre from it in bandwidths,
+
+      exp(-(u-v)^2/2) = exp(-u^2/2) * sum_k u^k * v^k exp(-v^2/2) / k!
+
+  Every centre is added once to the *local expansions* of all bins within reach of
+  it, so the model has one complete series per bin, and a value meets one row of it.
+  It is final when all other centres together stay under ``rel_tol`` of its sum.
+* Far: such a value lies in a gap between centres. The nearest non-empty bin on
+  either side is found by sorting values and bins together. At distance ``A`` from
+  the gap's edge, a centre ``t`` behind the edge adds
+  ``exp(-A^2/2) exp(-t^2/2) exp(-A t)``. The centres behind an edge are grouped once by
+  the eighth of an octave that ``t`` lies in, which serves every ``A``: where
+  ``A t`` is large enough to strain a group's series, its share is negligible. So a
+  shifted unit costs a value two rows of the model, and the model is read once,
+  whatever the distances.
+
+Bin numbers are doubles. Beyond 2^53 widths a centre is a bin of its own. Counts
+are exact to ``rel_tol`` up to 10^15 rows per series within reach.
 """
 
 from __future__ import annotations
@@ -44,8 +47,10 @@ from .keys import join_on
 # Fixed value of the reference's density model: the kernel bandwidth.
 BANDWIDTH = 1.0
 
-NEAR = 9.0                # reach of the near pass, in bandwidths
-TERMS = 30                # series terms per bin
+NEAR = 13.0               # reach of the local expansions, in bandwidths
+TERMS = 30                # series terms
+STEPS = 8                 # groups of centres per octave of their distance from an edge
+LEAST_TOL = 1e-12         # a smaller relative tolerance is below what doubles keep
 EXACT = float(1 << 53)    # bin numbers from here on stand for one centre each
 
 
@@ -75,19 +80,16 @@ def _unit(h: float) -> tuple[float, float]:
     return g, h / g
 
 
-def _moment_table(centres: DataFrame, by: list[str], v: Column, w: Column, *more: Column) -> DataFrame:
-    """Moments ``__M0..`` of the groups ``by``; ``v`` and ``w`` as in the module text."""
-    rows = centres.withColumn("__v", v).withColumn("__g", F.col("weight") * F.exp(F.lit(-0.5) * F.col("__v") * F.col("__v"))) \
-        .withColumn("__vw", F.col("__v") / w)
-    return rows.groupBy(*by).agg(*[F.sum(F.col("__g") * F.pow("__vw", F.lit(float(k))) / F.lit(float(math.factorial(k))))
-                                   .alias(f"__M{k}") for k in range(TERMS)], *more)
+def _moments(weight: Column, v: Column) -> list[Column]:
+    """Sums of ``weight v^k / k!``, named ``__M0..``."""
+    return [F.sum(weight * F.pow(v, F.lit(float(k))) / F.lit(float(math.factorial(k)))).alias(f"__M{k}") for k in range(TERMS)]
 
 
-def _series(u: Column) -> Column:
+def _series(u: Column, term=lambda k: F.col(f"__M{k}")) -> Column:
     """``sum_k M_k u^k`` (Horner; plain arithmetic inside generated code)."""
-    poly = F.col(f"__M{TERMS - 1}")
+    poly = term(TERMS - 1)
     for k in range(TERMS - 2, -1, -1):
-        poly = poly * u + F.col(f"__M{k}")
+        poly = poly * u + term(k)
     return poly
 
 
@@ -98,23 +100,35 @@ def _on(left: list[str], right: list[str]) -> Column:
     return on
 
 
-def _near_pass(pending: DataFrame, bins: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
-    """``__s`` (the near sum) and ``__final`` of every value."""
+def local_expansions(model: DataFrame, keys: list[str], r: float) -> DataFrame:
+    """The series of every bin that a centre of ``model`` (``keys, __c, weight``) reaches:
+    ``__bin, __M0.., __near`` (rows within reach), and of the bin's own centres ``__own``
+    (rows, NULL if it has none), ``__min`` and ``__max``."""
     most = math.ceil(NEAR * r)
-    step = F.sequence(F.lit(-most), F.lit(most))
-    around = F.when(F.abs("__z") < EXACT, F.transform(step, lambda k: F.floor("__z").cast("double") + k)) \
-        .otherwise(F.array_distinct(F.transform(step, lambda k: F.col("__z") + k)))
-    asked = pending.select("__id", "__z", "__ntot", *keys, F.explode(around).alias("__b"))
-    # one row per non-empty bin of the model; the asked bins grow with the values, so only the former may be broadcast
-    bins, asked = broadcast_if_small(bins, asked, row_bytes=8 * (TERMS + 5) + 64)
-    met = asked.join(bins.withColumnsRenamed({k: f"__key{i}" for i, k in enumerate(keys)}),
-                     _on([*keys, "__b"], [*(f"__key{i}" for i in range(len(keys))), "__bin"]))
-    met = met.withColumn("__u", (F.col("__z") - _middle(F.col("__bin"))) / F.lit(r))
-    u = F.col("__u")
-    s = met.groupBy("__id").agg(F.sum(F.exp(F.lit(-0.5) * u * u) * _series(u)).alias("__s"), F.sum("__w").alias("__near"))
-    rest = (F.col("__ntot") - F.coalesce("__near", F.lit(0))).cast("double")
-    final = F.coalesce((F.col("__s") > 0) & ((rest <= 0) | (F.log(rest) - 0.5 * NEAR ** 2 - F.log("__s") < log_tol)), F.lit(False))
-    return pending.join(s, "__id", "left").withColumn("__final", final)
+    step, c = F.sequence(F.lit(-most), F.lit(most)), F.col("__c")
+    around = F.when(F.abs(c) < EXACT, F.transform(step, lambda k: F.floor("__c").cast("double") + k)) \
+        .otherwise(F.array_distinct(F.transform(step, lambda k: F.col("__c") + k)))
+    rows = model.withColumn("__bin", F.explode(around)).withColumn("__v", (c - _middle(F.col("__bin"))) / F.lit(r)) \
+        .withColumn("__g", F.col("weight") * F.exp(F.lit(-0.5) * F.col("__v") * F.col("__v")))
+    own = F.col("__bin") == _bin(c)
+    return rows.groupBy(*keys, "__bin").agg(*_moments(F.col("__g"), F.col("__v")), F.sum("weight").alias("__near"),
+                                            F.sum(F.when(own, F.col("weight"))).alias("__own"),
+                                            F.min(F.when(own, c)).alias("__min"), F.max(F.when(own, c)).alias("__max"))
+
+
+def _near_pass(values: DataFrame, local: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
+    """``__s`` (the near sum) and ``__final`` of every value; a value meets at most one row."""
+    local, asked = broadcast_if_small(local.drop("__min", "__max"), values.withColumn("__b", _bin(F.col("__z"))), row_bytes=8 * (TERMS + 5) + 64)
+    names = [f"__key{i}" for i in range(len(keys))]
+    met = asked.join(local.withColumnsRenamed(dict(zip(keys, names))), _on([*keys, "__b"], [*names, "__bin"]), "left")
+    u = (F.col("__z") - _middle(F.col("__bin"))) / F.lit(r)
+    met = met.withColumn("__u", u).withColumn("__s", F.exp(F.lit(-0.5) * F.col("__u") * F.col("__u")) * _series(F.col("__u")))
+    near = F.coalesce("__near", F.lit(0))
+    rest = (F.col("__ntot") - near).cast("double")
+    few = (rest <= 0) | (F.log(rest) - 0.5 * NEAR ** 2 - F.log("__s") < log_tol)
+    exact = F.log("__s") - F.log(near.cast("double")) > -32.0            # the series' own error stays below 1e-11
+    final = F.col("__own").isNotNull() | ((F.col("__s") > 0) & exact & few)
+    return met.select(*values.columns, "__s", F.coalesce(final, F.lit(False)).alias("__final"))
 
 
 def _nearest(far: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
@@ -148,54 +162,66 @@ def _nearest(far: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
     return far.join(found, "__id")
 
 
-def _far_pass(far: DataFrame, bins: DataFrame, model: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
-    """``__id, __log`` (log of the full sum) of values that are not final."""
+def _edges(asked: DataFrame, model: DataFrame, keys: list[str], r: float, widest: int) -> DataFrame:
+    """``__e`` (centre at a gap's edge), ``__side`` and ``__groups``: the centres behind it as
+    an array of (middle, half width, moments) by distance. ``asked`` has the edges with
+    the ``__band`` that their values need; ``widest`` bounds it."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    edges = asked.groupBy(*keys, "__side", "__e").agg(F.max("__band").alias("__band"))
+    step = F.sequence(F.lit(0), F.lit(widest + 1))
+    behind = F.when(F.abs("__e") < EXACT, F.transform(step, lambda k: F.floor("__e").cast("double") + F.col("__side") * k)) \
+        .otherwise(F.array_distinct(F.transform(step, lambda k: F.col("__e") + F.col("__side") * k)))
+    wanted = edges.withColumn("__b", F.explode(behind)).withColumnsRenamed(dict(zip(keys, names)))
+    centres = model.withColumn("__bin", _bin(F.col("__c")))
+    wanted, centres = broadcast_if_small(materialize(wanted, "kde_edges"), centres, row_bytes=96)
+    met = centres.join(wanted, _on([*keys, "__bin"], [*names, "__b"])) \
+        .withColumn("__t", (F.col("__c") - F.col("__e")) * F.col("__side")).where((F.col("__t") >= 0) & (F.col("__t") <= F.col("__band")))
+    octave = F.when(F.col("__t") > 0, F.floor(F.log2("__t")).cast("int"))
+    met = met.withColumn("__o", octave).withColumn("__w", F.pow(F.lit(2.0), F.col("__o")) / STEPS) \
+        .withColumn("__q", F.floor(F.col("__t") / F.col("__w")).cast("int"))      # the octave is STEPS groups of width w wide
+    mid = F.coalesce(F.col("__w") * (F.col("__q") + 0.5), F.lit(0.0))
+    y = F.coalesce((F.col("__t") - mid) / (F.col("__w") / 2), F.lit(0.0))
+    met = met.withColumn("__mid", mid).withColumn("__y", y) \
+        .withColumn("__g", F.col("weight") * F.exp(F.lit(-0.5) * F.col("__t") * F.col("__t") / F.lit(r * r)))
+    table = met.groupBy(*names, "__side", "__e", "__o", "__q").agg(
+        F.first("__mid").alias("__mid"), F.coalesce(F.first("__w") / 2, F.lit(0.0)).alias("__half"), *_moments(F.col("__g"), F.col("__y")))
+    # at most STEPS groups per octave of a double that lies within the band
+    return table.groupBy(*names, "__side", "__e").agg(F.collect_list(F.struct("__mid", "__half", *[f"__M{k}" for k in range(TERMS)])).alias("__groups"))
+
+
+def _far_pass(far: DataFrame, local: DataFrame, model: DataFrame, keys: list[str], r: float, log_tol: float) -> DataFrame:
+    """``__id, __log`` (log of the full sum) of values that lie in gaps between centres."""
     z = F.col("__z")
-    near = _nearest(far, bins, keys)
-    own = F.coalesce(F.col("__lo.b") == _bin(z), F.lit(False))
-    below = F.when(own, z).otherwise(F.col("__lo.most"))            # nearest centre, or the value if its bin has one
-    above = F.when(own, z).otherwise(F.col("__hi.least"))
-    d = F.least(F.abs(z - below), F.abs(above - z))
-    scale = F.floor(F.log2(F.greatest(d, F.lit(1.0))) + 1e-9).cast("int")
-    near = near.withColumns({"__below": below, "__above": above, "__d": d, "__s": F.least(F.greatest(scale, F.lit(0)), F.lit(1000))})
-    w = F.lit(4.0) * F.pow(F.lit(2.0), -F.col("__s"))
+    near = _nearest(far, local.where(F.col("__own").isNotNull()), keys) \
+        .withColumn("__below", F.col("__lo.most")).withColumn("__above", F.col("__hi.least"))
+    d = F.least(z - F.col("__below"), F.col("__above") - z)
     room = (F.log(F.col("__ntot").cast("double")) - log_tol) * (r * r)
     # sqrt(d^2 + 2 room), in the form that stays finite for any d
     reach = F.when(F.col("__d") < 1e6, F.sqrt(F.col("__d") * F.col("__d") + 2 * room)).otherwise(F.col("__d") + room / F.col("__d"))
-
-    def bins_from(start: Column, end: Column, step: int) -> Column:
-        """Bins of the value's scale from its nearest centre to the end of its reach."""
-        q, e = start / w, end / w
-        n = F.greatest((F.floor(e) - F.floor(q)) * step, F.lit(0)).cast("int")
-        some = F.transform(F.sequence(F.lit(0), n), lambda i: F.struct(
-            F.lit(False).alias("x"), (F.floor(q).cast("double") + step * i).alias("b")))
-        one = F.array(F.struct(F.lit(True).alias("x"), start.alias("b")))
-        away = F.abs(start - z)
-        out_of_reach = start.isNull() | ((away > reach) & (away > F.col("__d")))
-        return F.when(out_of_reach, F.expr("cast(array() as array<struct<x:boolean,b:double>>)")) \
-            .when((F.abs(q) < EXACT) & (F.abs(e) < EXACT), some).otherwise(one)
-
-    asked = near.select("__id", "__z", "__s", *keys, F.explode(F.array_distinct(F.concat(
-        bins_from(F.col("__below"), z - reach, -1), bins_from(F.col("__above"), z + reach, 1)))).alias("__q"))
-    asked = materialize(asked.select("__id", "__z", "__s", *keys, F.col("__q.x").alias("__x"), F.col("__q.b").alias("__b")), "kde_asked")
+    near = near.withColumn("__d", d).withColumn("__reach", reach)
+    sides = [(side, near.withColumn("__away", away).withColumn("__e", F.col(e)).where((F.col("__away") <= F.col("__reach")) | (F.col("__away") == F.col("__d")))
+              .withColumn("__side", F.lit(side)).withColumn("__band", F.greatest(F.col("__reach") - F.col("__away"), F.lit(0.0))))
+             for side, e, away in ((-1, "__below", z - F.col("__below")), (1, "__above", F.col("__above") - z))]
+    near = materialize(sides[0][1].unionByName(sides[1][1]).select("__id", *keys, "__side", "__e", "__away", "__band"), "kde_asked")
+    most = near.agg(F.max("__band")).first()[0] or 0.0
+    edges = _edges(near, model, keys, r, math.ceil(most))
     names = [f"__key{i}" for i in range(len(keys))]
-    mine = model.withColumnsRenamed(dict(zip(keys, names)))
-    scales = asked.select(*keys, "__s").distinct()
-    c = mine.join(scales, _on(keys, names)).select(*keys, "__s", "__c", "weight")
-    exact = F.abs(F.col("__c") / w) >= EXACT
-    c = c.withColumn("__x", exact).withColumn("__b", F.when(exact, F.col("__c")).otherwise(F.floor(F.col("__c") / w).cast("double")))
-    wanted = asked.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("__s").alias("__ws"), F.col("__x").alias("__wx"),
-                          F.col("__b").alias("__wb")).distinct()
-    side, other = [*keys, "__s", "__x", "__b"], [*names, "__ws", "__wx", "__wb"]
-    c = c.join(wanted, _on(side, other), "left_semi")
-    mid = F.when(F.col("__x"), F.col("__b")).otherwise((F.col("__b") + 0.5) * w)
-    table = _moment_table(c, side, (F.col("__c") - mid) / F.lit(r), w).withColumnsRenamed(dict(zip(side, other)))
-    met = asked.join(table, _on(side, other)).withColumn("__u", (z - mid) / F.lit(r)).withColumn("__uw", F.col("__u") * w)
-    part = F.lit(-0.5) * F.col("__u") * F.col("__u") + F.log(_series(F.col("__uw")))
-    sums = met.groupBy("__id").agg(F.collect_list(part).alias("__e")).withColumn("__top", F.array_max("__e"))
-    total = F.aggregate("__e", F.lit(0.0), lambda acc, e: acc + F.exp(e - F.col("__top")))
-    return sums.select("__id", F.when(F.col("__top") == float("-inf"), F.col("__top"))
-                       .otherwise(F.col("__top") + F.log(total)).alias("__log"))
+    edges, near = broadcast_if_small(materialize(edges.withColumnsRenamed({"__side": "__s", "__e": "__at"}), "kde_groups"), near,
+                                     row_bytes=8 * (TERMS + 2) * STEPS * 8)
+    met = near.join(edges, _on([*keys, "__side", "__e"], [*names, "__s", "__at"]))
+    away = F.col("__away")
+
+    def share(g: Column) -> Column:
+        """What a group adds, beside ``exp(-A^2/2)``; beyond the cut it is nothing beside the edge itself."""
+        x = away * g["__mid"] / F.lit(r * r)
+        return F.when(x < 200.0, F.exp(-x) * _series(-away * g["__half"] / F.lit(r * r), lambda k: g[f"__M{k}"])).otherwise(F.lit(0.0))
+
+    total = F.aggregate("__groups", F.lit(0.0), lambda acc, g: acc + share(g))
+    logs = met.select("__id", (F.lit(-0.5) * (away / F.lit(r)) * (away / F.lit(r)) + F.log(total)).alias("__e"))
+    both = logs.groupBy("__id").agg(F.max("__e").alias("__x"), F.min("__e").alias("__y"), F.count("*").alias("__n"))
+    # log(exp(x) + exp(y)) of the two sides
+    pair = F.col("__x") + F.log1p(F.exp(F.col("__y") - F.col("__x")))
+    return both.select("__id", F.when((F.col("__n") == 1) | (F.col("__x") == float("-inf")), F.col("__x")).otherwise(pair).alias("__log"))
 
 
 def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value",
@@ -208,26 +234,23 @@ def score_kde(model: DataFrame, values: DataFrame, keys: Iterable[str], value: s
     a double (beyond about 1e154 bandwidths) has density 0, ``score`` infinity.
     """
     keys = list(keys)
-    h, log_tol = float(bandwidth), math.log(rel_tol)
+    h, log_tol = float(bandwidth), math.log(max(rel_tol, LEAST_TOL))
     g, r = _unit(h)
     model = materialize(model.select(*keys, (F.col("centre") / F.lit(g)).alias("__c"), "weight"), "kde_model")
-    b = _bin(F.col("__c"))
-    bins = materialize(_moment_table(
-        model.withColumn("__bin", b), [*keys, "__bin"], (F.col("__c") - _middle(F.col("__bin"))) / F.lit(r), F.lit(1.0),
-        F.sum("weight").alias("__w"), F.min("__c").alias("__min"), F.max("__c").alias("__max")), "kde_bins")
+    local = materialize(local_expansions(model, keys, r), "kde_bins")
     names = [f"__key{i}" for i in range(len(keys))]
-    totals = bins.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.sum("__w").alias("__ntot"))
-    vals = values.where(F.col(value).isNotNull()).select(*keys, value).distinct().join(totals, _on(keys, names)).drop(*names)
-    vals = materialize(vals.withColumn("__z", number_column(values, value) / F.lit(g))
-                       .withColumn("__id", F.monotonically_increasing_id()), "kde_values")
-    num = vals.where(F.col("__z").isNotNull()).drop(value)
-    near = materialize(_near_pass(num, bins, keys, r, log_tol).select("__id", "__z", "__ntot", *keys, "__s", "__final"), "kde_near")
-    logs = near.where("__final").select("__id", F.log("__s").alias("__log"))
-    far = near.where(~F.col("__final")).select("__id", "__z", "__ntot", *keys)
+    totals = local.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.sum("__own").alias("__ntot"))
+    vals = values.where(F.col(value).isNotNull()).select(*keys, value).distinct().join(totals, _on(keys, names)).drop(*names) \
+        .withColumn("__z", number_column(values, value) / F.lit(g))
+    near = _near_pass(vals, local, keys, r, log_tol).withColumn("__id", F.monotonically_increasing_id())
+    near = materialize(near, "kde_near")
+    far = near.where(F.col("__z").isNotNull() & ~F.col("__final"))
+    log = F.when(F.col("__final"), F.log("__s"))
     if not far.isEmpty():
-        logs = logs.unionByName(_far_pass(far, bins, model, keys, r, log_tol))
-    dens = F.col("__log") - F.log(F.col("__ntot").cast("double")) - F.lit(math.log(h) + HALF_LOG_2PI)
-    out = vals.join(logs, "__id", "left").select(*keys, value, dens.alias("log_density"))
+        found = _far_pass(far.select("__id", "__z", "__ntot", *keys), local, model, keys, r, log_tol)
+        near, log = near.join(found, "__id", "left"), F.coalesce(log, F.col("__log"))
+    dens = log - F.log(F.col("__ntot").cast("double")) - F.lit(math.log(h) + HALF_LOG_2PI)
+    out = near.select(*keys, value, dens.alias("log_density"))
     return out.withColumn("score", -F.col("log_density"))
 
 

@@ -56,28 +56,33 @@ def test_null_count_is_single_scan_wide_aggregate(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double,props:string>" in p
 
 
-def test_kde_joins_make_a_bounded_number_of_rows(spark):
-    """Neither a near nor a shifted value meets more than a few dozen bins, however many centres there are."""
+def test_kde_values_meet_one_row_and_the_model_is_read_once(spark, tmp_path, monkeypatch):
+    """A near value meets one local expansion, a shifted one an edge on either side, whatever the
+    distances; the model is read once for all of them."""
     keys = ["gamecode", "column"]
-    model = spark.createDataFrame([("g", "c", i / 40.0, 1) for i in range(4000)], "gamecode string, column string, __c double, weight bigint")
-    bins = KD._moment_table(model.withColumn("__bin", KD._bin(F.col("__c"))), [*keys, "__bin"],
-                            F.col("__c") - KD._middle(F.col("__bin")), F.lit(1.0), F.sum("weight").alias("__w"),
-                            F.min("__c").alias("__min"), F.max("__c").alias("__max"))
+    spark.createDataFrame([("g", "c", i / 40.0, 1) for i in range(4000)], "gamecode string, column string, __c double, weight bigint") \
+        .write.parquet(str(tmp_path / "model"))
+    model = spark.read.parquet(str(tmp_path / "model"))
+    KD.local_expansions(model, keys, 1.0).write.parquet(str(tmp_path / "local"))
+    local = spark.read.parquet(str(tmp_path / "local"))
+    assert local.where("__own is not null").count() == 100 and local.count() == 100 + 2 * 13
     near = spark.createDataFrame([(i, i / 7.0, 4000, "g", "c") for i in range(600)],
                                  "__id bigint, __z double, __ntot bigint, gamecode string, column string")
-    p = plan(KD._near_pass(near, bins, keys, 1.0, -20.0))
-    assert "Cartesian" not in p and "NestedLoop" not in p
-    far = near.withColumn("__z", F.col("__z") * 50 + 10_000)
-    assert "NestedLoop" not in plan(KD._far_pass(far, bins, model, keys, 1.0, -20.0))
-    import qualmark.operators.density as mod
-    written = {}
-    keep = mod.materialize
-    try:
-        mod.materialize = lambda df, name="stage": written.setdefault(name, keep(df, name))
-        assert KD._far_pass(far, bins, model, keys, 1.0, -20.0).count() == 600
-    finally:
-        mod.materialize = keep
-    assert written["kde_asked"].count() <= 25 * 600
+    met = KD._near_pass(near, local, keys, 1.0, -20.0)
+    p = plan(met)
+    assert "Generate" not in p and "Cartesian" not in p and "NestedLoop" not in p and met.count() == 600
+    far = near.withColumn("__z", F.pow(F.lit(1.05), F.col("__id")) + 200)         # distances of 42 octaves
+    written, plans = {}, {}
+    keep = KD.materialize
+
+    def noted(df, name="stage"):
+        plans[name] = plan(df)
+        return written.setdefault(name, keep(df, name))
+    monkeypatch.setattr(KD, "materialize", noted)
+    out = KD._far_pass(far, local, model, keys, 1.0, -20.0)
+    assert "NestedLoop" not in plan(out) and out.count() == 600
+    assert written["kde_asked"].count() == 600 and written["kde_groups"].count() == 1
+    assert plans["kde_groups"].count("model]") == 1
 
 
 def test_page_numbers_without_global_window(spark):
