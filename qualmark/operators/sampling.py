@@ -3,10 +3,12 @@
 Samples are reproducible: rows are ordered by a hash of the seed and the row's
 key (``rand(seed)`` when no key is given) and the first ``n`` kept. A plain
 ``orderBy().limit(n)`` would make every map task send its own top ``n`` to one
-final task. Instead one pass counts rows per series and hash prefix (4096 per
-series, combined map-side); the running sum over that small table gives the
-prefix at which a series reaches ``n``, and a second pass ranks only the rows
-up to it. The result is the exact top ``n``.
+final task. Instead the n-th smallest hash is found by radix selection: one pass
+counts rows per series and leading digits (combined map-side), the running sum
+over that small table gives the digits at which a series reaches ``n``, and the
+rows up to them are written. Rounds over these refine the one prefix that the cut
+falls into by its next digits, until it holds at most ``PIECE_ROWS`` rows; the rows
+up to it are then ranked. The result is the exact top ``n``.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.strings import hash_order_key
@@ -23,7 +25,9 @@ from ..session import broadcast_if_small, materialize
 # Fixed value of the reference's extract: the default sample size.
 SAMPLE_SIZE = 100000
 
-PREFIXES = 4096                  # the first three hex digits of the order hash
+DIGITS = 3                       # hex digits of the order hash that a round of the selection tells apart
+PIECE_ROWS = 10_000              # rows of the cut's prefix that need no further round
+DRAW_BITS = 52                   # of a random order
 
 
 def seed_number(seed: str) -> int:
@@ -36,14 +40,61 @@ def _same(a: str, b: str):
 
 
 def _ordered(df: DataFrame, keep: list[str], key: Sequence[str] | None, seed: str) -> DataFrame:
-    """``keep`` plus the order column ``__h`` and its prefix number ``__p``."""
+    """``keep`` plus the order column ``__h``, hex digits of one length."""
     if key:
-        base = df.select(*keep, hash_order_key(seed, *key).alias("__h"))
-        return base.withColumn("__p", F.conv(F.substring("__h", 1, 3), 16, 10).cast("int"))
+        return df.select(*keep, hash_order_key(seed, *key).alias("__h"))
     # rand() is fixed per input split, but a shuffled input may present its rows
     # in another order when it is read again: the draw is written once
-    base = materialize(df.select(*keep, F.rand(seed_number(seed)).alias("__h")), "sample_draw")
-    return base.withColumn("__p", F.floor(F.col("__h") * PREFIXES).cast("int"))
+    draw = F.floor(F.rand(seed_number(seed)) * F.lit(float(1 << DRAW_BITS))).cast("long")
+    return materialize(df.select(*keep, F.lpad(F.hex(draw), DRAW_BITS // 4, "0").alias("__h")), "sample_draw")
+
+
+def _within(rows: DataFrame, cuts: DataFrame, keys: list[str], inside: bool) -> DataFrame:
+    """The rows up to their series' ``__cut`` prefix (or only those inside it), with ``__before``."""
+    def test(cut: Column) -> Column:
+        prefix = F.substring(F.col("__h"), F.lit(1), F.length(cut))
+        return prefix == cut if inside else prefix <= cut
+
+    if not keys:                               # one cut
+        one = cuts.select("__cut", "__before").first()
+        return rows.where(test(F.lit(one["__cut"]))).withColumn("__before", F.lit(one["__before"])) if one \
+            else rows.withColumn("__before", F.lit(0).cast("long")).limit(0)
+    names = [f"__k{i}" for i in range(len(keys))]
+    small, big = broadcast_if_small(cuts.select(*names, "__cut", "__before"), rows, 64 + 32 * len(keys))
+    on = test(F.col("__cut"))
+    for k, n in zip(keys, names):
+        on = on & _same(k, n)
+    return big.join(small, on).drop(*names, "__cut")
+
+
+def smallest(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The rows of ``n`` smallest ``__h`` of every series, and at most ``PIECE_ROWS`` more (rows
+    that share one hash are not parted): ``rows`` as they are, or a written part of them."""
+    names = [f"__k{i}" for i in range(len(keys))]
+    alias = [F.col(k).alias(a) for k, a in zip(keys, names)]
+    cuts, depth = None, 0
+    while True:
+        digits = F.substring("__h", 1, DIGITS * (depth + 1))
+        if cuts is None:
+            inside = rows.withColumn("__before", F.lit(0).cast("long"))
+        else:
+            inside = _within(rows, cuts.where("__open"), keys, True)
+        counts = inside.groupBy(*keys, digits.alias("__cut")).agg(F.count(F.lit(1)).alias("__c"), F.max("__before").alias("__before"))
+        upto = F.sum("__c").over(Window.partitionBy(*keys).orderBy("__cut").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        found = counts.withColumn("__upto", F.col("__before") + upto).where(F.col("__upto") - F.col("__c") < n)
+        last = found.groupBy(*keys).agg(F.max_by(F.struct("__cut", "__c", (F.col("__upto") - F.col("__c")).alias("__before"),
+                                                          (F.col("__upto") >= n).alias("__full")), "__cut").alias("x"))
+        # a series with fewer than n rows takes them all; a cut of few rows is fine enough
+        open_ = F.col("x.__full") & (F.col("x.__c") > PIECE_ROWS)
+        fresh = last.select(*alias, F.col("x.__cut").alias("__cut"), F.col("x.__before").alias("__before"), open_.alias("__open"))
+        if cuts is not None:
+            fresh = fresh.unionByName(cuts.where("not __open"))
+        cuts, depth = materialize(fresh, "sample_cuts"), depth + 1
+        more = not cuts.where("__open").isEmpty() and DIGITS * depth < 32
+        if depth == 1 and more:                # later rounds read only what the first one leaves
+            rows = materialize(_within(rows, cuts, keys, False).drop("__before"), "sample_part")
+        if not more:
+            return _within(rows, cuts, keys, False).drop("__before")
 
 
 def sample_rows(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None, seed: str = "qualmark",
@@ -57,14 +108,7 @@ def sample_rows(df: DataFrame, column: str, n: int, key: Sequence[str] | None =
     ``min(n, rows)`` rows. ``with_md5`` adds ``md5(column)``.
     """
     base = _ordered(df.where(F.col(column).isNotNull()), [column], key, seed)
-    counts = base.groupBy("__p").agg(F.count(F.lit(1)).alias("c")).orderBy("__p").collect()   # at most PREFIXES rows
-    seen, cut = 0, PREFIXES
-    for r in counts:
-        seen += r["c"]
-        if seen >= n:
-            cut = r["__p"]
-            break
-    out = base.where(F.col("__p") <= cut).orderBy("__h", column).limit(n)
+    out = smallest(base, [], n).orderBy("__h", column).limit(n)
     cols = [F.col(column)] + ([F.md5(F.col(column).cast("string")).alias("md5")] if with_md5 else [])
     return out.select(*cols)
 
@@ -74,21 +118,12 @@ def sample_per_series(df: DataFrame, keys: Sequence[str], column: str, n: int, k
     """Up to ``n`` non-null rows of ``column`` per series, in the order of ``sample_rows``.
 
     A series whose key is NULL is a series like any other. The final window
-    ranks at most ``n`` rows of a series plus one hash prefix of it.
+    ranks at most ``n`` rows of a series and ``PIECE_ROWS`` more.
     """
     keys = list(keys)
     base = _ordered(df.where(F.col(column).isNotNull()), [*keys, column], key, seed)
-    counts = base.groupBy(*keys, "__p").agg(F.count(F.lit(1)).alias("c"))
-    before = F.sum("c").over(Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
-    cut = counts.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < n) \
-        .groupBy(*keys).agg(F.max("__p").alias("__cut"))
-    cut = materialize(cut.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__cut"), "sample_cut")
-    small, big = broadcast_if_small(cut, base, 32 + 32 * len(keys))
-    on = F.col("__p") <= F.col("__cut")
-    for i, k in enumerate(keys):
-        on = on & _same(k, f"__k{i}")
     w = Window.partitionBy(*keys).orderBy("__h", column)
-    return big.join(small, on).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).select(*keys, column)
+    return smallest(base, keys, n).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).select(*keys, column)
 
 
 def sample_rows_md5(df: DataFrame, column: str, n: int, key: Sequence[str] | None = None,
@@ -184,20 +219,36 @@ def number_rows(df: DataFrame, order_by: Sequence[str], out: str = "rnum") -> Da
 
 
 def page_by_row_number(df: DataFrame, order_by: Sequence[str], lo: int, hi: int, out: str = "rnum",
-                       unique: bool = True) -> DataFrame:
+                       unique: bool = False) -> DataFrame:
     """Rows numbered 1.. in ``order_by`` order, keeping ``lo+1 <= rnum <= hi+1``.
 
-    With a ``unique`` key only the key columns are sorted and numbered, and the
-    page's keys are joined back to the wide rows. Otherwise whole rows are
-    numbered. See ``number_rows``.
+    Rows that tie on ``order_by`` follow a hash of all their columns, so that pages
+    asked for one by one fit together; ``unique`` promises that none tie and saves
+    the hash. Only the order columns are sorted and numbered, which gives the keys
+    at the page's edges; the rows from the one to the other (ties included) are then
+    cut from ``df`` and numbered by partition and position from the first one's number.
     """
     order = list(order_by)
-    page = (F.col(out) >= lo + 1) & (F.col(out) <= hi + 1)
-    if not unique:
-        return number_rows(df, order, out).where(page)
-    keys = number_rows(df.select(*order), order, out).where(page)
-    keys = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order)], out)
-    on = F.lit(True)
-    for i, c in enumerate(order):
-        on = on & _same(c, f"__k{i}")
-    return df.join(keys, on).select(*df.columns, out)
+    tag = [] if unique else [F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tag")]
+    names = [f"__o{i}" for i in range(len(order) + len(tag))]
+    keyed = df.select("*", *[F.col(c).alias(n) for c, n in zip(order, names)], *[t.alias(names[-1]) for t in tag])
+    numbered = number_rows(keyed.select(*names), names, out)
+    edges = {r[out]: r for r in numbered.where(F.col(out).isin(lo + 1, hi + 1)).collect()}
+    if lo + 1 not in edges:
+        return keyed.select(*df.columns, F.lit(None).cast("long").alias(out)).limit(0)
+    place = F.struct(*names)
+
+    def edge(row) -> Column:
+        return F.struct(*[F.lit(row[n]).cast(keyed.schema[n].dataType).alias(n) for n in names])
+
+    first = edge(edges[lo + 1])
+    before = numbered.where(place < first).count()
+    page = keyed.where(place >= first)
+    if edges[lo + 1][names[0]] is not None:                    # for the scan: a struct is not pushed down
+        page = page.where(F.col(names[0]) >= F.lit(edges[lo + 1][names[0]]))
+    if hi + 1 in edges:
+        page = page.where(place <= edge(edges[hi + 1]))
+        if edges[hi + 1][names[0]] is not None:
+            page = page.where(F.col(names[0]).isNull() | (F.col(names[0]) <= F.lit(edges[hi + 1][names[0]])))
+    page = number_rows(page, names, out).withColumn(out, F.col(out) + F.lit(before))
+    return page.where((F.col(out) >= lo + 1) & (F.col(out) <= hi + 1)).select(*df.columns, out)

@@ -1042,5 +1042,18 @@ SELECT lval.g AS gamecode, lval.c AS "column", value,
         - pow(list_sum(list_transform(idx, lambda i: v2[i])) - list_inner_product(mu, v2), 2), 6) AS score
 FROM lval JOIN lvec ON lvec.g = lval.g AND lvec.c = lval.c JOIN lmu ON lmu.g = lval.g AND lmu.c = lval.c"""
 
+
+# ------------------------------------------- further queries of round 3
+def q_page_with_ties(spark, sf_dir):
+    """A page of rows whose key is not unique: each row once."""
+    page = S.page_by_row_number(_t(spark, sf_dir, "orders"), ["o_custkey"], 2500, 9499)
+    return page.groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_distinct("o_orderkey").alias("orders"),
+                                         F.min("rnum").alias("first"), F.max("rnum").alias("last"))
+
+
+ORACLE["page_with_ties"] = """
+SELECT o_custkey, count(*) AS n, count(*) AS orders, min(rnum) AS first, max(rnum) AS last
+FROM (SELECT o_custkey, ROW_NUMBER() OVER (ORDER BY o_custkey) AS rnum FROM orders) WHERE rnum BETWEEN 2501 AND 9500 GROUP BY o_custkey"""
+
 QUERIES |= {name.removeprefix("q_"): fn for name, fn in list(globals().items())
             if name.startswith("q_") and name.removeprefix("q_") not in QUERIES}

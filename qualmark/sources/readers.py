@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..functions.time import as_date
-from ..session import materialize
+from .sinks import check_separator
 
 # The typed schemas of the reference's count and prediction files.
 NULL_COUNT_SCHEMA = "bucket_dt TIMESTAMP_NTZ, null_count BIGINT, total_count BIGINT"
@@ -25,13 +25,14 @@ def _cells(line: Column, sep: str) -> Column:
     return F.split(line, re.escape(sep), -1)
 
 
-def _unescape(cell: Column) -> Column:
+def _unescape(cell: Column, sep: str) -> Column:
     """Cell text of ``write_delimited``: ``\\N`` alone is NULL; backslash, tab,
-    newline and carriage return are written with a backslash."""
+    newline, carriage return and the separator are written with a backslash."""
     out = F.regexp_replace(cell, r"\\\\", "\u0001b")             # a pair first, so that it starts no other escape
-    for mark, char in (("t", "\t"), ("n", "\n"), ("r", "\r"), ("1", "\u0001")):
+    marks = (("t", "\t"), ("n", "\n"), ("r", "\r"), ("s", sep), ("1", "\u0001"))
+    for mark, _ in marks:
         out = F.regexp_replace(out, r"\\" + mark, "\u0001" + mark)
-    for mark, char in (("b", "\\"), ("t", "\t"), ("n", "\n"), ("r", "\r"), ("1", "\u0001")):
+    for mark, char in (("b", "\\"), *marks):
         out = F.replace(out, F.lit("\u0001" + mark), F.lit(char))
     return F.when(cell != "\\N", out)
 
@@ -49,6 +50,8 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: str
     """
     if on_error not in ("raise", "report"):
         raise ValueError("on_error must be 'raise' or 'report'")
+    if escaped:
+        check_separator(sep)
     fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     lines = spark.read.option("lineSep", "\n").text([paths] if isinstance(paths, str) else list(paths))
     rows = lines.select("value", _cells(F.col("value"), sep).alias("cells"))
@@ -56,7 +59,7 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: str
     out = []
     for i, f in enumerate(fields.fields):
         cell = F.get("cells", F.lit(i))
-        text = _unescape(cell) if escaped else cell
+        text = _unescape(cell, sep) if escaped else cell
         if isinstance(f.dataType, StringType):
             out.append(text.alias(f.name))
             continue
@@ -126,15 +129,16 @@ def read_dated_paths(spark: SparkSession, root: str, as_of, past_days: int, kind
 def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_header: bool = False) -> DataFrame:
     """A4: text lines as ``value``, unchanged; ``skip_header`` drops each file's first line.
 
-    Files are split at line ends, so only the split at offset 0 of a file holds
-    its first line; it is told by its position there.
+    Files are split at line ends, so only the split at offset 0 of a file holds its
+    first line: the least row of that split. One line per file is found by an
+    aggregate over the rows' places (no text is shuffled or written), and left
+    out when the lines are read; files and splits are listed once, so places agree.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lines = spark.read.text(paths)
     if not skip_header:
         return lines
-    numbered = lines.select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("s"),
-                            F.monotonically_increasing_id().alias("i"))
-    numbered = materialize(numbered, "lines")
-    first = numbered.where("s = 0").groupBy("f").agg(F.min("i").alias("i"))
-    return numbered.join(first.select("i"), "i", "left_anti").select("value")
+    place = lines.select("value", F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__s"),
+                         F.monotonically_increasing_id().alias("__i"))
+    first = place.where("__s = 0").groupBy("__f").agg(F.min("__i").alias("__first")).select("__first")
+    return place.join(first, F.col("__i") == F.col("__first"), "left_anti").select("value")

@@ -14,21 +14,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def check_separator(sep: str) -> str:
+    """A separator that escaped cells can hold: one character that no escape is made of."""
+    if len(sep) != 1 or sep in "\\\n\r\u0001Ntnr1sb":
+        raise ValueError(f"separator {sep!r}: one character that is no line end, backslash or mark of an escape")
+    return sep
+
+
 def _escape(cell: Column, sep: str) -> Column:
     out = F.replace(cell, F.lit("\\"), F.lit("\\\\"))
     for char, mark in (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"), ("\u0001", "\\1")):
         out = F.replace(out, F.lit(char), F.lit(mark))
+    if sep != "\t":
+        out = F.replace(out, F.lit(sep), F.lit("\\s"))
     return F.coalesce(out, F.lit("\\N"))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "overwrite") -> None:
     """Headerless delimited folder (one file per task, written in parallel).
 
-    No value changes on the way: backslash, tab, newline and carriage return
-    are escaped with a backslash, NULL is ``\\N`` and empty text is empty.
-    Other separators than a tab must not occur in the values.
+    No value changes on the way: backslash, tab, newline, carriage return and the
+    separator are escaped with a backslash, NULL is ``\\N`` and empty text is empty.
+    Separators that cannot be escaped are refused.
     """
-    cells = [_escape(F.col(f"`{c}`").cast("string"), sep) for c in df.columns]
+    cells = [_escape(F.col(f"`{c}`").cast("string"), check_separator(sep)) for c in df.columns]
     df.select(F.concat_ws(sep, *cells).alias("value")).write.mode(mode).option("lineSep", "\n").text(path)
 
 

@@ -176,3 +176,38 @@ def test_sample_per_series_exact(spark):
         small.count()
     unk = S.sample_per_series(orders, ["o_orderpriority"], "o_totalprice", 7, seed="u")
     assert sorted(r[0] for r in unk.groupBy("o_orderpriority").count().select("count").collect()) == [7] * 5
+
+
+def test_selection_in_many_rounds_is_exact_and_bounded(spark, monkeypatch):
+    """One digit a round and pieces of a few rows: the same sample, and the last step gets hardly more than it."""
+    monkeypatch.setattr(S, "DIGITS", 1)
+    monkeypatch.setattr(S, "PIECE_ROWS", 3)
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 97).alias("v"), F.expr("if(id % 3 = 0, null, 's')").alias("series"))
+    rows = [(i, i % 97, None if i % 3 == 0 else "s") for i in range(5000)]
+    order = lambda r: (_md5("z" + _key(r[0])), r[1])
+    got = S.sample_rows(df, "v", 300, key=["k"], seed="z")
+    assert sorted(r.v for r in got.collect()) == sorted(r[1] for r in sorted(rows, key=order)[:300])
+    assert S.smallest(S._ordered(df, ["v"], ["k"], "z"), [], 300).count() <= 303
+    per = S.sample_per_series(df, ["series"], "v", 40, key=["k"], seed="z").collect()
+    for s in (None, "s"):
+        assert sorted(r.v for r in per if r.series == s) == sorted(r[1] for r in sorted((r for r in rows if r[2] == s), key=order)[:40])
+    assert S.smallest(S._ordered(df, ["series", "v"], ["k"], "z"), ["series"], 40).count() <= 2 * 43
+    # all rows share one key: their hashes tie and values decide
+    tied = S.sample_rows(df.withColumn("k", F.lit(None).cast("long")), "v", 60, key=["k"]).collect()
+    assert sorted(r.v for r in tied) == sorted(r[1] for r in rows)[:60]
+    assert S.sample_rows(df.limit(0), "v", 5, key=["k"]).collect() == [] and S.sample_rows(df, "v", 4999, seed="q").count() == 4999
+
+
+def test_pages_with_ties_fit_together(spark):
+    rows = [(k, i, None if i % 7 == 0 else float(i % 5)) for i, k in enumerate([1, 1, 2, 3, None, None, 3, 3, 3] * 20)]
+    df = spark.createDataFrame(rows + rows[:4], "k int, i int, x double").repartition(5)
+    n, seen = len(rows) + 4, []
+    for lo in range(0, n, 23):
+        page = S.page_by_row_number(df, ["k"], lo, lo + 22).collect()
+        assert [r.rnum for r in sorted(page, key=lambda r: r.rnum)] == list(range(lo + 1, min(lo + 23, n) + 1))
+        seen += page
+    assert sorted((r.k is not None, r.k or 0, r.i) for r in seen) == sorted((k is not None, k or 0, i) for k, i, _ in rows + rows[:4])
+    assert [r.k for r in sorted(seen, key=lambda r: r.rnum)] == sorted((k for k, _, _ in rows + rows[:4]), key=lambda k: (k is not None, k or 0))
+    assert S.page_by_row_number(df, ["k"], n, n + 5).collect() == [] and S.page_by_row_number(df.limit(0), ["k"], 0, 5).collect() == []
+    wide = S.page_by_row_number(df, ["x", "k"], 10, 60)
+    assert wide.columns == ["k", "i", "x", "rnum"] and wide.count() == 51
