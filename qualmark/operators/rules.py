@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.strings import number_column
 from ..functions.time import date_literal, day_bounds, registered, ts_literal
+from ..session import broadcast_if_small
+from .keys import join_on
 
 # Fixed values of the reference rule checks: the base rule list, the length
 # limit and the min/max bounds.
@@ -80,6 +82,33 @@ def rule_min_max(values: DataFrame, value: str = "value", keys: Iterable[str] =
         F.lit(hi).cast("double").alias("max"), *_tags(dt, regdatetime))
 
 
+def evaluate_rules(values: DataFrame, rules: DataFrame, keys: Iterable[str], value: str = "value", regdatetime=None, dt=None) -> DataFrame:
+    """B3-B5 as a table of rules, in one pass over the values.
+
+    ``rules``: one row per rule of a series: ``keys..., rule``, and ``max_len`` (rule
+    ``length``: values of at most so many characters), ``min`` and ``max`` (rule
+    ``min_max``: numbers outside; a NULL bound is none). Rule ``base`` lists every value.
+    A series' rules are one row that its values meet (NULL keys meet NULL keys), and the
+    violations of a value are inlined. Returns ``keys..., data, rule, max_len, min, max``
+    and the tags.
+    """
+    keys = list(keys)
+    x = number_column(values, value)
+    one = F.struct("rule", F.col("max_len").cast("int").alias("max_len"), F.col("min").cast("double").alias("min"),
+                   F.col("max").cast("double").alias("max"))
+    per = rules.groupBy(*keys).agg(F.sort_array(F.collect_set(one)).alias("__rules"))     # as many as the series has rules
+    per, vals = broadcast_if_small(per, values.where(F.col(value).isNotNull())
+                                   .select(*keys, F.col(value).alias("data"), F.length(F.col(value).cast("string")).alias("__len"), x.alias("__x")),
+                                   row_bytes=256)
+
+    def broken(r: Column) -> Column:
+        return ((r["rule"] == "base") | ((r["rule"] == "length") & (F.col("__len") <= r["max_len"]))
+                | ((r["rule"] == "min_max") & (F.coalesce(F.col("__x") < r["min"], F.lit(False)) | F.coalesce(F.col("__x") > r["max"], F.lit(False)))))
+
+    met = join_on(vals, per, keys).select(*keys, "data", F.filter("__rules", broken).alias("__rules"))
+    return met.select(*keys, "data", F.inline("__rules")).select(*keys, "data", "rule", "max_len", "min", "max", *_tags(dt, regdatetime))
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
     """Drop rows whose ``column`` is NULL."""
     return df.where(F.col(column).isNotNull())

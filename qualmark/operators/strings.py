@@ -36,6 +36,7 @@ def fit_string_profile(train: DataFrame, keys: Iterable[str], value: str = "valu
                        alpha: float = 1.0, pad_md5: bool = False) -> DataFrame:
     """per series, position and code: ``cnt`` strings with that code there,
     ``n_train`` training strings, ``prob = (cnt + alpha) / (n_train + 2 alpha)``.
+    A series whose strings are all empty has one row, with no position.
 
     Whole values are read; ``seq_len=16`` gives the reference's encoding, which
     sees only that many bytes. At most (positions x size) rows per series. NULL values are not training
@@ -49,7 +50,9 @@ def fit_string_profile(train: DataFrame, keys: Iterable[str], value: str = "valu
              .where(F.col("code") >= 0)
              .groupBy(*keys, "pos", "code").agg(F.count(F.lit(1)).alias("cnt")))
     a = float(alpha)
-    return (join_on(cells, n_train, keys)
+    # a series of empty texts has no cell: one row without a position keeps its n_train
+    return (join_on(n_train, cells, keys, "left").withColumn("cnt", F.coalesce("cnt", F.lit(0)))
+            .select(*keys, "pos", "code", "cnt", "n_train")
             .withColumn("prob", (F.col("cnt") + F.lit(a)) / (F.col("n_train") + F.lit(2 * a))))
 
 
@@ -61,11 +64,12 @@ def _series_models(profile: DataFrame, keys: list[str], seq_len: int | None, siz
     p0 = F.lit(a) / (F.col("n_train") + F.lit(2 * a))
     cell = F.col("pos") * F.lit(size) + F.col("code")
     logodds = F.log(F.col("prob")) - F.log1p(-F.col("prob"))
+    has = F.col("pos").isNotNull()
     per = profile.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(cell.cast("int"), logodds))).alias("__odds"),
-        F.sum(F.log1p(-F.col("prob"))).alias("__seen_log1m"),
-        F.count(F.lit(1)).alias("__seen"),
-        (F.max("pos") + 1).alias("__len"),
+        F.map_from_entries(F.collect_list(F.when(has, F.struct(cell.cast("int"), logodds)))).alias("__odds"),
+        F.coalesce(F.sum(F.when(has, F.log1p(-F.col("prob")))), F.lit(0.0)).alias("__seen_log1m"),
+        F.count("pos").alias("__seen"),
+        F.coalesce(F.max("pos") + 1, F.lit(0)).alias("__len"),
         F.max("n_train").alias("n_train"))
     return per.select(
         *keys, "__odds", "__seen",
@@ -103,7 +107,7 @@ def score_strings(profile: DataFrame, values: DataFrame, keys: Iterable[str], va
     models, vals = broadcast_if_small(models, vals, row_bytes=64 + 24 * most)
     scored = join_on(vals, models, keys).select(
         *keys, value, (F.col("__const") + hot).alias("log_likelihood"))
-    return scored.withColumn("score", -F.col("log_likelihood"))
+    return scored.withColumn("score", F.lit(0.0) - F.col("log_likelihood"))     # 0 stays 0, not -0
 
 
 def score_day_strings(models: DataFrame, values: DataFrame, keys: Iterable[str], value: str = "value", day: str = "dt",

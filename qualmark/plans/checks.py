@@ -7,20 +7,21 @@ limits. The ``*_count`` plans are the daily count extracts, tagged by series.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import DEFAULT_KEYS
-from ..functions.time import date_literal
+from ..functions.time import as_date, date_literal
 from ..operators.counts import freq_count, null_count
-from ..operators.limits import (ADJACENT_WINDOW_SECONDS, FREQ_WEIGHT, NULL_WEIGHT, SEASONAL_LAGS, freq_memo,
-                                freq_rates, freq_threshold, null_memo, null_threshold)
-from ..operators.rules import LENGTH_LIMIT, MIN_MAX_BOUNDS, rule_length, rule_min_max
+from ..operators.limits import (ADJACENT_WINDOW_SECONDS, FREQ_WEIGHT, NULL_WEIGHT, SEASONAL_LAGS, freq_alerts, freq_memo,
+                                freq_rates, freq_threshold, null_alerts, null_memo, null_threshold)
+from ..operators.rules import evaluate_rules
 from ..session import materialize
-from ..sources.readers import read_dated
-from ..sources.sinks import write_partitioned
+from ..sources.readers import RULE_VALUES_SCHEMA, read_dated, read_dated_paths
+from ..sources.sinks import read_stored, write_partitioned
 
 
 def compute_null_count(logs: DataFrame, ts: str, columns, as_of=None, keys: Iterable[str] = ("gamecode",)) -> DataFrame:
@@ -78,10 +79,6 @@ def null_alert_day(logs: DataFrame, ts: str, columns, as_of, keys: Iterable[str]
 
     The day D+1 counts read only that day (a pushed-down range on ``ts``).
     """
-    import datetime as _dt
-
-    from ..functions.time import as_date
-    from ..operators.limits import null_alerts
     keys = list(keys)
     nxt = as_date(as_of) + _dt.timedelta(days=1)
     counts = null_count(read_dated(logs, nxt, 0, ts=ts), ts, columns, keys)
@@ -129,53 +126,66 @@ def day_counts(logs: DataFrame, ts: str, null_columns, freq_columns, as_of,
 
 def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_of, out: str,
                        keys: Iterable[str] = ("gamecode",)) -> dict[str, str]:
-    """The reference's four daily commands as one job family.
+    """The reference's four daily commands and its two alert queries as one job family.
 
     Counts day D from its raw rows alone and stores the counts; the limits of
-    day D come from the stored counts of the past days. A day that was never
+    day D come from the stored counts of the past days, and the alerts of day D from
+    its counts and the stored limits of day D-1. A day that was never
     counted is simply not there. Tables lie in ``out/<table>``, partitioned by
-    ``dt`` and clustered by series, with dynamic partition overwrite: re-running
-    a day replaces that day (the reference appended to MySQL, so re-runs
-    duplicated rows). Returns the table paths.
+    ``dt`` and clustered by series: re-running a day replaces that day, also where
+    less or nothing is found (the reference appended to MySQL, so re-runs
+    duplicated rows). Read them with ``read_stored``. Returns the table paths.
     """
     keys = list(keys)
     series = [*keys, "column"]
-    day = date_literal(as_of)
+    day, before = date_literal(as_of), date_literal(as_date(as_of) - _dt.timedelta(days=1))
     spark = logs.sparkSession
-    paths = {name: f"{out}/{name}" for name in ("null_count", "freq_count", "null_threshold", "freq_threshold")}
+    paths = {name: f"{out}/{name}" for name in ("null_count", "freq_count", "null_threshold", "freq_threshold", "null_alert", "freq_alert")}
 
     def write(df: DataFrame, name: str) -> None:
-        write_partitioned(df if "dt" in df.columns else df.withColumn("dt", day), paths[name], cluster_by=series)
+        write_partitioned(df if "dt" in df.columns else df.withColumn("dt", day), paths[name], cluster_by=series, replace=[as_date(as_of)])
+
+    def stored(name: str, of) -> DataFrame:
+        return read_stored(spark, paths[name]).where(F.col("dt") == of)
 
     nulls, classes = day_counts(logs, ts, null_columns, freq_columns, as_of, keys)
     write(nulls, "null_count")
     write(classes, "freq_count")
     write(stored_null_threshold(spark, paths["null_count"], as_of, series), "null_threshold")
     write(stored_freq_threshold(spark, paths["freq_count"], as_of, series), "freq_threshold")
+    write(null_alerts(stored("null_count", day).drop("dt"), stored("null_threshold", before).drop("dt"), series), "null_alert")
+    write(freq_alerts(stored("freq_count", day), stored("freq_threshold", before), None, series), "freq_alert")
     return paths
 
 
 def stored_null_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
     """Day D's null thresholds from the stored counts of the past days (``dt`` partitions)."""
-    counts = read_dated(spark.read.parquet(path), as_of, 7)
+    counts = read_dated(read_stored(spark, path), as_of, 7)
     return compute_null_threshold(counts.drop("dt"), as_of, series)
 
 
 def stored_freq_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
     """Day D's class limits from the stored counts of the past days."""
-    return compute_freq_threshold(spark.read.parquet(path), as_of, series)
+    return compute_freq_threshold(read_stored(spark, path), as_of, series)
 
 
-def write_daily_rules(values: DataFrame, as_of, out: str, value: str = "value", keys: Iterable[str] = DEFAULT_KEYS,
-                      max_len: int = LENGTH_LIMIT, bounds: tuple = MIN_MAX_BOUNDS, regdatetime=None) -> dict[str, str]:
-    """The daily rule job: day D's values against the length and the range rule.
+def write_rules(values: DataFrame, rules: DataFrame, as_of, out: str, value: str = "value", keys: Iterable[str] = DEFAULT_KEYS,
+                regdatetime=None) -> str:
+    """Day D's values against a table of rules (``evaluate_rules``), in one scan of the values.
 
-    Violations carry ``dt`` and ``regdatetime`` and replace the day's partition
-    of ``out/rule_length`` and ``out/rule_min_max``.
+    Violations replace the day's partition of ``out/rule_violations`` (``dt``, then ``rule``),
+    also if there are none this time. Returns the table's path.
     """
+    keys, path = list(keys), f"{out}/rule_violations"
+    found = evaluate_rules(values, rules, keys, value, regdatetime, as_of)
+    write_partitioned(found, path, ("dt", "rule"), cluster_by=keys, replace=[as_date(as_of)])
+    return path
+
+
+def write_daily_rules(spark, root: str, rules: DataFrame, as_of, out: str, keys: Iterable[str] = DEFAULT_KEYS, kind: str = "test",
+                      regdatetime=None) -> str:
+    """The daily rule job: reads day D's value files of all series (``root/<key>/.../YYYYMMDD/kind/*``)
+    and stores the violations of their rules. Values are distinct, as the day's extract has them."""
     keys = list(keys)
-    found = {"rule_length": rule_length(values, value, keys, max_len, regdatetime, as_of),
-             "rule_min_max": rule_min_max(values, value, keys, *bounds, regdatetime, as_of)}
-    for name, df in found.items():
-        write_partitioned(df, f"{out}/{name}", cluster_by=keys)
-    return {name: f"{out}/{name}" for name in found}
+    day = read_dated_paths(spark, root, as_of, 0, kind, RULE_VALUES_SCHEMA, keys=keys)
+    return write_rules(day.select(*keys, "value").distinct(), rules, as_of, out, "value", keys, regdatetime)

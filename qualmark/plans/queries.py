@@ -905,30 +905,61 @@ def q_eval_metrics(spark, sf_dir):
     return _round(evaluate_strings(rows, "value", KEYS, ["event_id"], SEED))
 
 
-def _daily_store(spark, sf_dir) -> dict:
-    """Days D-7..D counted one after the other into the stored tables."""
+def _daily_store(spark, sf_dir, last=AS_OF, days: int = 7) -> dict:
+    """The days up to ``last`` counted one after the other into the stored tables."""
     from .checks import write_daily_checks
     out, paths = scratch_path(spark, "daily"), {}
-    for back in range(7, -1, -1):
-        paths = write_daily_checks(_events(spark, sf_dir), "ts", null_columns(), ["event_type"], AS_OF - _dt.timedelta(days=back), out)
+    for back in range(days, -1, -1):
+        paths = write_daily_checks(_events(spark, sf_dir), "ts", null_columns(), ["event_type"], last - _dt.timedelta(days=back), out)
     return paths
 
 
 def q_stored_null_threshold(spark, sf_dir):
-    t = spark.read.parquet(_daily_store(spark, sf_dir)["null_threshold"]).where(F.col("dt") == F.lit(AS_OF))
+    t = SK.read_stored(spark, _daily_store(spark, sf_dir)["null_threshold"]).where(F.col("dt") == F.lit(AS_OF))
     return _round(t.select(*KEYS, "bucket_dt", "threshold"))
 
 
 def q_stored_freq_threshold(spark, sf_dir):
-    t = spark.read.parquet(_daily_store(spark, sf_dir)["freq_threshold"]).where(F.col("dt") == F.lit(AS_OF))
+    t = SK.read_stored(spark, _daily_store(spark, sf_dir)["freq_threshold"]).where(F.col("dt") == F.lit(AS_OF))
     return _round(t.select(*KEYS, "dt", "class", "lowerbound", "upperbound"))
 
 
+def _write_rule_values(spark, sf_dir, root: str, day, corrected: bool = False) -> None:
+    """The day's distinct values as delimited folders, one per series and day."""
+    vals = materialize(rule_values(spark, sf_dir), "rule_values")
+    for (column,) in sorted(vals.select("column").distinct().collect()):        # as many as there are checked columns
+        own = vals.where(F.col("column") == column)
+        if corrected:
+            own = own.where(F.col("value").try_cast("double").between(10, 100) & (F.length("value") > 2))
+        SK.write_delimited(own.select("value"), f"{root}/part/{column}/{day:%Y%m%d}/test")
+
+
+def _rule_table(spark) -> DataFrame:
+    """The checked rules, as a rule table has them: series differ in kinds and bounds."""
+    return spark.createDataFrame([("part", "p_size", "length", 2, None, None), ("part", "p_size", "min_max", None, 10.0, 40.0),
+                                  ("part", "p_retailprice", "min_max", None, 1000.0, None), ("part", "odd_numbers", "min_max", None, 0.0, 100.0),
+                                  ("part", "odd_numbers", "length", 4, None, None), ("part", "p_brand", "base", None, None, None)],
+                                 "gamecode string, column string, rule string, max_len int, min double, max double")
+
+
 def q_daily_rules(spark, sf_dir):
+    """The rule job from the day's value folders: every series by its own rules."""
     from .checks import write_daily_rules
-    paths = write_daily_rules(rule_values(spark, sf_dir), AS_OF, scratch_path(spark, "rules"), keys=KEYS, regdatetime=REGDATETIME)
-    parts = [spark.read.parquet(p).select(*KEYS, "data", F.lit(n).alias("rule"), "dt", "regdatetime") for n, p in paths.items()]
-    return parts[0].unionByName(parts[1])
+    root, out = scratch_path(spark, "rule_days"), scratch_path(spark, "rules")
+    _write_rule_values(spark, sf_dir, root, AS_OF)
+    path = write_daily_rules(spark, root, _rule_table(spark), AS_OF, out, KEYS, regdatetime=REGDATETIME)
+    return SK.read_stored(spark, path).select(*KEYS, "data", "rule", "max_len", "min", "max", "dt", "regdatetime")
+
+
+def q_daily_rules_rerun(spark, sf_dir):
+    """Day D is run again on corrected values that break no rule; day D-1 keeps its violations."""
+    from .checks import write_daily_rules
+    root, out, path = scratch_path(spark, "rule_days"), scratch_path(spark, "rules"), ""
+    rules = _rule_table(spark).where("rule = 'length'")
+    for day, corrected in ((AS_OF - _dt.timedelta(days=1), False), (AS_OF, False), (AS_OF, True)):
+        _write_rule_values(spark, sf_dir, root, day, corrected)
+        path = write_daily_rules(spark, root, rules.where("max_len = 2"), day, out, KEYS, regdatetime=REGDATETIME)
+    return SK.read_stored(spark, path).select(*KEYS, "data", "rule", "dt")
 
 
 _ODD_TEXT = ("concat(' ', p_type)", "concat(p_type, ' ')", "concat('a', char(9), 'b', p_type)", "concat(p_brand, char(10), p_type)",
@@ -993,10 +1024,17 @@ FROM te JOIN w_score ON te.value = w_score.value GROUP BY ALL"""
 ORACLE["stored_null_threshold"] = ORACLE["null_threshold"]
 ORACLE["stored_freq_threshold"] = (f"WITH {_FC_SQL}, {_FREQ_SQL} SELECT {_FTHR_COLS} FROM fthr "
                                    "WHERE gamecode = 'events' AND dt = DATE '2024-01-20'")
-ORACLE["daily_rules"] = f"""WITH {_RV_SQL}
-SELECT gamecode, "column", value AS data, rule, DATE '{AS_OF}' AS dt, TIMESTAMP '{REGDATETIME}' AS regdatetime
-FROM rv, (VALUES ('rule_length'), ('rule_min_max')) AS r(rule)
-WHERE (rule = 'rule_length' AND length(value) <= 2) OR (rule = 'rule_min_max' AND (x < 10 OR x > 100))"""
+ORACLE["daily_rules"] = f"""WITH {_RV_SQL},
+rules(c, rule, max_len, lo, hi) AS (
+  VALUES ('p_size', 'length', 2, NULL, NULL), ('p_size', 'min_max', NULL, 10.0, 40.0), ('p_retailprice', 'min_max', NULL, 1000.0, NULL),
+         ('odd_numbers', 'min_max', NULL, 0.0, 100.0), ('odd_numbers', 'length', 4, NULL, NULL), ('p_brand', 'base', NULL, NULL, NULL))
+SELECT gamecode, "column", value AS data, rule, max_len::int AS max_len, lo::double AS min, hi::double AS max, DATE '{AS_OF}' AS dt,
+       TIMESTAMP '{REGDATETIME}' AS regdatetime
+FROM rv JOIN rules ON c = "column"
+WHERE rule = 'base' OR (rule = 'length' AND length(value) <= max_len) OR (rule = 'min_max' AND (coalesce(x < lo, false) OR coalesce(x > hi, false)))"""
+ORACLE["daily_rules_rerun"] = f"""WITH {_RV_SQL}
+SELECT gamecode, "column", value AS data, 'length' AS rule, DATE '{AS_OF - _dt.timedelta(days=1)}' AS dt
+FROM rv WHERE "column" = 'p_size' AND length(value) <= 2"""
 ORACLE["text_roundtrip"] = """SELECT p_partkey, hex(encode(CASE p_partkey % 9 WHEN 0 THEN ' ' || p_type WHEN 1 THEN p_type || ' '
   WHEN 2 THEN 'a' || chr(9) || 'b' || p_type WHEN 3 THEN p_brand || chr(10) || p_type WHEN 4 THEN '"' || p_brand || '"' || chr(13)
   WHEN 5 THEN p_type || chr(92) WHEN 6 THEN '' WHEN 8 THEN chr(92) || 'N' END)) AS value FROM part"""
@@ -1055,5 +1093,76 @@ ORACLE["page_with_ties"] = """
 SELECT o_custkey, count(*) AS n, count(*) AS orders, min(rnum) AS first, max(rnum) AS last
 FROM (SELECT o_custkey, ROW_NUMBER() OVER (ORDER BY o_custkey) AS rnum FROM orders) WHERE rnum BETWEEN 2501 AND 9500 GROUP BY o_custkey"""
 
+
+def q_stored_null_alerts(spark, sf_dir):
+    """The alert table of the daily job: day D+1 against the stored limits of day D."""
+    nxt = AS_OF + _dt.timedelta(days=1)
+    t = SK.read_stored(spark, _daily_store(spark, sf_dir, nxt, 8)["null_alert"]).where(F.col("dt") == F.lit(nxt))
+    return _round(t.select(*KEYS, "bucket_dt", "threshold", "score", "alert"))
+
+
+def q_stored_freq_alerts(spark, sf_dir):
+    nxt = AS_OF + _dt.timedelta(days=1)
+    t = SK.read_stored(spark, _daily_store(spark, sf_dir, nxt, 8)["freq_alert"]).where(F.col("dt") == F.lit(nxt))
+    return _round(t.select(*KEYS, "dt", "class", "pi", "lowerbound", "upperbound", "alert"))
+
+
+def q_score_day_stored(spark, sf_dir):
+    """Models of every day in a versioned table; a newer version was never committed."""
+    from ..sources import models as M
+    from .scoring import score_day_stored
+    vals = kde_values(spark, sf_dir)
+    train = vals.withColumnRenamed("dt", "model_dt")
+    path = scratch_path(spark, "models")
+    half = F.col("model_dt") < F.lit(AS_OF)
+    M.write_models(KD.fit_kde(train.where("value < 50"), [*KEYS, "model_dt"]), path)
+    M.write_models(KD.fit_kde(train.where(half), [*KEYS, "model_dt"]), path)
+    M.write_models(KD.fit_kde(train.where(~half), [*KEYS, "model_dt"]), path)
+    M.stage_models(KD.fit_kde(train.where("value > 50"), [*KEYS, "model_dt"]), path, 4)
+    return _round(score_day_stored(spark, path, vals, KEYS))
+
+
+def q_lines_with_header(spark, sf_dir):
+    """Several files that begin with a header line each."""
+    path = scratch_path(spark, "headed")
+    part = _t(spark, sf_dir, "part")
+    for i in range(3):
+        own = part.where(F.col("p_partkey") % 3 == i).select(F.col("p_partkey").alias("k"), F.col("p_name").alias("value"))
+        head = own.agg(F.lit(-1).cast("long").alias("k"), F.lit("the header").alias("value"))
+        own.select(F.col("k").cast("long").alias("k"), "value").unionByName(head).coalesce(1).sortWithinPartitions("k") \
+            .select("value").write.mode("append").text(path)
+    return RD.read_lines(spark, path, skip_header=True)
+
+
+def q_string_scores_empty(spark, sf_dir):
+    """A series whose training strings are all empty still scores its values."""
+    part = _t(spark, sf_dir, "part").select(F.lit("part").alias("gamecode"), F.lit("empty").alias("column"), "p_brand", F.lit("").alias("value"))
+    vals = part.select("gamecode", "column", F.col("p_brand").alias("value")).unionByName(part.select("gamecode", "column", "value"))
+    return _round(ST.score_strings(ST.fit_string_profile(part, KEYS), vals, KEYS))
+
+
+def q_density_metrics(spark, sf_dir):
+    from .scoring import evaluate_densities
+    rows = _events(spark, sf_dir).select("gamecode", F.lit("value").alias("column"), "event_id", "value")
+    return _round(evaluate_densities(rows, "value", KEYS, ["event_id"], SEED))
+
+
+ORACLE["stored_null_alerts"] = ORACLE["null_alerts"]
+ORACLE["stored_freq_alerts"] = ORACLE["freq_alerts"].split("WHERE (gamecode = 'events'")[0] + "WHERE gamecode = 'events' AND dt = DATE '2024-01-21'"
+ORACLE["score_day_stored"] = ORACLE["score_day"]
+ORACLE["lines_with_header"] = "SELECT p_name AS value FROM part"
+ORACLE["string_scores_empty"] = """WITH n AS (SELECT 1 / (count(*) + 2) AS p0 FROM part),
+v AS (SELECT DISTINCT p_brand AS value FROM part WHERE p_brand IS NOT NULL UNION SELECT '')
+SELECT 'part' AS gamecode, 'empty' AS "column", value, ROUND(strlen(value) * (ln(p0) - ln(1 - p0)), 6) + 0.0 AS log_likelihood,
+       ROUND(strlen(value) * (ln(1 - p0) - ln(p0)), 6) AS score FROM v, n"""
+ORACLE["density_metrics"] = f"""WITH ev AS (
+  SELECT value, CAST('0x' || substr(md5('{SEED}/split' || {_key("event_id")}), 1, 8) AS BIGINT) % 100 AS u FROM events WHERE value IS NOT NULL),
+m AS (SELECT value AS centre, count(*) AS weight FROM ev WHERE u < 80 GROUP BY 1),
+q AS (SELECT value, count(*) AS n FROM ev WHERE u BETWEEN 80 AND 89 GROUP BY 1),
+e AS (SELECT q.value, any_value(n) AS n, max(-0.5 * pow(q.value - centre, 2)) AS mx FROM q, m GROUP BY q.value),
+s AS (SELECT e.value, any_value(e.n) AS n, any_value(mx) + ln(sum(weight * exp(-0.5 * pow(e.value - centre, 2) - mx))) AS l FROM e, m GROUP BY e.value)
+SELECT 'events' AS gamecode, 'value' AS "column",
+       ROUND(sum(-(l - ln((SELECT sum(weight) FROM m)) - 0.5 * ln(2 * pi())) * n) / sum(n), 6) AS distortion, sum(n)::bigint AS n FROM s"""
+
 QUERIES |= {name.removeprefix("q_"): fn for name, fn in list(globals().items())
             if name.startswith("q_") and name.removeprefix("q_") not in QUERIES}

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from ..functions.time import as_date
 from ..operators.counts import score_summary
-from ..operators.density import BANDWIDTH, fit_kde, score_kde
+from ..operators.density import BANDWIDTH, fit_kde, score_day, score_kde
 from ..operators.keys import join_on
 from ..operators.sampling import sample_per_series, split_rows
-from ..operators.strings import fit_string_profile, score_strings
+from ..operators.strings import fit_string_profile, score_day_strings, score_strings
 from ..session import materialize
+from ..sources.models import read_models
 from ..sources.readers import read_dated
+from ..sources.sinks import write_partitioned
 
 
 def _day_values(logs: DataFrame, ts: str, value: str, day, keys: list[str]) -> DataFrame:
@@ -71,6 +73,33 @@ def string_score_report(logs: DataFrame, ts: str, value: str, as_of, keys: Itera
                          dt=d, regdatetime=regdatetime)
 
 
+def score_day_stored(spark, path: str, values: DataFrame, keys: Iterable[str], value: str = "value", day: str = "dt",
+                     lag_days: int = 1, strings: bool = False, **params) -> DataFrame:
+    """F7 from a stored model table (``sources.models``): the days of ``values`` under the newest
+    committed models of ``day - lag_days``; only those models' partitions are read."""
+    days = [r[0] for r in values.select(F.date_sub(F.col(day), lag_days)).distinct().collect()]     # as many as days are scored
+    models = read_models(spark, path, [d for d in days if d is not None])
+    score = score_day_strings if strings else score_day
+    return score(models, values, keys, value, day, "model_dt", lag_days, **params)
+
+
+def publish_report(report: DataFrame, path: str, as_of, keys: Iterable[str]) -> None:
+    """Store a day's score summary in the report table, replacing that day (the reference appended)."""
+    write_partitioned(report, path, ("dt",), cluster_by=list(keys), replace=[as_date(as_of)])
+
+
+def evaluate_densities(rows: DataFrame, value: str, keys: Iterable[str], row_key: Iterable[str],
+                       seed: str = "qualmark", bandwidth: float = BANDWIDTH) -> DataFrame:
+    """Fit on the train split, measure on the eval split: mean ``score`` (negative log density) per
+    numeric eval row (``distortion``) and eval rows (``n``) of every series."""
+    keys, row_key = list(keys), list(row_key)
+    rows = rows.where(F.col(value).isNotNull())
+    model = fit_kde(split_rows(rows, "train", row_key, seed), keys, value)
+    held = split_rows(rows, "eval", row_key, seed).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    scores = join_on(score_kde(model, held, keys, value, bandwidth), held, [*keys, value]).where(F.col("score").isNotNull())
+    return scores.groupBy(*keys).agg((F.sum(F.col("score") * F.col("__n")) / F.sum("__n")).alias("distortion"), F.sum("__n").alias("n"))
+
+
 def evaluate_strings(rows: DataFrame, value: str, keys: Iterable[str], row_key: Iterable[str],
                      seed: str = "qualmark") -> DataFrame:
     """Fit on the train split, measure on the eval split: mean loss per eval row

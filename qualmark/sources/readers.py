@@ -103,27 +103,33 @@ def read_dated(df: DataFrame, as_of, past_days: int, day: str = "dt", ts: str |
     return df.where((F.col(day) >= F.expr(f"DATE'{lo.isoformat()}'")) & (F.col(day) <= F.expr(f"DATE'{d.isoformat()}'")))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(path))
+    return found is not None and len(found) > 0
+
+
 def read_dated_paths(spark: SparkSession, root: str, as_of, past_days: int, kind: str,
-                     schema: str | StructType, sep: str = "\t", escaped: bool = True) -> DataFrame:
+                     schema: str | StructType, sep: str = "\t", escaped: bool = True, keys: Sequence[str] = ()) -> DataFrame:
     """A3 over the reference folder layout ``root/YYYYMMDD/kind/*``; adds ``dt``.
 
-    A day without a folder has no rows; so does a range without any.
+    With ``keys`` the day folders of many series are read in one scan, from
+    ``root/<key>/<key>/YYYYMMDD/kind/*`` with a folder level per key, which become
+    columns. A day without a folder has no rows; so does a range without any.
     """
     d = as_date(as_of)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    conf = spark._jsc.hadoopConfiguration()
-
-    def exists(path: str) -> bool:
-        found = hadoop.Path(path).getFileSystem(conf).globStatus(hadoop.Path(path))
-        return found is not None and len(found) > 0
-
-    days = [f"{root}/{(d - _dt.timedelta(days=i)):%Y%m%d}/{kind}/*" for i in range(past_days, -1, -1)]
-    paths = [p for p in days if exists(p)]
+    above = f"{root}/" + "*/" * len(keys)
+    days = [f"{above}{(d - _dt.timedelta(days=i)):%Y%m%d}/{kind}/*" for i in range(past_days, -1, -1)]
+    paths = [p for p in days if _exists(spark, p)]
     if not paths:
         fields = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-        return spark.createDataFrame([], fields).withColumn("dt", F.lit(None).cast("date"))
+        empty = spark.createDataFrame([], fields).withColumn("dt", F.lit(None).cast("date"))
+        return empty.withColumns({k: F.lit(None).cast("string") for k in keys})
     df = read_delimited(spark, paths, schema, sep, escaped)
-    return df.withColumn("dt", F.to_date(F.regexp_extract(F.input_file_name(), r"/(\d{8})/", 1), "yyyyMMdd"))
+    place = F.input_file_name()
+    levels = r"([^/]+)/" * len(keys) + r"(\d{8})/[^/]+/[^/]+$"
+    named = {k: F.url_decode(F.regexp_extract(place, levels, i + 1)) for i, k in enumerate(keys)}
+    return df.withColumns(named | {"dt": F.to_date(F.regexp_extract(place, levels, len(keys) + 1), "yyyyMMdd")})
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], skip_header: bool = False) -> DataFrame:

@@ -8,10 +8,12 @@ a key). The delimited, JDBC and JSON writers keep the reference's formats.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def check_separator(sep: str) -> str:
@@ -42,7 +44,7 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\t", mode: str = "over
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("dt",),
-                      cluster_by: Sequence[str] | None = None) -> None:
+                      cluster_by: Sequence[str] | None = None, replace: Sequence = ()) -> None:
     """Parquet partitioned by day; re-running a day overwrites only that day.
 
     ``cluster_by`` (the series keys) range-partitions the rows on
@@ -51,12 +53,70 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str] = ("
     then combine a series' emissions before the shuffle, and Parquet min/max
     statistics skip row groups of other series. Range partitioning also splits
     one large day over many tasks, where ``repartition(dt)`` would not.
+
+    ``replace`` names the days (values of the first partition column) that the job
+    answers for: one that gets no row this time loses the rows of earlier runs. The
+    table's schema is kept beside it, so that ``read_stored`` can read it before any
+    row was written.
     """
+    spark = df.sparkSession
+    fs, _ = _file_system(spark, path)
+    _write_text(spark, f"{path}/{SCHEMA_FILE}", df.schema.json())
+    days = [f"{path}/{partition_by[0]}={d}" for d in replace]
+    before = [(d, _files(spark, d)) for d in days]
     if cluster_by:
         cols = [*partition_by, *cluster_by]
         df = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_by).parquet(path))
+    for d, old in before:
+        for name in old & _files(spark, d):                     # a partition that got rows has new files only
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(name), False)
+
+
+SCHEMA_FILE = "_schema.json"     # Spark's readers pass over names that begin with an underscore
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _files(spark: SparkSession, path: str) -> set[str]:
+    """The data files below a folder (none, if it is not there)."""
+    fs, root = _file_system(spark, path)
+    if not fs.exists(root):
+        return set()
+    found, out = fs.listFiles(root, True), set()
+    while found.hasNext():
+        out.add(found.next().getPath().toString())
+    return out
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _file_system(spark, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_partitioned`` with the schema it was written with, also if no day
+    of it has rows."""
+    text = _read_text(spark, f"{path}/{SCHEMA_FILE}")
+    reader = spark.read if text is None else spark.read.schema(StructType.fromJson(json.loads(text)))
+    return reader.parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None) -> None:
