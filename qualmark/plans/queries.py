@@ -1147,6 +1147,18 @@ def q_density_metrics(spark, sf_dir):
     return _round(evaluate_densities(rows, "value", KEYS, ["event_id"], SEED))
 
 
+def q_latent_scores_long(spark, sf_dir):
+    """Texts that agree in their first 16 bytes and differ behind them."""
+    from ..operators import latent as LT
+    vals = _long_values(spark, sf_dir)
+    return _round(LT.latent_scores(LT.fit_latent(vals, KEYS), vals, KEYS).select(*KEYS, "value", "score"))
+
+
+_LONG_SV = """sv AS (
+  SELECT 'part' AS g, 'long' AS c, 'the same start: ' || p_type || '/' || p_brand || repeat('%', p_size % 7) AS value FROM part),
+ntr AS"""
+ORACLE["latent_scores_long"] = ORACLE["latent_scores"].replace("range(1, 17)", "range(1, 65)") \
+    .replace(ORACLE["latent_scores"][ORACLE["latent_scores"].index("sv AS ("):ORACLE["latent_scores"].index("ntr AS") + 6], _LONG_SV)
 ORACLE["stored_null_alerts"] = ORACLE["null_alerts"]
 ORACLE["stored_freq_alerts"] = ORACLE["freq_alerts"].split("WHERE (gamecode = 'events'")[0] + "WHERE gamecode = 'events' AND dt = DATE '2024-01-21'"
 ORACLE["score_day_stored"] = ORACLE["score_day"]

@@ -177,6 +177,37 @@ def test_latent_scores_brute_force(spark):
         assert got[v][1] == pytest.approx(z, rel=1e-6, abs=1e-8)
 
 
+def test_latent_scores_of_whole_values_and_many_series(spark, monkeypatch):
+    """Values that differ behind byte 16, a series without variance, one of empty strings, a NULL key."""
+    from qualmark.operators import latent as LT
+    rnd = random.Random(5)
+    long = ["x" * 16 + rnd.choice(["A", "BB", "<script>", ""]) + "".join(rnd.choice("ab") for _ in range(rnd.randint(0, 9))) for _ in range(60)]
+    rows = [(None, "long", v) for v in long] + [("g", "flat", "same")] * 5 + [("g", "empty", "")] * 3
+    tr = spark.createDataFrame(rows, "gamecode string, column string, value string")
+    te = tr.unionByName(spark.createDataFrame([(None, "long", "x" * 16 + "Q" * 40), ("g", "flat", "sameX"), ("g", "empty", "ab"), ("h", "none", "v")], tr.schema))
+    model = LT.fit_latent(tr, KEYS)
+    got = {(r.column, r.value): r for r in LT.latent_scores(model, te, KEYS).collect()}
+    assert len(got) == len(set(long)) + 1 + 2 + 2
+    assert got["flat", "same"].score == pytest.approx(0) and got["flat", "sameX"].score == pytest.approx(1)
+    assert got["empty", ""].score == 0 and got["empty", "ab"].score == 2
+    m = max(len(v) for v in long)
+    X = np.zeros((len(long), m * 128))
+    for i, v in enumerate(long):
+        for j, c in enumerate(v.encode()):
+            X[i, j * 128 + c] = 1
+    mu = X.mean(axis=0)
+    vals, vecs = np.linalg.eigh((X - mu).T @ (X - mu) / len(long))
+    z = (X - mu) @ vecs[:, ::-1][:, :2]
+    for i, v in enumerate(long):
+        assert got["long", v].score == pytest.approx(((X[i] - mu) ** 2).sum() - (z[i] ** 2).sum(), abs=1e-9)
+        assert sorted(abs(x) for x in got["long", v].z) == pytest.approx(sorted(abs(z[i])), abs=1e-9)
+    assert len({round(got["long", "x" * 16 + e].score, 6) for e in ("A", "BB", "<script>") if ("long", "x" * 16 + e) in got}) == \
+        sum(("long", "x" * 16 + e) in got for e in ("A", "BB", "<script>"))
+    plan = LT._product(*[spark.createDataFrame([], s) for s in ("__sid long, gamecode string, column string, __cells array<int>, __n long",
+                       "gamecode string, column string, cell int, mu double, __tot long, __low double, v0 double")], KEYS, 1, "merge")
+    assert "Pandas" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pad_md5_reproduces_reference_encoding(spark):
     import hashlib
     df = spark.createDataFrame([("ab",), ("abcdefghijklmnopq",)], "value string")
