@@ -2,20 +2,24 @@
 
 Words are hashed by prefix polynomials over a batch's bytes, and every n-gram of
 words by prefix polynomials over the word hashes, all in numpy. The n-grams are
-counted in three rounds (words, pairs, then three to five words), each by a shuffle
-that adds up fingerprints. An n-gram is looked at only if its parts were frequent
-in the round before; the frequent fingerprints travel as a bit table of fixed
-size, whose false hits only cost counting.
-
-A last pass sends the frequent n-grams alone, with the place of one occurrence
-and a second fingerprint. In a task, occurrences of one fingerprint are compared
-word by word; between tasks both fingerprints (125 bits) must agree, so
-collisions are told apart, and the phrase is read from the text at its place.
+counted in three rounds, each by a shuffle that adds up fingerprints. An n-gram is
+looked at only if its parts were frequent in the round before; the frequent
+fingerprints travel as a bit table of fixed size, whose false hits only cost
+counting. The first rounds only find the frequent words, then the frequent pairs.
+The last one counts both again, and the phrases of three to five words, each with
+the place of one occurrence.
+
+Two n-grams are taken for one only if a fingerprint of 64 bits and a check of 32
+bits from another polynomial agree. Phrases are then read from the text at their
+places, the frequent ones alone, and a place counts only if the text that stands
+there has both numbers: so colliding fingerprints are told apart, and a place
+that several documents share (its document is named by 27 bits) finds its own.
 
 Scale: a task adds its counts up before it sends them, so a common phrase is a few
-rows a task, whatever its share of the corpus. Nothing is broadcast but bit tables
-of ``FILTER_BITS``; a corpus with more frequent phrases than they tell apart is
-counted with less pruning and the same result.
+rows a task, whatever its share of the corpus. The place kept is the least, so few
+documents are read again. Nothing is broadcast but bit tables of ``FILTER_BITS`` and
+document keys of a checked size; a corpus with more frequent phrases than the table
+tells apart is counted with less pruning and the same result.
 
 Cases: null text is empty, null language is ``und``; an empty text has no word; very
 long texts are cut out of their batch alone; repeated rows each count; ties go by
@@ -28,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textops import U64, column_bytes, mix, repeat_ranges, slices
+from .textops import U64, column_bytes, mix, slices, small_batches, tidy
 
 LEAST = 100                      # occurrences of a frequent phrase
 MOST_WORDS = 5
@@ -43,7 +48,7 @@ TOP = 2000                       # phrases reported per language
 FILTER_BITS = 25                 # log2 of the bits of a table of frequent fingerprints
 SLICE_BYTES = 500_000            # text hashed at once
 HELD = 1 << 20                   # fingerprints a task holds before it sends their counts
-PLACE_BYTES, BROADCAST_BYTES = 80, 16 << 20      # a place's size; places are broadcast up to this, else joined by shuffle
+BROADCAST_BYTES = 16 << 20       # document keys are broadcast up to this size, else joined by shuffle
 RANK_PARTS = 32
 
 _BASE = (U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93))          # odd, so they have inverses modulo 2^64
@@ -163,217 +168,178 @@ def bit_table(frequent: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 # ------------------------------------------------------------------ text passes
 def _read(docs: DataFrame) -> DataFrame:
+    """``doc`` (27 bits), ``lang``, its hash ``seed`` and ``text``."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
-    return docs.select(F.xxhash64("doc_id", "text").alias("doc"), lang.alias("lang"), F.xxhash64(lang).alias("seed"), "text")
+    return docs.select(F.shiftrightunsigned(F.xxhash64("doc_id", "text", lang), 37).alias("doc"), lang.alias("lang"),
+                       F.xxhash64(lang).alias("seed"), "text")
 
 
-def _pieces(part: pa.RecordBatch) -> tuple[Pieces, np.ndarray, np.ndarray]:
-    buf, off = column_bytes(part.column(3))
-    return Pieces(buf, off), np.asarray(part.column(2)).view(np.uint64), off
+def _place(doc: np.ndarray, lo: np.ndarray, m: int) -> np.ndarray:
+    """A document, a byte of its text and a number of words, in 27, 33 and 3 bits."""
+    return (doc << 36) | (lo << 3) | m
 
 
 def _candidates(p: Pieces, fps: dict[int, np.ndarray], tables: dict[int, np.ndarray], sizes, bits: int) -> dict[int, np.ndarray]:
-    """Places of the n-grams of each size whose parts may be frequent: the words of a
-    pair, and the pairs of a longer one."""
+    """Places of the n-grams of each size that may be frequent: by their own table, or else by
+    that of their words (pairs) or pairs (longer ones)."""
     maybe = {}
-    for m in set(tables) & {1, 2}:
+    for m in tables:
         at = np.flatnonzero(p.run >= m)
         maybe[m] = np.zeros(len(p.run), bool)
         maybe[m][at] = passes(tables[m], fps[m][at], bits)
     out = {}
     for m in sizes:
-        at, part = np.flatnonzero(p.run >= m), 1 if m == 2 else 2
-        if m > 1:
+        at = np.flatnonzero(maybe[m] if m in maybe else p.run >= m)
+        if m > 1 and m not in maybe:
+            part = 1 if m == 2 else 2
             for j in range(m - part + 1):
                 at = at[maybe[part][at + j]]
         out[m] = at
     return out
 
 
-def _groups(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Order of rows by keys, and where each group of equal ones begins in it."""
-    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
-    return order, np.flatnonzero(new)
-
-
-def _sum_counts(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+def _sum_counts(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Rows ``fp, n`` with counts added up."""
     fp, n = (np.concatenate(x) for x in zip(*parts))
-    order, at = _groups([fp])
-    return fp[order[at]], np.add.reduceat(n[order], at) if len(at) else n
-
-
-def counts(docs: DataFrame, sizes: tuple[int, ...], tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS,
-           held: int = HELD) -> DataFrame:
-    """``fp, n`` of the n-grams of ``sizes`` words, added up within tasks and then over them."""
-    shipped = docs.sparkSession.sparkContext.broadcast(tables)
-
-    def send(fp: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(fp), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(fp[a:a + (1 << 16)].view(np.int64)), pa.array(n[a:a + (1 << 16)])], names=["fp", "n"])
+    order = np.argsort(fp)
+    fp, n = fp[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
+    return fp[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _sum_places(parts: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Rows ``fp, check, n, place`` with counts added up and the least place of equal ones."""
+    fp, check, n, place = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(fp)
+    if len(fp) and not (check[order][1:] == check[order][:-1])[fp[order][1:] == fp[order][:-1]].all():
+        order = np.lexsort([check, fp])                    # one fingerprint, different phrases
+    fp, check, n, place = fp[order], check[order], n[order], place[order]
+    new = np.ones(len(fp), bool)
+    new[1:] = (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])
+    at = np.flatnonzero(new)
+    if not len(at):
+        return fp, check, n, place
+    return fp[at], check[at], np.add.reduceat(n, at), np.minimum.reduceat(place, at)
+
+
+def _added_up(docs: DataFrame, count, add, names: list[str], held: int) -> DataFrame:
+    """The rows that ``count`` makes of each slice of texts, added up by ``add`` within a task, which
+    sends them when it holds too many different ones."""
+    def send(*cols: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(cols[0]), 1 << 15):
+            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 15)].view(np.int64)) for c in cols], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                p, seed, _ = _pieces(part)
-                fps = p.fingerprints(0, seed, {*sizes, *shipped.value}, fp_bits)
-                found = _candidates(p, fps, shipped.value, sizes, bits)
-                fp, n = np.unique(np.concatenate([fps[m][at] for m, at in found.items()]), return_counts=True)
-                kept.append((fp, n.astype(np.int64)))
+                kept.append(count(part))
                 if sum(len(x[0]) for x in kept) > 2 * held:
-                    kept = [_sum_counts(kept)]
+                    kept = [add(kept)]
                     if len(kept[0][0]) > held:
                         yield from send(*kept[0])
                         kept = []
         if kept:
-            yield from send(*_sum_counts(kept))
+            yield from send(*add(kept))
 
-    return _read(docs).mapInArrow(run, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n"))
+    small_batches(docs.sparkSession)
+    return _read(docs).mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names))
 
 
-def _word_ids(p: Pieces) -> np.ndarray:
-    """Numbers of the batch's words: equal exactly for equal (lower-cased) words."""
-    size = p.end - p.start
-    text = np.ascontiguousarray(p.low[repeat_ranges(p.start, size)])
-    off = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(off), pa.py_buffer(text)])
-    return np.asarray(words.dictionary_encode().indices)
-
-
-def same_phrases(ids: np.ndarray, lang: np.ndarray, at: np.ndarray, fp: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
-    """One place of each group of equal n-grams among the places ``at``, and the group's size.
-    Every place is compared word by word with the first of its fingerprint; where one
-    differs, words and languages part the groups."""
-    order, first = _groups([fp])
-    size = np.diff(np.append(first, len(at)))
-    place, head = at[order], np.repeat(at[order[first]], size)
-    same = lang[place] == lang[head]
-    for j in range(m):
-        same &= ids[place + j] == ids[head + j]
-    if not same.all():
-        order, first = _groups([fp, lang[at], *(ids[at + j] for j in range(m))])
-        size = np.diff(np.append(first, len(at)))
-    return at[order[first]], size
-
+def counts(docs: DataFrame, size: int, tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS, held: int = HELD) -> DataFrame:
+    """``fp, n`` of the n-grams of ``size`` words (colliding ones count together)."""
+    shipped = docs.sparkSession.sparkContext.broadcast(tables)
 
-_PLACE = "lang string, words int, fp long, check long, n long, doc long, lo long, hi long"
-_COUNTED = ("seed", "words", "fp", "check")
+    def count(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        p, seed = Pieces(*column_bytes(part.column(3))), np.asarray(part.column(2)).view(np.uint64)
+        fps = p.fingerprints(0, seed, {size, *shipped.value}, fp_bits)
+        at = _candidates(p, fps, shipped.value, [size], bits)[size]
+        return np.unique(fps[size][at], return_counts=True)
 
+    return _added_up(docs, count, _sum_counts, ["fp", "n"], held).groupBy("fp").agg(F.sum("n").alias("n"))
 
-def _sum_places(parts: list[dict]) -> dict[str, np.ndarray]:
-    one = {c: np.concatenate([x[c] for x in parts]) for c in parts[0]}
-    order, at = _groups([one[c] for c in _COUNTED])
-    out = {c: v[order[at]] for c, v in one.items()}
-    out["n"] = np.add.reduceat(one["n"][order], at) if len(at) else out["n"]
-    return out
 
+def occurrences(docs: DataFrame, tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS, held: int = HELD // 2) -> DataFrame:
+    """``fp, check, n, place`` of the n-grams that may be frequent (and, with ``check`` -1, all words
+    of a language); ``place`` is that of one occurrence."""
+    shipped, every = docs.sparkSession.sparkContext.broadcast(tables), range(1, MOST_WORDS + 1)
 
-def occurrences(docs: DataFrame, tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS, held: int = HELD // 4) -> DataFrame:
-    """The frequent n-grams of a task: how often each occurs, and where once (``doc``, bytes
-    ``lo`` to ``hi`` of its text); ``words`` 0 rows give a language's number of words."""
-    shipped = docs.sparkSession.sparkContext.broadcast(tables)
-    every = range(1, MOST_WORDS + 1)
-
-    def places(part: pa.RecordBatch) -> dict[str, np.ndarray]:
-        p, seed, off = _pieces(part)
+    def count(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        buf, off = column_bytes(part.column(3))
+        p, seed, doc = Pieces(buf, off), np.asarray(part.column(2)).view(np.uint64), np.asarray(part.column(0))
         fps, checks = p.fingerprints(0, seed, every, fp_bits), p.fingerprints(1, seed, every)
-        found = _candidates(p, fps, shipped.value, every, bits)
-        ids, lang, doc = _word_ids(p), seed[p.row], np.asarray(part.column(0))
-        out = []
-        for m, at in found.items():
-            at = at[passes(shipped.value[min(m, 3)], fps[m][at], bits)]
-            at, n = same_phrases(ids, lang, at, fps[m][at], m)
+        found = []
+        for m, at in _candidates(p, fps, shipped.value, every, bits).items():
             row = p.row[at]
-            out.append({"seed": lang[at], "words": np.full(len(at), m, np.int32), "fp": fps[m][at], "check": checks[m][at],
-                        "n": n, "doc": doc[row], "lo": p.start[at] - off[row], "hi": p.end[at + m - 1] - off[row]})
-        here, n = np.unique(lang, return_counts=True)
-        zero = np.zeros(len(here), np.int64)
-        out.append({"seed": here, "words": zero.astype(np.int32), "fp": zero.view(np.uint64), "check": zero.view(np.uint64),
-                    "n": n, "doc": zero, "lo": zero, "hi": zero})
-        return _sum_places(out)
-
-    def send(x: dict[str, np.ndarray], langs: dict[int, str]) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(x["n"]), 1 << 15):
-            cut = {c: v[a:a + (1 << 15)] for c, v in x.items()}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([langs[s] for s in cut["seed"].tolist()], pa.string()), pa.array(cut["words"]),
-                 *(pa.array(np.ascontiguousarray(cut[c]).view(np.int64)) for c in ("fp", "check", "n", "doc", "lo", "hi"))],
-                names=[f.split()[0] for f in _PLACE.split(", ")])
+            found.append((fps[m][at], (checks[m][at] >> U64(32)).astype(np.int64), np.ones(len(at), np.int64), _place(doc[row], p.start[at] - off[row], m)))
+        row, n = np.unique(p.row, return_counts=True)
+        found.append((seed[row], np.full(len(row), -1), n, _place(doc[row], np.zeros(len(row), np.int64), 0)))
+        return _sum_places(found)
+
+    return _added_up(docs, count, _sum_places, _COUNTED, held).groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, langs = [], {}
-        for batch in batches:
-            for part in slices(batch, "text", SLICE_BYTES):
-                langs |= dict(zip(np.asarray(part.column(2)).view(np.uint64).tolist(), part.column(1).to_pylist()))
-                kept.append(places(part))
-                if sum(len(x["n"]) for x in kept) > 2 * held:
-                    kept = [_sum_places(kept)]
-                    if len(kept[0]["n"]) > held:
-                        yield from send(kept[0], langs)
-                        kept = []
-        if kept:
-            yield from send(_sum_places(kept), langs)
 
-    return _read(docs).mapInArrow(run, _PLACE)
+_COUNTED = ["fp", "check", "n", "place"]
 
 
 def frequent_places(docs: DataFrame, least: int = LEAST, fp_bits: int = 64, bits: int = FILTER_BITS) -> DataFrame:
     """Phrases of 1 to MOST_WORDS words with ``n`` occurrences in a language, at least
-    ``least``, each with one place; ``words`` 0 rows have all words of a language."""
+    ``least``, each with one place; 0 words: all words of a language."""
     tables: dict[int, np.ndarray] = {}
-    for level, sizes in enumerate(((1,), (2,), tuple(range(3, MOST_WORDS + 1))), 1):
-        tables[level] = bit_table(counts(docs, sizes, {m: t for m, t in tables.items() if m == level - 1}, fp_bits, bits)
-                                  .where(F.col("n") >= least), bits)
-    merged = occurrences(docs, tables, fp_bits, bits).groupBy("lang", "words", "fp", "check").agg(
-        F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("doc", "lo", "hi")))
-    return materialize(merged.where((F.col("n") >= least) | (F.col("words") == 0)), "col_places")
+    for m in (1, 2):
+        tables[m] = bit_table(counts(docs, m, dict(tables), fp_bits, bits).where(F.col("n") >= least), bits)
+    return materialize(occurrences(docs, tables, fp_bits, bits).where((F.col("n") >= least) | (F.col("check") < 0)), "col_frequent")
+
+
+def _next_words(raw: bytes, lo: int, m: int) -> bytes:
+    """``m`` words from byte ``lo`` on, joined by a space, as they are written."""
+    found = _WORD.finditer(raw, lo)
+    return b" ".join(x[0] for x in islice(found, m))
+
+
+_WORD = re.compile(rb"[^ \t.,;:!?\n\x0b\x0c\r]+")
 
 
 def read_phrases(docs: DataFrame, places: DataFrame, fp_bits: int = 64) -> DataFrame:
     """``lang, words, n, phrase`` (words joined by a space): each place is read from its text,
-    and counts only if what stands there has both fingerprints."""
-    wanted = places.groupBy(F.col("doc").alias("d")).agg(F.collect_list(F.struct("lang", "seed", "words", "n", "lo", "hi", "fp", "check")).alias("want"))
-    texts = docs.select(F.xxhash64("doc_id", "text").alias("doc"), "text")
-    if places.count() * PLACE_BYTES <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    else:
-        wanted, texts = wanted.hint("merge"), texts.hint("merge")
-    met = texts.join(wanted, F.col("doc") == F.col("d")).select("text", "want")
+    and counts only if what stands there has both its numbers."""
+    wanted = places.groupBy(F.shiftrightunsigned("place", 36).alias("d")).agg(F.collect_list(F.struct(*_COUNTED)).alias("want"))
+    wanted = materialize(wanted, "col_places")
+    texts = _read(docs)
+    if wanted.count() * 16 <= BROADCAST_BYTES:             # of the texts that hold no place, only the key is looked at
+        texts = texts.join(F.broadcast(wanted.select("d")), F.col("doc") == F.col("d"), "left_semi")
+    met = texts.join(wanted.hint("merge"), F.col("doc") == F.col("d")).select("lang", "seed", "text", "want")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in slices(batch, "text", SLICE_BYTES):
-                found, said = [], []
+                row, said, want = [], [], []
                 for i in range(b.num_rows):
-                    raw = b.column(0)[i].as_py().encode()
-                    for w in b.column(1)[i].as_py():
-                        found.append(w)
-                        said.append(b" ".join(re.split(rb"[ \t]+", raw[w["lo"]:w["hi"]])))
-                col = pa.array(said, pa.binary())
-                buf, off = column_bytes(col)
-                p = Pieces(buf, off)
-                if not len(p.run):
+                    raw = (b.column(2)[i].as_py() or "").encode()
+                    for w in b.column(3)[i].as_py():
+                        row.append(i)
+                        want.append((w["fp"], w["check"], w["n"], w["place"] & 7))
+                        said.append(_next_words(raw, (w["place"] >> 3) & ((1 << 33) - 1), w["place"] & 7))
+                if not row:
                     continue
-                words = np.array([w["words"] for w in found], np.int64)
-                right, lead = np.bincount(p.row, minlength=len(found)) == words, np.searchsorted(p.row, np.arange(len(found)))
-                right &= p.run[np.minimum(lead, len(p.run) - 1)] >= words
-                seed = np.array([w["seed"] for w in found], np.int64).view(np.uint64)
-                for stream, name, few in ((0, "fp", fp_bits), (1, "check", 64)):
-                    own = p.fingerprints(stream, seed, range(1, MOST_WORDS + 1), few)
-                    want = np.array([w[name] for w in found], np.int64).view(np.uint64)
-                    for m in range(1, MOST_WORDS + 1):
-                        at = np.flatnonzero(right & (words == m))
-                        right[at] = own[m][lead[at]] == want[at]
-                text = [LOWER[np.frombuffer(x, np.uint8)].tobytes().decode("utf-8", "replace") for x in said]
-                keep = pa.array(np.flatnonzero(right))
+                row, (fp, check, n, words) = np.array(row), (np.array(c) for c in zip(*want))
+                buf, off = column_bytes(pa.array(said, pa.binary()))
+                p, seed = Pieces(buf, off), np.asarray(b.column(1)).view(np.uint64)[row]
+                lead = np.searchsorted(p.row, np.arange(len(row)))
+                right = np.bincount(p.row, minlength=len(row)) == words
+                own, other = p.fingerprints(0, seed, range(1, MOST_WORDS + 1), fp_bits), p.fingerprints(1, seed, range(1, MOST_WORDS + 1))
+                for m in range(1, MOST_WORDS + 1):
+                    at = np.flatnonzero(right & (words == m))
+                    right[at] = (own[m][lead[at]] == fp[at].view(np.uint64)) & ((other[m][lead[at]] >> U64(32)).astype(np.int64) == check[at])
+                zero = words == 0                          # of a language: the document must have it
+                right[zero] = seed[zero] == fp[zero].view(np.uint64)
+                keep = np.flatnonzero(right)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t).take(keep) for c, t in (([w["lang"] for w in found], pa.string()), (words, pa.int32()),
-                                                            ([w["n"] for w in found], pa.int64()), (text, pa.string()))],
+                    [b.column(0).take(pa.array(row[keep])), pa.array(words[keep].astype(np.int32)), pa.array(n[keep]),
+                     pa.array([LOWER[np.frombuffer(said[i], np.uint8)].tobytes().decode() for i in keep], pa.string())],
                     names=["lang", "words", "n", "phrase"])
 
-    return met.mapInArrow(run, "lang string, words int, n long, phrase string").dropDuplicates(["lang", "phrase"])
+    return met.mapInArrow(tidy(run), "lang string, words int, n long, phrase string").dropDuplicates(["lang", "phrase"])
 
 
 # ------------------------------------------------------------------ collocations
@@ -404,9 +370,8 @@ def without_fragments(scored: DataFrame) -> DataFrame:
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, fp_bits: int = 64, bits: int = FILTER_BITS) -> DataFrame:
     """Each language's first ``top`` phrases: ``lang, rank, phrase, a, l, r, n, score``."""
-    places = frequent_places(docs, least, fp_bits, bits).withColumn("seed", F.xxhash64("lang"))
-    phrases = materialize(read_phrases(docs, places.where("words > 0"), fp_bits), "col_phrases")
-    totals = places.where("words = 0").select("lang", F.col("n").alias("n"))
+    read = materialize(read_phrases(docs, frequent_places(docs, least, fp_bits, bits), fp_bits), "col_phrases")
+    phrases, totals = read.where("words > 0"), read.where("words = 0").select("lang", "n")
     kept = without_fragments(materialize(best_cuts(phrases, totals), "col_scored"))
     order = [F.desc("score"), F.desc("a"), "phrase"]
     part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))      # a language's phrases are ranked in parts first

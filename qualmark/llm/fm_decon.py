@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textops import Words, column_bytes, merge_spans, repeat_ranges, slices, small_batches
+from .textops import Words, column_bytes, merge_spans, repeat_ranges, slices, small_batches, tidy
 
 WINDOW = 10
 SHARD_BYTES = 3 << 20            # text per shard
@@ -266,9 +266,10 @@ def _union(a: list[dict], b: list[dict]) -> list[dict]:
     return _spans(np.array([s["lo"] for s in both], np.int64), np.array([s["hi"] for s in both], np.int64))
 
 
-def _search(rows: DataFrame, ph: Phrases, sample: int) -> DataFrame:
+def _search(rows: DataFrame, ph: Phrases, sample: int, cut: bool = False) -> DataFrame:
     """One pass: build each shard's index, search one block of phrases, and add
-    the result to what earlier blocks found."""
+    the result to what earlier blocks found. ``cut``: take the spans out of the
+    texts in the same pass, so that a task needs one Python worker."""
     shipped = rows.sparkSession.sparkContext.broadcast(ph)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,17 +279,20 @@ def _search(rows: DataFrame, ph: Phrases, sample: int) -> DataFrame:
                 found = [(n, _union(a, s), _union(b, t), sorted({*c, *u})) if a else (n, s, t, u)
                          for (n, s, t, u), (a, b, c) in zip(_search_shard(part, shipped.value, sample), old)]
                 cols = [pa.array(list(c), type=t) for c, t in zip(zip(*found), _TYPES)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *cols, part.column(6)],
-                                                 names=part.schema.names)
+                text = part.column(1)
+                if cut and any(x[2] for x in found):
+                    text = pa.array([cut_spans(t, x[2]) if x[2] else t for t, x in zip(text.to_pylist(), found)], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), text, *cols, part.column(6)], names=part.schema.names)
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def contamination_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sample: int = SAMPLE,
-                        block_bytes: int = PHRASE_BLOCK_BYTES, carry: list[str] | None = None) -> DataFrame:
+                        block_bytes: int = PHRASE_BLOCK_BYTES, carry: list[str] | None = None, cut: bool = False) -> DataFrame:
     """Per row of ``docs``: ``doc_id, text, n_words``, merged hit ``spans`` (words),
     ``byte_spans`` (of the UTF-8 text), ``items`` with an occurring window, and
-    ``row``, a struct of the columns named in ``carry``.
+    ``row``, a struct of the columns named in ``carry``. With ``cut``, ``text`` comes
+    without the spans.
 
     The benchmark streams through the driver one block at a time. A benchmark
     of several blocks takes one pass each, written to the shared folder between.
@@ -299,11 +303,12 @@ def contamination_spans(docs: DataFrame, benchmark: DataFrame, window: int = WIN
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
                       no_span.alias("spans"), no_span.alias("byte_spans"),
                       F.expr("cast(array() as array<bigint>)").alias("items"), row.alias("row"))
-    none = True
+    last = None
     for ph in phrase_blocks(benchmark, window, block_bytes):
-        out = _search(out if none else materialize(out, "fm_block"), ph, sample)
-        none = False
-    return _search(out, Phrases([], [], window), sample) if none else out
+        if last is not None:
+            out = materialize(_search(out, last, sample), "fm_block")
+        last = ph
+    return _search(out, last or Phrases([], [], window), sample, cut)
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -330,13 +335,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     A span reaches from its first word's first byte to its last word's last;
     text without hits is unchanged (null stays null).
     """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = b.column(0).to_pylist()
-            new = [cut_spans(t, s) if s else t for t, s in zip(text, b.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.string()), b.column(2)], names=["text", "row"])
-
-    found = contamination_spans(docs, benchmark, window, carry=[c for c in docs.columns if c != "text"] or ["text"]).select("text", "byte_spans", "row")
-    schema = found.drop("byte_spans").schema
-    return found.mapInArrow(cut, schema).select(
-        *[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    found = contamination_spans(docs, benchmark, window, carry=[c for c in docs.columns if c != "text"] or ["text"], cut=True)
+    return found.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .textops import column_bytes, slices, small_batches
+from .textops import column_bytes, slices, small_batches, tidy
 
 UND = "und"
 WIDTHS = (2, 3, 4)
@@ -177,7 +177,7 @@ def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list
 
     few = F.broadcast(labelled.sparkSession.createDataFrame(chosen, narrow.schema))
     rows = usable.join(few, ["doc_id", "lang", "th"], "left_semi").mapInArrow(
-        cut, StructType(list(narrow.schema)).add("windows", "binary")).dropDuplicates(["doc_id", "lang", "th"]).collect()
+        tidy(cut), StructType(list(narrow.schema)).add("windows", "binary")).dropDuplicates(["doc_id", "lang", "th"]).collect()
     return sorted(rows, key=lambda r: (r.doc_id, r.lang, r.windows))
 
 
@@ -265,7 +265,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str],
                     [part.column(0), *[part.column(1)] * back, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     names=schema.names)
 
-    return src.mapInArrow(run, schema).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep],
+    return src.mapInArrow(tidy(run), schema).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep],
                                               F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
 
 

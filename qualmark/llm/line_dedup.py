@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .textops import U64, column_bytes, merge_spans, mix, pack, segment_hashes, slices, small_batches, unpack
+from .textops import U64, column_bytes, merge_spans, mix, pack, segment_hashes, slices, small_batches, tidy, unpack
 
 WIDTH = 3
 BATCH_BYTES = 1 << 20
@@ -73,7 +73,7 @@ def windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     return docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc"),
                                                         F.xxhash64("text").alias("th"), "text") \
-        .mapInArrow(run, "doc long, th long, pos int, a long, b long")
+        .mapInArrow(tidy(run), "doc long, th long, pos int, a long, b long")
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -123,6 +123,6 @@ def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([cols[0], part.column(1), *cols[1:]],
                                                  names=["text", "row", "n_lines", "n_removed", "n_spans"])
 
-    done = joined.mapInArrow(run, StructType([StructField("text", StringType()), src.schema["row"]]
+    done = joined.mapInArrow(tidy(run), StructType([StructField("text", StringType()), src.schema["row"]]
                                              + [StructField(c, LongType()) for c in ("n_lines", "n_removed", "n_spans")]))
     return done.select(*unpack(docs), F.struct("n_lines", "n_removed", "n_spans").alias("line_dedup"))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .components import components
 from .packing import batch_text, expand_bytes, pack_documents, rows_of, squeeze_bytes
-from .textops import U64, Words, mix, pack, repeat_ranges, unpack
+from .textops import U64, Words, mix, pack, repeat_ranges, tidy, unpack
 
 WORDS = 5                        # words per shingle
 THRESHOLD = Fraction(4, 5)
@@ -119,7 +119,7 @@ def sketches(packed: DataFrame, runs: int) -> DataFrame:
                     names=["doc_id", "hash", "batch", "idx", "key", "size", "path", "sig"])
 
     return packed.select("lens", "text", "batch", "doc_ids", "hashes").mapInArrow(
-        run, "doc_id long, hash long, batch string, idx int, key binary, size long, path array<long>, sig binary")
+        tidy(run), "doc_id long, hash long, batch string, idx int, key binary, size long, path array<long>, sig binary")
 
 
 # ----------------------------------------------------------------------- paths
@@ -191,7 +191,7 @@ def candidate_links(leaves: DataFrame, classes: DataFrame, bucket: int = BUCKET)
             yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(cid[group])], names=["a", "b"])
 
     return _blocked(rows, "leaf", "n", bucket, ["cid", "sig"]).select("tile", "cid", "sig") \
-        .repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "a long, b long") \
+        .repartition("tile").sortWithinPartitions("tile").mapInArrow(tidy(run), "a long, b long") \
         .where(F.col("a") != F.col("b")).distinct()
 
 
@@ -211,7 +211,7 @@ def group_sets(packed: DataFrame, wanted: DataFrame) -> DataFrame:
 
     # merge join at any size: the wanted sets grow with the corpus, so they are not to be broadcast
     return packed.select("lens", "text", "batch").join(by_batch.hint("merge"), "batch").select("lens", "text", "want") \
-        .mapInArrow(run, "cid long, set binary")
+        .mapInArrow(tidy(run), "cid long, set binary")
 
 
 def _set(b: bytes) -> np.ndarray:
@@ -307,9 +307,9 @@ def verified_links(members: DataFrame, threshold: Fraction = THRESHOLD, block: i
     bases = members.where(F.col("cid") == F.col("root")).select("root", F.col("set").alias("base"))
     coded = members.select("cid", "root", "n", "weight", "set").join(bases, "root") \
         .select("cid", "root", "n", "weight", "set", "base") \
-        .mapInArrow(differ, "cid long, root long, n long, weight long, size long, base long, minus binary, plus binary")
+        .mapInArrow(tidy(differ), "cid long, root long, n long, weight long, size long, base long, minus binary, plus binary")
     return _blocked(coded, "root", "n", block, ["cid", "weight", "size", "base", "minus", "plus"]) \
-        .repartition("tile").sortWithinPartitions("tile").mapInArrow(run, "kind int, a long, b long")
+        .repartition("tile").sortWithinPartitions("tile").mapInArrow(tidy(run), "kind int, a long, b long")
 
 
 _MEMBER = ["cid", "root", "n", "weight", "size", "base", "minus", "plus"]

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .textops import column_bytes, slices, small_batches
+from .textops import column_bytes, slices, small_batches, tidy
 
 BATCH_BYTES = 1 << 20            # text per batch; a longer document is a batch of its own
 
@@ -71,4 +71,4 @@ def pack_documents(docs: DataFrame, name: str, batch_bytes: int = BATCH_BYTES) -
 
     small_batches(docs.sparkSession)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
-    return materialize(src.mapInArrow(run, PACKED), name)
+    return materialize(src.mapInArrow(tidy(run), PACKED), name)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, materialize
-from .textops import slices
+from .textops import slices, small_batches, tidy
 
 MIN_DOCS = 10                    # documents of its language that a kept term is in, at least
 TERMS = 10                       # terms reported per group
@@ -84,8 +84,9 @@ def partial_counts(docs: DataFrame, held_rows: int = HELD_ROWS) -> DataFrame:
         if held:
             yield from _merged(held).to_batches(max_chunksize=10_000)
 
+    small_batches(docs.sparkSession)
     read = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return read.mapInArrow(run, "lang string, source string, term string, n long, docs long")
+    return read.mapInArrow(tidy(run), "lang string, source string, term string, n long, docs long")
 
 
 def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -227,7 +228,7 @@ def pair_sums(kept: DataFrame, groups: DataFrame, tile: int = TILE, shards: int
     every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     sizes = tiles(groups.withColumn("every", every), F.col("every"), F.lit(None).cast("string"), F.lit(0).cast("long"))
     sums = counts.unionByName(sizes).repartition(*_SEGMENT).sortWithinPartitions(*_SEGMENT, F.col("term").asc_nulls_first()) \
-        .mapInArrow(lambda batches: segments(batches, tile, rows), "lang string, i int, j int, value long, terms long")
+        .mapInArrow(tidy(lambda batches: segments(batches, tile, rows)), "lang string, i int, j int, value long, terms long")
     return sums.groupBy("lang", "i", "j").agg(F.sum("value").alias("value"), F.sum("terms").alias("terms"))
 
 
