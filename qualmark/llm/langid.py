@@ -154,13 +154,19 @@ def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list
     doc_id (then of text), so the same at any size of the cluster.
 
     Rows are ranked without their texts (narrow columns are shuffled), equal ones
-    once; only the chosen rows' windows come to the driver.
+    once, and only those whose hash is among the least of their language, about
+    ``4 docs_per_lang``; only the chosen rows' windows come to the driver.
     """
     small_batches(labelled.sparkSession)
     usable = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter()) \
         .select("doc_id", "lang", F.xxhash64("text").alias("th"), "text")
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
-    narrow = usable.drop("text").distinct()
+    # smallest hashes first: a language of n ids has about 4 docs_per_lang of them below this
+    share = F.least(F.lit(4.0 * docs_per_lang) / F.col("n"), F.lit(1.0))
+    size = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).select(
+        F.col("lang").alias("l"), F.when(share < 1, ((share - 0.5) * float(1 << 64)).cast("long")).alias("below"))
+    few = usable.drop("text").join(size, F.col("lang") == F.col("l")).where(F.col("below").isNull() | (F.xxhash64("doc_id") < F.col("below")))
+    narrow = few.select("doc_id", "lang", "th").distinct()
     chosen = narrow.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= docs_per_lang).drop("rank").collect()
     if not chosen:
         return []
@@ -175,8 +181,8 @@ def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(win, pa.binary())],
                                              names=["doc_id", "lang", "th", "windows"])
 
-    few = F.broadcast(labelled.sparkSession.createDataFrame(chosen, narrow.schema))
-    rows = usable.join(few, ["doc_id", "lang", "th"], "left_semi").mapInArrow(
+    wanted = F.broadcast(labelled.sparkSession.createDataFrame(chosen, narrow.schema))
+    rows = usable.join(wanted, ["doc_id", "lang", "th"], "left_semi").mapInArrow(
         tidy(cut), StructType(list(narrow.schema)).add("windows", "binary")).dropDuplicates(["doc_id", "lang", "th"]).collect()
     return sorted(rows, key=lambda r: (r.doc_id, r.lang, r.windows))
 

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -42,14 +42,21 @@ CELLS = 1 << BITS
 SAMPLE = 4096            # vectors that set the cell borders
 QUERY_BLOCK = 512
 ROW_BLOCK = 4096
+GROUPS = 64              # groups that the blocks of rows are dealt to, at most
+GROUP_BLOCKS = 4         # blocks of a group, at least
 EXACT_LIMIT = float(1 << 52)   # float64 sums of integers below this are exact
 
 
 def integer_vectors(emb: DataFrame, scale: int = 1024) -> DataFrame:
-    """``vec_id, ints, dim`` of the rows that take part: floor(scale * x) per component."""
+    """``vec_id, ints, dim`` of the rows that take part: floor(scale * x) per component (one that
+    leaves 64 bits raises)."""
     ok = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * F.lit(float(scale))
+        return F.when(F.abs(y) < float(1 << 63), F.floor(y)).otherwise(F.raise_error(F.lit("a component leaves 64 bits")).cast("long"))
+
+    ints = F.transform("embedding", whole)
     return emb.where(F.coalesce(ok, F.lit(False))).select(F.col("vec_id").cast("long").alias("vec_id"),
                                                           ints.alias("ints"), F.size("embedding").alias("dim"))
 
@@ -171,7 +178,11 @@ def top_k(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, fi
                 best = np.partition(lower, lower.shape[1] - m, axis=1)[:, -m:]
                 yield pd.DataFrame({"key": np.repeat(keys, m), "low": best.reshape(-1)})
 
-    both = cells.join(qblocks, "dim")
+    # equal lengths are one key: blocks of rows are dealt to groups, and every query block is in each group
+    groups = max(1, min(GROUPS, cells.count() // GROUP_BLOCKS))
+    cells = cells.withColumn("grp", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    in_each = F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("grp")
+    both = cells.join(qblocks.select("*", in_each), ["dim", "grp"])
     ranked = both.mapInPandas(thresholds, "key string, low double") \
         .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("low")))).where(F.col("r") <= k + 1)
     tau = ranked.groupBy("key").agg(F.min("low").alias("tau"), F.count("*").alias("n")) \
@@ -187,9 +198,11 @@ def top_k(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, fi
                 yield pd.DataFrame({"key": np.array(keys, dtype=object)[qi], "block": r["block"],
                                     "slot": slot.astype(np.int32), "up": upper[qi, slot]})
 
-    cand = materialize(cells.join(limits, "dim").mapInPandas(candidates, "key string, block string, slot int, up double")
-                       .withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(
-                           F.desc("up"), "block", "slot"))), "va_candidates")
+    cand = materialize(cells.join(limits.select("*", in_each), ["dim", "grp"]).mapInPandas(
+        candidates, "key string, block string, slot int, up double"), "va_candidates")
+    order = F.struct((-F.col("up")).alias("less"), "block", "slot")
+    ahead = cand.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(order))).where(F.col("r") <= first).drop("r")
+    ahead = materialize(ahead, "va_first")
 
     def read(c: DataFrame) -> DataFrame:
         """Exact scores of candidates."""
@@ -198,11 +211,12 @@ def top_k(emb: DataFrame, queries: DataFrame, k: int = 10, scale: int = 1024, fi
         dot = F.aggregate(F.zip_with("qi", "ints", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x)
         return got.select("key", "ids", dot.alias("score"))
 
-    near = materialize(read(cand.where(F.col("r") <= first)), "va_near")
+    near = materialize(read(ahead), "va_near")
     spread = near.select("key", "score", F.explode("ids").alias("id"))
     kth = spread.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score")))) \
         .where(F.col("r") == k + 1).select("key", F.col("score").alias("kth"))
-    rest = cand.where(F.col("r") > first).join(kth, "key", "left") \
+    last = ahead.groupBy("key").agg(F.max(order).alias("last"))
+    rest = cand.join(last, "key").where(order > F.col("last")).join(kth, "key", "left") \
         .where(F.col("kth").isNull() | (F.col("up") >= F.col("kth"))).select("key", "block", "slot")
     scored = near.unionByName(read(rest)).select("key", "score", F.explode("ids").alias("vec_id"))
     best = scored.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "vec_id"))) \

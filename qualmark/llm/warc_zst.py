@@ -32,12 +32,13 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textops import few_rows, slices, small_batches
+from .textops import few_rows, slices, small_batches, tidy
 
 # Fixed values of the format.
 DICT_MAGIC = 0x184D2A5D
 EMPTY_FRAME = "\x50\x2a\x4d\x18\x00\x00\x00\x00"       # skippable frame without content
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
+NEXT_FRAME = EMPTY_FRAME.encode("latin-1") + ZSTD_MAGIC
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -47,7 +48,7 @@ FILE_BYTES = 32 << 20            # payload per archive file
 DICT_SAMPLE = 256                # pages whose payloads train the dictionary
 DICT_SAMPLE_BYTES = 16 << 10     # of each such payload
 DICT_BYTES = 32 << 10
-MAX_RECORD = 1 << 30             # a frame that claims more is reported, not decoded
+RECORD_BYTES = 512               # headers of a record, about
 
 RECORD = "file string, offset long, record_id string, page_id long, record_type string, target_uri string, " \
          "payload_bytes long, payload_digest string, refers_to long, payload binary, error string"
@@ -146,8 +147,8 @@ def parse_record(raw: bytes, offset: int = 0) -> Record:
 
 def read_archive(data: bytes) -> Iterator[Record]:
     """Walk the frames of one archive: load the dictionary from the leading
-    skippable frame, decode one record per frame. A damaged frame ends the
-    file with an error record, since the next frame's start is then unknown."""
+    skippable frame, decode one record per frame, of any size. A damaged frame gives
+    an error record; reading goes on after the next separator that a frame follows."""
     view, at, dictionary = memoryview(data), 0, None
     while at < len(data):
         if len(data) - at < 8:
@@ -167,8 +168,6 @@ def read_archive(data: bytes) -> Iterator[Record]:
             continue
         try:
             claimed = zstd.frame_content_size(bytes(view[at:at + 18]))
-            if claimed > MAX_RECORD:
-                raise zstd.ZstdError("frame larger than the limit")
             one = zstd.ZstdDecompressor(dict_data=dictionary).decompressobj()
             bound = len(data) - at if claimed < 0 else claimed + (claimed >> 7) + 1024
             raw = one.decompress(bytes(view[at:at + bound]))
@@ -178,7 +177,10 @@ def read_archive(data: bytes) -> Iterator[Record]:
                 raise zstd.ZstdError("frame content size differs")
         except zstd.ZstdError as e:
             yield Record(at, error=f"bad frame: {e}")
-            return
+            at = data.find(NEXT_FRAME, at + 1)
+            if at < 0:
+                return
+            continue
         used = min(len(data) - at, bound) - len(one.unused_data)
         yield parse_record(raw, at)
         at += used
@@ -215,9 +217,11 @@ def with_revisits(pages: DataFrame, min_revisit: int = 0) -> DataFrame:
     return joined.select("page_id", "uri", "payload", F.when(revisit, F.col("response_id")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, records: int) -> None:
-    """Write ``page_id, uri, payload, refers_to`` as archives below ``path``, of at
-    most ``records`` frames each; every task writes what it holds."""
+def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, records: int, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``page_id, uri, payload, refers_to`` as archives below ``path``, of at most
+    ``records`` frames and ``file_bytes`` of payload each (a longer record is a file of its
+    own); every task writes what it holds. A file that is full by its bytes is filled up
+    with empty frames, since Spark starts files by their rows."""
     small_batches(pages.sparkSession)
     shipped = pages.sparkSession.sparkContext.broadcast(dictionary)
 
@@ -225,11 +229,17 @@ def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, record
         d = shipped.value
         packer = zstd.ZstdCompressor(level=3, dict_data=zstd.ZstdCompressionDict(d) if d else None,
                                      write_content_size=True)
-        rows = 0
+        rows = held = 0
         for batch in batches:
             for part in slices(batch, "payload", 4 << 20):
                 out = []
                 for pid, uri, payload, ref in zip(*(c.to_pylist() for c in part.columns)):
+                    if rows % records and held + len(payload or b"") > file_bytes:
+                        out += [b""] * (records - rows % records)
+                        rows += records - rows % records
+                    if rows % records == 0:
+                        held = 0
+                    held += len(payload or b"") + RECORD_BYTES
                     if d and rows % records == 0:             # Spark starts a file after every `records` rows
                         out.append(struct.pack("<II", DICT_MAGIC, len(d)) + d)
                         rows += 1
@@ -238,7 +248,7 @@ def write_archives(pages: DataFrame, path: str, dictionary: bytes | None, record
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
     records = max(2, records)                              # the dictionary and a record
-    pages.select("page_id", "uri", "payload", "refers_to").mapInArrow(frames, "frame binary") \
+    pages.select("page_id", "uri", "payload", "refers_to").mapInArrow(tidy(frames), "frame binary") \
         .select(F.col("frame").cast("string").alias("value")) \
         .write.option("maxRecordsPerFile", records).option("lineSep", EMPTY_FRAME).option("compression", "none").mode("overwrite").text(path)
 
@@ -264,7 +274,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                         rows, size = [], 0
                 yield _batch(rows)
 
-    return files.mapInArrow(read, RECORD)
+    return files.mapInArrow(tidy(read), RECORD)
 
 
 _ARROW = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(),
@@ -280,4 +290,4 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def records_per_file(pages: DataFrame, file_bytes: int = FILE_BYTES) -> int:
     """Records of the table's mean payload that fill ``file_bytes``."""
     mean = pages.agg(F.avg(F.octet_length("payload"))).first()[0] or 0
-    return max(2, int(file_bytes / (mean + 512)))
+    return max(2, int(file_bytes / (mean + RECORD_BYTES)))

@@ -43,6 +43,26 @@ def test_overflow_raises(spark):
         run(spark, [(0, [3e25, 1.0]), (1, [3e25, 1.0])])
 
 
+def test_huge_components_raise_instead_of_saturating(spark):
+    with pytest.raises(Exception, match="leaves 64 bits"):
+        run(spark, [(0, [0.0015, 0.0]), (1, [1e30, 0.0])])
+    assert run(spark, [(0, [0.0015, 0.0]), (1, [1e15, 0.0])]) == [(0, 1, 1, 1024 * int(np.float32(1e15)))]
+
+
+def test_many_blocks_of_rows_and_queries_without_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(vafile, "ROW_BLOCK", 16)
+    monkeypatch.setattr(vafile, "QUERY_BLOCK", 2)
+    monkeypatch.setattr(vafile, "GROUP_BLOCKS", 2)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = np.random.default_rng(5)
+        rows = [(i, (r.normal(size=4)).astype(np.float32).tolist()) for i in range(700)] + [(1000 + i, [0.5] * 3) for i in range(40)]
+        assert run(spark, rows, 5) == brute(rows, 5)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_empty(spark):
     assert run(spark, []) == []
     assert run(spark, [(0, [1.0])]) == []

@@ -89,3 +89,23 @@ def test_reader_validates():
     flipped = bytearray(whole)
     flipped[0] ^= 0xFF
     assert list(wz.read_archive(bytes(flipped)))[0].error.startswith("bad frame")
+
+
+def test_files_are_bounded_by_bytes_and_damage_costs_one_record(spark):
+    """Long payloads that lie together; no file holds more than the bound and a record."""
+    rows = [(i, f"http://x/{i}", bytes(str(i), "ascii") * (4000 if i % 50 < 25 else 3)) for i in range(200)]
+    pages = spark.createDataFrame(rows, "page_id long, uri string, payload binary").coalesce(1)
+    path = scratch_path(spark, "warc_test")
+    wz.write_archives(wz.with_revisits(pages), path, wz.train_dictionary(pages), 64, file_bytes=40_000)
+    out = wz.read_archives(spark, path)
+    got = {r.page_id: (r.file, r.payload_bytes, r.error) for r in out.collect()}
+    assert {i: n for i, (_, n, _) in got.items()} == {i: len(p) for i, _, p in rows} and not any(e for *_, e in got.values())
+    size = {}
+    for f, n, _ in got.values():
+        size[f] = size.get(f, 0) + n
+    assert len(size) > 8 and max(size.values()) <= 40_000 + 12_000
+    frames = [zstd.ZstdCompressor().compress(wz.build_record(i, "u", b"x" * 50 * i, None)) for i in range(1, 5)]
+    frames[1] = frames[1][:-9] + b"damaged!!"
+    read = list(wz.read_archive(wz.EMPTY_FRAME.encode("latin-1").join(frames)))
+    assert [wz.page_of((r.headers or {}).get("Warc-Record-Id")) for r in read if r.error is None] == [1, 3, 4]
+    assert sum(r.error is not None for r in read) == 1
