@@ -142,14 +142,58 @@ def null_memo(counts: DataFrame, as_of, keys: Iterable[str] = DEFAULT_KEYS, radi
         F.max(F.when(me, F.col("__n"))).alias("ni"),
         F.max("__me").alias("__has_self"))
         .where((F.col("__has_self") == 1) & (F.col("__matches") > 0)))
+    return _memo_columns(agg, keys, bucket)
+
+
+def _memo_columns(sums: DataFrame, keys: list[str], bucket: str) -> DataFrame:
+    """The memo's rates from ``sum_x, sum_n, xi, ni`` per target ``__t``."""
     pi = safe_div(F.col("xi").cast("double"), F.col("ni"))
     p = safe_div(F.col("sum_x").cast("double"), F.col("sum_n"))
-    out = agg.select(*keys, from_epoch_seconds(F.col("__t")).alias(bucket), "xi", "ni",
-                     pi.alias("pi"), p.alias("p"))
+    out = sums.select(*keys, from_epoch_seconds(F.col("__t")).alias(bucket), "xi", "ni",
+                      pi.alias("pi"), p.alias("p"))
     out = out.withColumn("sigma_pi", binomial_sigma(F.col("p"), F.col("ni")))
     return out.withColumn("zi", z_score(F.col("pi"), F.col("p"), F.col("sigma_pi")))
 
 
+def null_states(counts: DataFrame, keys: Iterable[str] = DEFAULT_KEYS, radius: int = ADJACENT_WINDOW_SECONDS, left_closed: bool = True,
+                bucket_seconds: int = 600, bucket: str = "bucket_dt", nulls: str = "null_count", totals: str = "total_count") -> DataFrame:
+    """A day's share of the null memo, ready to be added to other days': per slot (``slot``, in
+    epoch seconds) the null and total counts of the day's buckets within ``radius`` seconds
+    of it (``sum_x, sum_n, matches``), and the slot's own ``xi, ni`` if it is one of them.
+
+    States of different days add up (``null_memo_of_states``), so the neighbourhood of a
+    bucket is spread once, on its own day, and not again on the six days after it.
+    """
+    keys = list(keys)
+    src = counts.select(*keys, bucket, F.col(nulls).cast("long").alias("__x"), F.col(totals).cast("long").alias("__n"))
+    far = 1 << 60
+    em = _seasonal_emit(src, keys, bucket, ["__x", "__n"], radius, bucket_seconds, (0,), left_closed, -far, far)
+    nb, me = F.col("__nb") == 1, F.col("__me") == 1
+    return em.groupBy(*keys, F.col("__t").alias("slot")).agg(
+        F.sum(F.when(nb, F.col("__x"))).alias("sum_x"), F.sum(F.when(nb, F.col("__n"))).alias("sum_n"), F.sum("__nb").alias("matches"),
+        F.max(F.when(me, F.col("__x"))).alias("xi"), F.max(F.when(me, F.col("__n"))).alias("ni"), F.max("__me").alias("own"))
+
+
+def null_memo_of_states(states: DataFrame, as_of, keys: Iterable[str] = DEFAULT_KEYS, lags: Sequence[int] = SEASONAL_LAGS,
+                        day: str = "dt", bucket: str = "bucket_dt") -> DataFrame:
+    """``null_memo`` from the stored ``null_states`` of days ``[D-6, D]`` (column ``day``): every slot's
+    sums go to the same time of the ``lags`` days after it, and add up there."""
+    keys, d = list(keys), as_date(as_of)
+    t_lo, t_hi = (_utc_seconds(x) for x in day_bounds(as_of, *MEMO_DAYS))
+    src = states.where((F.col(day) >= F.date_sub(date_literal(d), -SOURCE_DAYS[0])) & (F.col(day) <= date_literal(d)))
+    one = lambda k, nb, me: F.struct(F.lit(k * DAY_SECONDS).cast("long").alias("__off"), F.lit(nb).alias("__nb"), F.lit(me).alias("__me"))
+    emissions = [one(k, True, k == 0) for k in lags] + ([] if 0 in lags else [one(0, False, True)])
+    em = src.select("*", F.inline(F.array(*emissions))).withColumn("__t", F.col("slot") + F.col("__off")) \
+        .where((F.col("__t") >= F.lit(t_lo)) & (F.col("__t") < F.lit(t_hi)))
+    nb, me = F.col("__nb"), F.col("__me") & (F.col("own") == 1)
+    agg = em.groupBy(*keys, "__t").agg(
+        F.sum(F.when(nb, F.col("sum_x"))).alias("sum_x"), F.sum(F.when(nb, F.col("sum_n"))).alias("sum_n"),
+        F.sum(F.when(nb, F.col("matches"))).alias("__matches"), F.max(F.when(me, F.col("xi"))).alias("xi"),
+        F.max(F.when(me, F.col("ni"))).alias("ni"), F.max(F.when(me, 1).otherwise(0)).alias("__has_self")) \
+        .where((F.col("__has_self") == 1) & (F.col("__matches") > 0))
+    return _memo_columns(agg, keys, bucket)
+
+
 def null_threshold(memo: DataFrame, as_of, keys: Iterable[str] = DEFAULT_KEYS, weight: float = NULL_WEIGHT,
                    radius: int = ADJACENT_WINDOW_SECONDS, lags: Sequence[int] = SEASONAL_LAGS,
                    left_closed: bool = True, bucket_seconds: int = 600, bucket: str = "bucket_dt") -> DataFrame:

@@ -17,7 +17,8 @@ from .. import DEFAULT_KEYS
 from ..functions.time import as_date, date_literal
 from ..operators.counts import freq_count, null_count
 from ..operators.limits import (ADJACENT_WINDOW_SECONDS, FREQ_WEIGHT, NULL_WEIGHT, SEASONAL_LAGS, freq_alerts, freq_memo,
-                                freq_rates, freq_threshold, null_alerts, null_memo, null_threshold)
+                                freq_rates, freq_threshold, null_alerts, null_memo,
+                                null_memo_of_states, null_states, null_threshold)
 from ..operators.rules import evaluate_rules
 from ..session import materialize
 from ..sources.readers import RULE_VALUES_SCHEMA, read_dated, read_dated_paths
@@ -128,8 +129,9 @@ def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_
                        keys: Iterable[str] = ("gamecode",)) -> dict[str, str]:
     """The reference's four daily commands and its two alert queries as one job family.
 
-    Counts day D from its raw rows alone and stores the counts; the limits of
-    day D come from the stored counts of the past days, and the alerts of day D from
+    Counts day D from its raw rows alone and stores the counts and the day's share of
+    the null memo (``null_state``); the limits of day D come from the stored states and
+    class counts of the past days, and the alerts of day D from
     its counts and the stored limits of day D-1. A day that was never
     counted is simply not there. Tables lie in ``out/<table>``, partitioned by
     ``dt`` and clustered by series: re-running a day replaces that day, also where
@@ -140,7 +142,7 @@ def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_
     series = [*keys, "column"]
     day, before = date_literal(as_of), date_literal(as_date(as_of) - _dt.timedelta(days=1))
     spark = logs.sparkSession
-    paths = {name: f"{out}/{name}" for name in ("null_count", "freq_count", "null_threshold", "freq_threshold", "null_alert", "freq_alert")}
+    paths = {name: f"{out}/{name}" for name in ("null_count", "freq_count", "null_state", "null_threshold", "freq_threshold", "null_alert", "freq_alert")}
 
     def write(df: DataFrame, name: str) -> None:
         write_partitioned(df if "dt" in df.columns else df.withColumn("dt", day), paths[name], cluster_by=series, replace=[as_date(as_of)])
@@ -151,17 +153,20 @@ def write_daily_checks(logs: DataFrame, ts: str, null_columns, freq_columns, as_
     nulls, classes = day_counts(logs, ts, null_columns, freq_columns, as_of, keys)
     write(nulls, "null_count")
     write(classes, "freq_count")
-    write(stored_null_threshold(spark, paths["null_count"], as_of, series), "null_threshold")
+    write(null_states(stored("null_count", day).drop("dt"), series), "null_state")
+    write(stored_null_threshold(spark, paths["null_state"], as_of, series), "null_threshold")
     write(stored_freq_threshold(spark, paths["freq_count"], as_of, series), "freq_threshold")
     write(null_alerts(stored("null_count", day).drop("dt"), stored("null_threshold", before).drop("dt"), series), "null_alert")
     write(freq_alerts(stored("freq_count", day), stored("freq_threshold", before), None, series), "freq_alert")
     return paths
 
 
-def stored_null_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
-    """Day D's null thresholds from the stored counts of the past days (``dt`` partitions)."""
-    counts = read_dated(read_stored(spark, path), as_of, 7)
-    return compute_null_threshold(counts.drop("dt"), as_of, series)
+def stored_null_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS, weight: float = NULL_WEIGHT,
+                          lags: Sequence[int] = SEASONAL_LAGS) -> DataFrame:
+    """Day D's null thresholds from the stored states of days ``[D-6, D]`` (``dt`` partitions of
+    ``null_states``); no counts are read or spread again."""
+    memo = null_memo_of_states(read_stored(spark, path), as_of, series, lags)
+    return null_threshold(memo, as_of, series, weight=weight, lags=lags)
 
 
 def stored_freq_threshold(spark, path: str, as_of, series: Iterable[str] = DEFAULT_KEYS) -> DataFrame:
