@@ -31,13 +31,6 @@ def epoch_seconds(ts) -> Column:
             + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
 
 
-def epoch_micros(ts) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ wall-clock value (zone-free)."""
-    t = _c(ts)
-    whole = F.unix_date(F.to_date(t)).cast("long") * F.lit(DAY_SECONDS) + F.hour(t) * 3600 + F.minute(t) * 60
-    return whole * F.lit(1_000_000) + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("long")
-
-
 def from_epoch_seconds(sec) -> Column:
     """TIMESTAMP_NTZ for whole epoch seconds (inverse of ``epoch_seconds``, zone-free)."""
     s = _c(sec).cast("long")

@@ -2,10 +2,11 @@
 
 Each ``q_*`` builder takes ``(spark, sf_dir)`` and returns a DataFrame that
 reads the whole input tables. ``ORACLE`` holds, per query, an independent SQL
-formulation for DuckDB: the seasonal neighbourhood as the literal OR-of-ranges
-join, the trailing window as the self-join, the kernel density as the full
-cross join - so the oracle does not share our rewrites. Doubles are rounded
-to 6 digits on both sides (sums in a different order differ in the last bits).
+formulation for DuckDB: the seasonal neighbourhood as lookups of time slots and
+(``null_memo_effective``) as the literal OR-of-ranges join, the trailing window as
+lookups of days, the kernel density as the full cross join - so the oracle does not
+share our rewrites. Doubles are rounded to 6 digits on both sides (sums in a
+different order differ in the last bits).
 
 Series of the test data (keys ``gamecode, column``):
 
@@ -174,7 +175,19 @@ _MEMO_COLS = ("gamecode, \"column\", bucket_dt, xi, ni, ROUND(pi, 6) AS pi, ROUN
 ORACLE = {}
 ORACLE["null_count"] = f"WITH {_NC_SQL} SELECT * FROM nc"
 ORACLE["null_memo"] = f"WITH {_NC_SQL}, {_memo_sql()} SELECT {_MEMO_COLS} FROM memo"
-ORACLE["null_memo_effective"] = f"WITH {_NC_SQL}, {_memo_sql((1, 2, 3), False)} SELECT {_MEMO_COLS} FROM memo"
+# the neighbourhood as the literal join on ranges of time: it shares no grid with the engine
+ORACLE["null_memo_effective"] = f"""WITH {_NC_SQL},
+met AS (
+  SELECT t.gamecode, t."column", t.bucket_dt, any_value(t.null_count) AS xi, any_value(t.total_count) AS ni,
+         sum(s.null_count) / sum(s.total_count) AS p
+  FROM nc t JOIN nc s ON s.gamecode = t.gamecode AND s."column" = t."column" AND ({" OR ".join(
+      f"(s.bucket_dt > t.bucket_dt - INTERVAL {k} DAY - INTERVAL 600 SECOND AND s.bucket_dt <= t.bucket_dt - INTERVAL {k} DAY + INTERVAL 600 SECOND)"
+      for k in (1, 2, 3))})
+  WHERE t.bucket_dt >= TIMESTAMP '2024-01-17' AND t.bucket_dt < TIMESTAMP '2024-01-21'
+    AND s.bucket_dt >= TIMESTAMP '2024-01-14' AND s.bucket_dt < TIMESTAMP '2024-01-21'
+  GROUP BY 1, 2, 3),
+memo AS (SELECT *, xi / ni AS pi, sqrt(p * (1 - p) / ni) AS sigma_pi, (xi / ni - p) / NULLIF(sqrt(p * (1 - p) / ni), 0) AS zi FROM met)
+SELECT {_MEMO_COLS} FROM memo"""
 ORACLE["null_threshold"] = (f"WITH {_NC_SQL}, {_memo_sql()}, {_THRESHOLD_SQL} "
                             "SELECT gamecode, \"column\", bucket_dt, ROUND(threshold, 6) AS threshold FROM thr")
 ORACLE["compute_null_threshold"] = ORACLE["null_threshold"]
