@@ -6,6 +6,10 @@ gives the language. Training is plain numpy (Adam, gradients through the
 maxima) on a bounded sample of labelled rows. Prediction cuts every whole text
 into windows and averages the windows' probabilities, weighted by their bytes.
 
+A softmax only compares the learned languages. So the model also has the byte pairs
+of each (from the same windows), and a text can be asked how likely its own are in
+the language it was given: text of no learned language has unlikely ones.
+
 For prediction the embedding and filters collapse into two tables indexed by a
 pair of bytes, so a window position costs two row gathers.
 
@@ -35,7 +39,7 @@ DOCS_PER_LANG = 300              # training sample: this many rows per language,
 WINDOWS_PER_DOC = 8              # evenly spaced windows of each sampled text
 CHUNK = 1 << 16                  # bytes scored at once
 LENGTH_CLASSES = (1, 2, 4, 8)    # windows of a text, at least: score limits are set by class
-LIMIT_SHARE = 0.005              # labelled rows below a class's score limit, about
+LIMIT_SHARE = 0.004              # labelled rows below one of a class's limits, about
 LIMIT_ROWS = 30                  # labelled rows a class needs for a limit of its own
 
 
@@ -47,6 +51,7 @@ class Model:
     bias: np.ndarray             # filters of all widths
     out: np.ndarray              # filters x languages
     out_bias: np.ndarray
+    pairs: np.ndarray | None = None      # languages x 65536: log share of a byte after another
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Sums of bytes (i, i+1) for all widths, and of (i+2, i+3) for widths over 2."""
@@ -89,6 +94,24 @@ class Model:
         return total / np.maximum(n, 1)[:, None]
 
 
+def pair_shares(windows: np.ndarray, labels: np.ndarray, k: int, extra: float = 0.02) -> np.ndarray:
+    """Log share of each byte after each other, per language, from zero-padded windows."""
+    pair = windows[:, :-1].astype(np.int64) * 256 + windows[:, 1:]
+    real = windows[:, 1:] > 0
+    n = np.bincount((labels[:, None] * 65536 + pair)[real], minlength=k * 65536).reshape(k, 256, 256) + extra
+    return np.log(n / n.sum(axis=2, keepdims=True)).reshape(k, 65536).astype(np.float32)
+
+
+def pair_fit(pairs: np.ndarray, buf: np.ndarray, off: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    """Mean log share of each row's byte pairs in the row's language (0: fewer than two bytes)."""
+    n = np.diff(off)
+    row = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    inside = row[1:] == row[:-1]
+    pair = (buf[:-1].astype(np.int32) * 256 + buf[1:])[inside]
+    own = row[:-1][inside]
+    return np.bincount(own, weights=pairs[lang[own], pair], minlength=len(n)) / np.maximum(n - 1, 1)
+
+
 def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], embed: int = 8, filters: int = 16,
           epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
     """Fit the network on byte windows (rows) and language numbers."""
@@ -193,7 +216,9 @@ def fit_rows(rows: list, size: int = WINDOW_BYTES) -> Model | None:
     langs = sorted({r.lang for r in rows})
     wins = [np.frombuffer(r.windows, np.uint8).reshape(-1, size) for r in rows]
     y = np.repeat([langs.index(r.lang) for r in rows], [len(w) for w in wins])
-    return train(np.concatenate(wins), y, langs)
+    model = train(np.concatenate(wins), y, langs)
+    model.pairs = pair_shares(np.concatenate(wins), y, len(langs))
+    return model
 
 
 def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WINDOW_BYTES) -> Model | None:
@@ -201,36 +226,42 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WIN
     return fit_rows(sample_rows(labelled, docs_per_lang), size)
 
 
-def score_limits(rows: list, share: float = LIMIT_SHARE, size: int = WINDOW_BYTES) -> list[float]:
-    """Per length class the score that all but about ``share`` of the labelled rows
-    reach when a network judges them that has not seen them (two halves, each
-    judged by the network of the other). A class of few rows takes the limit of the
-    next shorter one with enough (0 if there is none); one language alone scores 1, so its limit is 0."""
+def score_limits(rows: list, share: float = LIMIT_SHARE, size: int = WINDOW_BYTES) -> tuple[list[float], list[float]]:
+    """Per length class the score, and the fit of byte pairs, that all but about ``share`` of the
+    labelled rows reach when a model judges them that has not seen them (two halves, each
+    judged by the model of the other). A class of few rows takes the limits of the
+    next shorter one with enough (none, if there is none); one language alone has no limits."""
     half, count = [], {}
     for r in rows:
         half.append(count.get(r.lang, 0) % 2)
         count[r.lang] = count.get(r.lang, 0) + 1
-    limits = [0.0] * len(LENGTH_CLASSES)
+    limits = ([float("-inf")] * len(LENGTH_CLASSES), [float("-inf")] * len(LENGTH_CLASSES))
     if len(count) < 2 or min(count.values()) < 2:
         rows, half = [r for r in rows if count[r.lang] > 1], [h for r, h in zip(rows, half) if count[r.lang] > 1]
         if len({r.lang for r in rows}) < 2:
             return limits
-    kind, score = [], []
+    kind, score, fits = [], [], []
     for side in (0, 1):
         model = fit_rows([r for r, h in zip(rows, half) if h != side], size)
         tables = model.tables()
         for r in (r for r, h in zip(rows, half) if h == side):
             win = np.frombuffer(r.windows, np.uint8).reshape(-1, size)
-            score.append(float(np.average(model.window_probs(win, tables), axis=0, weights=(win > 0).sum(axis=1)).max()))
+            p = np.average(model.window_probs(win, tables), axis=0, weights=(win > 0).sum(axis=1))
+            score.append(float(p.max()))
+            n = (win > 0).sum(axis=1)
+            off = np.concatenate([[0], np.cumsum(n)])
+            each = pair_fit(model.pairs, win[win > 0], off, np.full(len(win), p.argmax()))
+            fits.append(float(np.average(each, weights=np.maximum(n - 1, 1))))
             kind.append(int(np.searchsorted(LENGTH_CLASSES, len(win), side="right")) - 1)
-    kind, score = np.array(kind), np.array(score)
-    for c in range(len(limits)):
-        own = score[kind == c]
-        limits[c] = float(np.quantile(own, share, method="lower")) if len(own) >= LIMIT_ROWS else limits[c - 1] if c else 0.0
+    kind = np.array(kind)
+    for values, out in ((np.array(score), limits[0]), (np.array(fits), limits[1])):
+        for c in range(len(out)):
+            own = values[kind == c]
+            out[c] = float(np.quantile(own, share, method="lower")) if len(own) >= LIMIT_ROWS else out[c - 1] if c else float("-inf")
     return limits
 
 
-def score_limit(limits: list[float], text: str = "text", size: int = WINDOW_BYTES) -> "F.Column":
+def by_length(limits: list[float], text: str = "text", size: int = WINDOW_BYTES) -> "F.Column":
     """The limit of a text's length class."""
     out = F.lit(limits[0])
     for least, limit in list(zip(LENGTH_CLASSES, limits))[1:]:
@@ -243,9 +274,10 @@ def has_letter() -> "F.Column":
 
 
 def predict(docs: DataFrame, model: Model | None, keep: list[str],
-            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """Columns ``keep`` of ``docs`` plus the predicted language and its score under
-    ``names`` (they replace kept columns so named); only ``text`` reaches the network."""
+            names: tuple[str, ...] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of ``docs`` plus the predicted language, its score and, if a third
+    name is given, the fit of its byte pairs, under ``names`` (they replace kept columns
+    so named); only ``text`` reaches the network."""
     small_batches(docs.sparkSession)
     keep = [c for c in keep if c not in names]
     row = F.struct(F.lit(0).alias("__row"), *[F.col(f"`{c}`") for c in keep if c != "text"]).alias("row")
@@ -253,7 +285,8 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str],
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     back = "text" in keep
     schema = StructType([src.schema["row"]] + [src.schema["text"]] * back
-                        + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+                        + [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+                        + [StructField("fit", DoubleType())] * (len(names) > 2))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shipped.value
@@ -261,18 +294,21 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str],
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 n, known = part.num_rows, np.asarray(part.column(2).to_numpy(zero_copy_only=False), bool)
-                lang, score = [UND] * n, np.zeros(n)
+                lang, score, fits = [UND] * n, np.zeros(n), np.zeros(n)
                 if m is not None:
-                    p = m.predict(*column_bytes(part.column(1)), tables)
+                    buf, off = column_bytes(part.column(1))
+                    p = m.predict(buf, off, tables)
                     top = p.argmax(axis=1)
+                    if len(names) > 2:
+                        fits = pair_fit(m.pairs, buf, off, top)
                     score = np.where(known, np.minimum(p[np.arange(n), top], 1.0), 0.0)
                     lang = [m.langs[t] if k else UND for t, k in zip(top, known)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[part.column(1)] * back, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                    names=schema.names)
+                    [part.column(0), *[part.column(1)] * back, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                     *[pa.array(fits)] * (len(names) > 2)], names=schema.names)
 
     return src.mapInArrow(tidy(run), schema).select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep],
-                                              F.col("lang_pred").alias(names[0]), F.col("score").alias(names[1]))
+                                              *[F.col(c).alias(n) for c, n in zip(("lang_pred", "score", "fit"), names)])
 
 
 def held_out(doc_id: str = "doc_id") -> "F.Column":
