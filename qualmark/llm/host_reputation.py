@@ -11,7 +11,8 @@ pages has a splittable skewed key. Three scalars per level come to the driver.
 
 Cases: a null url or one without ``://`` has an empty host and path (an empty
 host is a host like any other); a host without labels takes its parents'
-rates; with no labels at all nothing is blocked; repeated rows each count;
+rates; with no labels at all nothing is blocked; an address such as ``10.0.0.1`` is
+its own domain and suffix; repeated rows (and repeated page ids) each count;
 null outcomes are no labels; other columns are not read.
 """
 
@@ -28,6 +29,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MAX_BAD = 0.25        # block above this bad rate ...
 Z = 1.645             # ... when the posterior mean less Z deviations still exceeds it
 PRIOR_CORR = (0.001, 0.5)   # range of the fitted intra-class correlation
+SECOND_LEVEL = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")   # registries' labels below a two-letter country code
 
 
 @dataclass(frozen=True)
@@ -50,13 +52,24 @@ def url_path(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def registered_domain(host: Column) -> Column:
-    """The last two labels (the host itself if it has fewer), without a port."""
-    return F.substring_index(F.regexp_replace(host, r":[0-9]*$", ""), ".", -2)
+def _levels(host: Column, second_level: tuple[str, ...]) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host, without a port. An address is one unit, both
+    domain and suffix. Below a country code, a ``second_level`` label belongs to the suffix."""
+    h = F.regexp_replace(host, r":[0-9]*$", "")
+    two, last = F.substring_index(h, ".", -2), F.substring_index(h, ".", -1)
+    address = h.rlike(r"^[0-9]+(\.[0-9]+){3}$|^\[")
+    multi = last.rlike("^[a-z]{2}$") & (two != last) & F.substring_index(two, ".", 1).isin(*second_level)
+    domain = F.when(address, h).when(multi, F.substring_index(h, ".", -3)).otherwise(two)
+    return domain, F.when(address, h).when(multi, two).otherwise(last)
 
 
-def public_suffix(host: Column) -> Column:
-    return F.substring_index(F.regexp_replace(host, r":[0-9]*$", ""), ".", -1)
+def registered_domain(host: Column, second_level: tuple[str, ...] = SECOND_LEVEL) -> Column:
+    """The label below the suffix and the suffix (the host itself if it has no more)."""
+    return _levels(host, second_level)[0]
+
+
+def public_suffix(host: Column, second_level: tuple[str, ...] = SECOND_LEVEL) -> Column:
+    return _levels(host, second_level)[1]
 
 
 def longest_rule(rules: list[Rule], host: Column, path: Column) -> Column:
@@ -78,18 +91,18 @@ def _correlation(rows: DataFrame, prior: Column) -> float:
     return min(max(rho, PRIOR_CORR[0]), PRIOR_CORR[1])
 
 
-def host_reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, hosts: DataFrame, second_level: tuple[str, ...] = SECOND_LEVEL) -> DataFrame:
     """Posterior of every host: ``host, n, k, mean, bound``.
 
     ``outcomes``: ``host, bad`` (0/1) per labelled page; ``hosts``: ``host`` of
-    every page to be judged.
+    every page to be judged; ``second_level``: labels that belong to a country's suffixes.
     """
     seen = outcomes.where(F.col("bad").isNotNull()).groupBy("host") \
         .agg(F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("k"))
     every = hosts.select("host", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("k")).distinct()
     h = materialize(seen.unionByName(every).groupBy("host").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-                    .withColumn("domain", registered_domain(F.col("host")))
-                    .withColumn("suffix", public_suffix(F.col("host"))), "hosts")
+                    .withColumn("domain", registered_domain(F.col("host"), second_level))
+                    .withColumn("suffix", public_suffix(F.col("host"), second_level)), "hosts")
     total = h.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     base = ((total.k or 0) + 1) / ((total.n or 0) + 2)
 

@@ -184,11 +184,12 @@ def sample_rows(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG) -> list
     usable = labelled.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter()) \
         .select("doc_id", "lang", F.xxhash64("text").alias("th"), "text")
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "th")
-    # smallest hashes first: a language of n ids has about 4 docs_per_lang of them below this
+    # smallest hashes first: a language of n ids has about 4 docs_per_lang of them below this (a row per
+    # language; as a sort-merge join it would deal all rows by language before they are cut)
     share = F.least(F.lit(4.0 * docs_per_lang) / F.col("n"), F.lit(1.0))
     size = usable.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).select(
         F.col("lang").alias("l"), F.when(share < 1, ((share - 0.5) * float(1 << 64)).cast("long")).alias("below"))
-    few = usable.drop("text").join(size, F.col("lang") == F.col("l")).where(F.col("below").isNull() | (F.xxhash64("doc_id") < F.col("below")))
+    few = usable.drop("text").join(F.broadcast(size), F.col("lang") == F.col("l")).where(F.col("below").isNull() | (F.xxhash64("doc_id") < F.col("below")))
     narrow = few.select("doc_id", "lang", "th").distinct()
     chosen = narrow.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= docs_per_lang).drop("rank").collect()
     if not chosen:

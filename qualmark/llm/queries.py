@@ -132,9 +132,16 @@ h0 as (
   select h.host, count(o.bad) as n, coalesce(sum(o.bad), 0) as k from (select distinct host from p) h
   left join o on o.host = h.host group by h.host),
 h as (
-  select *, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') as parts from h0),
+  select *, string_split(bare, '.') as parts, regexp_matches(bare, '^[0-9]+(\\.[0-9]+){3}$|^\\[') as address
+  from (select *, regexp_replace(host, ':[0-9]*$', '') as bare from h0)),
+hm as (
+  select *, len(parts) > 1 and regexp_matches(parts[-1], '^[a-z]{2}$')
+            and list_contains(['ac', 'co', 'com', 'edu', 'go', 'gov', 'ne', 'net', 'or', 'org'], parts[-2]) as multi from h),
 hh as (
-  select host, n, k, array_to_string(parts[greatest(len(parts) - 1, 1):], '.') as domain, parts[-1] as suffix from h),
+  select host, n, k,
+    case when address then bare when multi then array_to_string(parts[greatest(len(parts) - 2, 1):], '.')
+         else array_to_string(parts[greatest(len(parts) - 1, 1):], '.') end as domain,
+    case when address then bare when multi then array_to_string(parts[-2:], '.') else parts[-1] end as suffix from hm),
 base as (select (coalesce(sum(k), 0) + 1) / (coalesce(sum(n), 0) + 2) as m from hh),
 s0 as (select suffix, sum(n) as n, sum(k) as k, any_value(m) as m from hh, base group by suffix),
 sc as (

@@ -43,3 +43,21 @@ def test_reputation_is_shrunk_and_blocks(spark):
     assert rep["b.good.net"].mean < 1 and rep["b.good.net"].bound < rep["b.good.net"].mean
     verdict = {r.host: r.verdict for r in hr.filter_urls(pages, out, []).collect()}
     assert verdict["spam.evil.net"] == "block" and verdict["a.good.net"] == verdict["c.fine.io"] == verdict["b.good.net"] == "allow"
+
+
+def test_registered_domains(spark):
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x.com": ("x.com", "com"), "w.x.com:80": ("x.com", "com"),
+            "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "10.0.0.1:8080": ("10.0.0.1", "10.0.0.1"), "[::1]:80": ("[::1]", "[::1]"), "uk": ("uk", "uk"),
+            "": ("", ""), "a.com.au": ("a.com.au", "com.au"), "q.co.de.fr": ("de.fr", "fr"), "co.info": ("co.info", "info"), "1.2.3": ("2.3", "3")}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("host", hr.registered_domain(df.host), hr.public_suffix(df.host)).collect()}
+    assert got == want
+    own = df.where("host = 'a.b.co.uk'").select(hr.registered_domain(df.host, ()), hr.public_suffix(df.host, ("b",))).first()
+    assert tuple(own) == ("co.uk", "uk")
+
+
+def test_repeated_rows_and_page_ids(spark):
+    pages = spark.createDataFrame([(1, "http://x.net/a")] * 40 + [(2, "http://y.org/b")] * 60, "page_id long, url string")
+    bad = spark.createDataFrame([(1, 1), (2, 0)], "page_id long, bad int")
+    out = hr.filter_urls(pages, bad, []).collect()
+    assert len(out) == 100 and {r.verdict for r in out if r.page_id == 1} == {"block"} and {r.verdict for r in out if r.page_id == 2} == {"allow"}
