@@ -2,12 +2,10 @@
 
 Words are hashed by prefix polynomials over a batch's bytes, and every n-gram of
 words by prefix polynomials over the word hashes, all in numpy. The n-grams are
-counted in three rounds, each by a shuffle that adds up fingerprints. An n-gram is
+counted in rounds (words, pairs, three words, then four and five), each by a shuffle
+that adds up fingerprints, each with the place of one occurrence. An n-gram is
 looked at only if its parts were frequent in the round before; the frequent
-fingerprints travel as a bit table of fixed size, whose false hits only cost
-counting. The first rounds only find the frequent words, then the frequent pairs.
-The last one counts both again, and the phrases of three to five words, each with
-the place of one occurrence.
+fingerprints travel as a bit table of fixed size, whose false hits only cost counting.
 
 Two n-grams are taken for one only if a fingerprint of 64 bits and a check of 32
 bits from another polynomial agree. Phrases are then read from the text at their
@@ -179,34 +177,21 @@ def _place(doc: np.ndarray, lo: np.ndarray, m: int) -> np.ndarray:
     return (doc << 36) | (lo << 3) | m
 
 
-def _candidates(p: Pieces, fps: dict[int, np.ndarray], tables: dict[int, np.ndarray], sizes, bits: int) -> dict[int, np.ndarray]:
-    """Places of the n-grams of each size that may be frequent: by their own table, or else by
-    that of their words (pairs) or pairs (longer ones)."""
-    maybe = {}
-    for m in tables:
-        at = np.flatnonzero(p.run >= m)
-        maybe[m] = np.zeros(len(p.run), bool)
-        maybe[m][at] = passes(tables[m], fps[m][at], bits)
+def _candidates(p: Pieces, fps: dict[int, np.ndarray], table: tuple[int, np.ndarray] | None, sizes, bits: int) -> dict[int, np.ndarray]:
+    """Places of the n-grams of each size whose parts, of as many words as the table's, may all be frequent."""
+    if table is not None:
+        at = np.flatnonzero(p.run >= table[0])
+        maybe = np.zeros(len(p.run), bool)
+        maybe[at] = passes(table[1], fps[table[0]][at], bits)
     out = {}
     for m in sizes:
-        at = np.flatnonzero(maybe[m] if m in maybe else p.run >= m)
-        if m > 1 and m not in maybe:
-            part = 1 if m == 2 else 2
-            for j in range(m - part + 1):
-                at = at[maybe[part][at + j]]
+        at = np.flatnonzero(p.run >= m)
+        for j in range(m - table[0] + 1) if table is not None else ():
+            at = at[maybe[at + j]]
         out[m] = at
     return out
 
 
-def _sum_counts(parts: list[tuple]) -> tuple[np.ndarray, ...]:
-    """Rows ``fp, n`` with counts added up."""
-    fp, n = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(fp)
-    fp, n = fp[order], n[order]
-    at = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
-    return fp[at], np.add.reduceat(n, at) if len(at) else n
-
-
 def _sum_places(parts: list[tuple]) -> tuple[np.ndarray, ...]:
     """Rows ``fp, check, n, place`` with counts added up and the least place of equal ones."""
     fp, check, n, place = (np.concatenate(x) for x in zip(*parts))
@@ -222,12 +207,31 @@ def _sum_places(parts: list[tuple]) -> tuple[np.ndarray, ...]:
     return fp[at], check[at], np.add.reduceat(n, at), np.minimum.reduceat(place, at)
 
 
-def _added_up(docs: DataFrame, count, add, names: list[str], held: int) -> DataFrame:
-    """The rows that ``count`` makes of each slice of texts, added up by ``add`` within a task, which
-    sends them when it holds too many different ones."""
+def counts(docs: DataFrame, sizes: tuple[int, ...], table: tuple[int, np.ndarray] | None = None, fp_bits: int = 64, bits: int = FILTER_BITS,
+           held: int = HELD) -> DataFrame:
+    """``fp, check, n, place`` of the n-grams of ``sizes`` words (0, with ``check`` -1: all words of a
+    language), added up within a task, which sends them when it holds too many different ones, and
+    then over tasks; ``place`` is that of one occurrence. ``table``: a number of words, and the bit
+    table of the frequent n-grams of so many."""
+    shipped, grams = docs.sparkSession.sparkContext.broadcast(table), [m for m in sizes if m]
+
+    def count(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        buf, off = column_bytes(part.column(3))
+        p, seed, doc = Pieces(buf, off), np.asarray(part.column(2)).view(np.uint64), np.asarray(part.column(0))
+        known = shipped.value
+        fps, checks = p.fingerprints(0, seed, {*grams, *([known[0]] if known else [])}, fp_bits), p.fingerprints(1, seed, grams)
+        found = []
+        for m, at in _candidates(p, fps, known, grams, bits).items():
+            row = p.row[at]
+            found.append((fps[m][at], (checks[m][at] >> U64(32)).astype(np.int64), np.ones(len(at), np.int64), _place(doc[row], p.start[at] - off[row], m)))
+        if 0 in sizes:
+            row, n = np.unique(p.row, return_counts=True)
+            found.append((seed[row], np.full(len(row), -1), n, _place(doc[row], np.zeros(len(row), np.int64), 0)))
+        return _sum_places(found)
+
     def send(*cols: np.ndarray) -> Iterator[pa.RecordBatch]:
         for a in range(0, len(cols[0]), 1 << 15):
-            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 15)].view(np.int64)) for c in cols], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + (1 << 15)].view(np.int64)) for c in cols], names=_COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple] = []
@@ -235,60 +239,33 @@ def _added_up(docs: DataFrame, count, add, names: list[str], held: int) -> DataF
             for part in slices(batch, "text", SLICE_BYTES):
                 kept.append(count(part))
                 if sum(len(x[0]) for x in kept) > 2 * held:
-                    kept = [add(kept)]
+                    kept = [_sum_places(kept)]
                     if len(kept[0][0]) > held:
                         yield from send(*kept[0])
                         kept = []
         if kept:
-            yield from send(*add(kept))
+            yield from send(*_sum_places(kept))
 
     small_batches(docs.sparkSession)
-    return _read(docs).mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names))
-
-
-def counts(docs: DataFrame, size: int, tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS, held: int = HELD) -> DataFrame:
-    """``fp, n`` of the n-grams of ``size`` words (colliding ones count together)."""
-    shipped = docs.sparkSession.sparkContext.broadcast(tables)
-
-    def count(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        p, seed = Pieces(*column_bytes(part.column(3))), np.asarray(part.column(2)).view(np.uint64)
-        fps = p.fingerprints(0, seed, {size, *shipped.value}, fp_bits)
-        at = _candidates(p, fps, shipped.value, [size], bits)[size]
-        return np.unique(fps[size][at], return_counts=True)
-
-    return _added_up(docs, count, _sum_counts, ["fp", "n"], held).groupBy("fp").agg(F.sum("n").alias("n"))
-
-
-def occurrences(docs: DataFrame, tables: dict[int, np.ndarray], fp_bits: int = 64, bits: int = FILTER_BITS, held: int = HELD // 2) -> DataFrame:
-    """``fp, check, n, place`` of the n-grams that may be frequent (and, with ``check`` -1, all words
-    of a language); ``place`` is that of one occurrence."""
-    shipped, every = docs.sparkSession.sparkContext.broadcast(tables), range(1, MOST_WORDS + 1)
-
-    def count(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        buf, off = column_bytes(part.column(3))
-        p, seed, doc = Pieces(buf, off), np.asarray(part.column(2)).view(np.uint64), np.asarray(part.column(0))
-        fps, checks = p.fingerprints(0, seed, every, fp_bits), p.fingerprints(1, seed, every)
-        found = []
-        for m, at in _candidates(p, fps, shipped.value, every, bits).items():
-            row = p.row[at]
-            found.append((fps[m][at], (checks[m][at] >> U64(32)).astype(np.int64), np.ones(len(at), np.int64), _place(doc[row], p.start[at] - off[row], m)))
-        row, n = np.unique(p.row, return_counts=True)
-        found.append((seed[row], np.full(len(row), -1), n, _place(doc[row], np.zeros(len(row), np.int64), 0)))
-        return _sum_places(found)
-
-    return _added_up(docs, count, _sum_places, _COUNTED, held).groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
+    return _read(docs).mapInArrow(tidy(run), ", ".join(f"{c} long" for c in _COUNTED)).groupBy("fp", "check") \
+        .agg(F.sum("n").alias("n"), F.min("place").alias("place"))
 
 
 _COUNTED = ["fp", "check", "n", "place"]
+ROUNDS = ((0, 1), (2,), (3,), (4, 5))
 
 
 def frequent_places(docs: DataFrame, least: int = LEAST, fp_bits: int = 64, bits: int = FILTER_BITS) -> DataFrame:
     """Phrases of 1 to MOST_WORDS words with ``n`` occurrences in a language, at least
     ``least``, each with one place; 0 words: all words of a language."""
-    tables: dict[int, np.ndarray] = {}
-    for m in (1, 2):
-        tables[m] = bit_table(counts(docs, m, dict(tables), fp_bits, bits).where(F.col("n") >= least), bits)
-    return materialize(occurrences(docs, tables, fp_bits, bits).where((F.col("n") >= least) | (F.col("check") < 0)), "col_frequent")
+    table, out = None, None
+    for sizes in ROUNDS:
+        found = counts(docs, sizes, table, fp_bits, bits).where((F.col("n") >= least) | (F.col("check") < 0))
+        found = materialize(found, "col_frequent")
+        if sizes != ROUNDS[-1]:
+            table = sizes[-1], bit_table(found, bits)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def _next_words(raw: bytes, lo: int, m: int) -> bytes:

@@ -82,11 +82,10 @@ def test_the_threshold_default_and_the_longer_phrase_rule(spark):
 
 def test_held_counts_and_places(spark):
     df = frame(spark, corpus(7, 40), 3)
-    full = np.full(1, 2**64 - 1, np.uint64)
+    full = 1, np.full(1, 2**64 - 1, np.uint64)
     rows = lambda x: {tuple(r) for r in x.collect()}
-    assert rows(co.counts(df, 2, {1: full}, bits=6, held=3)) == rows(co.counts(df, 2, {1: full}, bits=6))
-    places = co.occurrences(df, {1: full, 2: full}, bits=6)
-    assert rows(co.occurrences(df, {1: full, 2: full}, bits=6, held=3)) == rows(places)
+    places = co.counts(df, (0, 1, 2, 3), full, bits=6)
+    assert rows(co.counts(df, (0, 1, 2, 3), full, bits=6, held=3)) == rows(places)
     # every place reads back as its own phrase, and a wrong one is not taken
     assert co.read_phrases(df, places).count() == places.count()
     assert co.read_phrases(df, places.withColumn("place", F.col("place") + 8)).count() < places.count() / 2
