@@ -33,15 +33,14 @@ def _free_name(docs: DataFrame, name: str) -> str:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter, and those with a score, or with byte pairs, that
     hardly any labelled document of their length has; a missing ``lang`` is filled with the
-    prediction. Without labelled documents only the letter counts."""
-    rows = langid.sample_rows(docs)
-    model = langid.fit_rows(rows)
+    prediction. Model, byte pairs and limits come from all labelled documents, whole texts.
+    Without labelled documents only the letter counts."""
+    model, scores, fits = langid.learn(docs)
     if model is None:
         return docs.where(langid.has_letter())
     names = tuple(_free_name(docs, c) for c in ("__language", "__score", "__fit"))
     out = langid.predict(docs, model, docs.columns, names)
     language, score, fit = map(F.col, names)
-    scores, fits = langid.score_limits(rows)
     kept = out.where((language != langid.UND) & (score >= langid.by_length(scores)) & (fit >= langid.by_length(fits)))
     return kept.withColumn("lang", F.coalesce("lang", language)).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -3,11 +3,12 @@
 Bytes are embedded, filters of widths 2, 3 and 4 slide over fixed-length
 windows, each filter keeps its maximum over the window, and a softmax layer
 gives the language. Training is plain numpy (Adam, gradients through the
-maxima) on a bounded sample of labelled rows. Prediction cuts every whole text
-into windows and averages the windows' probabilities, weighted by their bytes.
+maxima): ``fit`` takes a bounded sample of labelled rows, ``learn`` all windows of
+all of them, dealt to shards whose parameters are averaged. Prediction cuts every
+whole text into windows and averages the windows' probabilities, weighted by their bytes.
 
 A softmax only compares the learned languages. So the model also has the byte pairs
-of each (from the same windows), and a text can be asked how likely its own are in
+of each (of the rows it learned from), and a text can be asked how likely its own are in
 the language it was given: text of no learned language has unlikely ones.
 
 For prediction the embedding and filters collapse into two tables indexed by a
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..session import materialize
 from .textops import column_bytes, slices, small_batches, tidy
 
 UND = "und"
@@ -38,9 +40,14 @@ WINDOW_BYTES = 128
 DOCS_PER_LANG = 300              # training sample: this many rows per language, smallest hash first
 WINDOWS_PER_DOC = 8              # evenly spaced windows of each sampled text
 CHUNK = 1 << 16                  # bytes scored at once
+SHARD_WINDOWS = 1 << 15          # windows of labelled text, about, that one shard of ``learn`` trains on
+PASS_WINDOWS = 60_000            # fewer labelled windows are passed over up to six times
+SCALE = 1 << 20                  # parameters are averaged, and
+FINE = 1 << 32                   # limits found, as whole numbers of such parts: in any order the same
 LENGTH_CLASSES = (1, 2, 4, 8)    # windows of a text, at least: score limits are set by class
 LIMIT_SHARE = 0.004              # labelled rows below one of a class's limits, about
 LIMIT_ROWS = 30                  # labelled rows a class needs for a limit of its own
+SHARD_RATE = 0.003               # step size of the shards that go on from the first one's parameters
 
 
 @dataclass
@@ -112,26 +119,42 @@ def pair_fit(pairs: np.ndarray, buf: np.ndarray, off: np.ndarray, lang: np.ndarr
     return np.bincount(own, weights=pairs[lang[own], pair], minlength=len(n)) / np.maximum(n - 1, 1)
 
 
-def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], embed: int = 8, filters: int = 16,
-          epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
-    """Fit the network on byte windows (rows) and language numbers."""
+def first_parameters(k: int, embed: int = 8, filters: int = 16, seed: int = 7) -> tuple[dict, np.random.Generator]:
+    """Random parameters for ``k`` languages, and the generator they came from."""
     rng = np.random.default_rng(seed)
-    k = len(langs)
     par = {"emb": rng.normal(0, 0.5, (256, embed)), "out": rng.normal(0, 0.1, (3 * filters, k)),
            "bias": np.zeros(3 * filters), "out_bias": np.zeros(k)}
     par |= {w: rng.normal(0, 0.5 / np.sqrt(w), (w, embed, filters)) for w in WIDTHS}
-    par = {n: v.astype(np.float32) for n, v in par.items()}
+    return {n: v.astype(np.float32) for n, v in par.items()}, rng
+
+
+def as_model(par: dict, langs: list[str]) -> Model:
+    return Model(langs, par["emb"], {w: par[w] for w in WIDTHS}, par["bias"], par["out"], par["out_bias"])
+
+
+def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], embed: int = 8, filters: int = 16,
+          epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Model:
+    """Fit the network on byte windows (rows) and language numbers."""
+    par, rng = first_parameters(len(langs), embed, filters, seed)
+    descend(par, windows, labels, rng, epochs, batch, rate)
+    return as_model(par, langs)
+
+
+def descend(par: dict, windows: np.ndarray, labels: np.ndarray, rng: np.random.Generator,
+            epochs: int = 6, batch: int = 64, rate: float = 0.01) -> None:
+    """Adam steps from ``par``, changed in place, over the windows in random order."""
+    _, embed, filters = par[2].shape
     mom = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in par.items()}
-    x_all = np.concatenate([windows, np.zeros((len(windows), 3), windows.dtype)], axis=1).astype(np.int32)
+    x_all = np.concatenate([windows, np.zeros((len(windows), 3), windows.dtype)], axis=1)
     size, t = windows.shape[1], 0
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for a in range(0, len(order), batch):
             pick = order[a:a + batch]
-            x, y = x_all[pick], labels[pick]
+            x, y = x_all[pick].astype(np.int32), labels[pick]
             best, where = [], []
             for w in WIDTHS:
-                h = sum((par["emb"] @ par[w][j])[x[:, j:j + size]] for j in range(w))
+                h = sum((par["emb"] @ par[w][j]).take(x[:, j:j + size], axis=0) for j in range(w))
                 where.append(h.argmax(axis=1))
                 best.append(np.take_along_axis(h, where[-1][:, None], axis=1)[:, 0])
             pre = np.concatenate(best, axis=1) + par["bias"]
@@ -150,14 +173,14 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], embed: int
                 for j in range(w):
                     byte = np.take_along_axis(x, where[i] + j, axis=1)          # rows x filters
                     grad[w][j] = np.einsum("nfe,nf->ef", par["emb"][byte], gw)
-                    np.add.at(grad["emb"], byte, gw[:, :, None] * par[w][j].T[None])
+                    cell = (byte[:, :, None] * embed + np.arange(embed)).ravel()
+                    np.add.at(grad["emb"].reshape(-1), cell, (gw[:, :, None] * par[w][j].T[None]).ravel())
             t += 1
             for n, v in par.items():
                 m, s = mom[n]
                 m += 0.1 * (grad[n] - m)
                 s += 0.001 * (grad[n] ** 2 - s)
                 v -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
-    return Model(langs, par["emb"], {w: par[w] for w in WIDTHS}, par["bias"], par["out"], par["out_bias"])
 
 
 def text_windows(text: str, most: int = WINDOWS_PER_DOC, size: int = WINDOW_BYTES) -> np.ndarray:
@@ -227,39 +250,205 @@ def fit(labelled: DataFrame, docs_per_lang: int = DOCS_PER_LANG, size: int = WIN
     return fit_rows(sample_rows(labelled, docs_per_lang), size)
 
 
-def score_limits(rows: list, share: float = LIMIT_SHARE, size: int = WINDOW_BYTES) -> tuple[list[float], list[float]]:
-    """Per length class the score, and the fit of byte pairs, that all but about ``share`` of the
-    labelled rows reach when a model judges them that has not seen them (two halves, each
-    judged by the model of the other). A class of few rows takes the limits of the
-    next shorter one with enough (none, if there is none); one language alone has no limits."""
-    half, count = [], {}
-    for r in rows:
-        half.append(count.get(r.lang, 0) % 2)
-        count[r.lang] = count.get(r.lang, 0) + 1
-    limits = ([float("-inf")] * len(LENGTH_CLASSES), [float("-inf")] * len(LENGTH_CLASSES))
-    if len(count) < 2 or min(count.values()) < 2:
-        rows, half = [r for r in rows if count[r.lang] > 1], [h for r, h in zip(rows, half) if count[r.lang] > 1]
-        if len({r.lang for r in rows}) < 2:
-            return limits
-    kind, score, fits = [], [], []
-    for side in (0, 1):
-        model = fit_rows([r for r, h in zip(rows, half) if h != side], size)
-        tables = model.tables()
-        for r in (r for r, h in zip(rows, half) if h == side):
-            win = np.frombuffer(r.windows, np.uint8).reshape(-1, size)
-            p = np.average(model.window_probs(win, tables), axis=0, weights=(win > 0).sum(axis=1))
-            score.append(float(p.max()))
-            n = (win > 0).sum(axis=1)
-            off = np.concatenate([[0], np.cumsum(n)])
-            each = pair_fit(model.pairs, win[win > 0], off, np.full(len(win), p.argmax()))
-            fits.append(float(np.average(each, weights=np.maximum(n - 1, 1))))
-            kind.append(int(np.searchsorted(LENGTH_CLASSES, len(win), side="right")) - 1)
-    kind = np.array(kind)
-    for values, out in ((np.array(score), limits[0]), (np.array(fits), limits[1])):
-        for c in range(len(out)):
-            own = values[kind == c]
-            out[c] = float(np.quantile(own, share, method="lower")) if len(own) >= LIMIT_ROWS else out[c - 1] if c else float("-inf")
-    return limits
+def learn(labelled: DataFrame) -> tuple[Model | None, list[float], list[float]]:
+    """The model of all rows of ``(doc_id, text, lang)`` with a language and a letter (None,
+    if there are none), whole texts, and per length class the limits of score and byte pair
+    fit that all but about ``LIMIT_SHARE`` of these rows reach when a model judges them that has not
+    seen them. The rows are halved by a hash of their text, each half is judged by
+    the model of the other. Languages of one half only set no limits, and there are
+    none (minus infinity) if fewer than two languages are left."""
+    rows = labelled.where(F.col("lang").isNotNull() & has_letter()).select(
+        "lang", "text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("half"), F.xxhash64("doc_id", "text").alias("order"),
+        F.ceil(F.octet_length("text") / F.lit(WINDOW_BYTES)).alias("windows"))
+    size = {(r.lang, r.half): r.n for r in rows.groupBy("lang", "half").agg(F.sum("windows").alias("n")).collect()}
+    none = [float("-inf")] * len(LENGTH_CLASSES)
+    if not size:
+        return None, none, none
+    langs = {2: sorted({lang for lang, _ in size})} | {h: sorted(lang for lang, half in size if half == h) for h in (0, 1)}
+    both = sorted(set(langs[0]) & set(langs[1]))
+    if len(both) < 2:
+        langs = {2: langs[2]}
+    total = {m: sum(n for (_, half), n in size.items() if m in (2, half)) for m in langs}
+    models = {m: as_model(par, langs[m]) for m, par in train_shards(rows, langs, total).items()}
+    pairs = pair_counts(rows)
+    for m, model in models.items():
+        model.pairs = pair_logs(pairs, langs[m], (0, 1) if m == 2 else (m,))
+    if len(both) < 2:
+        return models[2], none, none
+    least = [F.octet_length("text") > (c - 1) * WINDOW_BYTES for c in LENGTH_CLASSES[1:]]
+    kind = sum((x.cast("int") for x in least), F.lit(0)).alias("kind")
+    judged = [predict(rows.where((F.col("half") == 1 - h) & F.col("lang").isin(both)).select(kind, "text"),
+                      models[h], ["kind"], ("language", "score", "fit")).select("kind", "score", "fit") for h in (0, 1)]
+    judged = materialize(judged[0].unionByName(judged[1]), "language_limits")
+    return models[2], quantiles_by_kind(judged, "score"), quantiles_by_kind(judged, "fit")
+
+
+def train_shards(rows: DataFrame, langs: dict[int, list[str]], total: dict[int, int]) -> dict[int, dict]:
+    """Parameters of each model in ``langs`` (0 and 1: rows of that half, 2: all rows) from every
+    window of its rows.
+
+    Rows are dealt to shards by a hash, about ``SHARD_WINDOWS`` windows each. The first shard trains
+    from random parameters; the others go on from what it found, each apart, and their
+    parameters, weighted by windows, are averaged. Shards and the order in them depend on
+    the rows alone, and sums are of whole numbers, so any cluster finds the same.
+    """
+    small_batches(rows.sparkSession)
+    shards = {m: -(-n // SHARD_WINDOWS) for m, n in total.items()}
+    passes = {m: max(1, min(6, -(-PASS_WINDOWS // n))) for m, n in total.items()}
+    start = {m: first_parameters(len(k))[0] for m, k in langs.items()}
+    count = F.create_map(*[F.lit(x) for m, n in shards.items() for x in (m, n)])
+    model = F.explode(F.array(F.col("half"), F.lit(2)) if len(langs) > 1 else F.array(F.lit(2)))
+    dealt = rows.select(model.alias("model"), "order", "lang", "text") \
+        .withColumn("shard", F.pmod(F.hash("order", F.lit(1)), F.element_at(count, F.col("model"))).cast("int"))
+    for first in (True, False):
+        many = len(shards) if first else sum(n - 1 for n in shards.values())
+        if not many:
+            break
+        ahead = {m: sum(1 if first else n - 1 for k, n in shards.items() if k < m) - (not first) for m in shards}
+        place = F.element_at(F.create_map(*[F.lit(x) for item in ahead.items() for x in item]), F.col("model")) + F.col("shard")
+        part = dealt.where((F.col("shard") == 0) == F.lit(first)).repartitionById(many, place) \
+            .sortWithinPartitions("model", "shard", "order", "lang").select("model", "shard", "lang", "text")
+        found = part.mapInArrow(tidy(_shard_trainer(start, langs, passes, 0.01 if first else SHARD_RATE)),
+                                "model int, at int, windows long, value long")
+        n = F.col("windows").cast("decimal(18,0)")
+        mean = found.groupBy("model", "at").agg((F.sum(n * F.col("value")).cast("double") / F.sum(n).cast("double") / SCALE).alias("value"))
+        got = mean.orderBy("model", "at").toArrow()
+        which, value = np.asarray(got["model"]), np.asarray(got["value"])
+        for m in np.unique(which).tolist():
+            start[m] = _unflat(value[which == m], start[m])
+    return start
+
+
+def _unflat(flat: np.ndarray, like: dict) -> dict:
+    ends = np.cumsum([v.size for v in like.values()])[:-1]
+    return {n: x.reshape(v.shape).astype(np.float32) for (n, v), x in zip(like.items(), np.split(flat, ends))}
+
+
+def _shard_trainer(start: dict[int, dict], langs: dict[int, list[str]], passes: dict[int, int], rate: float):
+    """Arrow function over ``model, shard, lang, text``, sorted: a row per shard and parameter. Windows
+    are held until there are ``2 SHARD_WINDOWS``, so a shard of any size takes little memory."""
+    numbers = {m: {lang: i for i, lang in enumerate(k)} for m, k in langs.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, par, rng, held, seen = None, None, None, [], 0
+
+        def step():
+            if held:
+                win, y = (np.concatenate(x) for x in zip(*held))
+                held.clear()
+                descend(par, win, y, rng, passes[now[0]], rate=rate)
+
+        def done():
+            step()
+            flat = np.concatenate([v.ravel() for v in par.values()]).astype(np.float64)
+            n = len(flat)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, now[0], np.int32)), pa.array(np.arange(n, dtype=np.int32)),
+                                               pa.array(np.full(n, seen)), pa.array(np.rint(flat * SCALE).astype(np.int64))],
+                                              names=["model", "at", "windows", "value"])
+
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 20):
+                model, shard = part.column(0).to_numpy(), part.column(1).to_numpy()
+                cut = np.flatnonzero((np.diff(model) != 0) | (np.diff(shard) != 0)) + 1
+                for a, b in zip([0, *cut], [*cut, part.num_rows]):
+                    key = int(model[a]), int(shard[a])
+                    if key != now:
+                        if now:
+                            yield done()
+                        now, seen, rng = key, 0, np.random.default_rng(key)
+                        par = {n: v.copy() for n, v in start[key[0]].items()}
+                    y = np.array([numbers[key[0]][x] for x in part.column(2).slice(a, b - a).to_pylist()])
+                    for row, win in whole_windows(*column_bytes(part.column(3).slice(a, b - a))):
+                        held.append((win, y[row]))
+                        seen += len(win)
+                        if sum(len(w) for w, _ in held) >= 2 * SHARD_WINDOWS:
+                            step()
+        if now:
+            yield done()
+    return run
+
+
+def whole_windows(buf: np.ndarray, off: np.ndarray, size: int = WINDOW_BYTES,
+                  most: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers and zero-padded windows of the whole rows of a byte column, ``most`` at a time."""
+    per = -(-np.diff(off) // size)
+    row = np.repeat(np.arange(len(per)), per)
+    at = off[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(per) - per, per)) * size
+    for a in range(0, len(row), most):
+        own = row[a:a + most]
+        idx = at[a:a + most, None] + np.arange(size)
+        yield own, np.where(idx < off[1:][own][:, None], buf[np.minimum(idx, len(buf) - 1)], 0).astype(np.uint8)
+
+
+def pair_counts(rows: DataFrame) -> pa.Table:
+    """How often each byte follows another in all texts, by language and half."""
+    small_batches(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 22):
+                coded = part.column(0).dictionary_encode()
+                words, half = coded.dictionary.to_pylist(), part.column(1).to_numpy()
+                group = np.asarray(coded.indices) * 2 + half
+                for g in np.unique(group):
+                    buf, off = column_bytes(part.column(2).filter(pa.array(group == g)))
+                    n = np.zeros(65536, np.int64)
+                    for a in range(0, len(buf), 1 << 20):
+                        x = buf[a:a + (1 << 20) + 1]
+                        n += np.bincount(x[:-1].astype(np.int64) * 256 + x[1:], minlength=65536)
+                    last = off[1:-1]                 # not from one row to the next
+                    last = last[(last > 0) & (last < len(buf))]
+                    np.subtract.at(n, buf[last - 1].astype(np.int64) * 256 + buf[last], 1)
+                    pair = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([words[g // 2]] * len(pair), pa.string()), pa.array(np.full(len(pair), g % 2, np.int32)),
+                         pa.array(pair.astype(np.int32)), pa.array(n[pair])], names=["lang", "half", "pair", "n"])
+
+    return rows.select("lang", "half", "text").mapInArrow(tidy(run), "lang string, half int, pair int, n long") \
+        .groupBy("lang", "half", "pair").agg(F.sum("n").alias("n")).toArrow()
+
+
+def pair_logs(counts: pa.Table, langs: list[str], halves: tuple[int, ...], extra: float = 0.02) -> np.ndarray:
+    """Log share of each byte after each other, per language, from ``pair_counts`` of the halves."""
+    half, pair, n = (np.asarray(counts[c]) for c in ("half", "pair", "n"))
+    coded = counts["lang"].combine_chunks().dictionary_encode()
+    number = np.array([langs.index(x) if x in langs else -1 for x in coded.dictionary.to_pylist()], np.int64)
+    lang = number[np.asarray(coded.indices)]
+    out = np.full((len(langs), 256, 256), extra)
+    ok = np.isin(half, halves) & (lang >= 0)
+    np.add.at(out.reshape(len(langs), 65536), (lang[ok], pair[ok]), n[ok])
+    return np.log(out / out.sum(axis=2, keepdims=True)).reshape(len(langs), 65536).astype(np.float32)
+
+
+def quantiles_by_kind(judged: DataFrame, name: str, share: float = LIMIT_SHARE) -> list[float]:
+    """Per length class the value of ``name`` that all but ``share`` of its rows reach (rounded down to
+    parts of ``FINE``). A class of few rows takes the limits of the next shorter one with enough
+    (none, if there is none). Three counts of ever finer steps find the row's place, no sort."""
+    value = F.floor(F.col(name) * FINE).cast("long")
+    place, rank = {}, {}
+    for shift in (26, 13, 0):
+        step = F.shiftright(value, shift)
+        known = F.lit(True) if not place else F.coalesce(F.element_at(
+            F.create_map(*[F.lit(x) for kind, at in place.items() for x in (kind, at)]), F.col("kind")) == F.shiftright(value, shift + 13), F.lit(False))
+        steps = judged.where(known).groupBy("kind", step.alias("at")).count().orderBy("kind", "at").collect()
+        if not rank:
+            many = {}
+            for r in steps:
+                many[r.kind] = many.get(r.kind, 0) + r["count"]
+            rank = {kind: int((n - 1) * share) for kind, n in many.items() if n >= LIMIT_ROWS}
+            if not rank:
+                break
+        place = {}
+        for r in steps:
+            if r.kind in rank and r.kind not in place:
+                if rank[r.kind] < r["count"]:
+                    place[r.kind] = r["at"]
+                else:
+                    rank[r.kind] -= r["count"]
+    out = []
+    for c in range(len(LENGTH_CLASSES)):
+        out.append(place[c] / FINE if c in place else out[-1] if out else float("-inf"))
+    return out
 
 
 def by_length(limits: list[float], text: str = "text", size: int = WINDOW_BYTES) -> "F.Column":

@@ -62,3 +62,25 @@ def test_sample_takes_different_rows_with_letters(spark):
     assert [x.lang for x in got].count("en") == 20 and sorted(x.doc_id for x in got if x.lang == "de") == [500, 501]
     assert len({(x.doc_id, x.windows) for x in got}) == 22
     assert langid.fit(df, 20).langs == ["de", "en"]
+
+
+def test_learned_counts_and_limits_are_exact(spark, monkeypatch):
+    """Byte pairs of whole texts and limits over all rows; shards do not depend on partitions."""
+    r = np.random.default_rng(5)
+    text = lambda v, n: " ".join(r.choice(v, n))
+    rows = [(i, text(["the", "and", "of"], 10 + i), "en") for i in range(90)] + [(i, text(["der", "und", "für"], 10 + i), "de") for i in range(90, 180)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("half", F.expr("cast(doc_id % 2 as int)"))
+    want = np.zeros((2, 65536))
+    for i, t, lang in rows:
+        for a, b in zip(t.encode(), t.encode()[1:]):
+            want[int(lang == "en"), a * 256 + b] += 1
+    n = want.reshape(2, 256, 256) + 0.02
+    want = np.log(n / n.sum(axis=2, keepdims=True)).reshape(2, 65536)
+    assert np.allclose(langid.pair_logs(langid.pair_counts(df), ["de", "en"], (0, 1)), want, atol=1e-5)
+    values = [(k, float(x)) for k, m in ((0, 20), (1, 700), (2, 3), (3, 251)) for x in r.normal(-3, 2, m)]
+    got = langid.quantiles_by_kind(spark.createDataFrame(values, "kind int, v double"), "v")
+    own = lambda k: np.quantile([x for c, x in values if c == k], langid.LIMIT_SHARE, method="lower")
+    assert got[0] == float("-inf") and np.allclose(got[1:], [own(1), own(1), own(3)], atol=1e-8)
+    monkeypatch.setattr(langid, "SHARD_WINDOWS", 200)
+    (a, *x), (b, *y) = langid.learn(df), langid.learn(df.repartition(5))
+    assert x == y and (a.emb == b.emb).all() and (a.out == b.out).all() and (a.pairs == b.pairs).all()

@@ -113,3 +113,15 @@ def test_entry_without_the_subpackage(tmp_path):
     code = "import __spark_entry__ as e; n = e.queries(); print(len(n), any(x.startswith('op') for x in n), 'pipeline' in n)"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
     assert out.returncode == 0 and out.stdout.split()[1:] == ["False", "False"], out.stderr
+
+
+def test_language_id_learns_from_every_row(spark):
+    """Texts of a kind that no sampled row has are labelled, so they are learned and set the limits."""
+    r = rng(3)
+    ids = [x.id for x in spark.range(700).orderBy(F.xxhash64("id"), "id").collect()]     # the first 300 of a language were the sample
+    text = lambda v: " ".join(r.choice(v) for _ in range(40))
+    en, de, odd = ["the", "and", "that", "with", "house"], ["der", "und", "nicht", "haus", "wohin"], ["qxj", "zvk", "xqz", "kjv", "vzx"]
+    rows = [(i, text(odd), "en") for i in ids[-60:]] + [(i, text(en), "en") for i in ids[:400]] + [(i, text(de), "de") for i in ids[400:640]]
+    docs = spark.createDataFrame([(*x, "s", len(x[1])) for x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {x.doc_id for x in cp.identify_language(spark, docs, "").collect()}
+    assert len(kept & set(ids[-60:])) >= 58 and len(kept) >= 690
