@@ -47,6 +47,8 @@ FINE = 1 << 32                   # limits found, as whole numbers of such parts:
 LENGTH_CLASSES = (1, 2, 4, 8)    # windows of a text, at least: score limits are set by class
 LIMIT_SHARE = 0.004              # labelled rows below one of a class's limits, about
 LIMIT_ROWS = 30                  # labelled rows a class needs for a limit of its own
+STEP_ROWS = 1024                 # window positions summed at once: they stay in the processor's cache
+STRIDE = 16                      # positions of a training batch summed at once, likewise
 SHARD_RATE = 0.003               # step size of the shards that go on from the first one's parameters
 
 
@@ -73,12 +75,18 @@ class Model:
         """Language probabilities of windows (rows of bytes; 3 zero bytes follow each)."""
         n, size = win.shape
         f = self.kern[2].shape[2]
-        x = np.zeros((n, size + 3), dtype=np.int32)
-        x[:, :size] = win
-        pair = x[:, :-1] * 256 + x[:, 1:]
-        h = tables[0][pair[:, :size]]
-        h[:, :, f:] += tables[1][pair[:, 2:size + 2]]
-        h = np.maximum(h.max(axis=1) + self.bias, 0)
+        x = np.zeros((size + 3, n), dtype=np.intp)
+        x[:size] = win.T
+        pair = x[:-1] * 256 + x[1:]
+        step = max(1, STEP_ROWS // max(n, 1))
+        sums, more = np.empty((step, n, 3 * f), np.float32), np.empty((step, n, 2 * f), np.float32)
+        best = np.full((n, 3 * f), -np.inf, np.float32)
+        for a in range(0, size, step):
+            b = min(a + step, size)
+            h = tables[0].take(pair[a:b], axis=0, out=sums[:b - a], mode="clip")
+            h[:, :, f:] += tables[1].take(pair[a + 2:b + 2], axis=0, out=more[:b - a], mode="clip")
+            np.maximum(best, h.max(axis=0), out=best)
+        h = np.maximum(best + self.bias, 0)
         z = h @ self.out + self.out_bias
         z = np.exp(z - z.max(axis=1, keepdims=True))
         return z / z.sum(axis=1, keepdims=True)
@@ -144,43 +152,96 @@ def descend(par: dict, windows: np.ndarray, labels: np.ndarray, rng: np.random.G
             epochs: int = 6, batch: int = 64, rate: float = 0.01) -> None:
     """Adam steps from ``par``, changed in place, over the windows in random order."""
     _, embed, filters = par[2].shape
-    mom = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in par.items()}
-    x_all = np.concatenate([windows, np.zeros((len(windows), 3), windows.dtype)], axis=1)
+    flat = np.concatenate([v.ravel() for v in par.values()])             # ``now``, ``grad``: views by name
+    slope, m, s = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+    now, grad = _views(flat, par), _views(slope, par)
     size, t = windows.shape[1], 0
+    x_all = np.concatenate([windows, np.zeros((len(windows), 3), windows.dtype)], axis=1)
+    most = min(batch, len(windows))
+    strongest = Maxima(most, size, len(WIDTHS) * filters)
+    tables = np.zeros((max(WIDTHS), 256, len(WIDTHS) * filters), np.float32)
+    taps = [(w, j) for w in WIDTHS for j in range(w)]                    # a filter of width w has w taps
+    own = np.concatenate([np.arange(filters) + WIDTHS.index(w) * filters for w, _ in taps])
+    ahead = np.arange(most)[:, None] * (size + 3) + np.repeat([j for _, j in taps], filters)
+
+    def by_tap(v: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(v.reshape(len(v), len(taps), filters).transpose(1, 0, 2))
+
     for _ in range(epochs):
         order = rng.permutation(len(windows))
         for a in range(0, len(order), batch):
             pick = order[a:a + batch]
-            x, y = x_all[pick].astype(np.int32), labels[pick]
-            best, where = [], []
-            for w in WIDTHS:
-                h = sum((par["emb"] @ par[w][j]).take(x[:, j:j + size], axis=0) for j in range(w))
-                where.append(h.argmax(axis=1))
-                best.append(np.take_along_axis(h, where[-1][:, None], axis=1)[:, 0])
-            pre = np.concatenate(best, axis=1) + par["bias"]
+            x, y = x_all[pick].astype(np.intp), labels[pick]
+            n = len(y)
+            for i, w in enumerate(WIDTHS):
+                tables[:w, :, i * filters:(i + 1) * filters] = now["emb"] @ now[w]
+            best, where = strongest(tables, np.ascontiguousarray(x.T))
+            pre = best + now["bias"]
             h = np.maximum(pre, 0)
-            z = h @ par["out"] + par["out_bias"]
+            z = h @ now["out"] + now["out_bias"]
             z = np.exp(z - z.max(axis=1, keepdims=True))
             p = z / z.sum(axis=1, keepdims=True)
-            p[np.arange(len(y)), y] -= 1
-            p /= len(y)
-            grad = {n: np.zeros_like(v) for n, v in par.items()}
-            grad["out"], grad["out_bias"] = h.T @ p, p.sum(axis=0)
-            g = (p @ par["out"].T) * (pre > 0)
-            grad["bias"] = g.sum(axis=0)
-            for i, w in enumerate(WIDTHS):
-                gw = g[:, i * filters:(i + 1) * filters]
-                for j in range(w):
-                    byte = np.take_along_axis(x, where[i] + j, axis=1)          # rows x filters
-                    grad[w][j] = np.einsum("nfe,nf->ef", par["emb"][byte], gw)
-                    cell = (byte[:, :, None] * embed + np.arange(embed)).ravel()
-                    np.add.at(grad["emb"].reshape(-1), cell, (gw[:, :, None] * par[w][j].T[None]).ravel())
+            p[np.arange(n), y] -= 1
+            p /= n
+            grad["out"][:], grad["out_bias"][:] = h.T @ p, p.sum(axis=0)
+            g = (p @ now["out"].T) * (pre > 0)
+            grad["bias"][:] = g.sum(axis=0)
+            g = g.take(own, axis=1)                                      # rows x taps
+            byte = x.ravel().take(where.take(own, axis=1) + ahead[:n], mode="clip")
+            tap_byte, tap_g = by_tap(byte).ravel(), by_tap(g)
+            kern = np.stack([now[w][j] for w, j in taps], axis=1)[:, :, None]
+            slopes = np.empty((embed, len(own)), np.float32)
+            for i, emb in enumerate(now["emb"].T.copy()):
+                slopes[i] = (emb.take(byte) * g).sum(axis=0)
+                lane = np.zeros(256, np.float32)
+                np.add.at(lane, tap_byte, (tap_g * kern[i]).ravel())     # tap by tap, row by row
+                grad["emb"][:, i] = lane
+            for i, (w, j) in enumerate(taps):
+                grad[w][j] = slopes[:, i * filters:(i + 1) * filters]
             t += 1
-            for n, v in par.items():
-                m, s = mom[n]
-                m += 0.1 * (grad[n] - m)
-                s += 0.001 * (grad[n] ** 2 - s)
-                v -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
+            m += 0.1 * (slope - m)
+            s += 0.001 * (slope ** 2 - s)
+            flat -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
+    for n, v in par.items():
+        v[:] = now[n]
+
+
+class Maxima:
+    """Each filter's maximum over the positions of a batch's windows, and the first position that
+    has it. ``STRIDE`` positions are summed at a time, in buffers kept from batch to batch."""
+
+    def __init__(self, rows: int, size: int, filters: int):
+        self.size, self.strides = size, -(-size // STRIDE)
+        self.sums, self.tops = (np.empty(self.strides * k * rows * filters, np.float32) for k in (STRIDE, 1))
+        self.more = np.empty(STRIDE * rows * filters, np.float32)
+
+    def __call__(self, tables: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``tables``: what each byte adds to each filter, by distance (0: beyond its width);
+        ``x``: bytes, positions (3 zeros last) x rows."""
+        n, filters = x.shape[1], tables.shape[2]
+        lanes = n * filters
+        sums = self.sums[:self.strides * STRIDE * lanes].reshape(-1, n, filters)
+        tops = self.tops[:self.strides * lanes].reshape(-1, lanes)
+        sums[self.size:] = -np.inf
+        for i, a in enumerate(range(0, self.size, STRIDE)):
+            b = min(a + STRIDE, self.size)
+            h, g = sums[a:b], self.more[:(b - a) * lanes].reshape(-1, n, filters)
+            tables[0].take(x[a:b], axis=0, out=h, mode="clip")
+            for j in range(1, len(tables)):
+                h += tables[j].take(x[a + j:b + j], axis=0, out=g, mode="clip")
+            h.reshape(-1, lanes).max(axis=0, out=tops[i])
+        best = tops.max(axis=0)
+        stride = first_equal(tops, best)
+        near = (stride * (STRIDE * lanes) + np.arange(lanes)) + np.arange(STRIDE)[:, None] * lanes
+        near = sums.reshape(-1).take(near, mode="clip")
+        where = stride * STRIDE + first_equal(near, best)
+        return best.reshape(n, filters), where.reshape(n, filters)
+
+
+def first_equal(rows: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Per column the first row that equals ``value``."""
+    down = np.arange(len(rows), 0, -1, dtype=np.min_scalar_type(len(rows)))[:, None]
+    return len(rows) - ((rows == value) * down).max(axis=0).astype(np.intp)
 
 
 def text_windows(text: str, most: int = WINDOWS_PER_DOC, size: int = WINDOW_BYTES) -> np.ndarray:
@@ -319,9 +380,13 @@ def train_shards(rows: DataFrame, langs: dict[int, list[str]], total: dict[int,
     return start
 
 
-def _unflat(flat: np.ndarray, like: dict) -> dict:
+def _views(flat: np.ndarray, like: dict) -> dict:
     ends = np.cumsum([v.size for v in like.values()])[:-1]
-    return {n: x.reshape(v.shape).astype(np.float32) for (n, v), x in zip(like.items(), np.split(flat, ends))}
+    return {n: x.reshape(v.shape) for (n, v), x in zip(like.items(), np.split(flat, ends))}
+
+
+def _unflat(flat: np.ndarray, like: dict) -> dict:
+    return {n: v.astype(np.float32) for n, v in _views(flat, like).items()}
 
 
 def _shard_trainer(start: dict[int, dict], langs: dict[int, list[str]], passes: dict[int, int], rate: float):

@@ -1,3 +1,4 @@
+import time
 import zlib
 
 import numpy as np
@@ -84,3 +85,63 @@ def test_learned_counts_and_limits_are_exact(spark, monkeypatch):
     monkeypatch.setattr(langid, "SHARD_WINDOWS", 200)
     (a, *x), (b, *y) = langid.learn(df), langid.learn(df.repartition(5))
     assert x == y and (a.emb == b.emb).all() and (a.out == b.out).all() and (a.pairs == b.pairs).all()
+
+
+def plain_steps(par, windows, labels, rng, epochs, batch, rate):
+    """``descend`` written out: every position of every filter, every tap by itself."""
+    _, embed, filters = par[2].shape
+    mom = {n: (np.zeros_like(v), np.zeros_like(v)) for n, v in par.items()}
+    x_all = np.concatenate([windows, np.zeros((len(windows), 3), windows.dtype)], axis=1)
+    size, t = windows.shape[1], 0
+    for _ in range(epochs):
+        order = rng.permutation(len(windows))
+        for a in range(0, len(order), batch):
+            x, y = x_all[order[a:a + batch]].astype(np.int32), labels[order[a:a + batch]]
+            best, where = [], []
+            for w in langid.WIDTHS:
+                h = sum((par["emb"] @ par[w][j]).take(x[:, j:j + size], axis=0) for j in range(w))
+                where.append(h.argmax(axis=1))
+                best.append(np.take_along_axis(h, where[-1][:, None], axis=1)[:, 0])
+            pre = np.concatenate(best, axis=1) + par["bias"]
+            h = np.maximum(pre, 0)
+            z = h @ par["out"] + par["out_bias"]
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            p = z / z.sum(axis=1, keepdims=True)
+            p[np.arange(len(y)), y] -= 1
+            p /= len(y)
+            grad = {n: np.zeros_like(v) for n, v in par.items()}
+            grad["out"], grad["out_bias"] = h.T @ p, p.sum(axis=0)
+            g = (p @ par["out"].T) * (pre > 0)
+            grad["bias"] = g.sum(axis=0)
+            for i, w in enumerate(langid.WIDTHS):
+                gw = g[:, i * filters:(i + 1) * filters]
+                for j in range(w):
+                    byte = np.take_along_axis(x, where[i] + j, axis=1)
+                    grad[w][j] = np.einsum("nfe,nf->ef", par["emb"][byte], gw)
+                    cell = (byte[:, :, None] * embed + np.arange(embed)).ravel()
+                    np.add.at(grad["emb"].reshape(-1), cell, (gw[:, :, None] * par[w][j].T[None]).ravel())
+            t += 1
+            for n, v in par.items():
+                m, s = mom[n]
+                m += 0.1 * (grad[n] - m)
+                s += 0.001 * (grad[n] ** 2 - s)
+                v -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
+
+
+def test_training_steps_equal_plain_ones_and_cost_less():
+    """The same parameters to the last bit, any sizes, in well under the plain steps' CPU time."""
+    r = np.random.default_rng(8)
+    spent = {langid.descend: [], plain_steps: []}
+    for n, size, embed, filters, batch, runs in ((70, 20, 5, 4, 64, 1), (9, 1, 8, 16, 4, 1), (130, 37, 8, 16, 64, 1), (3, 7, 2, 2, 64, 1), (1280, 128, 8, 16, 64, 5)):
+        win, y = r.integers(0, 256 if n < 1000 else 60, (n, size)).astype(np.uint8), r.integers(0, 3, n)
+        for _ in range(runs):
+            got = {}
+            for steps in spent:
+                par, rng = langid.first_parameters(3, embed, filters)
+                start = time.process_time()
+                steps(par, win, y, rng, 1 if runs > 1 else 3, batch, 0.01)
+                spent[steps].append(time.process_time() - start)
+                got[steps] = par
+            assert all(np.array_equal(v, got[plain_steps][k]) for k, v in got[langid.descend].items())
+    fast, plain = (min(spent[steps][-5:]) for steps in (langid.descend, plain_steps))
+    assert fast < 0.85 * plain
